@@ -84,7 +84,7 @@ def noop_changes(changes: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC,
     shares the change_id instead (see :func:`duplicate_deliveries`).
     """
     s = spec
-    prev = chunked_lead(changes, [s.entity], [s.source_ts, s.change_id],
+    prev = chunked_lead(changes.select(s.change_id, s.entity, s.source_ts, *s.attributes), [s.entity], [s.source_ts, s.change_id],
                         {"id": F.col(s.change_id), **{f"a{i}": F.col(a) for i, a in enumerate(s.attributes)}},
                         "_prev", descending=True, chunk_hours=chunk_hours)
     same = None
@@ -105,7 +105,7 @@ def arrival_anomalies(changes: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC,
     time, the plain lateness of the delivery.
     """
     s = spec
-    run = chunked_running(changes, [s.entity], [s.ingest_ts, s.change_id], F.col(s.source_ts),
+    run = chunked_running(changes.select(s.change_id, s.entity, s.source_ts, s.ingest_ts), [s.entity], [s.ingest_ts, s.change_id], F.col(s.source_ts),
                           "max_prior_source_updated_at", "max", chunk_hours=chunk_hours)
     lag = F.expr(f"timestampdiff(SECOND, `{s.source_ts}`, `{s.ingest_ts}`)")
     return run.where(F.col("max_prior_source_updated_at") > F.col(s.source_ts)).select(

@@ -31,7 +31,10 @@ def build_scd2(changes: DataFrame, staged: DataFrame, spec: ChangeLogSpec = DEFA
     if order not in ("source", "ingest"):
         raise ValueError(f"order must be 'source' or 'ingest', not {order!r}")
     order_cols = [s.source_ts, s.change_id] if order == "source" else [s.ingest_ts, s.change_id]
-    seq = chunked_lead(changes, [s.entity], order_cols, {"ts": F.col(s.source_ts)}, "_next",
+    needed = [s.entity, s.change_id, s.operation, *s.attributes, s.source_ts]
+    if order == "ingest":
+        needed.append(s.ingest_ts)
+    seq = chunked_lead(changes.select(*needed), [s.entity], order_cols, {"ts": F.col(s.source_ts)}, "_next",
                        chunk_hours=chunk_hours)
     versions = seq.where(F.col(s.operation) != F.lit(s.delete_value)).select(
         version_key(s.entity, s.change_id).alias(s.version_id),

@@ -5,15 +5,18 @@ change (``lead``), the previous one (``lag``), the row's rank (``row_number``) o
 value. ``Window.partitionBy(entity)`` would put all rows of one entity into one task, and one entity may
 hold a third of all rows. These helpers run the same scans as two levels instead:
 
-1. the window is partitioned by ``(entity, chunk)``, where ``chunk`` is a monotone coarsening of the first
-   order column (a time bucket), so a hot entity is spread over as many tasks as it has chunks;
-2. one summary row per ``(entity, chunk)`` (row count, first row, running aggregate: a partial+final
-   hash/sort aggregate) is scanned per entity -- that table has one row per chunk, not per change;
+1. rows are hash-partitioned once on ``(entity, chunk)``, where ``chunk`` is a monotone coarsening of the
+   first order column (a time bucket), so a hot entity is spread over as many tasks as it has chunks,
+   and the window runs per ``(entity, chunk)``;
+2. one summary row per ``(entity, chunk)`` (row count, first row, chunk aggregate) is scanned per entity;
+   that table has one row per chunk, not per change;
 3. the summary is joined back on ``(entity, chunk)`` and combined with the local result.
 
-The big side is shuffled once (on ``entity, chunk``) and never again: the aggregate and the join reuse
-that partitioning, only the small summary moves. Results equal the plain window exactly, including
-ties (the full order key decides) and NULLs (ascending order puts them last, as a SQL engine does).
+The big side is shuffled once. The summary is computed from the *same* exchange: the summary aggregate
+references every column of the repartitioned input, so both branches have identical plans below the
+exchange and Spark reuses it (``ReusedExchange``) instead of recomputing the input. The join back uses
+the same non-null partition keys, so the big side is not shuffled again. Results equal the plain window
+exactly, ties (the full order key decides) and NULLs (ascending puts them last, as in SQL) included.
 """
 
 from __future__ import annotations
@@ -26,10 +29,11 @@ from pyspark.sql import types as T
 
 CHUNK = "_chunk"
 DEFAULT_CHUNK_HOURS = 24
+_NULL_CHUNK = 2**62  # NULL order values sort after every real chunk (ascending, NULLS LAST)
 
 
 def time_chunk(df: DataFrame, col: str, hours: int = DEFAULT_CHUNK_HOURS) -> Column:
-    """Monotone bucket of ``col``: whole ``hours``-wide steps for timestamps, ``hours``-wide numbers else.
+    """Monotone, non-null bucket of ``col``: ``hours``-wide steps of time (or of value for numbers).
 
     Computed from calendar fields of a zone-less timestamp, so it never depends on the session zone
     (an offset that changes with daylight saving would break monotonicity).
@@ -42,8 +46,32 @@ def time_chunk(df: DataFrame, col: str, hours: int = DEFAULT_CHUNK_HOURS) -> Col
         hrs = F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date")).cast("long") * 24
         if not isinstance(dtype, T.DateType):
             hrs = hrs + F.hour(c)
-        return F.floor(hrs / F.lit(hours)).cast("long")
-    return F.floor(c / F.lit(hours)).cast("long")
+        bucket = F.floor(hrs / F.lit(hours))
+    else:
+        bucket = F.floor(c / F.lit(hours))
+    return F.coalesce(bucket.cast("long"), F.lit(_NULL_CHUNK).cast("long"))
+
+
+def _default(dtype: T.DataType):
+    if isinstance(dtype, T.StringType):
+        return F.lit("")
+    if isinstance(dtype, T.BooleanType):
+        return F.lit(False)
+    if isinstance(dtype, (T.TimestampNTZType, T.TimestampType)):
+        return F.lit("1970-01-01 00:00:00").cast(dtype)
+    if isinstance(dtype, T.DateType):
+        return F.lit("1970-01-01").cast("date")
+    return F.lit(0).cast(dtype)
+
+
+def _partition_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """NULL-free stand-ins for the keys (value with a default + null flag), so joins stay plain equi-joins."""
+    cols = []
+    for i, k in enumerate(keys):
+        df = df.withColumn(f"_pk{i}", F.coalesce(F.col(k), _default(df.schema[k].dataType))) \
+               .withColumn(f"_pn{i}", F.col(k).isNull())
+        cols += [f"_pk{i}", f"_pn{i}"]
+    return df, cols
 
 
 def _order(cols: Sequence[str], descending: bool) -> list[Column]:
@@ -58,24 +86,19 @@ def _sort_key(cols: Sequence[str]) -> Column:
     return F.struct(*parts)
 
 
-def _key_match(keys: Sequence[str], left: DataFrame, right: DataFrame) -> Column:
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(right[k])
-        cond = c if cond is None else cond & c
-    return cond
+def _prepare(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_hours: int):
+    df = df.withColumn(CHUNK, time_chunk(df, order[0], chunk_hours))
+    df, pkeys = _partition_keys(df, keys)
+    return df.repartition(*pkeys, CHUNK), [*pkeys, CHUNK]
+
 
+def _row_struct(df: DataFrame) -> Column:
+    """Every column of ``df``: pins the summary branch to the same input plan as the window branch."""
+    return F.struct(*[F.col(c) for c in df.columns])
 
-def _join_back(df: DataFrame, summ: DataFrame, keys: Sequence[str]) -> DataFrame:
-    s = summ
-    for k in (*keys, CHUNK):
-        s = s.withColumnRenamed(k, f"_s_{k}")
-    cond = None
-    for k in (*keys, CHUNK):
-        c = df[k].eqNullSafe(s[f"_s_{k}"])
-        cond = c if cond is None else cond & c
-    joined = df.join(s, cond, "left")
-    return joined.drop(*[f"_s_{k}" for k in (*keys, CHUNK)])
+
+def _join_back(df: DataFrame, summ: DataFrame, part: Sequence[str]) -> DataFrame:
+    return df.join(summ, list(part), "left").drop(*part)
 
 
 def chunked_lead(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: dict[str, Column],
@@ -86,31 +109,30 @@ def chunked_lead(df: DataFrame, keys: Sequence[str], order: Sequence[str], value
     ``descending=True`` gives the previous row (``lag``). ``row_number`` optionally adds the 1-based
     rank in that order (bigint).
     """
-    df = df.withColumn(CHUNK, time_chunk(df, order[0], chunk_hours))
-    vals = F.struct(*[v.alias(n) for n, v in values.items()])
-    w = Window.partitionBy(*keys, CHUNK).orderBy(*_order(order, descending))
-    df = df.withColumn("_lead_local", F.lead(vals).over(w))
+    df = df.withColumn("_v", F.struct(*[v.alias(n) for n, v in values.items()]))
+    x, part = _prepare(df, keys, order, chunk_hours)
+    w = Window.partitionBy(*part).orderBy(*_order(order, descending))
+    local = x.withColumn("_lead_local", F.lead("_v").over(w))
     if row_number:
-        df = df.withColumn("_rn_local", F.row_number().over(w).cast("long"))
+        local = local.withColumn("_rn_local", F.row_number().over(w).cast("long"))
 
     pick = F.max if descending else F.min
-    summ = df.groupBy(*keys, CHUNK).agg(
-        pick(F.struct(_sort_key(order).alias("k"), vals.alias("v"))).alias("_first"),
+    summ = x.groupBy(*part).agg(
+        pick(F.struct(_sort_key(order).alias("k"), _row_struct(x).alias("r"))).alias("_first"),
         F.count(F.lit(1)).alias("_cnt"),
     )
-    wc = Window.partitionBy(*keys).orderBy(F.col(CHUNK).desc_nulls_first() if descending
-                                           else F.col(CHUNK).asc_nulls_last())
-    cols = [*keys, CHUNK, F.lead(F.col("_first.v")).over(wc).alias("_lead_next")]
+    wc = Window.partitionBy(*part[:-1]).orderBy(F.col(CHUNK).desc() if descending else F.col(CHUNK).asc())
+    cols = [*part, F.lead(F.col("_first.r._v")).over(wc).alias("_lead_next")]
     if row_number:
         cols.append(F.coalesce(F.sum("_cnt").over(wc.rowsBetween(Window.unboundedPreceding, -1)),
                                F.lit(0)).cast("long").alias("_rn_offset"))
     summ = summ.select(*cols)
 
-    joined = _join_back(df, summ, keys)
+    joined = _join_back(local, summ, part)
     joined = joined.withColumn(out, F.coalesce(F.col("_lead_local"), F.col("_lead_next")))
     if row_number:
         joined = joined.withColumn(row_number, F.col("_rn_offset") + F.col("_rn_local"))
-    return joined.drop("_lead_local", "_lead_next", "_rn_local", "_rn_offset", CHUNK)
+    return joined.drop("_v", "_lead_local", "_lead_next", "_rn_local", "_rn_offset")
 
 
 def chunked_running(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, out: str,
@@ -123,31 +145,35 @@ def chunked_running(df: DataFrame, keys: Sequence[str], order: Sequence[str], va
     """
     if how not in ("max", "min", "last"):
         raise ValueError(how)
-    df = df.withColumn(CHUNK, time_chunk(df, order[0], chunk_hours)).withColumn("_val", value)
-    w = Window.partitionBy(*keys, CHUNK).orderBy(*_order(order, descending)).rowsBetween(
+    df = df.withColumn("_val", value)
+    x, part = _prepare(df, keys, order, chunk_hours)
+    w = Window.partitionBy(*part).orderBy(*_order(order, descending)).rowsBetween(
         Window.unboundedPreceding, 0 if include_current else -1)
+    row = _row_struct(x).alias("r")
     if how == "max":
-        local, chunk_total = F.max("_val").over(w), F.max("_val")
+        local = F.max("_val").over(w)
+        total = F.max(F.struct(F.col("_val").isNotNull().alias("p"), F.col("_val").alias("v"), row))
     elif how == "min":
-        local, chunk_total = F.min("_val").over(w), F.min("_val")
+        local = F.min("_val").over(w)
+        total = F.min(F.struct(F.col("_val").isNull().alias("p"), F.col("_val").alias("v"), row))
     else:
         local = F.last("_val", ignorenulls=True).over(w)
         pick = F.min if descending else F.max
-        chunk_total = pick(F.when(F.col("_val").isNotNull(),
-                                  F.struct(_sort_key(order).alias("k"), F.col("_val").alias("v")))).getField("v")
-    df = df.withColumn("_run_local", local)
+        total = pick(F.when(F.col("_val").isNotNull(),
+                            F.struct(_sort_key(order).alias("k"), F.col("_val").alias("v"), row)))
+    local_df = x.withColumn("_run_local", local)
 
-    summ = df.groupBy(*keys, CHUNK).agg(chunk_total.alias("_tot"))
-    wc = Window.partitionBy(*keys).orderBy(
-        F.col(CHUNK).desc_nulls_first() if descending else F.col(CHUNK).asc_nulls_last()
+    summ = x.groupBy(*part).agg(total.getField("v").alias("_tot"))
+    wc = Window.partitionBy(*part[:-1]).orderBy(
+        F.col(CHUNK).desc() if descending else F.col(CHUNK).asc()
     ).rowsBetween(Window.unboundedPreceding, -1)
     carry = {"max": F.max("_tot"), "min": F.min("_tot"), "last": F.last("_tot", ignorenulls=True)}[how]
-    summ = summ.select(*keys, CHUNK, carry.over(wc).alias("_run_carry"))
+    summ = summ.select(*part, carry.over(wc).alias("_run_carry"))
 
-    joined = _join_back(df, summ, keys)
+    joined = _join_back(local_df, summ, part)
     combine = {"max": F.greatest, "min": F.least}.get(how)
     if combine is not None:
         result = combine(F.col("_run_local"), F.col("_run_carry"))
     else:
         result = F.coalesce(F.col("_run_local"), F.col("_run_carry"))
-    return joined.withColumn(out, result).drop("_val", "_run_local", "_run_carry", CHUNK)
+    return joined.withColumn(out, result).drop("_val", "_run_local", "_run_carry")
