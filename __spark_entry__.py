@@ -491,15 +491,15 @@ SELECT change_id, count(*) AS deliveries, min(ingested_at) AS first_ingested_at,
 FROM staged GROUP BY change_id HAVING count(*) > 1""",
         "noop_changes": _with(_sql_staged("staged"), _sql_dedup("changes", "staged"), """
 prev AS (
-    SELECT change_id, customer_id, source_updated_at, country_code, subscription_tier, account_status,
-           email_verified,
-           lag(change_id) OVER w AS p_id, lag(country_code) OVER w AS p_c, lag(subscription_tier) OVER w AS p_t,
+    SELECT change_id, customer_id, operation, source_updated_at, country_code, subscription_tier,
+           account_status, email_verified,
+           lag(change_id) OVER w AS p_id, lag(operation) OVER w AS p_op, lag(country_code) OVER w AS p_c, lag(subscription_tier) OVER w AS p_t,
            lag(account_status) OVER w AS p_s, lag(email_verified) OVER w AS p_v
     FROM changes
     WINDOW w AS (PARTITION BY customer_id ORDER BY source_updated_at, change_id)
 )""") + """
 SELECT change_id, customer_id, source_updated_at, p_id AS previous_change_id FROM prev
-WHERE p_id IS NOT NULL AND country_code = p_c AND subscription_tier = p_t AND account_status = p_s
+WHERE p_id IS NOT NULL AND operation <> 'DELETE' AND p_op <> 'DELETE' AND country_code = p_c AND subscription_tier = p_t AND account_status = p_s
   AND email_verified = p_v""",
         "arrival_anomalies": _with(_sql_staged("staged"), _sql_dedup("changes", "staged"), """
 run AS (

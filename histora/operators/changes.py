@@ -78,19 +78,21 @@ def duplicate_deliveries(staged: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC)
 
 def noop_changes(changes: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC,
                  chunk_hours: int = DEFAULT_CHUNK_HOURS) -> DataFrame:
-    """Distinct mutations whose attributes all equal those of the entity's previous mutation.
+    """Non-DELETE mutations whose attributes all equal those of the entity's previous mutation.
 
-    These are legitimate changes (never merged, S8) that carry no new value; a duplicate *delivery*
-    shares the change_id instead (see :func:`duplicate_deliveries`).
+    The previous mutation must not be a DELETE either: the version this change opens then repeats the
+    values of the version it closes. These are legitimate changes (never merged, S8) that carry no new
+    value; a duplicate *delivery* shares the change_id instead (see :func:`duplicate_deliveries`).
     """
     s = spec
-    prev = chunked_lead(changes.select(s.change_id, s.entity, s.source_ts, *s.attributes), [s.entity], [s.source_ts, s.change_id],
-                        {"id": F.col(s.change_id), **{f"a{i}": F.col(a) for i, a in enumerate(s.attributes)}},
+    prev = chunked_lead(changes.select(s.change_id, s.entity, s.operation, s.source_ts, *s.attributes),
+                        [s.entity], [s.source_ts, s.change_id],
+                        {"id": F.col(s.change_id), "op": F.col(s.operation),
+                         **{f"a{i}": F.col(a) for i, a in enumerate(s.attributes)}},
                         "_prev", descending=True, chunk_hours=chunk_hours)
-    same = None
+    same = (F.col(s.operation) != F.lit(s.delete_value)) & (F.col("_prev.op") != F.lit(s.delete_value))
     for i, a in enumerate(s.attributes):
-        c = F.col(a) == F.col(f"_prev.a{i}")
-        same = c if same is None else same & c
+        same = same & (F.col(a) == F.col(f"_prev.a{i}"))
     return prev.where(F.col("_prev").isNotNull() & same).select(
         F.col(s.change_id), F.col(s.entity), F.col(s.source_ts),
         F.col("_prev.id").alias("previous_change_id"))

@@ -1,0 +1,111 @@
+"""Late-arrival repair equals a full rebuild; fact appends; the keyed-replace table."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from histora.operators import (
+    affected_entities, append_facts, build_scd2, deduplicate_changes, high_water, repair_scd2, stage_changes,
+    table_diff,
+)
+from histora.operators.incremental import rebuild_entities
+from histora.session import checkpoint_dir
+from histora.sources.table import BucketedTable
+from tests.fixtures_data import EXPECTED_42, EXPECTED_42_AFTER_T1, T1_CUTOFF
+from tests.helpers import intervals, log_df
+
+CANON = ["customer_id", "country_code", "subscription_tier", "account_status", "email_verified", "valid_from",
+         "valid_to", "row_current", "source_change_id"]
+
+
+def _dim(log, cutoff=None):
+    staged = stage_changes(log, ingest_cutoff=cutoff)
+    return build_scd2(deduplicate_changes(staged), staged)
+
+
+def test_repair_after_t1_equals_full_refresh(scripted_log):
+    t1 = _dim(scripted_log, T1_CUTOFF)
+    assert intervals(t1, 42) == EXPECTED_42_AFTER_T1
+    staged = stage_changes(scripted_log)
+    aff = sorted(r.customer_id for r in affected_entities(staged, t1).collect())
+    assert aff == [42]
+    repaired = repair_scd2(t1, staged)
+    assert intervals(repaired, 42) == EXPECTED_42
+    assert table_diff(repaired, _dim(scripted_log), CANON + ["last_seen_ingested_at"]).count() == 0
+    assert table_diff(t1, _dim(scripted_log), CANON).count() > 0
+
+
+def test_rerun_is_idempotent(scripted_log):
+    full = _dim(scripted_log)
+    staged = stage_changes(scripted_log)
+    assert affected_entities(staged, full).count() == 0
+    again = repair_scd2(full, staged)
+    assert table_diff(again, full, CANON).count() == 0
+    assert high_water(full).first()[0] == staged.agg(F.max("ingested_at")).first()[0]
+
+
+def test_empty_table_high_water_is_epoch(spark, scripted_log):
+    empty = _dim(scripted_log).limit(0)
+    assert str(high_water(empty).first()[0]) == "1970-01-01 00:00:00"
+
+
+def _row(c, e, op, src, ing):
+    return (c, e, op, "US", "free", "active", False, src, ing, "x")
+
+
+def test_vanishing_entity_is_removed_by_repair(spark):
+    first = log_df(spark, [_row("a", 1, "INSERT", "2026-01-01 00:00:00", "2026-01-01 00:01:00"),
+                           _row("k", 2, "INSERT", "2026-01-01 00:00:00", "2026-01-01 00:01:00")])
+    both = first.unionByName(log_df(spark, [_row("b", 1, "DELETE", "2026-01-01 00:00:00", "2026-01-02 00:00:00")]))
+    t1 = _dim(first)
+    assert t1.where("customer_id = 1").count() == 1
+    repaired = repair_scd2(t1, stage_changes(both))
+    assert repaired.where("customer_id = 1").count() == 0
+    assert table_diff(repaired, _dim(both), CANON).count() == 0
+
+    root = f"{checkpoint_dir(spark)}/test-table-{uuid.uuid4().hex}"
+    table = BucketedTable(spark, root, "customer_id", n_buckets=4)
+    table.overwrite(t1)
+    staged = stage_changes(both)
+    aff = affected_entities(staged, table.read())
+    table.replace_keys(aff, rebuild_entities(staged, aff))
+    assert table.read().where("customer_id = 1").count() == 0
+    assert table.read().where("customer_id = 2").count() == 1
+
+
+def test_watermark_tie_is_missed_by_batch_repair(spark):
+    a = log_df(spark, [_row("a", 1, "INSERT", "2026-01-01 00:00:00", "2026-01-05 00:00:00")])
+    late = log_df(spark, [_row("b", 2, "INSERT", "2026-01-02 00:00:00", "2026-01-05 00:00:00")])
+    t1 = _dim(a)
+    assert affected_entities(stage_changes(a.unionByName(late)), t1).count() == 0  # documented hole (S11)
+
+
+def test_bucketed_table_touches_only_affected_buckets(spark, scripted_log):
+    root = f"{checkpoint_dir(spark)}/test-table-{uuid.uuid4().hex}"
+    table = BucketedTable(spark, root, "customer_id", n_buckets=8)
+    v1 = table.overwrite(_dim(scripted_log, T1_CUTOFF))
+    before = table._manifest()["buckets"]
+    staged = stage_changes(scripted_log)
+    aff = affected_entities(staged, table.read())
+    v2 = table.replace_keys(aff, rebuild_entities(staged, aff))
+    after = table._manifest()["buckets"]
+    changed = {b for b in after if after[b] != before.get(b)}
+    assert v2 == v1 + 1 and len(changed) == 1 and all(after[b] == v1 for b in after if b not in changed)
+    assert table_diff(table.read(), _dim(scripted_log), CANON).count() == 0
+    assert intervals(table.read(), 42) == EXPECTED_42
+
+
+def test_fact_append_modes(spark):
+    from histora.spec import EVENT_SCHEMA
+    from tests.helpers import ts
+    mk = lambda rows: spark.createDataFrame([(a, b, c, ts(d)) for a, b, c, d in rows], EVENT_SCHEMA)
+    existing = mk([("e1", 1, "login", "2026-01-10 00:00:00"), ("e2", 1, "login", "2026-01-12 00:00:00")])
+    new = mk([("e2", 1, "purchase", "2026-01-13 00:00:00"), ("e0", 1, "late", "2026-01-05 00:00:00"),
+              ("e3", 1, "x", "2026-01-12 00:00:00"), ("e4", 1, "y", "2026-01-14 00:00:00"),
+              ("e4", 1, "y", "2026-01-14 00:00:00")])
+    by_id = sorted((r.event_id, r.event_name) for r in append_facts(existing, new).collect())
+    assert by_id == [("e0", "late"), ("e1", "login"), ("e2", "purchase"), ("e3", "x"), ("e4", "y"), ("e4", "y")]
+    by_time = sorted((r.event_id, r.event_name) for r in append_facts(existing, new, mode="event_time").collect())
+    assert by_time == [("e1", "login"), ("e2", "purchase"), ("e4", "y"), ("e4", "y")]
