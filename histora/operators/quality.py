@@ -8,51 +8,96 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from histora.functions.exprs import FAR_FUTURE, ts_literal
-from histora.plans.ordered import DEFAULT_CHUNK_HOURS, chunked_running
+from histora.plans.ordered import DEFAULT_CHUNK_HOURS, chunk_of, chunked_running
+
+
+def _repeat(df: DataFrame, times: Column) -> DataFrame:
+    """Each row ``times`` times (``times`` >= 1): a generator, no join."""
+    return df.withColumn("_rep", F.explode(F.sequence(F.lit(1).cast("long"), times.cast("long")))).drop("_rep")
 
 
 def overlap_violations(df: DataFrame, entity_key: str = "customer_id", valid_from: str = "valid_from",
                        valid_to: str = "valid_to", chunk_hours: int = DEFAULT_CHUNK_HOURS) -> DataFrame:
     """Q1: inverted/zero-width closed windows, and windows overlapping another of the same entity.
 
-    Output ``entity_id, valid_from, valid_to, failure_kind``. An overlapping row is reported once per
-    row it overlaps (so each pair twice, once per side); two rows with identical bounds are not an
-    overlap (S14); an inverted row is reported as such whether or not it also overlaps.
-
-    The pair test is only run on *candidates*. Order an entity's rows by (valid_from, end) with an open
-    end read as far future: a row overlaps an earlier one only if the running max of earlier ends passes
-    its start, and a later one only if the running min of later starts is before its end. Both running
-    values are one ordered scan each, so a correct history (no candidates) never pays for the pair join,
-    and a defective one pairs only the rows that do overlap something.
+    Output ``entity_id, valid_from, valid_to, failure_kind``, with the reference's pair semantics: an
+    overlapping row is reported once per *other* row it overlaps (so each pair twice, once per side);
+    rows with identical bounds are not an overlap (S14); an inverted row is reported as inverted, and
+    again as ``overlap`` for every window that strictly contains it. With ``end`` = valid_to or far
+    future, rows a and b overlap iff ``b.from < a.end and a.from < b.end``.
+
+    No pair of rows is ever generated to find this. Rows are first collapsed to distinct windows with a
+    multiplicity ``m``. For *regular* windows (from < end) the count is exact from two rank counts:
+    ``#starts < a.end - #ends <= a.from - m(a)`` among regular windows (a regular window that ends by
+    a.from also starts before a.end), each a running sum over a time-ordered union of windows and query
+    points, computed with the hot-entity-splitting scan. Inverted windows never overlap each other;
+    they overlap exactly the regular windows that strictly contain them, and those pairs are found by
+    anchoring each inverted window at its ``valid_to`` chunk and spreading regular windows only over the
+    chunks between the entity's first and last inverted anchor, so the pair work follows the output.
     """
-    end = F.coalesce(F.col(valid_to), ts_literal(FAR_FUTURE))
+    far = ts_literal(FAR_FUTURE)
     base = df.select(F.col(entity_key).alias("entity_id"), F.col(valid_from).alias("valid_from"),
                      F.col(valid_to).alias("valid_to"))
     inverted = base.where(F.col("valid_to").isNotNull() & (F.col("valid_from") >= F.col("valid_to"))
                           ).withColumn("failure_kind", F.lit("inverted_or_zero_width"))
 
-    scan = base.withColumn("_end", end)
-    scan = chunked_running(scan, ["entity_id"], ["valid_from", "_end"], F.col("_end"), "_prev_end", "max",
-                           chunk_hours=chunk_hours)
-    scan = chunked_running(scan, ["entity_id"], ["valid_from", "_end"], F.col("valid_from"), "_next_start",
-                           "min", descending=True, chunk_hours=chunk_hours)
-    cand = scan.where((F.col("_prev_end") > F.col("valid_from")) | (F.col("_next_start") < F.col("_end")))
-    cand = cand.select("entity_id", "valid_from", "valid_to", "_end")
-
-    a, b = cand.alias("a"), cand.alias("b")
-    cond = ((F.col("a.entity_id") == F.col("b.entity_id"))
-            & ((F.col("a.valid_from") != F.col("b.valid_from"))
-               | ~F.col("a.valid_to").eqNullSafe(F.col("b.valid_to")))
-            & (F.col("a.valid_from") < F.col("b._end"))
-            & (F.col("b.valid_from") < F.col("a._end")))
-    pairs = a.join(b, cond, "inner").select(
-        F.col("a.entity_id").alias("entity_id"), F.col("a.valid_from").alias("valid_from"),
-        F.col("a.valid_to").alias("valid_to"), F.lit("overlap").alias("failure_kind"))
-    return inverted.unionByName(pairs)
+    wins = (base.where(F.col("entity_id").isNotNull() & F.col("valid_from").isNotNull())
+            .groupBy("entity_id", "valid_from", "valid_to").agg(F.count(F.lit(1)).alias("m"))
+            .withColumn("_end", F.coalesce(F.col("valid_to"), far))
+            .withColumn("_open", F.col("valid_to").isNull()))
+    ts_type = wins.schema["valid_from"].dataType
+    reg = wins.where(F.col("valid_from") < F.col("_end"))
+    inv = wins.where(F.col("valid_from") >= F.col("_end"))
+    ident = ["entity_id", "valid_from", "_end", "_open"]
+
+    def rank_count(points: DataFrame, point_key: str, queries: DataFrame, query_key: str,
+                   points_first: bool) -> DataFrame:
+        """For each query row: sum of ``m`` over points with key < query key (<= if points_first)."""
+        p_ord, q_ord = (0, 1) if points_first else (1, 0)
+        u = (points.select("entity_id", F.col(point_key).alias("_k"), F.lit(p_ord).alias("_o"),
+                           F.col("m").alias("_w"), *[F.lit(None).cast(t).alias(f"_q{c}") for c, t in
+                                                      (("valid_from", ts_type), ("_end", ts_type), ("_open", "boolean"))])
+             .unionByName(queries.select("entity_id", F.col(query_key).alias("_k"), F.lit(q_ord).alias("_o"),
+                                         F.lit(0).cast("long").alias("_w"),
+                                         *[F.col(c).alias(f"_q{c}") for c in ("valid_from", "_end", "_open")])))
+        run = chunked_running(u, ["entity_id"], ["_k", "_o"], F.col("_w"), "_n", "sum", include_current=True,
+                              chunk_hours=chunk_hours)
+        return run.where(F.col("_o") == q_ord).select(
+            "entity_id", *[F.col(f"_q{c}").alias(c) for c in ("valid_from", "_end", "_open")], "_n")
+
+    starts_before_end = rank_count(reg, "valid_from", reg, "_end", points_first=False) \
+        .withColumnRenamed("_n", "_starts")
+    ends_by_start = rank_count(reg, "_end", reg, "valid_from", points_first=True).withColumnRenamed("_n", "_ends")
+    k = (reg.join(starts_before_end, ident).join(ends_by_start, ident)
+         .withColumn("_k", F.col("_starts") - F.col("_ends") - F.col("m")))
+    regular_rows = _repeat(k.where(F.col("_k") > 0), F.col("m") * F.col("_k"))
+
+    # regular x inverted: an inverted window [t, f] lies strictly inside the regular window a
+    anchors = inv.select("entity_id", F.col("valid_from").alias("b_from"), F.col("valid_to").alias("b_to"),
+                         F.col("m").alias("b_m"), chunk_of(F.col("valid_to"), ts_type, chunk_hours).alias("_c"))
+    span = anchors.groupBy("entity_id").agg(F.min("_c").alias("_lo"), F.max("_c").alias("_hi"))
+    covers = (reg.join(span, "entity_id")
+              .withColumn("_clo", F.greatest(chunk_of(F.col("valid_from"), ts_type, chunk_hours), F.col("_lo")))
+              .withColumn("_chi", F.least(chunk_of(F.col("_end"), ts_type, chunk_hours), F.col("_hi")))
+              .where(F.col("_clo") <= F.col("_chi"))
+              .withColumn("_c", F.explode(F.sequence(F.col("_clo"), F.col("_chi"))))
+              .select("entity_id", "valid_from", "valid_to", "_end", "m", "_c"))
+    pairs = covers.join(anchors, ["entity_id", "_c"]).where(
+        (F.col("valid_from") < F.col("b_to")) & (F.col("b_from") < F.col("_end")))
+    pairs = pairs.withColumn("_n", F.col("m") * F.col("b_m"))
+    regular_side = _repeat(pairs.select("entity_id", "valid_from", "valid_to", "_n"), F.col("_n"))
+    inverted_side = _repeat(pairs.select("entity_id", F.col("b_from").alias("valid_from"),
+                                         F.col("b_to").alias("valid_to"), "_n"), F.col("_n"))
+
+    overlaps = (regular_rows.select("entity_id", "valid_from", "valid_to")
+                .unionByName(regular_side.select("entity_id", "valid_from", "valid_to"))
+                .unionByName(inverted_side.select("entity_id", "valid_from", "valid_to"))
+                .withColumn("failure_kind", F.lit("overlap")))
+    return inverted.unionByName(overlaps)
 
 
 def current_record_violations(df: DataFrame, entity_key: str = "customer_id",

@@ -38,8 +38,11 @@ def time_chunk(df: DataFrame, col: str, hours: int = DEFAULT_CHUNK_HOURS) -> Col
     Computed from calendar fields of a zone-less timestamp, so it never depends on the session zone
     (an offset that changes with daylight saving would break monotonicity).
     """
-    dtype = df.schema[col].dataType
-    c = F.col(col)
+    return chunk_of(F.col(col), df.schema[col].dataType, hours)
+
+
+def chunk_of(c: Column, dtype: T.DataType, hours: int = DEFAULT_CHUNK_HOURS) -> Column:
+    """:func:`time_chunk` of an expression of type ``dtype``."""
     if isinstance(dtype, (T.TimestampNTZType, T.TimestampType, T.DateType)):
         if isinstance(dtype, T.TimestampType):
             c = c.cast("timestamp_ntz")
@@ -138,41 +141,45 @@ def chunked_lead(df: DataFrame, keys: Sequence[str], order: Sequence[str], value
 def chunked_running(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, out: str,
                     how: str, *, descending: bool = False, include_current: bool = False,
                     chunk_hours: int = DEFAULT_CHUNK_HOURS) -> DataFrame:
-    """Add ``out`` = running ``how`` (``max``, ``min`` or ``last`` non-null) of ``value``.
+    """Add ``out`` = running ``how`` (``max``, ``min``, ``sum`` or ``last`` non-null) of ``value``.
 
     The frame is every earlier row in ``order`` (plus the row itself when ``include_current``);
     ``descending=True`` runs the scan from the end, i.e. over the following rows.
     """
-    if how not in ("max", "min", "last"):
+    if how not in ("max", "min", "sum", "last"):
         raise ValueError(how)
     df = df.withColumn("_val", value)
     x, part = _prepare(df, keys, order, chunk_hours)
     w = Window.partitionBy(*part).orderBy(*_order(order, descending)).rowsBetween(
         Window.unboundedPreceding, 0 if include_current else -1)
-    row = _row_struct(x).alias("r")
     if how == "max":
-        local = F.max("_val").over(w)
-        total = F.max(F.struct(F.col("_val").isNotNull().alias("p"), F.col("_val").alias("v"), row))
+        local, total = F.max("_val").over(w), F.max("_val")
     elif how == "min":
-        local = F.min("_val").over(w)
-        total = F.min(F.struct(F.col("_val").isNull().alias("p"), F.col("_val").alias("v"), row))
+        local, total = F.min("_val").over(w), F.min("_val")
+    elif how == "sum":
+        local, total = F.sum("_val").over(w), F.sum("_val")
     else:
         local = F.last("_val", ignorenulls=True).over(w)
         pick = F.min if descending else F.max
         total = pick(F.when(F.col("_val").isNotNull(),
-                            F.struct(_sort_key(order).alias("k"), F.col("_val").alias("v"), row)))
+                            F.struct(_sort_key(order).alias("k"), F.col("_val").alias("v")))).getField("v")
     local_df = x.withColumn("_run_local", local)
 
-    summ = x.groupBy(*part).agg(total.getField("v").alias("_tot"))
+    # ``_pin`` (any whole row of the chunk) is referenced below, so the optimizer keeps every column in
+    # this branch and the repartition exchange is shared with the window branch.
+    summ = x.groupBy(*part).agg(total.alias("_tot"), F.first(_row_struct(x)).alias("_pin"))
     wc = Window.partitionBy(*part[:-1]).orderBy(
         F.col(CHUNK).desc() if descending else F.col(CHUNK).asc()
     ).rowsBetween(Window.unboundedPreceding, -1)
-    carry = {"max": F.max("_tot"), "min": F.min("_tot"), "last": F.last("_tot", ignorenulls=True)}[how]
-    summ = summ.select(*part, carry.over(wc).alias("_run_carry"))
+    carry = {"max": F.max("_tot"), "min": F.min("_tot"), "sum": F.sum("_tot"),
+             "last": F.last("_tot", ignorenulls=True)}[how]
+    summ = summ.select(*part, F.when(F.col("_pin").isNotNull(), carry.over(wc)).alias("_run_carry"))
 
     joined = _join_back(local_df, summ, part)
     combine = {"max": F.greatest, "min": F.least}.get(how)
-    if combine is not None:
+    if how == "sum":
+        result = F.coalesce(F.col("_run_local"), F.lit(0)) + F.coalesce(F.col("_run_carry"), F.lit(0))
+    elif combine is not None:
         result = combine(F.col("_run_local"), F.col("_run_carry"))
     else:
         result = F.coalesce(F.col("_run_local"), F.col("_run_carry"))
