@@ -159,6 +159,15 @@ def q_pit_asof(spark, sf):
     return point_in_time_join(_facts(spark, sf), _dim(spark, sf), strategy="asof")
 
 
+def q_pit_auto(spark, sf):
+    return point_in_time_join(_facts(spark, sf), _dim(spark, sf), strategy="auto")
+
+
+def q_pit_ingest_order_auto(spark, sf):
+    """PIT over the defective ingest-order history: overlapping entities must take the range join."""
+    return point_in_time_join(_facts(spark, sf), _dim(spark, sf, order="ingest"), strategy="auto")
+
+
 def q_current_state(spark, sf):
     return current_state(_dim(spark, sf))
 
@@ -233,6 +242,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "facts_by_id_append": q_facts_by_id_append,
     "pit_range": q_pit_range,
     "pit_asof": q_pit_asof,
+    "pit_auto": q_pit_auto,
+    "pit_ingest_order_auto": q_pit_ingest_order_auto,
     "current_state": q_current_state,
     "entity_history": q_entity_history,
     "overlap_violations": q_overlap_violations,
@@ -449,6 +460,8 @@ WHERE ingested_at > (SELECT coalesce(max(last_seen_ingested_at), TIMESTAMP '1970
         "facts_by_id_append": _append_sql(""),
         "pit_range": _with(*full) + _PIT,
         "pit_asof": _with(*full) + _PIT,
+        "pit_auto": _with(*full) + _PIT,
+        "pit_ingest_order_auto": _with(*_full_dim_ctes("ingest")) + _PIT,
         "current_state": _with(*full) + f"\nSELECT {_DIM_COLS} FROM dim WHERE row_current",
         "entity_history": _with(*full) + f"\nSELECT {_DIM_COLS} FROM dim WHERE customer_id = {HISTORY_ENTITY}",
         "overlap_violations": _with(*_full_dim_ctes("ingest"), """

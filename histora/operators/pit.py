@@ -13,6 +13,10 @@ Two physical plans with the same result on a valid (non-overlapping) history:
   version seen (versions sort before events at equal time). No fan-out, no broadcast, one shuffle; hot
   entities are split by time chunk (see :mod:`histora.plans.ordered`). Only valid when the history has
   no overlapping windows -- check with :func:`histora.operators.quality.overlap_violations` first.
+* ``auto``: always equal to ``range``. One ordered scan over the history (running max of the ends of
+  earlier windows, by start) finds the entities where a window starts before an earlier one ended --
+  overlaps, duplicates, and inverted windows that could shadow a containing one. Only those entities
+  take the range join; all others take the as-of scan. A valid history never pays for the range join.
 """
 
 from __future__ import annotations
@@ -20,6 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from histora.functions.exprs import FAR_FUTURE, ts_literal
 from histora.plans.ordered import DEFAULT_CHUNK_HOURS, chunked_running
 from histora.spec import DEFAULT_EVENTS, DEFAULT_SPEC, ChangeLogSpec, EventSpec
 
@@ -42,6 +47,14 @@ def point_in_time_join(facts: DataFrame, dim: DataFrame, spec: ChangeLogSpec = D
                        chunk_hours: int = DEFAULT_CHUNK_HOURS) -> DataFrame:
     s, e = spec, events
     dim_cols = [s.version_id, *s.attributes, "valid_from", "valid_to", "row_current", "source_change_id"]
+    if strategy == "auto":
+        suspect = unsafe_entities(dim, s, chunk_hours)
+        ev_bad = facts.join(suspect, facts[e.entity] == suspect["_suspect"], "left_semi")
+        ev_ok = facts.join(suspect, facts[e.entity] == suspect["_suspect"], "left_anti")
+        dim_bad = dim.join(suspect, dim[s.entity] == suspect["_suspect"], "left_semi")
+        dim_ok = dim.join(suspect, dim[s.entity] == suspect["_suspect"], "left_anti")
+        return (point_in_time_join(ev_ok, dim_ok, s, e, "asof", chunk_hours)
+                .unionByName(point_in_time_join(ev_bad, dim_bad, s, e, "range", chunk_hours)))
     if strategy == "range":
         f = facts.alias("f")
         d = dim.select(s.entity, *dim_cols).alias("d")
@@ -53,7 +66,7 @@ def point_in_time_join(facts: DataFrame, dim: DataFrame, spec: ChangeLogSpec = D
         return joined.select(*_enriched(e, s, lambda c: F.col(f"f.{c}"), lambda c: F.col(f"d.{c}"),
                                         F.col(f"d.{s.version_id}").isNotNull()))
     if strategy != "asof":
-        raise ValueError(f"strategy must be 'range' or 'asof', not {strategy!r}")
+        raise ValueError(f"strategy must be 'range', 'asof' or 'auto', not {strategy!r}")
 
     ev_struct = F.struct(*[F.col(c) for c in e.columns])
     dim_struct = F.struct(*[F.col(c) for c in dim_cols])
@@ -75,3 +88,19 @@ def point_in_time_join(facts: DataFrame, dim: DataFrame, spec: ChangeLogSpec = D
     hits = scanned.where(F.col("_kind") == 1).withColumn("_m", F.coalesce(matched, F.lit(False)))
     return hits.select(*_enriched(e, s, lambda c: F.col(f"_e.{c}"),
                                   lambda c: F.when(F.col("_m"), F.col(f"_v.{c}")), F.col("_m")))
+
+
+def unsafe_entities(dim: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC,
+                    chunk_hours: int = DEFAULT_CHUNK_HOURS) -> DataFrame:
+    """Entities whose history the as-of scan may not answer like the range join (column ``_suspect``).
+
+    Ordered by (valid_from, end), a window that starts before the running max end of the earlier ones
+    overlaps or duplicates one of them, or is an inverted window that could hide a containing one.
+    Entities without such a window have disjoint, forward windows, where both plans agree.
+    """
+    s = spec
+    win = dim.select(F.col(s.entity).alias("_suspect"), F.col("valid_from"),
+                     F.coalesce(F.col("valid_to"), ts_literal(FAR_FUTURE)).alias("_end"))
+    run = chunked_running(win, ["_suspect"], ["valid_from", "_end"], F.col("_end"), "_prev_end", "max",
+                          chunk_hours=chunk_hours)
+    return run.where(F.col("_prev_end") > F.col("valid_from")).select("_suspect").distinct()
