@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from histora.functions.exprs import any_differs
-from histora.plans.ordered import DEFAULT_CHUNK_HOURS, chunked_lead, chunked_running
+from histora.plans.ordered import DEFAULT_CHUNK_MINUTES, chunked_lead, chunked_running
 from histora.spec import DEFAULT_SPEC, ChangeLogSpec
 
 
@@ -29,7 +29,7 @@ def deduplicate_changes(staged: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC) -
 
 
 def sequence_changes(changes: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC,
-                     chunk_hours: int = DEFAULT_CHUNK_HOURS) -> DataFrame:
+                     chunk_minutes: int = DEFAULT_CHUNK_MINUTES) -> DataFrame:
     """Order every entity's mutations by (source time, change_id) and flag ambiguous ties.
 
     Adds ``change_seq`` (bigint), the next mutation's time / id / operation, the number of mutations
@@ -42,7 +42,7 @@ def sequence_changes(changes: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC,
     seq = chunked_lead(
         changes, [s.entity], [s.source_ts, s.change_id],
         {"ts": F.col(s.source_ts), "id": F.col(s.change_id), "op": F.col(s.operation)},
-        "_next", row_number="change_seq", chunk_hours=chunk_hours,
+        "_next", row_number="change_seq", chunk_minutes=chunk_minutes,
     )
     peer_aggs = [F.count(F.lit(1)).alias("same_timestamp_change_count")]
     pairs = []
@@ -77,7 +77,7 @@ def duplicate_deliveries(staged: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC)
 
 
 def noop_changes(changes: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC,
-                 chunk_hours: int = DEFAULT_CHUNK_HOURS) -> DataFrame:
+                 chunk_minutes: int = DEFAULT_CHUNK_MINUTES) -> DataFrame:
     """Non-DELETE mutations whose attributes all equal those of the entity's previous mutation.
 
     The previous mutation must not be a DELETE either: the version this change opens then repeats the
@@ -89,7 +89,7 @@ def noop_changes(changes: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC,
                         [s.entity], [s.source_ts, s.change_id],
                         {"id": F.col(s.change_id), "op": F.col(s.operation),
                          **{f"a{i}": F.col(a) for i, a in enumerate(s.attributes)}},
-                        "_prev", descending=True, chunk_hours=chunk_hours)
+                        "_prev", descending=True, chunk_minutes=chunk_minutes)
     same = (F.col(s.operation) != F.lit(s.delete_value)) & (F.col("_prev.op") != F.lit(s.delete_value))
     for i, a in enumerate(s.attributes):
         same = same & (F.col(a) == F.col(f"_prev.a{i}"))
@@ -99,7 +99,7 @@ def noop_changes(changes: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC,
 
 
 def arrival_anomalies(changes: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC,
-                      chunk_hours: int = DEFAULT_CHUNK_HOURS) -> DataFrame:
+                      chunk_minutes: int = DEFAULT_CHUNK_MINUTES) -> DataFrame:
     """Mutations that arrive after a mutation of the same entity with a *later* source time.
 
     Arrival order is (ingest time, change_id); the running max of source time over everything that
@@ -108,7 +108,7 @@ def arrival_anomalies(changes: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC,
     """
     s = spec
     run = chunked_running(changes.select(s.change_id, s.entity, s.source_ts, s.ingest_ts), [s.entity], [s.ingest_ts, s.change_id], F.col(s.source_ts),
-                          "max_prior_source_updated_at", "max", chunk_hours=chunk_hours)
+                          "max_prior_source_updated_at", "max", chunk_minutes=chunk_minutes)
     lag = F.expr(f"timestampdiff(SECOND, `{s.source_ts}`, `{s.ingest_ts}`)")
     return run.where(F.col("max_prior_source_updated_at") > F.col(s.source_ts)).select(
         F.col(s.change_id), F.col(s.entity), F.col(s.source_ts), F.col(s.ingest_ts),

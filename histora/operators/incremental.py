@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from histora.functions.exprs import EPOCH, ts_literal
 from histora.operators.changes import deduplicate_changes
 from histora.operators.scd2 import build_scd2
-from histora.plans.ordered import DEFAULT_CHUNK_HOURS
+from histora.plans.ordered import DEFAULT_CHUNK_MINUTES
 from histora.spec import DEFAULT_EVENTS, DEFAULT_SPEC, ChangeLogSpec, EventSpec
 
 
@@ -42,7 +42,7 @@ def affected_entities(staged: DataFrame, dim: DataFrame, spec: ChangeLogSpec = D
 
 def rebuild_entities(staged: DataFrame, affected: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC,
                      order: str = "source", change_ids_unique_to_entity: bool = True,
-                     chunk_hours: int = DEFAULT_CHUNK_HOURS) -> DataFrame:
+                     chunk_minutes: int = DEFAULT_CHUNK_MINUTES) -> DataFrame:
     """The full history of ``affected`` entities from their whole visible log.
 
     Dedup runs per change_id; restricting the log to the affected entities *before* dedup is only
@@ -56,13 +56,13 @@ def rebuild_entities(staged: DataFrame, affected: DataFrame, spec: ChangeLogSpec
         changes = deduplicate_changes(scoped, s)
     else:
         changes = deduplicate_changes(staged, s).join(affected.select(s.entity), s.entity, "left_semi")
-    return build_scd2(changes, scoped, s, order=order, chunk_hours=chunk_hours)
+    return build_scd2(changes, scoped, s, order=order, chunk_minutes=chunk_minutes)
 
 
 def repair_scd2(dim: DataFrame, staged: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC,
                 affected: DataFrame | None = None, order: str = "source",
                 change_ids_unique_to_entity: bool = True,
-                chunk_hours: int = DEFAULT_CHUNK_HOURS) -> DataFrame:
+                chunk_minutes: int = DEFAULT_CHUNK_MINUTES) -> DataFrame:
     """Replace every version of the affected entities with their rebuilt history.
 
     ``affected`` defaults to the high-water detection of :func:`affected_entities`. The untouched part
@@ -76,7 +76,7 @@ def repair_scd2(dim: DataFrame, staged: DataFrame, spec: ChangeLogSpec = DEFAULT
     kept = dim.join(affected, s.entity, "left_anti")
     rebuilt = rebuild_entities(staged, affected, s, order=order,
                                change_ids_unique_to_entity=change_ids_unique_to_entity,
-                               chunk_hours=chunk_hours)
+                               chunk_minutes=chunk_minutes)
     return kept.unionByName(rebuilt)
 
 

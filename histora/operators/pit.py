@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from histora.functions.exprs import FAR_FUTURE, ts_literal
-from histora.plans.ordered import DEFAULT_CHUNK_HOURS, chunked_running
+from histora.plans.ordered import DEFAULT_CHUNK_MINUTES, chunked_running
 from histora.spec import DEFAULT_EVENTS, DEFAULT_SPEC, ChangeLogSpec, EventSpec
 
 
@@ -44,17 +44,17 @@ def _enriched(e: EventSpec, s: ChangeLogSpec, ev, dim, matched) -> list:
 
 def point_in_time_join(facts: DataFrame, dim: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC,
                        events: EventSpec = DEFAULT_EVENTS, strategy: str = "range",
-                       chunk_hours: int = DEFAULT_CHUNK_HOURS) -> DataFrame:
+                       chunk_minutes: int = DEFAULT_CHUNK_MINUTES) -> DataFrame:
     s, e = spec, events
     dim_cols = [s.version_id, *s.attributes, "valid_from", "valid_to", "row_current", "source_change_id"]
     if strategy == "auto":
-        suspect = unsafe_entities(dim, s, chunk_hours)
+        suspect = unsafe_entities(dim, s, chunk_minutes)
         ev_bad = facts.join(suspect, facts[e.entity] == suspect["_suspect"], "left_semi")
         ev_ok = facts.join(suspect, facts[e.entity] == suspect["_suspect"], "left_anti")
         dim_bad = dim.join(suspect, dim[s.entity] == suspect["_suspect"], "left_semi")
         dim_ok = dim.join(suspect, dim[s.entity] == suspect["_suspect"], "left_anti")
-        return (point_in_time_join(ev_ok, dim_ok, s, e, "asof", chunk_hours)
-                .unionByName(point_in_time_join(ev_bad, dim_bad, s, e, "range", chunk_hours)))
+        return (point_in_time_join(ev_ok, dim_ok, s, e, "asof", chunk_minutes)
+                .unionByName(point_in_time_join(ev_bad, dim_bad, s, e, "range", chunk_minutes)))
     if strategy == "range":
         f = facts.alias("f")
         d = dim.select(s.entity, *dim_cols).alias("d")
@@ -80,7 +80,7 @@ def point_in_time_join(facts: DataFrame, dim: DataFrame, spec: ChangeLogSpec = D
                           F.lit(None).cast(ev_type).alias("_e"), dim_struct.alias("_d"))
     both = ev_rows.unionByName(dim_rows)
     scanned = chunked_running(both, ["_entity"], ["_t", "_kind", "_tie"], F.col("_d"), "_v", "last",
-                              include_current=True, chunk_hours=chunk_hours)
+                              include_current=True, chunk_minutes=chunk_minutes)
     ts = F.col(f"_e.{e.event_ts}")
     matched = (F.col("_v").isNotNull() & F.col(f"_e.{e.entity}").isNotNull()
                & (ts >= F.col("_v.valid_from"))
@@ -91,7 +91,7 @@ def point_in_time_join(facts: DataFrame, dim: DataFrame, spec: ChangeLogSpec = D
 
 
 def unsafe_entities(dim: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC,
-                    chunk_hours: int = DEFAULT_CHUNK_HOURS) -> DataFrame:
+                    chunk_minutes: int = DEFAULT_CHUNK_MINUTES) -> DataFrame:
     """Entities whose history the as-of scan may not answer like the range join (column ``_suspect``).
 
     Ordered by (valid_from, end), a window that starts before the running max end of the earlier ones
@@ -102,5 +102,5 @@ def unsafe_entities(dim: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC,
     win = dim.select(F.col(s.entity).alias("_suspect"), F.col("valid_from"),
                      F.coalesce(F.col("valid_to"), ts_literal(FAR_FUTURE)).alias("_end"))
     run = chunked_running(win, ["_suspect"], ["valid_from", "_end"], F.col("_end"), "_prev_end", "max",
-                          chunk_hours=chunk_hours)
+                          chunk_minutes=chunk_minutes)
     return run.where(F.col("_prev_end") > F.col("valid_from")).select("_suspect").distinct()

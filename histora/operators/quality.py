@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from histora.functions.exprs import FAR_FUTURE, ts_literal
-from histora.plans.ordered import DEFAULT_CHUNK_HOURS, chunk_of, chunked_running
+from histora.plans.ordered import DEFAULT_CHUNK_MINUTES, chunk_of, chunked_running
 
 
 def _repeat(df: DataFrame, times: Column) -> DataFrame:
@@ -21,7 +21,8 @@ def _repeat(df: DataFrame, times: Column) -> DataFrame:
 
 
 def overlap_violations(df: DataFrame, entity_key: str = "customer_id", valid_from: str = "valid_from",
-                       valid_to: str = "valid_to", chunk_hours: int = DEFAULT_CHUNK_HOURS) -> DataFrame:
+                       valid_to: str = "valid_to", chunk_minutes: int | None = DEFAULT_CHUNK_MINUTES,
+                       anchor_minutes: int = 1440) -> DataFrame:
     """Q1: inverted/zero-width closed windows, and windows overlapping another of the same entity.
 
     Output ``entity_id, valid_from, valid_to, failure_kind``, with the reference's pair semantics: an
@@ -37,7 +38,8 @@ def overlap_violations(df: DataFrame, entity_key: str = "customer_id", valid_fro
     points, computed with the hot-entity-splitting scan. Inverted windows never overlap each other;
     they overlap exactly the regular windows that strictly contain them, and those pairs are found by
     anchoring each inverted window at its ``valid_to`` chunk and spreading regular windows only over the
-    chunks between the entity's first and last inverted anchor, so the pair work follows the output.
+    chunks (``anchor_minutes`` wide) between the entity's first and last inverted anchor, so the pair
+    work follows the output.
     """
     far = ts_literal(FAR_FUTURE)
     base = df.select(F.col(entity_key).alias("entity_id"), F.col(valid_from).alias("valid_from"),
@@ -65,7 +67,7 @@ def overlap_violations(df: DataFrame, entity_key: str = "customer_id", valid_fro
                                          F.lit(0).cast("long").alias("_w"),
                                          *[F.col(c).alias(f"_q{c}") for c in ("valid_from", "_end", "_open")])))
         run = chunked_running(u, ["entity_id"], ["_k", "_o"], F.col("_w"), "_n", "sum", include_current=True,
-                              chunk_hours=chunk_hours)
+                              chunk_minutes=chunk_minutes)
         return run.where(F.col("_o") == q_ord).select(
             "entity_id", *[F.col(f"_q{c}").alias(c) for c in ("valid_from", "_end", "_open")], "_n")
 
@@ -78,11 +80,11 @@ def overlap_violations(df: DataFrame, entity_key: str = "customer_id", valid_fro
 
     # regular x inverted: an inverted window [t, f] lies strictly inside the regular window a
     anchors = inv.select("entity_id", F.col("valid_from").alias("b_from"), F.col("valid_to").alias("b_to"),
-                         F.col("m").alias("b_m"), chunk_of(F.col("valid_to"), ts_type, chunk_hours).alias("_c"))
+                         F.col("m").alias("b_m"), chunk_of(F.col("valid_to"), ts_type, anchor_minutes).alias("_c"))
     span = anchors.groupBy("entity_id").agg(F.min("_c").alias("_lo"), F.max("_c").alias("_hi"))
     covers = (reg.join(span, "entity_id")
-              .withColumn("_clo", F.greatest(chunk_of(F.col("valid_from"), ts_type, chunk_hours), F.col("_lo")))
-              .withColumn("_chi", F.least(chunk_of(F.col("_end"), ts_type, chunk_hours), F.col("_hi")))
+              .withColumn("_clo", F.greatest(chunk_of(F.col("valid_from"), ts_type, anchor_minutes), F.col("_lo")))
+              .withColumn("_chi", F.least(chunk_of(F.col("_end"), ts_type, anchor_minutes), F.col("_hi")))
               .where(F.col("_clo") <= F.col("_chi"))
               .withColumn("_c", F.explode(F.sequence(F.col("_clo"), F.col("_chi"))))
               .select("entity_id", "valid_from", "valid_to", "_end", "m", "_c"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from histora.functions.exprs import version_key
-from histora.plans.ordered import DEFAULT_CHUNK_HOURS, chunked_lead
+from histora.plans.ordered import DEFAULT_CHUNK_MINUTES, chunked_lead
 from histora.spec import DEFAULT_SPEC, ChangeLogSpec
 
 
@@ -17,7 +17,7 @@ def entity_watermarks(staged: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC) ->
 
 
 def build_scd2(changes: DataFrame, staged: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC,
-               order: str = "source", chunk_hours: int = DEFAULT_CHUNK_HOURS) -> DataFrame:
+               order: str = "source", chunk_minutes: int = DEFAULT_CHUNK_MINUTES) -> DataFrame:
     """Versions ``[valid_from, valid_to)`` per entity from deduplicated ``changes``.
 
     Every non-DELETE mutation opens a version at its source time that the entity's next mutation
@@ -35,7 +35,7 @@ def build_scd2(changes: DataFrame, staged: DataFrame, spec: ChangeLogSpec = DEFA
     if order == "ingest":
         needed.append(s.ingest_ts)
     seq = chunked_lead(changes.select(*needed), [s.entity], order_cols, {"ts": F.col(s.source_ts)}, "_next",
-                       chunk_hours=chunk_hours)
+                       chunk_minutes=chunk_minutes, hot_source=staged.select(s.entity))
     versions = seq.where(F.col(s.operation) != F.lit(s.delete_value)).select(
         version_key(s.entity, s.change_id).alias(s.version_id),
         F.col(s.entity),

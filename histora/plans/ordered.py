@@ -6,8 +6,11 @@ value. ``Window.partitionBy(entity)`` would put all rows of one entity into one
 hold a third of all rows. These helpers run the same scans as two levels instead:
 
 1. rows are hash-partitioned once on ``(entity, chunk)``, where ``chunk`` is a monotone coarsening of the
-   first order column (a time bucket), so a hot entity is spread over as many tasks as it has chunks,
-   and the window runs per ``(entity, chunk)``;
+   first order column, and the window runs per ``(entity, chunk)``. Only *hot* entities are chunked by
+   time: a partial count per entity finds the at most ``spark.histora.maxHotEntities`` heaviest entities
+   above ``spark.histora.hotEntityRows`` rows (a top-k with a proven size bound, so it is broadcast);
+   their rows get ``spark.histora.hotChunkMinutes``-wide time chunks and spread over as many tasks as they
+   have chunks. Every other entity is one chunk, i.e. it costs what a plain window costs;
 2. one summary row per ``(entity, chunk)`` (row count, first row, chunk aggregate) is scanned per entity;
    that table has one row per chunk, not per change;
 3. the summary is joined back on ``(entity, chunk)`` and combined with the local result.
@@ -28,30 +31,39 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CHUNK = "_chunk"
-DEFAULT_CHUNK_HOURS = 24
+DEFAULT_CHUNK_MINUTES = None   # None: read spark.histora.hotChunkMinutes
 _NULL_CHUNK = 2**62  # NULL order values sort after every real chunk (ascending, NULLS LAST)
 
+# Session settings (defaults in brackets).
+HOT_ROWS_CONF = "spark.histora.hotEntityRows"        # [1000000] an entity above this is split; 0 = all
+MAX_HOT_CONF = "spark.histora.maxHotEntities"        # [10000] at most this many split (broadcast bound)
+CHUNK_MINUTES_CONF = "spark.histora.hotChunkMinutes"  # [60] time chunk of a hot entity
 
-def time_chunk(df: DataFrame, col: str, hours: int = DEFAULT_CHUNK_HOURS) -> Column:
-    """Monotone, non-null bucket of ``col``: ``hours``-wide steps of time (or of value for numbers).
+
+def _conf(df: DataFrame, key: str, default: int) -> int:
+    return int(df.sparkSession.conf.get(key, str(default)))
+
+
+def time_chunk(df: DataFrame, col: str, minutes: int = 60) -> Column:
+    """Monotone, non-null bucket of ``col``: ``minutes``-wide steps of time (or of value for numbers).
 
     Computed from calendar fields of a zone-less timestamp, so it never depends on the session zone
     (an offset that changes with daylight saving would break monotonicity).
     """
-    return chunk_of(F.col(col), df.schema[col].dataType, hours)
+    return chunk_of(F.col(col), df.schema[col].dataType, minutes)
 
 
-def chunk_of(c: Column, dtype: T.DataType, hours: int = DEFAULT_CHUNK_HOURS) -> Column:
+def chunk_of(c: Column, dtype: T.DataType, minutes: int = 60) -> Column:
     """:func:`time_chunk` of an expression of type ``dtype``."""
     if isinstance(dtype, (T.TimestampNTZType, T.TimestampType, T.DateType)):
         if isinstance(dtype, T.TimestampType):
             c = c.cast("timestamp_ntz")
-        hrs = F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date")).cast("long") * 24
+        mins = F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date")).cast("long") * 1440
         if not isinstance(dtype, T.DateType):
-            hrs = hrs + F.hour(c)
-        bucket = F.floor(hrs / F.lit(hours))
+            mins = mins + F.hour(c) * 60 + F.minute(c)
+        bucket = F.floor(mins / F.lit(minutes))
     else:
-        bucket = F.floor(c / F.lit(hours))
+        bucket = F.floor(c / F.lit(minutes))
     return F.coalesce(bucket.cast("long"), F.lit(_NULL_CHUNK).cast("long"))
 
 
@@ -89,10 +101,32 @@ def _sort_key(cols: Sequence[str]) -> Column:
     return F.struct(*parts)
 
 
-def _prepare(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_hours: int):
-    df = df.withColumn(CHUNK, time_chunk(df, order[0], chunk_hours))
+def _prepare(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_minutes: int | None,
+             hot_source: DataFrame | None = None):
+    """Repartition on (keys, chunk); returns the frame, the partition columns and the hot-row flag.
+
+    ``hot_source`` (same key columns) may stand in for ``df`` when counting rows per entity, e.g. the
+    staged log, which is a cheap column-pruned scan while ``df`` may sit behind a shuffle.
+    """
     df, pkeys = _partition_keys(df, keys)
-    return df.repartition(*pkeys, CHUNK), [*pkeys, CHUNK]
+    minutes = chunk_minutes or _conf(df, CHUNK_MINUTES_CONF, 60)
+    fine = time_chunk(df, order[0], minutes)
+    hot_rows = _conf(df, HOT_ROWS_CONF, 1_000_000)
+    if hot_rows <= 0:
+        df = df.withColumn(CHUNK, fine)
+        return df.repartition(*pkeys, CHUNK), [*pkeys, CHUNK], F.lit(True)
+    # Heavy hitters: a partial count per entity, then the top ``max_hot`` above the threshold. The result
+    # has at most ``max_hot`` rows, so broadcasting it is bounded and the big side is not shuffled for the
+    # lookup. Everything else is one chunk per entity.
+    max_hot = _conf(df, MAX_HOT_CONF, 10_000)
+    src = df if hot_source is None else _partition_keys(
+        hot_source.select(*[hot_source[k].cast(df.schema[k].dataType).alias(k) for k in keys]), keys)[0]
+    heavy = (src.groupBy(*pkeys).agg(F.count(F.lit(1)).alias("_n"))
+             .where(F.col("_n") > hot_rows).orderBy(F.col("_n").desc()).limit(max_hot)
+             .select(*pkeys, F.lit(True).alias("_hot")))
+    df = df.join(F.broadcast(heavy), list(pkeys), "left").withColumn("_hot", F.coalesce(F.col("_hot"), F.lit(False)))
+    df = df.withColumn(CHUNK, F.when(F.col("_hot"), fine).otherwise(F.lit(0).cast("long")))
+    return df.repartition(*pkeys, CHUNK), [*pkeys, CHUNK], F.col("_hot")
 
 
 def _row_struct(df: DataFrame) -> Column:
@@ -106,23 +140,25 @@ def _join_back(df: DataFrame, summ: DataFrame, part: Sequence[str]) -> DataFrame
 
 def chunked_lead(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: dict[str, Column],
                  out: str, *, descending: bool = False, row_number: str | None = None,
-                 chunk_hours: int = DEFAULT_CHUNK_HOURS) -> DataFrame:
+                 chunk_minutes: int | None = DEFAULT_CHUNK_MINUTES,
+                 hot_source: DataFrame | None = None) -> DataFrame:
     """Add ``out`` = struct of ``values`` taken from the next row in ``order`` within ``keys``.
 
     ``descending=True`` gives the previous row (``lag``). ``row_number`` optionally adds the 1-based
     rank in that order (bigint).
     """
     df = df.withColumn("_v", F.struct(*[v.alias(n) for n, v in values.items()]))
-    x, part = _prepare(df, keys, order, chunk_hours)
+    x, part, hot = _prepare(df, keys, order, chunk_minutes, hot_source)
     w = Window.partitionBy(*part).orderBy(*_order(order, descending))
     local = x.withColumn("_lead_local", F.lead("_v").over(w))
     if row_number:
         local = local.withColumn("_rn_local", F.row_number().over(w).cast("long"))
 
+    # Only split (hot) entities have more than one chunk; the others feed NULLs, which cost nothing.
     pick = F.max if descending else F.min
     summ = x.groupBy(*part).agg(
-        pick(F.struct(_sort_key(order).alias("k"), _row_struct(x).alias("r"))).alias("_first"),
-        F.count(F.lit(1)).alias("_cnt"),
+        pick(F.when(hot, F.struct(_sort_key(order).alias("k"), _row_struct(x).alias("r")))).alias("_first"),
+        F.count(F.when(hot, F.lit(1))).alias("_cnt"),
     )
     wc = Window.partitionBy(*part[:-1]).orderBy(F.col(CHUNK).desc() if descending else F.col(CHUNK).asc())
     cols = [*part, F.lead(F.col("_first.r._v")).over(wc).alias("_lead_next")]
@@ -132,15 +168,18 @@ def chunked_lead(df: DataFrame, keys: Sequence[str], order: Sequence[str], value
     summ = summ.select(*cols)
 
     joined = _join_back(local, summ, part)
-    joined = joined.withColumn(out, F.coalesce(F.col("_lead_local"), F.col("_lead_next")))
+    # Only split entities need the neighbouring chunk (``hot`` keeps both branches' columns equal).
+    joined = joined.withColumn(out, F.coalesce(F.col("_lead_local"), F.when(hot, F.col("_lead_next"))))
     if row_number:
-        joined = joined.withColumn(row_number, F.col("_rn_offset") + F.col("_rn_local"))
-    return joined.drop("_v", "_lead_local", "_lead_next", "_rn_local", "_rn_offset")
+        joined = joined.withColumn(row_number, F.when(hot, F.col("_rn_offset")).otherwise(F.lit(0))
+                                   + F.col("_rn_local"))
+    return joined.drop("_v", "_lead_local", "_lead_next", "_rn_local", "_rn_offset", "_hot")
 
 
 def chunked_running(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, out: str,
                     how: str, *, descending: bool = False, include_current: bool = False,
-                    chunk_hours: int = DEFAULT_CHUNK_HOURS) -> DataFrame:
+                    chunk_minutes: int | None = DEFAULT_CHUNK_MINUTES,
+                    hot_source: DataFrame | None = None) -> DataFrame:
     """Add ``out`` = running ``how`` (``max``, ``min``, ``sum`` or ``last`` non-null) of ``value``.
 
     The frame is every earlier row in ``order`` (plus the row itself when ``include_current``);
@@ -149,25 +188,26 @@ def chunked_running(df: DataFrame, keys: Sequence[str], order: Sequence[str], va
     if how not in ("max", "min", "sum", "last"):
         raise ValueError(how)
     df = df.withColumn("_val", value)
-    x, part = _prepare(df, keys, order, chunk_hours)
+    x, part, hot = _prepare(df, keys, order, chunk_minutes, hot_source)
     w = Window.partitionBy(*part).orderBy(*_order(order, descending)).rowsBetween(
         Window.unboundedPreceding, 0 if include_current else -1)
+    hv = F.when(hot, F.col("_val"))   # chunk totals matter only where an entity has several chunks
     if how == "max":
-        local, total = F.max("_val").over(w), F.max("_val")
+        local, total = F.max("_val").over(w), F.max(hv)
     elif how == "min":
-        local, total = F.min("_val").over(w), F.min("_val")
+        local, total = F.min("_val").over(w), F.min(hv)
     elif how == "sum":
-        local, total = F.sum("_val").over(w), F.sum("_val")
+        local, total = F.sum("_val").over(w), F.sum(hv)
     else:
         local = F.last("_val", ignorenulls=True).over(w)
         pick = F.min if descending else F.max
-        total = pick(F.when(F.col("_val").isNotNull(),
+        total = pick(F.when(hot & F.col("_val").isNotNull(),
                             F.struct(_sort_key(order).alias("k"), F.col("_val").alias("v")))).getField("v")
     local_df = x.withColumn("_run_local", local)
 
     # ``_pin`` (any whole row of the chunk) is referenced below, so the optimizer keeps every column in
     # this branch and the repartition exchange is shared with the window branch.
-    summ = x.groupBy(*part).agg(total.alias("_tot"), F.first(_row_struct(x)).alias("_pin"))
+    summ = x.groupBy(*part).agg(total.alias("_tot"), F.first(F.when(hot, _row_struct(x))).alias("_pin"))
     wc = Window.partitionBy(*part[:-1]).orderBy(
         F.col(CHUNK).desc() if descending else F.col(CHUNK).asc()
     ).rowsBetween(Window.unboundedPreceding, -1)
@@ -177,10 +217,11 @@ def chunked_running(df: DataFrame, keys: Sequence[str], order: Sequence[str], va
 
     joined = _join_back(local_df, summ, part)
     combine = {"max": F.greatest, "min": F.least}.get(how)
+    carry_in = F.when(hot, F.col("_run_carry"))   # only split entities carry across chunks
     if how == "sum":
-        result = F.coalesce(F.col("_run_local"), F.lit(0)) + F.coalesce(F.col("_run_carry"), F.lit(0))
+        result = F.coalesce(F.col("_run_local"), F.lit(0)) + F.coalesce(carry_in, F.lit(0))
     elif combine is not None:
-        result = combine(F.col("_run_local"), F.col("_run_carry"))
+        result = combine(F.col("_run_local"), carry_in)
     else:
-        result = F.coalesce(F.col("_run_local"), F.col("_run_carry"))
-    return joined.withColumn(out, result).drop("_val", "_run_local", "_run_carry")
+        result = F.coalesce(F.col("_run_local"), carry_in)
+    return joined.withColumn(out, result).drop("_val", "_run_local", "_run_carry", "_hot")

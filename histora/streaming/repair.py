@@ -30,7 +30,7 @@ from pyspark.sql.streaming import StreamingQuery
 from histora.functions.exprs import entity_bucket
 from histora.operators.incremental import rebuild_entities
 from histora.operators.staging import stage_changes
-from histora.plans.ordered import DEFAULT_CHUNK_HOURS
+from histora.plans.ordered import DEFAULT_CHUNK_MINUTES
 from histora.sources.table import BucketedTable
 from histora.spec import CDC_SCHEMA, DEFAULT_SPEC, ChangeLogSpec
 
@@ -49,7 +49,7 @@ class RepairStreamTables:
 
 
 def _process_batch(spark: SparkSession, tables: RepairStreamTables, spec: ChangeLogSpec,
-                   chunk_hours: int, batch: DataFrame, batch_id: int) -> None:
+                   chunk_minutes: int, batch: DataFrame, batch_id: int) -> None:
     s = spec
     staged = stage_changes(batch, s).withColumn("bucket", entity_bucket(s.entity, tables.n_buckets))
     (staged.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket")
@@ -61,7 +61,7 @@ def _process_batch(spark: SparkSession, tables: RepairStreamTables, spec: Change
         return
     log = tables.read_log(spark, touched)
     scoped = log.join(affected, s.entity, "left_semi")
-    rebuilt = rebuild_entities(scoped, affected, s, chunk_hours=chunk_hours)
+    rebuilt = rebuild_entities(scoped, affected, s, chunk_minutes=chunk_minutes)
     tables.dim.replace_keys(affected, rebuilt)
 
 
@@ -69,7 +69,7 @@ def start_repair_stream(spark: SparkSession, landing_path: str, tables: RepairSt
                         checkpoint_path: str, spec: ChangeLogSpec = DEFAULT_SPEC,
                         schema: T.StructType = CDC_SCHEMA, fmt: str = "parquet",
                         available_now: bool = True, max_files_per_trigger: int | None = None,
-                        chunk_hours: int = DEFAULT_CHUNK_HOURS) -> StreamingQuery:
+                        chunk_minutes: int = DEFAULT_CHUNK_MINUTES) -> StreamingQuery:
     """Start the repair stream over ``landing_path``; ``checkpoint_path`` must be on shared storage."""
     reader = spark.readStream.schema(schema).format(fmt)
     if fmt == "csv":
@@ -79,7 +79,7 @@ def start_repair_stream(spark: SparkSession, landing_path: str, tables: RepairSt
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.load(landing_path)
     writer = (stream.writeStream
-              .foreachBatch(lambda df, bid: _process_batch(spark, tables, spec, chunk_hours, df, bid))
+              .foreachBatch(lambda df, bid: _process_batch(spark, tables, spec, chunk_minutes, df, bid))
               .option("checkpointLocation", checkpoint_path))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
     return writer.start()

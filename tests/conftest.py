@@ -29,3 +29,12 @@ def scripted_log(spark, tmp_path_factory):
     p = tmp_path_factory.mktemp("log") / "customer_cdc_log.csv"
     p.write_text(SCRIPTED_LOG_CSV)
     return read_change_log(spark, str(p)).cache()
+
+
+@pytest.fixture
+def split_all(spark):
+    """Run a test with every entity split into time chunks (exercises the hot-entity path)."""
+    from histora.plans.ordered import HOT_ROWS_CONF
+    spark.conf.set(HOT_ROWS_CONF, "0")
+    yield
+    spark.conf.unset(HOT_ROWS_CONF)

@@ -24,3 +24,22 @@ def test_query_matches_oracle(results, name):
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() == 500 and "matched_historical_state" in df.columns
+
+
+SPLIT_KEYS = ["sequence_changes", "scd2_full", "scd2_ingest_order", "pit_asof", "pit_auto", "pit_ingest_order_auto",
+              "overlap_violations", "noop_changes", "arrival_anomalies"]
+
+
+@pytest.fixture(scope="module")
+def split_results(spark):
+    from histora.plans.ordered import HOT_ROWS_CONF
+    spark.conf.set(HOT_ROWS_CONF, "0")
+    try:
+        return compare(spark, SF, SPLIT_KEYS)
+    finally:
+        spark.conf.unset(HOT_ROWS_CONF)
+
+
+@pytest.mark.parametrize("name", SPLIT_KEYS)
+def test_query_matches_oracle_with_every_entity_split(split_results, name):
+    assert split_results[name]["match"], split_results[name]

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from histora.plans.ordered import chunked_lead, chunked_running
+from histora.plans.ordered import HOT_ROWS_CONF, chunked_lead, chunked_running
 
 
 def _data(spark, seed):
@@ -24,22 +24,36 @@ def _data(spark, seed):
     return spark.createDataFrame(rows, "k int, t timestamp_ntz, id string, v int")
 
 
-@pytest.mark.parametrize("seed,hours", [(1, 1), (2, 24), (3, 7)])
-def test_lead_lag_rownumber(spark, seed, hours):
+@pytest.fixture
+def all_hot(spark):
+    """Every entity is split by time, whatever its size."""
+    spark.conf.set(HOT_ROWS_CONF, "0")
+    yield
+    spark.conf.unset(HOT_ROWS_CONF)
+
+
+@pytest.mark.parametrize("seed,minutes,hot", [(1, 60, True), (2, 1440, True), (3, 420, True), (4, 60, False)])
+def test_lead_lag_rownumber(spark, seed, minutes, hot):
+    if hot:
+        spark.conf.set(HOT_ROWS_CONF, "0")
+    else:
+        spark.conf.set(HOT_ROWS_CONF, "100")   # only the big entity 0 is split
+
     df = _data(spark, seed)
     w = Window.partitionBy("k").orderBy(F.col("t").asc_nulls_last(), F.col("id").asc_nulls_last())
     want = df.select("id", F.lead("id").over(w).alias("nxt"), F.lag("id").over(w).alias("prv"),
                      F.row_number().over(w).alias("rn"))
-    a = chunked_lead(df, ["k"], ["t", "id"], {"id": F.col("id")}, "n", row_number="rn", chunk_hours=hours)
-    b = chunked_lead(df, ["k"], ["t", "id"], {"id": F.col("id")}, "p", descending=True, chunk_hours=hours)
+    a = chunked_lead(df, ["k"], ["t", "id"], {"id": F.col("id")}, "n", row_number="rn", chunk_minutes=minutes)
+    b = chunked_lead(df, ["k"], ["t", "id"], {"id": F.col("id")}, "p", descending=True, chunk_minutes=minutes)
     got = a.select("id", F.col("n.id").alias("nxt"), "rn").join(b.select("id", F.col("p.id").alias("prv")), "id")
     assert sorted(map(tuple, got.select("id", "nxt", "prv", "rn").collect())) == \
         sorted(map(tuple, want.select("id", "nxt", "prv", "rn").collect()))
+    spark.conf.unset(HOT_ROWS_CONF)
 
 
 @pytest.mark.parametrize("how", ["max", "min", "last"])
 @pytest.mark.parametrize("descending,include", [(False, False), (True, False), (False, True)])
-def test_running(spark, how, descending, include):
+def test_running(spark, all_hot, how, descending, include):
     df = _data(spark, 11)
     order = [F.col("t").desc_nulls_first(), F.col("id").desc_nulls_first()] if descending else \
         [F.col("t").asc_nulls_last(), F.col("id").asc_nulls_last()]
@@ -47,5 +61,5 @@ def test_running(spark, how, descending, include):
     fn = {"max": F.max("v"), "min": F.min("v"), "last": F.last("v", ignorenulls=True)}[how]
     want = sorted(map(tuple, df.select("id", fn.over(w).alias("r")).collect()))
     got = chunked_running(df, ["k"], ["t", "id"], F.col("v"), "r", how, descending=descending,
-                          include_current=include, chunk_hours=5)
+                          include_current=include, chunk_minutes=300)
     assert sorted(map(tuple, got.select("id", "r").collect())) == want

@@ -89,3 +89,10 @@ def test_ingest_order_defect_is_caught(scripted_log):
     assert sorted(set(kinds["inverted_or_zero_width"])) == [12, 13, 14, 18, 20, 42]
     assert sorted(kinds["overlap"]) == [12, 12, 13, 13, 14, 14, 20, 20, 42, 42]
     assert overlap_violations(_dim(scripted_log)).count() == 0
+
+
+def test_full_history_with_every_entity_split(scripted_log, split_all):
+    dim = _dim(scripted_log)
+    got = sorted((r.customer_id, r.source_change_id, r.valid_from, r.valid_to, r.row_current) for r in dim.collect())
+    assert got == expected_history()
+    assert intervals(dim, 42) == EXPECTED_42
