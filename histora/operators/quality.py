@@ -54,28 +54,30 @@ def overlap_violations(df: DataFrame, entity_key: str = "customer_id", valid_fro
     ts_type = wins.schema["valid_from"].dataType
     reg = wins.where(F.col("valid_from") < F.col("_end"))
     inv = wins.where(F.col("valid_from") >= F.col("_end"))
-    ident = ["entity_id", "valid_from", "_end", "_open"]
-
-    def rank_count(points: DataFrame, point_key: str, queries: DataFrame, query_key: str,
-                   points_first: bool) -> DataFrame:
-        """For each query row: sum of ``m`` over points with key < query key (<= if points_first)."""
-        p_ord, q_ord = (0, 1) if points_first else (1, 0)
-        u = (points.select("entity_id", F.col(point_key).alias("_k"), F.lit(p_ord).alias("_o"),
-                           F.col("m").alias("_w"), *[F.lit(None).cast(t).alias(f"_q{c}") for c, t in
-                                                      (("valid_from", ts_type), ("_end", ts_type), ("_open", "boolean"))])
-             .unionByName(queries.select("entity_id", F.col(query_key).alias("_k"), F.lit(q_ord).alias("_o"),
-                                         F.lit(0).cast("long").alias("_w"),
-                                         *[F.col(c).alias(f"_q{c}") for c in ("valid_from", "_end", "_open")])))
-        run = chunked_running(u, ["entity_id"], ["_k", "_o"], F.col("_w"), "_n", "sum", include_current=True,
-                              chunk_minutes=chunk_minutes)
-        return run.where(F.col("_o") == q_ord).select(
-            "entity_id", *[F.col(f"_q{c}").alias(c) for c in ("valid_from", "_end", "_open")], "_n")
-
-    starts_before_end = rank_count(reg, "valid_from", reg, "_end", points_first=False) \
-        .withColumnRenamed("_n", "_starts")
-    ends_by_start = rank_count(reg, "_end", reg, "valid_from", points_first=True).withColumnRenamed("_n", "_ends")
-    k = (reg.join(starts_before_end, ident).join(ends_by_start, ident)
-         .withColumn("_k", F.col("_starts") - F.col("_ends") - F.col("m")))
+
+    # One time-ordered union per entity: ends (0) < from-queries (1) < end-queries (2) < starts (3) at equal
+    # times. At an end-query X = a.end the running sum of start weights counts starts strictly before X; at
+    # a from-query Y = a.from the running sum of end weights counts ends at or before Y.
+    nulls = [F.lit(None).cast(t).alias(f"_q{c}") for c, t in
+             (("valid_from", ts_type), ("_end", ts_type), ("_open", "boolean"), ("m", "long"))]
+    qcols = [F.col(c).alias(f"_q{c}") for c in ("valid_from", "_end", "_open", "m")]
+    zero = F.lit(0).cast("long")
+    u = (reg.select("entity_id", F.col("_end").alias("_k"), F.lit(0).alias("_o"), zero.alias("_ws"),
+                    F.col("m").alias("_we"), *nulls)
+         .unionByName(reg.select("entity_id", F.col("valid_from").alias("_k"), F.lit(1).alias("_o"),
+                                 zero.alias("_ws"), zero.alias("_we"), *qcols))
+         .unionByName(reg.select("entity_id", F.col("_end").alias("_k"), F.lit(2).alias("_o"),
+                                 zero.alias("_ws"), zero.alias("_we"), *qcols))
+         .unionByName(reg.select("entity_id", F.col("valid_from").alias("_k"), F.lit(3).alias("_o"),
+                                 F.col("m").alias("_ws"), zero.alias("_we"), *nulls)))
+    run = chunked_running(u, ["entity_id"], ["_k", "_o"], {"_starts": F.col("_ws"), "_ends": F.col("_we")},
+                          None, "sum", include_current=True, chunk_minutes=chunk_minutes)
+    k = (run.where(F.col("_o").isin(1, 2))
+         .groupBy(F.col("entity_id"), *[F.col(f"_q{c}").alias(c) for c in ("valid_from", "_end", "_open", "m")])
+         .agg(F.max(F.when(F.col("_o") == 2, F.col("_starts"))).alias("_starts"),
+              F.max(F.when(F.col("_o") == 1, F.col("_ends"))).alias("_ends"))
+         .withColumn("_k", F.col("_starts") - F.col("_ends") - F.col("m"))
+         .withColumn("valid_to", F.when(~F.col("_open"), F.col("_end"))))
     regular_rows = _repeat(k.where(F.col("_k") > 0), F.col("m") * F.col("_k"))
 
     # regular x inverted: an inverted window [t, f] lies strictly inside the regular window a

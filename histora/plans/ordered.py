@@ -121,8 +121,12 @@ def _prepare(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_min
     max_hot = _conf(df, MAX_HOT_CONF, 10_000)
     src = df if hot_source is None else _partition_keys(
         hot_source.select(*[hot_source[k].cast(df.schema[k].dataType).alias(k) for k in keys]), keys)[0]
-    heavy = (src.groupBy(*pkeys).agg(F.count(F.lit(1)).alias("_n"))
-             .where(F.col("_n") > hot_rows).orderBy(F.col("_n").desc()).limit(max_hot)
+    # ``_h`` hashes every column, so the count reads the same plan as the scan below and Spark reuses the
+    # upstream exchanges instead of recomputing them for the count.
+    heavy = (src.groupBy(*pkeys).agg(F.count(F.lit(1)).alias("_n"),
+                                     F.max(F.xxhash64(*[F.col(c) for c in src.columns])).alias("_h"))
+             .where((F.col("_n") > hot_rows) & F.col("_h").isNotNull())
+             .orderBy(F.col("_n").desc()).limit(max_hot)
              .select(*pkeys, F.lit(True).alias("_hot")))
     df = df.join(F.broadcast(heavy), list(pkeys), "left").withColumn("_hot", F.coalesce(F.col("_hot"), F.lit(False)))
     df = df.withColumn(CHUNK, F.when(F.col("_hot"), fine).otherwise(F.lit(0).cast("long")))
@@ -176,52 +180,68 @@ def chunked_lead(df: DataFrame, keys: Sequence[str], order: Sequence[str], value
     return joined.drop("_v", "_lead_local", "_lead_next", "_rn_local", "_rn_offset", "_hot")
 
 
-def chunked_running(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, out: str,
-                    how: str, *, descending: bool = False, include_current: bool = False,
+def chunked_running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+                    value: Column | dict[str, Column], out: str | None, how: str, *,
+                    descending: bool = False, include_current: bool = False,
                     chunk_minutes: int | None = DEFAULT_CHUNK_MINUTES,
                     hot_source: DataFrame | None = None) -> DataFrame:
     """Add ``out`` = running ``how`` (``max``, ``min``, ``sum`` or ``last`` non-null) of ``value``.
 
-    The frame is every earlier row in ``order`` (plus the row itself when ``include_current``);
-    ``descending=True`` runs the scan from the end, i.e. over the following rows.
+    ``value`` may be a dict ``{out_name: column}`` to compute several running values in one pass (then
+    ``out`` is ignored). The frame is every earlier row in ``order`` (plus the row itself when
+    ``include_current``); ``descending=True`` runs the scan from the end, i.e. over the following rows.
     """
     if how not in ("max", "min", "sum", "last"):
         raise ValueError(how)
-    df = df.withColumn("_val", value)
+    values = value if isinstance(value, dict) else {out: value}
+    names = list(values)
+    for i, n in enumerate(names):
+        df = df.withColumn(f"_val{i}", values[n])
     x, part, hot = _prepare(df, keys, order, chunk_minutes, hot_source)
     w = Window.partitionBy(*part).orderBy(*_order(order, descending)).rowsBetween(
         Window.unboundedPreceding, 0 if include_current else -1)
-    hv = F.when(hot, F.col("_val"))   # chunk totals matter only where an entity has several chunks
-    if how == "max":
-        local, total = F.max("_val").over(w), F.max(hv)
-    elif how == "min":
-        local, total = F.min("_val").over(w), F.min(hv)
-    elif how == "sum":
-        local, total = F.sum("_val").over(w), F.sum(hv)
-    else:
-        local = F.last("_val", ignorenulls=True).over(w)
-        pick = F.min if descending else F.max
-        total = pick(F.when(hot & F.col("_val").isNotNull(),
-                            F.struct(_sort_key(order).alias("k"), F.col("_val").alias("v")))).getField("v")
-    local_df = x.withColumn("_run_local", local)
+    local_df, totals = x, []
+    for i in range(len(names)):
+        v = F.col(f"_val{i}")
+        hv = F.when(hot, v)   # chunk totals matter only where an entity has several chunks
+        if how == "max":
+            local, total = F.max(v).over(w), F.max(hv)
+        elif how == "min":
+            local, total = F.min(v).over(w), F.min(hv)
+        elif how == "sum":
+            local, total = F.sum(v).over(w), F.sum(hv)
+        else:
+            local = F.last(v, ignorenulls=True).over(w)
+            pick = F.min if descending else F.max
+            total = pick(F.when(hot & v.isNotNull(),
+                                F.struct(_sort_key(order).alias("k"), v.alias("v")))).getField("v")
+        local_df = local_df.withColumn(f"_loc{i}", local)
+        totals.append(total.alias(f"_tot{i}"))
 
     # ``_pin`` (any whole row of the chunk) is referenced below, so the optimizer keeps every column in
     # this branch and the repartition exchange is shared with the window branch.
-    summ = x.groupBy(*part).agg(total.alias("_tot"), F.first(F.when(hot, _row_struct(x))).alias("_pin"))
+    summ = x.groupBy(*part).agg(*totals, F.first(F.when(hot, _row_struct(x))).alias("_pin"))
     wc = Window.partitionBy(*part[:-1]).orderBy(
         F.col(CHUNK).desc() if descending else F.col(CHUNK).asc()
     ).rowsBetween(Window.unboundedPreceding, -1)
-    carry = {"max": F.max("_tot"), "min": F.min("_tot"), "sum": F.sum("_tot"),
-             "last": F.last("_tot", ignorenulls=True)}[how]
-    summ = summ.select(*part, F.when(F.col("_pin").isNotNull(), carry.over(wc)).alias("_run_carry"))
+    carries = []
+    for i in range(len(names)):
+        t = F.col(f"_tot{i}")
+        carry = {"max": F.max(t), "min": F.min(t), "sum": F.sum(t), "last": F.last(t, ignorenulls=True)}[how]
+        carries.append(F.when(F.col("_pin").isNotNull(), carry.over(wc)).alias(f"_car{i}"))
+    summ = summ.select(*part, *carries)
 
     joined = _join_back(local_df, summ, part)
-    combine = {"max": F.greatest, "min": F.least}.get(how)
-    carry_in = F.when(hot, F.col("_run_carry"))   # only split entities carry across chunks
-    if how == "sum":
-        result = F.coalesce(F.col("_run_local"), F.lit(0)) + F.coalesce(carry_in, F.lit(0))
-    elif combine is not None:
-        result = combine(F.col("_run_local"), carry_in)
-    else:
-        result = F.coalesce(F.col("_run_local"), carry_in)
-    return joined.withColumn(out, result).drop("_val", "_run_local", "_run_carry", "_hot")
+    for i, n in enumerate(names):
+        loc, carry_in = F.col(f"_loc{i}"), F.when(hot, F.col(f"_car{i}"))   # only split entities carry
+        if how == "sum":
+            result = F.coalesce(loc, F.lit(0)) + F.coalesce(carry_in, F.lit(0))
+        elif how == "max":
+            result = F.greatest(loc, carry_in)
+        elif how == "min":
+            result = F.least(loc, carry_in)
+        else:
+            result = F.coalesce(loc, carry_in)
+        joined = joined.withColumn(n, result)
+    drop = [f"_{p}{i}" for i in range(len(names)) for p in ("val", "loc", "car")]
+    return joined.drop(*drop, "_hot")
