@@ -17,7 +17,8 @@ def entity_watermarks(staged: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC) ->
 
 
 def build_scd2(changes: DataFrame, staged: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC,
-               order: str = "source", chunk_minutes: int = DEFAULT_CHUNK_MINUTES) -> DataFrame:
+               order: str = "source", chunk_minutes: int | None = DEFAULT_CHUNK_MINUTES,
+               with_closing_operation: bool = False) -> DataFrame:
     """Versions ``[valid_from, valid_to)`` per entity from deduplicated ``changes``.
 
     Every non-DELETE mutation opens a version at its source time that the entity's next mutation
@@ -26,6 +27,8 @@ def build_scd2(changes: DataFrame, staged: DataFrame, spec: ChangeLogSpec = DEFA
     the same instant) are suppressed. ``order="ingest"`` is the defect path that sequences by arrival
     while still labelling with source time: it keeps the inverted windows so the checks can find them.
     ``last_seen_ingested_at`` is the entity's latest delivery (``staged`` may be the affected subset).
+    ``with_closing_operation`` adds ``closed_by_operation``, the operation of the mutation that closed the
+    version (NULL while open) -- it distinguishes a version ended by a DELETE from one ended by an update.
     """
     s = spec
     if order not in ("source", "ingest"):
@@ -34,7 +37,10 @@ def build_scd2(changes: DataFrame, staged: DataFrame, spec: ChangeLogSpec = DEFA
     needed = [s.entity, s.change_id, s.operation, *s.attributes, s.source_ts]
     if order == "ingest":
         needed.append(s.ingest_ts)
-    seq = chunked_lead(changes.select(*needed), [s.entity], order_cols, {"ts": F.col(s.source_ts)}, "_next",
+    nxt = {"ts": F.col(s.source_ts)}
+    if with_closing_operation:
+        nxt["op"] = F.col(s.operation)
+    seq = chunked_lead(changes.select(*needed), [s.entity], order_cols, nxt, "_next",
                        chunk_minutes=chunk_minutes, hot_source=staged.select(s.entity))
     versions = seq.where(F.col(s.operation) != F.lit(s.delete_value)).select(
         version_key(s.entity, s.change_id).alias(s.version_id),
@@ -43,6 +49,7 @@ def build_scd2(changes: DataFrame, staged: DataFrame, spec: ChangeLogSpec = DEFA
         F.col(s.source_ts).alias("valid_from"),
         F.col("_next.ts").alias("valid_to"),
         F.col(s.change_id).alias("source_change_id"),
+        *([F.col("_next.op").alias("closed_by_operation")] if with_closing_operation else []),
     )
     if order == "source":
         versions = versions.where(F.col("valid_to").isNull() | (F.col("valid_from") < F.col("valid_to")))
@@ -53,6 +60,7 @@ def build_scd2(changes: DataFrame, staged: DataFrame, spec: ChangeLogSpec = DEFA
         F.col("valid_from"), F.col("valid_to"),
         F.col("valid_to").isNull().alias("row_current"),
         F.col("source_change_id"), F.col("last_seen_ingested_at"),
+        *([F.col("closed_by_operation")] if with_closing_operation else []),
     )
 
 

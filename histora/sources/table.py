@@ -96,7 +96,8 @@ class BucketedTable:
     def _write(self, df: DataFrame, version: int) -> list[int]:
         (df.withColumn("bucket", entity_bucket(self.key, self.n_buckets))
          .hint("rebalance", "bucket")
-         .write.mode("errorifexists").partitionBy("bucket").parquet(f"{self.root}/data/v={version}"))
+         # a folder of an unpublished version is garbage of a failed attempt: readers never see it
+         .write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/data/v={version}"))
         return self._written_buckets(version)
 
     def overwrite(self, df: DataFrame) -> int:

@@ -96,3 +96,20 @@ def test_full_history_with_every_entity_split(scripted_log, split_all):
     got = sorted((r.customer_id, r.source_change_id, r.valid_from, r.valid_to, r.row_current) for r in dim.collect())
     assert got == expected_history()
     assert intervals(dim, 42) == EXPECTED_42
+
+
+def test_closing_operation_and_sql_views(spark, scripted_log):
+    staged = stage_changes(scripted_log)
+    dim = build_scd2(deduplicate_changes(staged), staged, with_closing_operation=True)
+    closed = {r.source_change_id: r.closed_by_operation for r in dim.where("customer_id IN (3, 42)").collect()}
+    assert closed == {"chg_003_insert": "UPDATE", "chg_003_update": "DELETE", "chg_042_insert": "UPDATE",
+                      "chg_042_move": "UPDATE", "chg_042_upgrade": "DELETE"}
+    from histora.plans.views import register_views
+    from histora.spec import EVENT_SCHEMA
+    from tests.fixtures_data import EVENTS_42
+    from tests.helpers import ts
+    ev = spark.createDataFrame([(a, b, c, ts(d)) for a, b, c, d in EVENTS_42], EVENT_SCHEMA)
+    register_views(spark, scripted_log, ev, prefix="t_")
+    n = spark.sql("SELECT count(*) FROM t_events_enriched WHERE matched_historical_state").first()[0]
+    assert n == 3
+    assert spark.sql("SELECT count(*) FROM t_dimension_scd2").first()[0] == 42
