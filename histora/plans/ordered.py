@@ -5,6 +5,9 @@ change (``lead``), the previous one (``lag``), the row's rank (``row_number``) o
 value. ``Window.partitionBy(entity)`` would put all rows of one entity into one task, and one entity may
 hold a third of all rows. These helpers run the same scans as two levels instead:
 
+0. an input whose Catalyst size estimate is below ``spark.histora.hotCheckMinBytes`` cannot hold an entity
+   too big for one task: it runs as the plain window (as the broadcast threshold, the check is on the
+   estimate; results are the same either way, only the plan differs);
 1. rows are hash-partitioned once on ``(entity, chunk)``, where ``chunk`` is a monotone coarsening of the
    first order column, and the window runs per ``(entity, chunk)``. Only *hot* entities are chunked by
    time: a partial count per entity finds the at most ``spark.histora.maxHotEntities`` heaviest entities
@@ -38,6 +41,15 @@ _NULL_CHUNK = 2**62  # NULL order values sort after every real chunk (ascending,
 HOT_ROWS_CONF = "spark.histora.hotEntityRows"        # [1000000] an entity above this is split; 0 = all
 MAX_HOT_CONF = "spark.histora.maxHotEntities"        # [10000] at most this many split (broadcast bound)
 CHUNK_MINUTES_CONF = "spark.histora.hotChunkMinutes"  # [60] time chunk of a hot entity
+MIN_BYTES_CONF = "spark.histora.hotCheckMinBytes"     # [268435456] smaller inputs are never split
+
+
+def _estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of ``df`` (what the broadcast threshold is checked against)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # e.g. a Spark Connect session: no estimate, always check for hot entities
+        return None
 
 
 def _conf(df: DataFrame, key: str, default: int) -> int:
@@ -101,6 +113,17 @@ def _sort_key(cols: Sequence[str]) -> Column:
     return F.struct(*parts)
 
 
+def _small(df: DataFrame, hot_rows: int) -> bool:
+    """True when the whole input is estimated below ``spark.histora.hotCheckMinBytes``.
+
+    Then no entity can outgrow one task, and the scan runs as a plain window (no count, no summary).
+    """
+    if hot_rows <= 0:
+        return False
+    size = _estimated_bytes(df)
+    return size is not None and size < _conf(df, MIN_BYTES_CONF, 256 * 1024 * 1024)
+
+
 def _prepare(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_minutes: int | None,
              hot_source: DataFrame | None = None):
     """Repartition on (keys, chunk); returns the frame, the partition columns and the hot-row flag.
@@ -152,6 +175,12 @@ def chunked_lead(df: DataFrame, keys: Sequence[str], order: Sequence[str], value
     rank in that order (bigint).
     """
     df = df.withColumn("_v", F.struct(*[v.alias(n) for n, v in values.items()]))
+    if _small(df, _conf(df, HOT_ROWS_CONF, 1_000_000)):
+        w = Window.partitionBy(*keys).orderBy(*_order(order, descending))
+        out_df = df.withColumn(out, F.lead("_v").over(w))
+        if row_number:
+            out_df = out_df.withColumn(row_number, F.row_number().over(w).cast("long"))
+        return out_df.drop("_v")
     x, part, hot = _prepare(df, keys, order, chunk_minutes, hot_source)
     w = Window.partitionBy(*part).orderBy(*_order(order, descending))
     local = x.withColumn("_lead_local", F.lead("_v").over(w))
@@ -197,6 +226,15 @@ def chunked_running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     names = list(values)
     for i, n in enumerate(names):
         df = df.withColumn(f"_val{i}", values[n])
+    if _small(df, _conf(df, HOT_ROWS_CONF, 1_000_000)):
+        w = Window.partitionBy(*keys).orderBy(*_order(order, descending)).rowsBetween(
+            Window.unboundedPreceding, 0 if include_current else -1)
+        fns = {"max": F.max, "min": F.min, "sum": F.sum, "last": lambda c: F.last(c, ignorenulls=True)}
+        for i, n in enumerate(names):
+            df = df.withColumn(n, fns[how](F.col(f"_val{i}")).over(w))
+            if how == "sum":
+                df = df.withColumn(n, F.coalesce(F.col(n), F.lit(0)))
+        return df.drop(*[f"_val{i}" for i in range(len(names))])
     x, part, hot = _prepare(df, keys, order, chunk_minutes, hot_source)
     w = Window.partitionBy(*part).orderBy(*_order(order, descending)).rowsBetween(
         Window.unboundedPreceding, 0 if include_current else -1)

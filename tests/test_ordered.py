@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from histora.plans.ordered import HOT_ROWS_CONF, chunked_lead, chunked_running
+from histora.plans.ordered import HOT_ROWS_CONF, MIN_BYTES_CONF, chunked_lead, chunked_running
 
 
 def _data(spark, seed):
@@ -34,6 +34,7 @@ def all_hot(spark):
 
 @pytest.mark.parametrize("seed,minutes,hot", [(1, 60, True), (2, 1440, True), (3, 420, True), (4, 60, False)])
 def test_lead_lag_rownumber(spark, seed, minutes, hot):
+    spark.conf.set(MIN_BYTES_CONF, "0")
     if hot:
         spark.conf.set(HOT_ROWS_CONF, "0")
     else:
@@ -49,6 +50,18 @@ def test_lead_lag_rownumber(spark, seed, minutes, hot):
     assert sorted(map(tuple, got.select("id", "nxt", "prv", "rn").collect())) == \
         sorted(map(tuple, want.select("id", "nxt", "prv", "rn").collect()))
     spark.conf.unset(HOT_ROWS_CONF)
+    spark.conf.unset(MIN_BYTES_CONF)
+
+
+def test_small_inputs_take_the_plain_window(spark, tmp_path):
+    _data(spark, 5).write.parquet(str(tmp_path / "d"))
+    df = spark.read.parquet(str(tmp_path / "d"))   # a file scan has a size estimate; an RDD has none
+    a = chunked_lead(df, ["k"], ["t", "id"], {"id": F.col("id")}, "n", row_number="rn")
+    plan = a._jdf.queryExecution().optimizedPlan().toString()
+    assert "_chunk" not in plan
+    w = Window.partitionBy("k").orderBy(F.col("t").asc_nulls_last(), F.col("id").asc_nulls_last())
+    want = df.select("id", F.lead("id").over(w).alias("nxt"), F.row_number().over(w).alias("rn"))
+    assert sorted(map(tuple, a.select("id", F.col("n.id"), "rn").collect())) == sorted(map(tuple, want.collect()))
 
 
 @pytest.mark.parametrize("how", ["max", "min", "last"])
