@@ -156,6 +156,18 @@ def _prepare(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_min
     return df.repartition(*pkeys, CHUNK), [*pkeys, CHUNK], F.col("_hot")
 
 
+def _split_rows(x: DataFrame, hot: Column) -> DataFrame:
+    """The rows of split entities, for the per-chunk summary (other entities have a single chunk).
+
+    The predicate is one non-deterministic expression (``spark_partition_id() >= 0`` is always true), so
+    Catalyst keeps it above the shared repartition exchange; a pushed-down ``hot`` would make the two
+    branches differ (and turn the heavy-hitter outer join into an inner one), so the input would be
+    computed twice. This way the summary's sort only sees the rows of hot entities. (``rand() >= 0``
+    would not do: Catalyst folds it to true; conjuncts are split, so the condition must be nested.)
+    """
+    return x.where(F.when(F.spark_partition_id() >= F.lit(0), hot).otherwise(F.lit(False)))
+
+
 def _row_struct(df: DataFrame) -> Column:
     """Every column of ``df``: pins the summary branch to the same input plan as the window branch."""
     return F.struct(*[F.col(c) for c in df.columns])
@@ -187,11 +199,11 @@ def chunked_lead(df: DataFrame, keys: Sequence[str], order: Sequence[str], value
     if row_number:
         local = local.withColumn("_rn_local", F.row_number().over(w).cast("long"))
 
-    # Only split (hot) entities have more than one chunk; the others feed NULLs, which cost nothing.
+    # Only split (hot) entities have more than one chunk; only their rows feed the summary.
     pick = F.max if descending else F.min
-    summ = x.groupBy(*part).agg(
-        pick(F.when(hot, F.struct(_sort_key(order).alias("k"), _row_struct(x).alias("r")))).alias("_first"),
-        F.count(F.when(hot, F.lit(1))).alias("_cnt"),
+    summ = _split_rows(x, hot).groupBy(*part).agg(
+        pick(F.struct(_sort_key(order).alias("k"), _row_struct(x).alias("r"))).alias("_first"),
+        F.count(F.lit(1)).alias("_cnt"),
     )
     wc = Window.partitionBy(*part[:-1]).orderBy(F.col(CHUNK).desc() if descending else F.col(CHUNK).asc())
     cols = [*part, F.lead(F.col("_first.r._v")).over(wc).alias("_lead_next")]
@@ -241,24 +253,25 @@ def chunked_running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     local_df, totals = x, []
     for i in range(len(names)):
         v = F.col(f"_val{i}")
-        hv = F.when(hot, v)   # chunk totals matter only where an entity has several chunks
         if how == "max":
-            local, total = F.max(v).over(w), F.max(hv)
+            local, total = F.max(v).over(w), F.max(v)
         elif how == "min":
-            local, total = F.min(v).over(w), F.min(hv)
+            local, total = F.min(v).over(w), F.min(v)
         elif how == "sum":
-            local, total = F.sum(v).over(w), F.sum(hv)
+            local, total = F.sum(v).over(w), F.sum(v)
         else:
             local = F.last(v, ignorenulls=True).over(w)
             pick = F.min if descending else F.max
-            total = pick(F.when(hot & v.isNotNull(),
+            total = pick(F.when(v.isNotNull(),
                                 F.struct(_sort_key(order).alias("k"), v.alias("v")))).getField("v")
         local_df = local_df.withColumn(f"_loc{i}", local)
         totals.append(total.alias(f"_tot{i}"))
 
-    # ``_pin`` (any whole row of the chunk) is referenced below, so the optimizer keeps every column in
-    # this branch and the repartition exchange is shared with the window branch.
-    summ = x.groupBy(*part).agg(*totals, F.first(F.when(hot, _row_struct(x))).alias("_pin"))
+    # ``_pin`` (a hash of whole rows) is referenced below, so the optimizer keeps every column in this
+    # branch and the repartition exchange is shared with the window branch. Only split entities' rows
+    # feed the summary; scalar aggregates keep it a hash aggregate (no sort) except for ``last``.
+    summ = _split_rows(x, hot).groupBy(*part).agg(
+        *totals, F.max(F.xxhash64(*[F.col(c) for c in x.columns])).alias("_pin"))
     wc = Window.partitionBy(*part[:-1]).orderBy(
         F.col(CHUNK).desc() if descending else F.col(CHUNK).asc()
     ).rowsBetween(Window.unboundedPreceding, -1)
