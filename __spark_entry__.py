@@ -24,6 +24,7 @@ from histora.operators import (  # noqa: E402
     table_diff, unique_violations,
 )
 from histora.operators.incremental import rebuild_entities  # noqa: E402
+from histora.operators.quality import dimension_checks, validate  # noqa: E402
 from histora.session import work_path  # noqa: E402
 from histora.sources import derived_change_log, derived_facts, scenario_catalog  # noqa: E402
 from histora.sources.table import BucketedTable  # noqa: E402
@@ -187,6 +188,11 @@ def q_current_record_violations(spark, sf):
     return current_record_violations(corrupted, "customer_id", "row_current", "valid_to")
 
 
+def q_validate_dimension(spark, sf):
+    """The declared tests of the dimension, run as one job over the defective ingest-order build."""
+    return validate(dimension_checks(_dim(spark, sf, order="ingest")))
+
+
 def q_interval_order_violations(spark, sf):
     return interval_order_violations(_dim(spark, sf, order="ingest"))
 
@@ -249,6 +255,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "overlap_violations": q_overlap_violations,
     "current_record_violations": q_current_record_violations,
     "interval_order_violations": q_interval_order_violations,
+    "validate_dimension": q_validate_dimension,
     "not_null_violations": q_not_null_violations,
     "unique_violations": q_unique_violations,
     "accepted_values_violations": q_accepted_values_violations,
@@ -480,6 +487,33 @@ SELECT * FROM (
     FROM corrupted GROUP BY customer_id
 ) t
 WHERE current_rows > 1 OR (open_rows > 0 AND current_rows <> 1) OR (open_rows = 0 AND current_rows <> 0)""",
+        "validate_dimension": _with(*_full_dim_ctes("ingest"), """
+base AS (SELECT customer_id AS entity_id, valid_from, valid_to FROM dim),
+overlap AS (""" + _OVERLAP + """),
+tallied AS (
+    SELECT customer_id,
+           sum(CASE WHEN row_current THEN 1 ELSE 0 END) AS c, sum(CASE WHEN valid_to IS NULL THEN 1 ELSE 0 END) AS o
+    FROM dim GROUP BY customer_id
+),
+counts AS (
+    SELECT 'no_overlapping_validity_windows' AS check_name, (SELECT count(*) FROM overlap) AS violations
+    UNION ALL
+    SELECT 'exactly_one_current_record',
+           (SELECT count(*) FROM tallied WHERE c > 1 OR (o > 0 AND c <> 1) OR (o = 0 AND c <> 0))
+    UNION ALL
+    SELECT 'closed_intervals_ordered',
+           (SELECT count(*) FROM dim WHERE valid_to IS NOT NULL AND valid_from >= valid_to)
+    UNION ALL
+    SELECT 'not_null',
+           (SELECT count(*) FILTER (WHERE customer_version_id IS NULL) + count(*) FILTER (WHERE customer_id IS NULL)
+                 + count(*) FILTER (WHERE valid_from IS NULL) + count(*) FILTER (WHERE row_current IS NULL)
+                 + count(*) FILTER (WHERE source_change_id IS NULL) FROM dim)
+    UNION ALL
+    SELECT 'unique_version_id',
+           (SELECT count(*) FROM (SELECT customer_version_id FROM dim WHERE customer_version_id IS NOT NULL
+                                  GROUP BY customer_version_id HAVING count(*) > 1) d)
+)""") + """
+SELECT check_name, CAST(violations AS BIGINT) AS violations, violations = 0 AS passed FROM counts""",
         "interval_order_violations": _with(*_full_dim_ctes("ingest")) + """
 SELECT customer_id, source_change_id, valid_from, valid_to FROM dim
 WHERE valid_to IS NOT NULL AND valid_from >= valid_to""",

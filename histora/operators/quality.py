@@ -159,8 +159,8 @@ def missing_scenarios(catalog: DataFrame, log: DataFrame, tag_column: str = "sce
 
 
 def validate(checks: Mapping[str, DataFrame]) -> DataFrame:
-    """Run named checks as one job: ``check, violations, passed`` per check."""
-    parts = [df.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("check"), "violations")
+    """Run named checks as one job: ``check_name, violations, passed`` per check."""
+    parts = [df.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("check_name"), "violations")
              for name, df in checks.items()]
     out = parts[0]
     for p in parts[1:]:

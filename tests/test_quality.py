@@ -19,7 +19,7 @@ def _dim(log, order="source"):
 
 
 def test_valid_history_passes_every_declared_check(scripted_log):
-    res = {r.check: (r.violations, r.passed) for r in validate(dimension_checks(_dim(scripted_log))).collect()}
+    res = {r.check_name: (r.violations, r.passed) for r in validate(dimension_checks(_dim(scripted_log))).collect()}
     assert all(p for _, p in res.values()), res
     assert len(res) == 5
 
@@ -32,7 +32,7 @@ def test_injected_overlap_is_caught(scripted_log):
     bad = dim.unionByName(shifted)
     v = overlap_violations(bad)
     assert v.where("failure_kind = 'overlap'").count() >= 2
-    res = {r.check: r.passed for r in validate(dimension_checks(bad)).collect()}
+    res = {r.check_name: r.passed for r in validate(dimension_checks(bad)).collect()}
     assert res["no_overlapping_validity_windows"] is False
 
 
