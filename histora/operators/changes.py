@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from histora.functions.exprs import any_differs
@@ -35,34 +35,30 @@ def sequence_changes(changes: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC,
     Adds ``change_seq`` (bigint), the next mutation's time / id / operation, the number of mutations
     sharing the source instant and ``is_ambiguous_tie``: more than one mutation at that instant and
     some attribute differing among them (``<>`` on peer min/max, so NULL vs value is no conflict, S5).
-    Peers are aggregated per (entity, instant) and joined back, so a crowded instant is reduced by a
-    partial aggregate instead of being buffered by a window.
     """
     s = spec
-    seq = chunked_lead(
+    seq, part = chunked_lead(
         changes, [s.entity], [s.source_ts, s.change_id],
         {"ts": F.col(s.source_ts), "id": F.col(s.change_id), "op": F.col(s.operation)},
-        "_next", row_number="change_seq", chunk_minutes=chunk_minutes,
+        "_next", row_number="change_seq", chunk_minutes=chunk_minutes, keep_partition=True,
     )
-    peer_aggs = [F.count(F.lit(1)).alias("same_timestamp_change_count")]
+    # Peers share the entity and the instant, hence the chunk: this window reuses the scan's partitioning.
+    p = Window.partitionBy(*part, s.source_ts)
+    peer_cols = [F.count(F.lit(1)).over(p).cast("long").alias("same_timestamp_change_count")]
     pairs = []
     for i, a in enumerate(s.attributes):
         v = F.col(a).cast("int") if dict(changes.dtypes)[a] == "boolean" else F.col(a)
-        peer_aggs += [F.min(v).alias(f"_pmin{i}"), F.max(v).alias(f"_pmax{i}")]
+        peer_cols += [F.min(v).over(p).alias(f"_pmin{i}"), F.max(v).over(p).alias(f"_pmax{i}")]
         pairs.append((F.col(f"_pmin{i}"), F.col(f"_pmax{i}")))
-    peers = (changes.groupBy(s.entity, s.source_ts).agg(*peer_aggs)
-             .select(F.col(s.entity).alias("_pe"), F.col(s.source_ts).alias("_pt"),
-                     F.col("same_timestamp_change_count"),
-                     ((F.col("same_timestamp_change_count") > 1) & any_differs(pairs)).alias("is_ambiguous_tie")))
-    out = seq.join(peers, seq[s.entity].eqNullSafe(peers["_pe"]) & seq[s.source_ts].eqNullSafe(peers["_pt"]), "left")
+    out = seq.select("*", *peer_cols)
     return out.select(
         *[F.col(c) for c in s.staged_columns],
         F.col("change_seq"),
         F.col("_next.ts").alias("next_source_updated_at"),
         F.col("_next.id").alias("next_change_id"),
         F.col("_next.op").alias("next_operation"),
-        F.col("same_timestamp_change_count").cast("long"),
-        F.col("is_ambiguous_tie"),
+        F.col("same_timestamp_change_count"),
+        ((F.col("same_timestamp_change_count") > 1) & any_differs(pairs)).alias("is_ambiguous_tie"),
     )
 
 

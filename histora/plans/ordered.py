@@ -180,11 +180,14 @@ def _join_back(df: DataFrame, summ: DataFrame, part: Sequence[str]) -> DataFrame
 def chunked_lead(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: dict[str, Column],
                  out: str, *, descending: bool = False, row_number: str | None = None,
                  chunk_minutes: int | None = DEFAULT_CHUNK_MINUTES,
-                 hot_source: DataFrame | None = None) -> DataFrame:
+                 hot_source: DataFrame | None = None, keep_partition: bool = False):
     """Add ``out`` = struct of ``values`` taken from the next row in ``order`` within ``keys``.
 
     ``descending=True`` gives the previous row (``lag``). ``row_number`` optionally adds the 1-based
-    rank in that order (bigint).
+    rank in that order (bigint). With ``keep_partition=True`` it returns ``(frame, partition_columns)``:
+    the output is still hash-partitioned on those columns, so a following window partitioned by them
+    (plus finer keys that are constant within a chunk, like the order time) needs no new shuffle; drop
+    the columns whose names start with ``_`` afterwards.
     """
     df = df.withColumn("_v", F.struct(*[v.alias(n) for n, v in values.items()]))
     if _small(df, _conf(df, HOT_ROWS_CONF, 1_000_000)):
@@ -192,7 +195,8 @@ def chunked_lead(df: DataFrame, keys: Sequence[str], order: Sequence[str], value
         out_df = df.withColumn(out, F.lead("_v").over(w))
         if row_number:
             out_df = out_df.withColumn(row_number, F.row_number().over(w).cast("long"))
-        return out_df.drop("_v")
+        out_df = out_df.drop("_v")
+        return (out_df, list(keys)) if keep_partition else out_df
     x, part, hot = _prepare(df, keys, order, chunk_minutes, hot_source)
     w = Window.partitionBy(*part).orderBy(*_order(order, descending))
     local = x.withColumn("_lead_local", F.lead("_v").over(w))
@@ -212,13 +216,16 @@ def chunked_lead(df: DataFrame, keys: Sequence[str], order: Sequence[str], value
                                F.lit(0)).cast("long").alias("_rn_offset"))
     summ = summ.select(*cols)
 
-    joined = _join_back(local, summ, part)
+    joined = local.join(summ, list(part), "left")
     # Only split entities need the neighbouring chunk (``hot`` keeps both branches' columns equal).
     joined = joined.withColumn(out, F.coalesce(F.col("_lead_local"), F.when(hot, F.col("_lead_next"))))
     if row_number:
         joined = joined.withColumn(row_number, F.when(hot, F.col("_rn_offset")).otherwise(F.lit(0))
                                    + F.col("_rn_local"))
-    return joined.drop("_v", "_lead_local", "_lead_next", "_rn_local", "_rn_offset", "_hot")
+    joined = joined.drop("_v", "_lead_local", "_lead_next", "_rn_local", "_rn_offset", "_hot")
+    if keep_partition:
+        return joined, list(part)
+    return joined.drop(*part)
 
 
 def chunked_running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
