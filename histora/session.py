@@ -8,7 +8,6 @@ registered as the checkpoint dir.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -52,7 +51,3 @@ def work_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder name under the shared checkpoint dir."""
     base = checkpoint_dir(spark)
     return f"{base}/histora/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:") or os.path.isabs(path)
