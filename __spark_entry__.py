@@ -75,7 +75,8 @@ def q_deduplicate_changes(spark, sf):
 
 
 def q_sequence_changes(spark, sf):
-    return sequence_changes(deduplicate_changes(_staged(spark, sf)))
+    staged = _staged(spark, sf)
+    return sequence_changes(deduplicate_changes(staged), hot_source=staged)
 
 
 def q_scd2_full(spark, sf):
@@ -222,11 +223,13 @@ def q_duplicate_deliveries(spark, sf):
 
 
 def q_noop_changes(spark, sf):
-    return noop_changes(deduplicate_changes(_staged(spark, sf)))
+    staged = _staged(spark, sf)
+    return noop_changes(deduplicate_changes(staged), hot_source=staged)
 
 
 def q_arrival_anomalies(spark, sf):
-    return arrival_anomalies(deduplicate_changes(_staged(spark, sf)))
+    staged = _staged(spark, sf)
+    return arrival_anomalies(deduplicate_changes(staged), hot_source=staged)
 
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -29,18 +29,21 @@ def deduplicate_changes(staged: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC) -
 
 
 def sequence_changes(changes: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC,
-                     chunk_minutes: int = DEFAULT_CHUNK_MINUTES) -> DataFrame:
+                     chunk_minutes: int | None = DEFAULT_CHUNK_MINUTES,
+                     hot_source: DataFrame | None = None) -> DataFrame:
     """Order every entity's mutations by (source time, change_id) and flag ambiguous ties.
 
     Adds ``change_seq`` (bigint), the next mutation's time / id / operation, the number of mutations
     sharing the source instant and ``is_ambiguous_tie``: more than one mutation at that instant and
     some attribute differing among them (``<>`` on peer min/max, so NULL vs value is no conflict, S5).
+    ``hot_source`` (e.g. the staged log) may stand in for ``changes`` when counting rows per entity.
     """
     s = spec
     seq, part = chunked_lead(
         changes, [s.entity], [s.source_ts, s.change_id],
         {"ts": F.col(s.source_ts), "id": F.col(s.change_id), "op": F.col(s.operation)},
         "_next", row_number="change_seq", chunk_minutes=chunk_minutes, keep_partition=True,
+        hot_source=None if hot_source is None else hot_source.select(s.entity),
     )
     # Peers share the entity and the instant, hence the chunk: this window reuses the scan's partitioning.
     p = Window.partitionBy(*part, s.source_ts)
@@ -73,7 +76,8 @@ def duplicate_deliveries(staged: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC)
 
 
 def noop_changes(changes: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC,
-                 chunk_minutes: int = DEFAULT_CHUNK_MINUTES) -> DataFrame:
+                 chunk_minutes: int | None = DEFAULT_CHUNK_MINUTES,
+                 hot_source: DataFrame | None = None) -> DataFrame:
     """Non-DELETE mutations whose attributes all equal those of the entity's previous mutation.
 
     The previous mutation must not be a DELETE either: the version this change opens then repeats the
@@ -85,7 +89,8 @@ def noop_changes(changes: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC,
                         [s.entity], [s.source_ts, s.change_id],
                         {"id": F.col(s.change_id), "op": F.col(s.operation),
                          **{f"a{i}": F.col(a) for i, a in enumerate(s.attributes)}},
-                        "_prev", descending=True, chunk_minutes=chunk_minutes)
+                        "_prev", descending=True, chunk_minutes=chunk_minutes,
+                        hot_source=None if hot_source is None else hot_source.select(s.entity))
     same = (F.col(s.operation) != F.lit(s.delete_value)) & (F.col("_prev.op") != F.lit(s.delete_value))
     for i, a in enumerate(s.attributes):
         same = same & (F.col(a) == F.col(f"_prev.a{i}"))
@@ -95,7 +100,8 @@ def noop_changes(changes: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC,
 
 
 def arrival_anomalies(changes: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC,
-                      chunk_minutes: int = DEFAULT_CHUNK_MINUTES) -> DataFrame:
+                      chunk_minutes: int | None = DEFAULT_CHUNK_MINUTES,
+                      hot_source: DataFrame | None = None) -> DataFrame:
     """Mutations that arrive after a mutation of the same entity with a *later* source time.
 
     Arrival order is (ingest time, change_id); the running max of source time over everything that
@@ -104,7 +110,8 @@ def arrival_anomalies(changes: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC,
     """
     s = spec
     run = chunked_running(changes.select(s.change_id, s.entity, s.source_ts, s.ingest_ts), [s.entity], [s.ingest_ts, s.change_id], F.col(s.source_ts),
-                          "max_prior_source_updated_at", "max", chunk_minutes=chunk_minutes)
+                          "max_prior_source_updated_at", "max", chunk_minutes=chunk_minutes,
+                          hot_source=None if hot_source is None else hot_source.select(s.entity))
     lag = F.expr(f"timestampdiff(SECOND, `{s.source_ts}`, `{s.ingest_ts}`)")
     return run.where(F.col("max_prior_source_updated_at") > F.col(s.source_ts)).select(
         F.col(s.change_id), F.col(s.entity), F.col(s.source_ts), F.col(s.ingest_ts),
