@@ -109,3 +109,18 @@ def test_fact_append_modes(spark):
     assert by_id == [("e0", "late"), ("e1", "login"), ("e2", "purchase"), ("e3", "x"), ("e4", "y"), ("e4", "y")]
     by_time = sorted((r.event_id, r.event_name) for r in append_facts(existing, new, mode="event_time").collect())
     assert by_time == [("e1", "login"), ("e2", "purchase"), ("e4", "y"), ("e4", "y")]
+
+
+def test_crashed_write_is_invisible_and_retry_succeeds(spark, scripted_log):
+    root = f"{checkpoint_dir(spark)}/test-table-{uuid.uuid4().hex}"
+    table = BucketedTable(spark, root, "customer_id", n_buckets=4)
+    v1 = table.overwrite(_dim(scripted_log, T1_CUTOFF))
+    # a job that died after writing its data but before publishing the manifest
+    table._write(_dim(scripted_log), v1 + 1)
+    assert table.current_version() == v1
+    assert table_diff(table.read(), _dim(scripted_log, T1_CUTOFF), CANON).count() == 0
+    # the retry reuses the unpublished version number, overwrites the garbage and publishes
+    staged = stage_changes(scripted_log)
+    aff = affected_entities(staged, table.read())
+    assert table.replace_keys(aff, rebuild_entities(staged, aff)) == v1 + 1
+    assert table_diff(table.read(), _dim(scripted_log), CANON).count() == 0
