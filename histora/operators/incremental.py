@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from histora.functions.exprs import EPOCH, ts_literal
 from histora.operators.changes import deduplicate_changes
@@ -29,8 +30,15 @@ def event_high_water(facts: DataFrame, events: EventSpec = DEFAULT_EVENTS) -> Da
 
 
 def _scalar(df: DataFrame):
-    """Collect a one-row, one-column aggregate as a literal, so the scan below can prune by it."""
-    return F.lit(df.first()[0])
+    """Collect a one-row, one-column aggregate as a literal, so the scan below can prune by it.
+
+    A zone-less timestamp goes back as text cast to ``timestamp_ntz``: ``lit(datetime)`` would make a
+    session-zone timestamp and shift the comparison by the zone offset.
+    """
+    value, dtype = df.first()[0], df.schema.fields[0].dataType
+    if isinstance(dtype, T.TimestampNTZType) and value is not None:
+        return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+    return F.lit(value).cast(dtype)
 
 
 def affected_entities(staged: DataFrame, dim: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC) -> DataFrame:

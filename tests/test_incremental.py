@@ -124,3 +124,22 @@ def test_crashed_write_is_invisible_and_retry_succeeds(spark, scripted_log):
     aff = affected_entities(staged, table.read())
     assert table.replace_keys(aff, rebuild_entities(staged, aff)) == v1 + 1
     assert table_diff(table.read(), _dim(scripted_log), CANON).count() == 0
+
+
+def test_watermarks_do_not_depend_on_the_session_zone(spark, scripted_log):
+    """High-water marks are collected and compared as zone-less timestamps."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        t1 = _dim(scripted_log, T1_CUTOFF)
+        staged = stage_changes(scripted_log)
+        assert sorted(r.customer_id for r in affected_entities(staged, t1).collect()) == [42]
+        assert table_diff(repair_scd2(t1, staged), _dim(scripted_log), CANON).count() == 0
+        from histora.spec import EVENT_SCHEMA
+        from tests.helpers import ts
+        mk = lambda rows: spark.createDataFrame([(a, b, c, ts(d)) for a, b, c, d in rows], EVENT_SCHEMA)
+        old = mk([("e1", 1, "a", "2026-01-10 00:00:00")])
+        new = mk([("e2", 1, "b", "2026-01-10 03:00:00"), ("e3", 1, "c", "2026-01-09 23:00:00")])
+        assert sorted(r.event_id for r in append_facts(old, new, mode="event_time").collect()) == ["e1", "e2"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
