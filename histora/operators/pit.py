@@ -43,7 +43,7 @@ def _enriched(e: EventSpec, s: ChangeLogSpec, ev, dim, matched) -> list:
 
 
 def point_in_time_join(facts: DataFrame, dim: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC,
-                       events: EventSpec = DEFAULT_EVENTS, strategy: str = "range",
+                       events: EventSpec = DEFAULT_EVENTS, strategy: str = "auto",
                        chunk_minutes: int = DEFAULT_CHUNK_MINUTES) -> DataFrame:
     s, e = spec, events
     dim_cols = [s.version_id, *s.attributes, "valid_from", "valid_to", "row_current", "source_change_id"]

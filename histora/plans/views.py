@@ -21,7 +21,7 @@ VIEW_NAMES = ("stg_changes", "stg_events", "changes_deduplicated", "change_seque
 
 def register_views(spark: SparkSession, raw_log: DataFrame, raw_events: DataFrame,
                    spec: ChangeLogSpec = DEFAULT_SPEC, events: EventSpec = DEFAULT_EVENTS,
-                   ingest_cutoff=None, order: str = "source", pit_strategy: str = "range",
+                   ingest_cutoff=None, order: str = "source", pit_strategy: str = "auto",
                    prefix: str = "") -> dict[str, DataFrame]:
     staged = stage_changes(raw_log, spec, ingest_cutoff)
     facts = stage_events(raw_events, events)
