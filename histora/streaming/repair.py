@@ -7,11 +7,11 @@ watermark is set: a watermark would drop exactly the late rows the repair exists
 
 Per micro-batch:
 
-1. the staged batch is stored in the change log under ``batch=<id>``, partitioned by entity bucket,
-   overwriting that batch folder, so a retried batch replaces its own earlier attempt (``foreachBatch``
-   is at-least-once);
-2. the whole stored log of the affected entities is read back -- partition pruning keeps it to the
-   touched buckets -- and their history is rebuilt;
+1. the staged batch is stored in the change log under ``bucket=<b>/batch=<id>`` with a *dynamic*
+   partition overwrite, so a retried batch replaces exactly its own earlier attempt (``foreachBatch`` is
+   at-least-once) and nothing else;
+2. the whole stored log of the affected entities is read back from the touched bucket folders only (only
+   those are listed, however many batches the log holds) and their history is rebuilt;
 3. the dimension's touched buckets are replaced by key set (:class:`BucketedTable`), which is
    deterministic, so a retry gives the same table.
 
@@ -37,28 +37,30 @@ from histora.spec import CDC_SCHEMA, DEFAULT_SPEC, ChangeLogSpec
 
 @dataclass
 class RepairStreamTables:
-    log_path: str          # stored, staged change log: batch=<id>/bucket=<b>
+    log_path: str          # stored, staged change log: bucket=<b>/batch=<id>
     dim: BucketedTable     # the repaired Type 2 dimension
     n_buckets: int = 64
 
     def read_log(self, spark: SparkSession, buckets: list[int] | None = None) -> DataFrame:
-        df = spark.read.parquet(self.log_path)
-        if buckets is not None:
-            df = df.where(F.col("bucket").isin(buckets))
+        if buckets is None:
+            df = spark.read.parquet(self.log_path)
+        else:
+            df = spark.read.option("basePath", self.log_path).parquet(
+                *[f"{self.log_path}/bucket={b}" for b in sorted(buckets)])
         return df.drop("batch", "bucket")
 
 
 def _process_batch(spark: SparkSession, tables: RepairStreamTables, spec: ChangeLogSpec,
-                   chunk_minutes: int, batch: DataFrame, batch_id: int) -> None:
+                   chunk_minutes: int | None, batch: DataFrame, batch_id: int) -> None:
     s = spec
-    staged = stage_changes(batch, s).withColumn("bucket", entity_bucket(s.entity, tables.n_buckets))
-    (staged.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket")
-     .parquet(f"{tables.log_path}/batch={batch_id:012d}"))
-    stored = spark.read.parquet(f"{tables.log_path}/batch={batch_id:012d}")
-    affected = stored.select(s.entity).distinct()
-    touched = [r[0] for r in stored.select("bucket").distinct().collect()]
+    staged = (stage_changes(batch, s).withColumn("bucket", entity_bucket(s.entity, tables.n_buckets))
+              .withColumn("batch", F.lit(batch_id).cast("long")))
+    touched = [r[0] for r in staged.select("bucket").distinct().collect()]
     if not touched:
         return
+    (staged.hint("rebalance", "bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("bucket", "batch").parquet(tables.log_path))
+    affected = staged.select(s.entity).distinct()
     log = tables.read_log(spark, touched)
     scoped = log.join(affected, s.entity, "left_semi")
     rebuilt = rebuild_entities(scoped, affected, s, chunk_minutes=chunk_minutes)
