@@ -4,7 +4,8 @@ Half-open containment ``valid_from <= ts < valid_to`` (open end allowed); unmatc
 NULL attributes and ``matched_historical_state = false`` (before the first version, in a gap after a
 DELETE, after the final DELETE; S15). An event exactly on a change time matches the later version (S16).
 
-Two physical plans with the same result on a valid (non-overlapping) history:
+Three physical plans; all give the same result on a valid (non-overlapping) history, and `auto` (the
+default) gives the range result on any history:
 
 * ``range``: equi-join on the entity with the range as residual condition. Catalyst broadcasts the
   history when its *measured* size is under ``spark.sql.autoBroadcastJoinThreshold`` and otherwise

@@ -143,3 +143,25 @@ def test_watermarks_do_not_depend_on_the_session_zone(spark, scripted_log):
         assert sorted(r.event_id for r in append_facts(old, new, mode="event_time").collect()) == ["e1", "e2"]
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_repair_with_global_dedup_equals_scoped_dedup(scripted_log):
+    t1 = _dim(scripted_log, T1_CUTOFF)
+    staged = stage_changes(scripted_log)
+    a = repair_scd2(t1, staged)
+    b = repair_scd2(t1, staged, change_ids_unique_to_entity=False)
+    assert table_diff(a, b, CANON).count() == 0
+
+
+def test_shared_change_id_changes_the_owner(spark):
+    """A change_id first delivered for entity 1, later re-sent for entity 2: it belongs to entity 1."""
+    from histora.operators import shared_change_ids
+    rows = [("c1", 1, "INSERT", "US", "free", "active", False, "2026-01-01 00:00:00", "2026-01-01 00:01:00", "t"),
+            ("c1", 2, "INSERT", "US", "free", "active", False, "2026-01-01 00:00:00", "2026-01-02 00:01:00", "t"),
+            ("c2", 2, "INSERT", "CA", "free", "active", False, "2026-01-03 00:00:00", "2026-01-03 00:01:00", "t")]
+    log = log_df(spark, rows)
+    staged = stage_changes(log)
+    assert [r.change_id for r in shared_change_ids(staged).collect()] == ["c1"]
+    empty = _dim(log).limit(0)
+    exact = repair_scd2(empty, staged, change_ids_unique_to_entity=False)
+    assert table_diff(exact, _dim(log), CANON).count() == 0
