@@ -43,7 +43,7 @@ def sequence_changes(changes: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC,
         changes, [s.entity], [s.source_ts, s.change_id],
         {"ts": F.col(s.source_ts), "id": F.col(s.change_id), "op": F.col(s.operation)},
         "_next", row_number="change_seq", chunk_minutes=chunk_minutes, keep_partition=True,
-        hot_source=None if hot_source is None else hot_source.select(s.entity),
+        hot_source=None if hot_source is None else hot_source.select(s.entity, s.source_ts),
     )
     # Peers share the entity and the instant, hence the chunk: this window reuses the scan's partitioning.
     p = Window.partitionBy(*part, s.source_ts)
@@ -90,7 +90,7 @@ def noop_changes(changes: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC,
                         {"id": F.col(s.change_id), "op": F.col(s.operation),
                          **{f"a{i}": F.col(a) for i, a in enumerate(s.attributes)}},
                         "_prev", descending=True, chunk_minutes=chunk_minutes,
-                        hot_source=None if hot_source is None else hot_source.select(s.entity))
+                        hot_source=None if hot_source is None else hot_source.select(s.entity, s.source_ts))
     same = (F.col(s.operation) != F.lit(s.delete_value)) & (F.col("_prev.op") != F.lit(s.delete_value))
     for i, a in enumerate(s.attributes):
         same = same & (F.col(a) == F.col(f"_prev.a{i}"))
@@ -111,7 +111,7 @@ def arrival_anomalies(changes: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC,
     s = spec
     run = chunked_running(changes.select(s.change_id, s.entity, s.source_ts, s.ingest_ts), [s.entity], [s.ingest_ts, s.change_id], F.col(s.source_ts),
                           "max_prior_source_updated_at", "max", chunk_minutes=chunk_minutes,
-                          hot_source=None if hot_source is None else hot_source.select(s.entity))
+                          hot_source=None if hot_source is None else hot_source.select(s.entity, s.ingest_ts))
     lag = F.expr(f"timestampdiff(SECOND, `{s.source_ts}`, `{s.ingest_ts}`)")
     return run.where(F.col("max_prior_source_updated_at") > F.col(s.source_ts)).select(
         F.col(s.change_id), F.col(s.entity), F.col(s.source_ts), F.col(s.ingest_ts),

@@ -83,7 +83,8 @@ def point_in_time_join(facts: DataFrame, dim: DataFrame, spec: ChangeLogSpec = D
     # hot entities are judged by their events (a scan), not by the lazily built history
     scanned = chunked_running(both, ["_entity"], ["_t", "_kind", "_tie"], F.col("_d"), "_v", "last",
                               include_current=True, chunk_minutes=chunk_minutes,
-                              hot_source=facts.select(F.col(e.entity).alias("_entity")))
+                              hot_source=facts.select(F.col(e.entity).alias("_entity"),
+                                                      F.col(e.event_ts).alias("_t")))
     ts = F.col(f"_e.{e.event_ts}")
     matched = (F.col("_v").isNotNull() & F.col(f"_e.{e.entity}").isNotNull()
                & (ts >= F.col("_v.valid_from"))

@@ -41,7 +41,7 @@ def build_scd2(changes: DataFrame, staged: DataFrame, spec: ChangeLogSpec = DEFA
     if with_closing_operation:
         nxt["op"] = F.col(s.operation)
     seq = chunked_lead(changes.select(*needed), [s.entity], order_cols, nxt, "_next",
-                       chunk_minutes=chunk_minutes, hot_source=staged.select(s.entity))
+                       chunk_minutes=chunk_minutes, hot_source=staged.select(s.entity, order_cols[0]))
     versions = seq.where(F.col(s.operation) != F.lit(s.delete_value)).select(
         version_key(s.entity, s.change_id).alias(s.version_id),
         F.col(s.entity),

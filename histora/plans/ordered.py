@@ -42,6 +42,7 @@ HOT_ROWS_CONF = "spark.histora.hotEntityRows"        # [1000000] an entity above
 MAX_HOT_CONF = "spark.histora.maxHotEntities"        # [10000] at most this many split (broadcast bound)
 CHUNK_MINUTES_CONF = "spark.histora.hotChunkMinutes"  # [60] time chunk of a hot entity
 MIN_BYTES_CONF = "spark.histora.hotCheckMinBytes"     # [268435456] smaller inputs are never split
+CHUNK_ROWS_CONF = "spark.histora.hotChunkRows"        # [1000000] target rows per chunk of a hot entity
 
 
 def _estimated_bytes(df: DataFrame) -> int | None:
@@ -65,17 +66,22 @@ def time_chunk(df: DataFrame, col: str, minutes: int = 60) -> Column:
     return chunk_of(F.col(col), df.schema[col].dataType, minutes)
 
 
-def chunk_of(c: Column, dtype: T.DataType, minutes: int = 60) -> Column:
-    """:func:`time_chunk` of an expression of type ``dtype``."""
+def order_units(c: Column, dtype: T.DataType) -> Column:
+    """Whole minutes since 1970 for times (from calendar fields, zone-free), the value itself else."""
     if isinstance(dtype, (T.TimestampNTZType, T.TimestampType, T.DateType)):
         if isinstance(dtype, T.TimestampType):
             c = c.cast("timestamp_ntz")
         mins = F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date")).cast("long") * 1440
         if not isinstance(dtype, T.DateType):
             mins = mins + F.hour(c) * 60 + F.minute(c)
-        bucket = F.floor(mins / F.lit(minutes))
-    else:
-        bucket = F.floor(c / F.lit(minutes))
+        return mins
+    return c
+
+
+def chunk_of(c: Column, dtype: T.DataType, minutes: int | Column = 60) -> Column:
+    """:func:`time_chunk` of an expression of type ``dtype`` (``minutes`` may be a per-row column)."""
+    width = minutes if isinstance(minutes, Column) else F.lit(minutes)
+    bucket = F.floor(order_units(c, dtype) / width)
     return F.coalesce(bucket.cast("long"), F.lit(_NULL_CHUNK).cast("long"))
 
 
@@ -133,26 +139,45 @@ def _prepare(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_min
     """
     df, pkeys = _partition_keys(df, keys)
     minutes = chunk_minutes or _conf(df, CHUNK_MINUTES_CONF, 60)
-    fine = time_chunk(df, order[0], minutes)
     hot_rows = _conf(df, HOT_ROWS_CONF, 1_000_000)
     if hot_rows <= 0:
-        df = df.withColumn(CHUNK, fine)
+        df = df.withColumn(CHUNK, time_chunk(df, order[0], minutes))
         return df.repartition(*pkeys, CHUNK), [*pkeys, CHUNK], F.lit(True)
     # Heavy hitters: a partial count per entity, then the top ``max_hot`` above the threshold. The result
     # has at most ``max_hot`` rows, so broadcasting it is bounded and the big side is not shuffled for the
-    # lookup. Everything else is one chunk per entity.
+    # lookup. Everything else is one chunk per entity. When the count source has the first order column,
+    # each hot entity also gets its own chunk width: its span divided so that a chunk holds about
+    # ``spark.histora.hotChunkRows`` rows, however dense in time the entity is.
     max_hot = _conf(df, MAX_HOT_CONF, 10_000)
-    src = df if hot_source is None else _partition_keys(
-        hot_source.select(*[hot_source[k].cast(df.schema[k].dataType).alias(k) for k in keys]), keys)[0]
-    # ``_h`` hashes every column, so the count reads the same plan as the scan below and Spark reuses the
-    # upstream exchanges instead of recomputing them for the count.
-    heavy = (src.groupBy(*pkeys).agg(F.count(F.lit(1)).alias("_n"),
-                                     F.max(F.xxhash64(*[F.col(c) for c in src.columns])).alias("_h"))
+    o = order[0]
+    if hot_source is None:
+        src = df
+    else:
+        cols = [hot_source[k].cast(df.schema[k].dataType).alias(k) for k in keys]
+        if o in hot_source.columns:
+            cols.append(hot_source[o].cast(df.schema[o].dataType).alias(o))
+        src = _partition_keys(hot_source.select(*cols), keys)[0]
+    adaptive = chunk_minutes is None and o in src.columns
+    aggs = [F.count(F.lit(1)).alias("_n"),
+            # ``_h`` hashes every column, so the count reads the same plan as the scan below and Spark
+            # reuses the upstream exchanges instead of recomputing them for the count.
+            F.max(F.xxhash64(*[F.col(c) for c in src.columns])).alias("_h")]
+    if adaptive:
+        units = order_units(F.col(o), df.schema[o].dataType)
+        aggs += [F.min(units).alias("_lo"), F.max(units).alias("_hi")]
+    heavy = (src.groupBy(*pkeys).agg(*aggs)
              .where((F.col("_n") > hot_rows) & F.col("_h").isNotNull())
-             .orderBy(F.col("_n").desc()).limit(max_hot)
-             .select(*pkeys, F.lit(True).alias("_hot")))
+             .orderBy(F.col("_n").desc()).limit(max_hot))
+    if adaptive:
+        target = _conf(df, CHUNK_ROWS_CONF, 1_000_000)
+        span = F.coalesce(F.col("_hi") - F.col("_lo"), F.lit(0)) + F.lit(1)
+        width = F.greatest(F.lit(1), F.ceil(span * F.lit(target) / F.col("_n"))).cast("long")
+        heavy = heavy.select(*pkeys, F.lit(True).alias("_hot"), width.alias("_width"))
+    else:
+        heavy = heavy.select(*pkeys, F.lit(True).alias("_hot"), F.lit(minutes).cast("long").alias("_width"))
     df = df.join(F.broadcast(heavy), list(pkeys), "left").withColumn("_hot", F.coalesce(F.col("_hot"), F.lit(False)))
-    df = df.withColumn(CHUNK, F.when(F.col("_hot"), fine).otherwise(F.lit(0).cast("long")))
+    chunk = chunk_of(F.col(o), df.schema[o].dataType, F.col("_width"))
+    df = df.withColumn(CHUNK, F.when(F.col("_hot"), chunk).otherwise(F.lit(0).cast("long"))).drop("_width")
     return df.repartition(*pkeys, CHUNK), [*pkeys, CHUNK], F.col("_hot")
 
 

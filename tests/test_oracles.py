@@ -43,3 +43,21 @@ def split_results(spark):
 @pytest.mark.parametrize("name", SPLIT_KEYS)
 def test_query_matches_oracle_with_every_entity_split(split_results, name):
     assert split_results[name]["match"], split_results[name]
+
+
+@pytest.fixture(scope="module")
+def adaptive_results(spark):
+    from histora.plans.ordered import CHUNK_ROWS_CONF, HOT_ROWS_CONF, MIN_BYTES_CONF
+    confs = {MIN_BYTES_CONF: "0", HOT_ROWS_CONF: "20", CHUNK_ROWS_CONF: "4"}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        return compare(spark, SF, SPLIT_KEYS)
+    finally:
+        for k in confs:
+            spark.conf.unset(k)
+
+
+@pytest.mark.parametrize("name", SPLIT_KEYS)
+def test_query_matches_oracle_with_adaptive_split(adaptive_results, name):
+    assert adaptive_results[name]["match"], adaptive_results[name]

@@ -76,3 +76,27 @@ def test_running(spark, all_hot, how, descending, include):
     got = chunked_running(df, ["k"], ["t", "id"], F.col("v"), "r", how, descending=descending,
                           include_current=include, chunk_minutes=300)
     assert sorted(map(tuple, got.select("id", "r").collect())) == want
+
+
+@pytest.mark.parametrize("seed", [7, 8])
+def test_adaptive_chunks_for_heavy_entities(spark, seed):
+    """Only the heavy entity is split, into chunks sized by its own row count and time span."""
+    from histora.plans.ordered import CHUNK_ROWS_CONF
+    spark.conf.set(MIN_BYTES_CONF, "0")
+    spark.conf.set(HOT_ROWS_CONF, "100")
+    spark.conf.set(CHUNK_ROWS_CONF, "15")
+    try:
+        df = _data(spark, seed)
+        w = Window.partitionBy("k").orderBy(F.col("t").asc_nulls_last(), F.col("id").asc_nulls_last())
+        want = df.select("id", F.lead("id").over(w).alias("nxt"), F.row_number().over(w).alias("rn"),
+                         F.max("v").over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("mx"))
+        a = chunked_lead(df, ["k"], ["t", "id"], {"id": F.col("id")}, "n", row_number="rn")
+        b = chunked_running(df, ["k"], ["t", "id"], F.col("v"), "mx", "max")
+        got = a.select("id", F.col("n.id").alias("nxt"), "rn").join(b.select("id", "mx"), "id")
+        assert sorted(map(tuple, got.select("id", "nxt", "rn", "mx").collect())) == \
+            sorted(map(tuple, want.collect()))
+        plan = a._jdf.queryExecution().optimizedPlan().toString()
+        assert "_chunk" in plan
+    finally:
+        for c in (MIN_BYTES_CONF, HOT_ROWS_CONF, CHUNK_ROWS_CONF):
+            spark.conf.unset(c)
