@@ -56,6 +56,7 @@ def main() -> None:
         # this data is far below the 256 MB size check: force the heavy-hitter path so it is measured
         spark.conf.set("spark.histora.hotCheckMinBytes", "0")
         spark.conf.set("spark.histora.hotEntityRows", os.environ.get("SCALE_HOT_ROWS", "100000"))
+        spark.conf.set("spark.histora.hotChunkRows", os.environ.get("SCALE_CHUNK_ROWS", "200000"))
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="histora-scale-"))
 
