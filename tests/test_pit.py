@@ -69,3 +69,26 @@ def test_range_equals_asof_on_derived_log(spark):
     assert a.count() == b.count() == 500
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     assert a.where(F.col("matched_historical_state")).count() == 470
+
+
+def test_bucketed_tables_join_without_exchange(spark):
+    """History and events saved bucketed by entity: the point-in-time join does not shuffle."""
+    import uuid
+
+    import __spark_entry__ as entry
+    from histora.session import checkpoint_dir
+    from histora.sources.bucketed import save_bucketed
+    sf = "/root/testdata/sf0.001"
+    base = f"{checkpoint_dir(spark)}/bucketed-{uuid.uuid4().hex}"
+    tag = uuid.uuid4().hex[:8]
+    dim = save_bucketed(entry._dim(spark, sf), f"dim_{tag}", "customer_id", 8, f"{base}/dim")
+    facts = save_bucketed(entry._facts(spark, sf), f"facts_{tag}", "customer_id", 8, f"{base}/facts")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # force the sort-merge join
+    try:
+        out = point_in_time_join(facts, dim, strategy="range")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert out.count() == 500 and out.where("matched_historical_state").count() == 470
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
