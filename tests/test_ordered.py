@@ -100,3 +100,32 @@ def test_adaptive_chunks_for_heavy_entities(spark, seed):
     finally:
         for c in (MIN_BYTES_CONF, HOT_ROWS_CONF, CHUNK_ROWS_CONF):
             spark.conf.unset(c)
+
+
+def test_hot_entity_is_spread_over_several_tasks(spark):
+    """After the split scan the heavy entity's rows sit in many partitions; a plain window uses one."""
+    from histora.plans.ordered import CHUNK_ROWS_CONF
+    confs = {MIN_BYTES_CONF: "0", HOT_ROWS_CONF: "100", CHUNK_ROWS_CONF: "20",
+             "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k, None) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        df = _data(spark, 9)
+        out = chunked_lead(df, ["k"], ["t", "id"], {"id": F.col("id")}, "n")
+        # the partition id is taken before the filter (a non-deterministic projection is not pushed
+        # through) and the window output stays referenced -- also by the final action, so collect rather
+        # than count -- else the unused window would be pruned away
+        hot = len(out.select("k", "n", F.spark_partition_id().alias("p")).where("k = 0")
+                  .groupBy("p").agg(F.count("n")).collect())
+        w = Window.partitionBy("k").orderBy("t", "id")
+        plain = len(df.withColumn("n", F.lead("id").over(w)).select("k", "n", F.spark_partition_id().alias("p"))
+                    .where("k = 0").groupBy("p").agg(F.count("n")).collect())
+        assert plain == 1
+        assert hot > 4
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
