@@ -113,3 +113,24 @@ def test_closing_operation_and_sql_views(spark, scripted_log):
     n = spark.sql("SELECT count(*) FROM t_events_enriched WHERE matched_historical_state").first()[0]
     assert n == 3
     assert spark.sql("SELECT count(*) FROM t_dimension_scd2").first()[0] == 42
+
+
+def test_sql_filters_on_views_reach_the_parquet_scan(spark, scripted_log, tmp_path):
+    from histora.plans.views import register_views
+    from histora.sources import read_change_log
+    from histora.spec import EVENT_SCHEMA
+    scripted_log.write.parquet(str(tmp_path / "log"))
+    log = read_change_log(spark, str(tmp_path / "log"), fmt="parquet")
+    ev = spark.createDataFrame([], EVENT_SCHEMA)
+    register_views(spark, log, ev, prefix="pq_")
+    df = spark.sql("SELECT change_id FROM pq_stg_changes "
+                   "WHERE ingested_at <= TIMESTAMP_NTZ'2026-03-01 00:00:00' AND customer_id = 11")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")   # do not truncate the scan's metadata
+    try:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "PushedFilters: [IsNotNull(ingested_at), IsNotNull(customer_id)," in plan
+    assert "LessThanOrEqual(ingested_at," in plan and "EqualTo(customer_id,11)" in plan
+    assert "scenario_tag" not in plan.split("ReadSchema:")[1].split("\n")[0]   # unused columns pruned
+    assert df.count() == 0
