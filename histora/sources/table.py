@@ -111,7 +111,8 @@ class BucketedTable:
         """Keyed replace (A4): drop every row whose key is in ``keys``, add ``rows``; touch only their buckets.
 
         ``keys`` is the replaced key *set* (not the keys present in ``rows``), so a key rebuilt to zero
-        rows disappears as well.
+        rows disappears as well. Every key of ``rows`` must be in ``keys`` (the rebuild of exactly that
+        set), otherwise the old rows of such a key would stay next to the new ones.
         """
         m = self._manifest()
         keys = keys.select(self.key).distinct()

@@ -81,7 +81,7 @@ def start_repair_stream(spark: SparkSession, landing_path: str, tables: RepairSt
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.load(landing_path)
     writer = (stream.writeStream
-              .foreachBatch(lambda df, bid: _process_batch(spark, tables, spec, chunk_minutes, df, bid))
+              .foreachBatch(lambda df, bid: _process_batch(df.sparkSession, tables, spec, chunk_minutes, df, bid))
               .option("checkpointLocation", checkpoint_path))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
     return writer.start()
