@@ -133,3 +133,42 @@ class BucketedTable:
         buckets.update({b: v for b in written})
         self._publish(v, buckets, schema)
         return v
+
+    # -- retention ----------------------------------------------------------------------------------
+    def vacuum(self, retain_versions: int = 2) -> list[str]:
+        """Delete data folders no retained manifest references, and older manifests.
+
+        The last ``retain_versions`` manifests stay readable (a reader that picked an older snapshot
+        before the vacuum may fail, the usual retention contract). Returns the deleted paths.
+        """
+        current = self.current_version()
+        if current == 0:
+            return []
+        keep = range(max(1, current - retain_versions + 1), current + 1)
+        referenced = set()
+        for v in keep:
+            referenced.update(self._manifest(v)["buckets"].items())
+        deleted = []
+        data = self._Path(f"{self.root}/data")
+        for vdir in self._fs.listStatus(data) if self._fs.exists(data) else []:
+            name = vdir.getPath().getName()
+            if not name.startswith("v="):
+                continue
+            version = int(name[2:])
+            if version > current:
+                continue          # a write in progress for the next version
+            for bdir in self._fs.listStatus(vdir.getPath()):
+                bname = bdir.getPath().getName()
+                if bname.startswith("bucket=") and (int(bname.split("=", 1)[1]), version) not in referenced:
+                    self._fs.delete(bdir.getPath(), True)
+                    deleted.append(str(bdir.getPath()))
+            if not any(st.getPath().getName().startswith("bucket=") for st in self._fs.listStatus(vdir.getPath())):
+                self._fs.delete(vdir.getPath(), True)
+        for st in self._fs.listStatus(self._Path(self._manifest_dir())):
+            name = st.getPath().getName()
+            if name.endswith(".json") and name[:-5].isdigit() and int(name[:-5]) < keep.start:
+                self._fs.delete(st.getPath(), False)
+                deleted.append(str(st.getPath()))
+            elif name.startswith("_tmp-"):
+                self._fs.delete(st.getPath(), False)
+        return deleted
