@@ -24,7 +24,7 @@ from histora.operators import (  # noqa: E402
     table_diff, unique_violations,
 )
 from histora.operators.incremental import rebuild_entities  # noqa: E402
-from histora.operators.quality import dimension_checks, validate  # noqa: E402
+from histora.operators.quality import declared_check_list, declared_checks, dimension_checks, validate  # noqa: E402
 from histora.session import work_path  # noqa: E402
 from histora.sources import derived_change_log, derived_facts, scenario_catalog  # noqa: E402
 from histora.sources.table import BucketedTable  # noqa: E402
@@ -194,6 +194,17 @@ def q_validate_dimension(spark, sf):
     return validate(dimension_checks(_dim(spark, sf, order="ingest")))
 
 
+def q_validate_all_layers(spark, sf):
+    """Every declared not-null / unique / accepted-values / temporal test of every layer, as one job."""
+    staged = _staged(spark, sf)
+    changes = deduplicate_changes(staged)
+    dim = build_scd2(changes, staged)
+    facts = _facts(spark, sf)
+    layers = {"staging": staged, "events": facts, "changes": changes, "sequence": sequence_changes(changes),
+              "dimension": dim, "facts": facts, "serving": point_in_time_join(facts, dim)}
+    return validate(declared_checks(layers))
+
+
 def q_interval_order_violations(spark, sf):
     return interval_order_violations(_dim(spark, sf, order="ingest"))
 
@@ -259,6 +270,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "current_record_violations": q_current_record_violations,
     "interval_order_violations": q_interval_order_violations,
     "validate_dimension": q_validate_dimension,
+    "validate_all_layers": q_validate_all_layers,
     "not_null_violations": q_not_null_violations,
     "unique_violations": q_unique_violations,
     "accepted_values_violations": q_accepted_values_violations,
@@ -419,6 +431,30 @@ UNION ALL
 SELECT * FROM new_rows"""
 
 
+def _sql_declared_checks() -> str:
+    views = {"staging": "staged", "events": "facts", "changes": "changes", "sequence": "sequenced",
+             "dimension": "dim", "facts": "facts", "serving": "enriched"}
+    parts = []
+    for name, layer, kind, col in declared_check_list():
+        v = views[layer]
+        if kind == "not_null":
+            q = f"SELECT count(*) FROM {v} WHERE {col} IS NULL"
+        elif kind == "unique":
+            q = (f"SELECT count(*) FROM (SELECT {col} FROM {v} WHERE {col} IS NOT NULL "
+                 f"GROUP BY {col} HAVING count(*) > 1) u")
+        elif kind == "accepted_values":
+            q = (f"SELECT count(*) FROM (SELECT {col} FROM {v} GROUP BY {col}) a "
+                 f"WHERE {col} NOT IN ('INSERT', 'UPDATE', 'DELETE')")
+        elif kind == "no_overlapping_validity_windows":
+            q = "SELECT count(*) FROM overlap"
+        elif kind == "exactly_one_current_record":
+            q = "SELECT count(*) FROM tallied WHERE c > 1 OR (o > 0 AND c <> 1) OR (o = 0 AND c <> 0)"
+        else:
+            q = "SELECT count(*) FROM dim WHERE valid_to IS NOT NULL AND valid_from >= valid_to"
+        parts.append(f"SELECT '{name}' AS check_name, ({q}) AS violations")
+    return "\nUNION ALL\n".join(parts)
+
+
 def oracle_sql() -> dict[str, str]:
     full = _full_dim_ctes()
     dim_select = f"SELECT {_DIM_COLS} FROM dim"
@@ -516,6 +552,23 @@ counts AS (
            (SELECT count(*) FROM (SELECT customer_version_id FROM dim WHERE customer_version_id IS NOT NULL
                                   GROUP BY customer_version_id HAVING count(*) > 1) d)
 )""") + """
+SELECT check_name, CAST(violations AS BIGINT) AS violations, violations = 0 AS passed FROM counts""",
+        "validate_all_layers": _with(_sql_staged("staged"), _sql_dedup("changes", "staged"),
+                                     _sql_dim("dim", "changes", "staged"), """
+sequenced AS (
+    SELECT changes.*, row_number() OVER (PARTITION BY customer_id ORDER BY source_updated_at, change_id)
+           AS change_seq
+    FROM changes
+),
+enriched AS (""" + _PIT + """),
+base AS (SELECT customer_id AS entity_id, valid_from, valid_to FROM dim),
+overlap AS (""" + _OVERLAP + """),
+tallied AS (
+    SELECT customer_id,
+           sum(CASE WHEN row_current THEN 1 ELSE 0 END) AS c, sum(CASE WHEN valid_to IS NULL THEN 1 ELSE 0 END) AS o
+    FROM dim GROUP BY customer_id
+),
+counts AS (""" + _sql_declared_checks() + """)""") + """
 SELECT check_name, CAST(violations AS BIGINT) AS violations, violations = 0 AS passed FROM counts""",
         "interval_order_violations": _with(*_full_dim_ctes("ingest")) + """
 SELECT customer_id, source_change_id, valid_from, valid_to FROM dim

@@ -188,3 +188,54 @@ def dimension_checks(dim: DataFrame, entity_key: str = "customer_id",
                                               "source_change_id"], keep=[version_id]),
         "unique_version_id": unique_violations(dim, version_id),
     }
+
+
+# The declared tests of every layer (column lists of the change-log data model).
+STAGING_NOT_NULL = ("received_id", "change_id", "customer_id", "operation", "source_updated_at", "ingested_at")
+EVENTS_NOT_NULL = ("event_id", "customer_id", "event_timestamp")
+CHANGES_NOT_NULL = ("change_id", "customer_id")
+SEQUENCE_NOT_NULL = ("change_id", "change_seq")
+DIMENSION_NOT_NULL = ("customer_version_id", "customer_id", "valid_from", "row_current", "source_change_id")
+SERVING_NOT_NULL = ("event_id", "customer_id", "event_timestamp", "matched_historical_state")
+ACCEPTED_OPERATIONS = ("INSERT", "UPDATE", "DELETE")
+
+
+def declared_check_list() -> list[tuple[str, str, str, str]]:
+    """(check name, layer, kind, column) of every declared test, in a fixed order."""
+    out = []
+    for layer, kind, cols in (("staging", "not_null", STAGING_NOT_NULL), ("staging", "unique", ("received_id",)),
+                              ("staging", "accepted_values", ("operation",)),
+                              ("events", "not_null", EVENTS_NOT_NULL), ("events", "unique", ("event_id",)),
+                              ("changes", "not_null", CHANGES_NOT_NULL), ("changes", "unique", ("change_id",)),
+                              ("sequence", "not_null", SEQUENCE_NOT_NULL), ("sequence", "unique", ("change_id",)),
+                              ("dimension", "not_null", DIMENSION_NOT_NULL),
+                              ("dimension", "unique", ("customer_version_id",)),
+                              ("dimension", "no_overlapping_validity_windows", ("",)),
+                              ("dimension", "exactly_one_current_record", ("",)),
+                              ("dimension", "closed_intervals_ordered", ("",)),
+                              ("facts", "not_null", EVENTS_NOT_NULL), ("facts", "unique", ("event_id",)),
+                              ("serving", "not_null", SERVING_NOT_NULL), ("serving", "unique", ("event_id",))):
+        for c in cols:
+            out.append((f"{layer}.{kind}" + (f".{c}" if c else ""), layer, kind, c))
+    return out
+
+
+def declared_checks(layers: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Violating rows of every declared test; ``layers`` maps staging/events/changes/sequence/dimension/
+    facts/serving to their DataFrames. Run them together with :func:`validate`."""
+    checks = {}
+    for name, layer, kind, col in declared_check_list():
+        df = layers[layer]
+        if kind == "not_null":
+            checks[name] = not_null_violations(df, [col])
+        elif kind == "unique":
+            checks[name] = unique_violations(df, col)
+        elif kind == "accepted_values":
+            checks[name] = accepted_values_violations(df, col, ACCEPTED_OPERATIONS)
+        elif kind == "no_overlapping_validity_windows":
+            checks[name] = overlap_violations(df)
+        elif kind == "exactly_one_current_record":
+            checks[name] = current_record_violations(df)
+        else:
+            checks[name] = interval_order_violations(df)
+    return checks
