@@ -122,3 +122,50 @@ def test_csv_scan_fails_fast_on_bad_rows(spark, tmp_path):
                  "2026-01-01 00:00:00,2026-01-01 00:01:00,t\n")
     with pytest.raises(Exception):
         read_change_log(spark, str(p)).collect()
+
+
+def _brute_overlaps(rows):
+    """The pair definition, row by row: inverted rows, then one row per (a, b) overlapping pair."""
+    far = datetime(9999, 12, 31)
+    out = []
+    for e, f, t in rows:
+        if t is not None and f is not None and f >= t:
+            out.append((e, f, t, "inverted_or_zero_width"))
+    for ea, fa, ta in rows:
+        for eb, fb, tb in rows:
+            if ea is None or eb is None or ea != eb or fa is None or fb is None:
+                continue
+            if fa == fb and ta == tb:
+                continue
+            if fa < (tb if tb is not None else far) and fb < (ta if ta is not None else far):
+                out.append((ea, fa, ta, "overlap"))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("seed,split", [(11, False), (12, False), (13, True), (14, True)])
+def test_overlap_check_equals_pair_definition(spark, seed, split):
+    from histora.operators import overlap_violations
+    from histora.plans.ordered import HOT_ROWS_CONF
+    rnd = random.Random(seed)
+    rows = []
+    for _ in range(160):
+        e = rnd.choice([1, 2, 3, 4, None])
+        f = None if rnd.random() < 0.03 else T0 + timedelta(hours=rnd.randrange(0, 60))
+        kind = rnd.random()
+        if kind < 0.15:
+            t = None                                                   # open
+        elif kind < 0.35 and f is not None:
+            t = f - timedelta(hours=rnd.randrange(0, 10))              # inverted or zero-width
+        else:
+            t = (f or T0) + timedelta(hours=rnd.randrange(1, 20))
+        rows.append((e, f, t))
+        if rnd.random() < 0.1:
+            rows.append((e, f, t))                                     # exact duplicate
+    df = spark.createDataFrame(rows, "customer_id int, valid_from timestamp_ntz, valid_to timestamp_ntz")
+    if split:
+        spark.conf.set(HOT_ROWS_CONF, "0")
+    try:
+        got = sorted((tuple(r) for r in overlap_violations(df).collect()), key=repr)
+    finally:
+        spark.conf.unset(HOT_ROWS_CONF)
+    assert got == _brute_overlaps(rows)
