@@ -169,3 +169,49 @@ def test_overlap_check_equals_pair_definition(spark, seed, split):
     finally:
         spark.conf.unset(HOT_ROWS_CONF)
     assert got == _brute_overlaps(rows)
+
+
+def _or3(vals):
+    """SQL OR over three-valued booleans."""
+    if any(v is True for v in vals):
+        return True
+    return None if any(v is None for v in vals) else False
+
+
+def _brute_sequence(rows):
+    rid = {id(r): hashlib.md5("|".join([r[0], str(r[1]), _fmt(r[8]), _fmt(r[7])]).encode()).hexdigest() for r in rows}
+    def key(r):
+        rest = (r[1], r[2].upper(), r[3], r[4], r[5], r[6], r[7], r[9])
+        return (r[8], rid[id(r)]) + tuple((v is None, v) for v in rest)
+    first = {}
+    for r in rows:
+        if r[0] not in first or key(r) < key(first[r[0]]):
+            first[r[0]] = r
+    by_entity = {}
+    for r in first.values():
+        by_entity.setdefault(r[1], []).append(r)
+    out = []
+    for e, rs in by_entity.items():
+        rs.sort(key=lambda r: (r[7], r[0]))
+        for i, r in enumerate(rs):
+            nxt = rs[i + 1] if i + 1 < len(rs) else None
+            peers = [p for p in rs if p[7] == r[7]]
+            diffs = []
+            for j in (3, 4, 5, 6):
+                vals = [int(p[j]) if isinstance(p[j], bool) else p[j] for p in peers if p[j] is not None]
+                diffs.append(None if not vals else (min(vals) != max(vals)))
+            flag = (len(peers) > 1) and _or3(diffs) if len(peers) > 1 else False
+            out.append((r[0], i + 1, nxt[7] if nxt else None, nxt[0] if nxt else None,
+                        nxt[2].upper() if nxt else None, len(peers), flag))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("seed", [21, 22])
+def test_sequence_equals_brute_force(spark, seed):
+    from histora.operators import sequence_changes
+    rows = random_log(seed, 150)
+    seq = sequence_changes(deduplicate_changes(stage_changes(spark.createDataFrame(rows, CDC_SCHEMA))))
+    got = sorted((tuple(r) for r in seq.select("change_id", "change_seq", "next_source_updated_at", "next_change_id",
+                                               "next_operation", "same_timestamp_change_count",
+                                               "is_ambiguous_tie").collect()), key=repr)
+    assert got == _brute_sequence(rows)
