@@ -20,6 +20,7 @@ from __future__ import annotations
 import json
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from histora.functions.exprs import entity_bucket
@@ -92,6 +93,18 @@ class BucketedTable:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*self._paths(live))
 
+    def read_keys(self, values: list) -> DataFrame:
+        """Rows of the given keys, reading only their buckets (B20: a pruned history lookup).
+
+        The bucket ids come from the same Spark hash over a tiny literal frame, so they always agree with
+        the writer's.
+        """
+        schema = T.StructType.fromJson(json.loads(self._manifest()["schema"]))
+        key_type = schema[self.key].dataType
+        lookup = self.spark.createDataFrame([(v,) for v in values], T.StructType([T.StructField(self.key, key_type)]))
+        buckets = sorted({r[0] for r in lookup.select(entity_bucket(self.key, self.n_buckets)).collect()})
+        return self.read(buckets).where(F.col(self.key).isin(list(values)))
+
     # -- writes -------------------------------------------------------------------------------------
     def _write(self, df: DataFrame, version: int) -> list[int]:
         (df.withColumn("bucket", entity_bucket(self.key, self.n_buckets))

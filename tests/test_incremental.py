@@ -179,3 +179,13 @@ def test_vacuum_keeps_live_buckets(spark, scripted_log):
     assert any("/data/v=1/" in d for d in deleted) and any("/data/v=2/" in d for d in deleted)
     assert table_diff(table.read(), _dim(scripted_log), CANON).count() == 0
     assert table.vacuum(retain_versions=1) == []
+
+
+def test_read_keys_reads_only_their_bucket(spark, scripted_log):
+    root = f"{checkpoint_dir(spark)}/test-table-{uuid.uuid4().hex}"
+    table = BucketedTable(spark, root, "customer_id", n_buckets=8)
+    table.overwrite(_dim(scripted_log))
+    df = table.read_keys([42])
+    folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+    assert len(folders) == 1 and "/bucket=" in folders.pop()      # only the key's bucket is read
+    assert intervals(df, 42) == EXPECTED_42
