@@ -170,6 +170,11 @@ def q_pit_ingest_order_auto(spark, sf):
     return point_in_time_join(_facts(spark, sf), _dim(spark, sf, order="ingest"), strategy="auto")
 
 
+def q_pit_ingest_order_bucketed(spark, sf):
+    """Bucketed range join over the overlapping ingest-order history (several matches per event)."""
+    return point_in_time_join(_facts(spark, sf), _dim(spark, sf, order="ingest"), strategy="range_bucketed")
+
+
 def q_current_state(spark, sf):
     return current_state(_dim(spark, sf))
 
@@ -264,6 +269,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pit_asof": q_pit_asof,
     "pit_auto": q_pit_auto,
     "pit_ingest_order_auto": q_pit_ingest_order_auto,
+    "pit_ingest_order_bucketed": q_pit_ingest_order_bucketed,
     "current_state": q_current_state,
     "entity_history": q_entity_history,
     "overlap_violations": q_overlap_violations,
@@ -508,6 +514,7 @@ WHERE ingested_at > (SELECT coalesce(max(last_seen_ingested_at), TIMESTAMP '1970
         "pit_asof": _with(*full) + _PIT,
         "pit_auto": _with(*full) + _PIT,
         "pit_ingest_order_auto": _with(*_full_dim_ctes("ingest")) + _PIT,
+        "pit_ingest_order_bucketed": _with(*_full_dim_ctes("ingest")) + _PIT,
         "current_state": _with(*full) + f"\nSELECT {_DIM_COLS} FROM dim WHERE row_current",
         "entity_history": _with(*full) + f"\nSELECT {_DIM_COLS} FROM dim WHERE customer_id = {HISTORY_ENTITY}",
         "overlap_violations": _with(*_full_dim_ctes("ingest"), """

@@ -215,3 +215,28 @@ def test_sequence_equals_brute_force(spark, seed):
                                                "next_operation", "same_timestamp_change_count",
                                                "is_ambiguous_tie").collect()), key=repr)
     assert got == _brute_sequence(rows)
+
+
+@pytest.mark.parametrize("seed", [31, 32])
+def test_bucketed_range_join_equals_range_join(spark, seed):
+    """Overlapping, inverted, open and NULL-bounded versions; events before, inside, between and after."""
+    rnd = random.Random(seed)
+    dims = []
+    for i in range(120):
+        e = rnd.randrange(1, 5)
+        f = None if rnd.random() < 0.03 else T0 + timedelta(hours=rnd.randrange(0, 24 * 10))
+        t = None if rnd.random() < 0.2 else (f or T0) + timedelta(hours=rnd.randrange(-10, 24 * 4))
+        dims.append((f"{e}-v{i}", e, "US", "free", "active", False, f, t, t is None, f"v{i}"))
+    dim = spark.createDataFrame(dims, "customer_version_id string, customer_id int, country_code string, "
+                                "subscription_tier string, account_status string, email_verified boolean, "
+                                "valid_from timestamp_ntz, valid_to timestamp_ntz, row_current boolean, "
+                                "source_change_id string")
+    ev = spark.createDataFrame(
+        [(f"e{i}", rnd.randrange(0, 6), "x",
+          None if rnd.random() < 0.03 else T0 + timedelta(minutes=rnd.randrange(-600, 60 * 24 * 16)))
+         for i in range(300)], EVENT_SCHEMA)
+    rng = point_in_time_join(ev, dim, strategy="range")
+    for strategy in ("range_bucketed", "auto"):
+        other = point_in_time_join(ev, dim, strategy=strategy)
+        assert other.count() == rng.count()
+        assert rng.exceptAll(other).count() == 0 and other.exceptAll(rng).count() == 0, strategy
