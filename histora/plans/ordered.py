@@ -11,9 +11,11 @@ hold a third of all rows. These helpers run the same scans as two levels instead
 1. rows are hash-partitioned once on ``(entity, chunk)``, where ``chunk`` is a monotone coarsening of the
    first order column, and the window runs per ``(entity, chunk)``. Only *hot* entities are chunked by
    time: a partial count per entity finds the at most ``spark.histora.maxHotEntities`` heaviest entities
-   above ``spark.histora.hotEntityRows`` rows (a top-k with a proven size bound, so it is broadcast);
-   their rows get ``spark.histora.hotChunkMinutes``-wide time chunks and spread over as many tasks as they
-   have chunks. Every other entity is one chunk, i.e. it costs what a plain window costs;
+   above ``spark.histora.hotEntityRows`` rows (a top-k with a proven size bound, so it is broadcast); each
+   gets its own chunk width -- its time span split so that a chunk holds about
+   ``spark.histora.hotChunkRows`` rows (``spark.histora.hotChunkMinutes`` when the count source has no time
+   column) -- and spreads over as many tasks as it has chunks. Every other entity is one chunk, i.e. it
+   costs what a plain window costs;
 2. one summary row per ``(entity, chunk)`` (row count, first row, chunk aggregate) is scanned per entity;
    that table has one row per chunk, not per change;
 3. the summary is joined back on ``(entity, chunk)`` and combined with the local result.
