@@ -42,7 +42,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         conf = tempfile.mkdtemp(prefix="histora-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", conf)
+        try:
+            spark.conf.set("spark.checkpoint.dir", conf)
+        except Exception:  # a session may refuse core settings at run time; the context setting suffices
+            pass
     spark.sparkContext.setCheckpointDir(conf)
     return conf.rstrip("/")
 
