@@ -20,7 +20,7 @@ from histora.operators import (  # noqa: E402
     accepted_values_violations, affected_entities, append_facts, arrival_anomalies, build_scd2,
     current_record_violations, current_state, deduplicate_changes, duplicate_deliveries, entity_watermarks,
     high_water, history, interval_order_violations, missing_scenarios, noop_changes, not_null_violations,
-    overlap_violations, point_in_time_join, sequence_changes, stage_changes, stage_events,
+    overlap_violations, point_in_time_join, repair_scd2_tail, sequence_changes, stage_changes, stage_events,
     table_diff, unique_violations,
 )
 from histora.operators.incremental import rebuild_entities  # noqa: E402
@@ -115,6 +115,11 @@ def q_scd2_incremental(spark, sf):
     return table.read()
 
 
+def q_scd2_incremental_tail(spark, sf):
+    """T1 table, then the bounded repair that rebuilds only the tails of the affected histories."""
+    return repair_scd2_tail(_dim(spark, sf, T1_CUTOFF), _staged(spark, sf))
+
+
 def q_scd2_stream_repair(spark, sf):
     """The log lands as three arrival batches; a streaming foreachBatch repair keeps the table current."""
     base = work_path(spark, "scd2_stream")
@@ -261,6 +266,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "high_water": q_high_water,
     "affected_entities": q_affected_entities,
     "scd2_incremental": q_scd2_incremental,
+    "scd2_incremental_tail": q_scd2_incremental_tail,
     "scd2_stream_repair": q_scd2_stream_repair,
     "facts_full": q_facts_full,
     "facts_event_time_append": q_facts_event_time_append,
@@ -504,6 +510,7 @@ FROM sequenced"""
 SELECT DISTINCT customer_id FROM staged_t2
 WHERE ingested_at > (SELECT coalesce(max(last_seen_ingested_at), TIMESTAMP '1970-01-01 00:00:00') FROM dim_t1)""",
         "scd2_incremental": _with(*full) + "\n" + dim_select,
+        "scd2_incremental_tail": _with(*full) + "\n" + dim_select,
         "scd2_stream_repair": _with(*full) + "\n" + dim_select,
         "facts_full": _with() + "\nSELECT * FROM facts",
         "facts_event_time_append": _append_sql(

@@ -123,3 +123,11 @@ def shared_change_ids(staged: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC) ->
     s = spec
     return (staged.groupBy(s.change_id).agg(F.countDistinct(s.entity).alias("entities"))
             .where(F.col("entities") > 1))
+
+
+def unstable_change_ids(staged: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC) -> DataFrame:
+    """change_ids whose deliveries disagree on entity or source time (the tail-repair contract)."""
+    s = spec
+    return (staged.groupBy(s.change_id)
+            .agg(F.countDistinct(s.entity).alias("entities"), F.countDistinct(s.source_ts).alias("source_times"))
+            .where((F.col("entities") > 1) | (F.col("source_times") > 1)))

@@ -189,3 +189,14 @@ def test_read_keys_reads_only_their_bucket(spark, scripted_log):
     folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
     assert len(folders) == 1 and "/bucket=" in folders.pop()      # only the key's bucket is read
     assert intervals(df, 42) == EXPECTED_42
+
+
+def test_tail_repair_on_scripted_log_and_vanishing_entity(spark, scripted_log):
+    from histora.operators import repair_scd2_tail
+    t1 = _dim(scripted_log, T1_CUTOFF)
+    repaired = repair_scd2_tail(t1, stage_changes(scripted_log))
+    assert intervals(repaired, 42) == EXPECTED_42
+    assert table_diff(repaired, _dim(scripted_log), CANON + ["last_seen_ingested_at"]).count() == 0
+    first = log_df(spark, [_row("a", 1, "INSERT", "2026-01-01 00:00:00", "2026-01-01 00:01:00")])
+    both = first.unionByName(log_df(spark, [_row("b", 1, "DELETE", "2026-01-01 00:00:00", "2026-01-02 00:00:00")]))
+    assert repair_scd2_tail(_dim(first), stage_changes(both)).count() == 0

@@ -240,3 +240,18 @@ def test_bucketed_range_join_equals_range_join(spark, seed):
         other = point_in_time_join(ev, dim, strategy=strategy)
         assert other.count() == rng.count()
         assert rng.exceptAll(other).count() == 0 and other.exceptAll(rng).count() == 0, strategy
+
+
+@pytest.mark.parametrize("seed", [41, 42, 43])
+def test_tail_repair_equals_full_build(spark, seed):
+    from histora.operators import repair_scd2_tail, unstable_change_ids
+    rows = random_log(seed, 150)
+    log = spark.createDataFrame(rows, CDC_SCHEMA)
+    staged = stage_changes(log)
+    assert unstable_change_ids(staged).count() == 0
+    full = _dim(log)
+    rnd = random.Random(seed)
+    for _ in range(3):
+        cut = T0 + timedelta(hours=rnd.randrange(0, 80))
+        t1 = _dim(log, cut)
+        assert table_diff(repair_scd2_tail(t1, staged), full, CANON).count() == 0
