@@ -24,7 +24,9 @@ from histora.operators import (  # noqa: E402
     table_diff, unique_violations,
 )
 from histora.operators.incremental import rebuild_entities  # noqa: E402
-from histora.operators.quality import declared_check_list, declared_checks, dimension_checks, validate  # noqa: E402
+from histora.operators.quality import (  # noqa: E402
+    declared_check_list, dimension_checks, validate, validate_declared,
+)
 from histora.session import work_path  # noqa: E402
 from histora.sources import derived_change_log, derived_facts, scenario_catalog  # noqa: E402
 from histora.sources.table import BucketedTable  # noqa: E402
@@ -212,7 +214,7 @@ def q_validate_all_layers(spark, sf):
     facts = _facts(spark, sf)
     layers = {"staging": staged, "events": facts, "changes": changes, "sequence": sequence_changes(changes),
               "dimension": dim, "facts": facts, "serving": point_in_time_join(facts, dim)}
-    return validate(declared_checks(layers))
+    return validate_declared(layers)
 
 
 def q_interval_order_violations(spark, sf):

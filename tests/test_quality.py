@@ -81,3 +81,21 @@ def test_table_diff_is_two_sided_multiset(spark):
     b = spark.createDataFrame([(1,), (3,)], "x int")
     got = sorted((r.x, r.diff_side) for r in table_diff(a, b, ["x"]).collect())
     assert got == [(1, "left_only"), (2, "left_only"), (3, "right_only")]
+
+
+def test_validate_declared_equals_one_check_per_branch(spark, scripted_log):
+    from histora.operators import deduplicate_changes, point_in_time_join, sequence_changes, stage_events
+    from histora.operators.quality import declared_checks, validate_declared
+    from histora.spec import EVENT_SCHEMA
+    from tests.fixtures_data import EVENTS_42
+    from tests.helpers import ts
+    staged = stage_changes(scripted_log)
+    changes = deduplicate_changes(staged)
+    dim = build_scd2(changes, staged, order="ingest")      # a defective build: some checks fail
+    ev = stage_events(spark.createDataFrame([(a, b, c, ts(d)) for a, b, c, d in EVENTS_42], EVENT_SCHEMA))
+    layers = {"staging": staged, "events": ev, "changes": changes, "sequence": sequence_changes(changes),
+              "dimension": dim, "facts": ev, "serving": point_in_time_join(ev, dim)}
+    a = {r.check_name: (r.violations, r.passed) for r in validate_declared(layers).collect()}
+    b = {r.check_name: (r.violations, r.passed) for r in validate(declared_checks(layers)).collect()}
+    assert a == b and len(a) == 36
+    assert a["dimension.no_overlapping_validity_windows"][1] is False
