@@ -88,6 +88,32 @@ def repair_scd2(dim: DataFrame, staged: DataFrame, spec: ChangeLogSpec = DEFAULT
     return kept.unionByName(rebuilt)
 
 
+def rebuild_tail(dim_rows: DataFrame, scoped: DataFrame, new: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC,
+                 chunk_minutes: int | None = DEFAULT_CHUNK_MINUTES) -> DataFrame:
+    """All versions of the entities in ``new`` after a bounded rebuild (the core of the tail repair).
+
+    ``dim_rows``: their current versions; ``scoped``: their whole staged log, ``new`` included; ``new``: the
+    deliveries that arrived since. Per entity, ``t`` is the earliest source time in ``new`` and ``b`` the
+    latest source time of the log strictly before ``t``: versions starting before ``b`` are kept (they end at
+    or before ``b``), the rest is rebuilt from the deliveries with source time >= ``b``.
+    """
+    s = spec
+    tmin = new.groupBy(s.entity).agg(F.min(s.source_ts).alias("_t"))
+    stats = (scoped.join(tmin, s.entity)
+             .groupBy(s.entity)
+             .agg(F.max(F.when(F.col(s.source_ts) < F.col("_t"), F.col(s.source_ts))).alias("_b"),
+                  F.max(s.ingest_ts).alias("_seen")))
+    tail = (scoped.join(stats, s.entity)
+            .where(F.col("_b").isNull() | (F.col(s.source_ts) >= F.col("_b")))
+            .drop("_b", "_seen"))
+    rebuilt = build_scd2(deduplicate_changes(tail, s), scoped, s, chunk_minutes=chunk_minutes)
+    kept = (dim_rows.join(stats, s.entity)
+            .where(F.col("_b").isNotNull() & (F.col("valid_from") < F.col("_b")))
+            .withColumn("last_seen_ingested_at", F.col("_seen"))
+            .select(*dim_rows.columns))
+    return kept.unionByName(rebuilt.select(*dim_rows.columns))
+
+
 def repair_scd2_tail(dim: DataFrame, staged: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC,
                      chunk_minutes: int | None = DEFAULT_CHUNK_MINUTES) -> DataFrame:
     """J2 with a bounded rebuild: only the part of each affected history that late rows can change.
@@ -104,22 +130,11 @@ def repair_scd2_tail(dim: DataFrame, staged: DataFrame, spec: ChangeLogSpec = DE
     s = spec
     mark = _scalar(high_water(dim))
     new = staged.where(F.col(s.ingest_ts) > mark)
-    tmin = new.groupBy(s.entity).agg(F.min(s.source_ts).alias("_t"))
-    scoped = staged.join(tmin.select(s.entity), s.entity, "left_semi")
-    stats = (scoped.join(tmin, s.entity)
-             .groupBy(s.entity)
-             .agg(F.max(F.when(F.col(s.source_ts) < F.col("_t"), F.col(s.source_ts))).alias("_b"),
-                  F.max(s.ingest_ts).alias("_seen")))
-    tail = (scoped.join(stats, s.entity)
-            .where(F.col("_b").isNull() | (F.col(s.source_ts) >= F.col("_b")))
-            .drop("_b", "_seen"))
-    rebuilt = build_scd2(deduplicate_changes(tail, s), scoped, s, chunk_minutes=chunk_minutes)
-    kept = (dim.join(stats, s.entity)
-            .where(F.col("_b").isNotNull() & (F.col("valid_from") < F.col("_b")))
-            .withColumn("last_seen_ingested_at", F.col("_seen"))
-            .select(*dim.columns))
-    untouched = dim.join(tmin.select(s.entity), s.entity, "left_anti")
-    return untouched.unionByName(kept).unionByName(rebuilt.select(*dim.columns))
+    keys = new.select(s.entity).distinct()
+    scoped = staged.join(keys, s.entity, "left_semi")
+    untouched = dim.join(keys, s.entity, "left_anti")
+    rebuilt = rebuild_tail(dim.join(keys, s.entity, "left_semi"), scoped, new, s, chunk_minutes)
+    return untouched.unionByName(rebuilt)
 
 
 def append_facts(existing: DataFrame, new: DataFrame, events: EventSpec = DEFAULT_EVENTS,

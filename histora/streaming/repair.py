@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from histora.functions.exprs import entity_bucket
-from histora.operators.incremental import rebuild_entities
+from histora.operators.incremental import rebuild_entities, rebuild_tail
 from histora.operators.staging import stage_changes
 from histora.plans.ordered import DEFAULT_CHUNK_MINUTES
 from histora.sources.table import BucketedTable
@@ -51,7 +51,7 @@ class RepairStreamTables:
 
 
 def _process_batch(spark: SparkSession, tables: RepairStreamTables, spec: ChangeLogSpec,
-                   chunk_minutes: int | None, batch: DataFrame, batch_id: int) -> None:
+                   chunk_minutes: int | None, batch: DataFrame, batch_id: int, tail: bool = False) -> None:
     s = spec
     staged = (stage_changes(batch, s).withColumn("bucket", entity_bucket(s.entity, tables.n_buckets))
               .withColumn("batch", F.lit(batch_id).cast("long")))
@@ -63,7 +63,11 @@ def _process_batch(spark: SparkSession, tables: RepairStreamTables, spec: Change
     affected = staged.select(s.entity).distinct()
     log = tables.read_log(spark, touched)
     scoped = log.join(affected, s.entity, "left_semi")
-    rebuilt = rebuild_entities(scoped, affected, s, chunk_minutes=chunk_minutes)
+    if tail and tables.dim.current_version() > 0:
+        current = tables.dim.read(touched).join(affected, s.entity, "left_semi")
+        rebuilt = rebuild_tail(current, scoped, staged.drop("bucket", "batch"), s, chunk_minutes)
+    else:
+        rebuilt = rebuild_entities(scoped, affected, s, chunk_minutes=chunk_minutes)
     tables.dim.replace_keys(affected, rebuilt)
 
 
@@ -71,8 +75,12 @@ def start_repair_stream(spark: SparkSession, landing_path: str, tables: RepairSt
                         checkpoint_path: str, spec: ChangeLogSpec = DEFAULT_SPEC,
                         schema: T.StructType = CDC_SCHEMA, fmt: str = "parquet",
                         available_now: bool = True, max_files_per_trigger: int | None = None,
-                        chunk_minutes: int = DEFAULT_CHUNK_MINUTES) -> StreamingQuery:
-    """Start the repair stream over ``landing_path``; ``checkpoint_path`` must be on shared storage."""
+                        chunk_minutes: int = DEFAULT_CHUNK_MINUTES, tail: bool = False) -> StreamingQuery:
+    """Start the repair stream over ``landing_path``; ``checkpoint_path`` must be on shared storage.
+
+    ``tail=True`` rebuilds only the part of each affected history the batch can change (see
+    :func:`histora.operators.incremental.rebuild_tail`; contract: re-deliveries keep entity and source time).
+    """
     reader = spark.readStream.schema(schema).format(fmt)
     if fmt == "csv":
         reader = reader.option("header", True).option("mode", "FAILFAST").option(
@@ -81,7 +89,8 @@ def start_repair_stream(spark: SparkSession, landing_path: str, tables: RepairSt
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.load(landing_path)
     writer = (stream.writeStream
-              .foreachBatch(lambda df, bid: _process_batch(df.sparkSession, tables, spec, chunk_minutes, df, bid))
+              .foreachBatch(lambda df, bid: _process_batch(df.sparkSession, tables, spec, chunk_minutes, df, bid,
+                                                           tail))
               .option("checkpointLocation", checkpoint_path))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
     return writer.start()

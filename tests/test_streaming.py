@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from histora.operators import build_scd2, deduplicate_changes, stage_changes, table_diff
@@ -24,7 +26,8 @@ def _full(log):
     return build_scd2(deduplicate_changes(staged), staged)
 
 
-def test_three_micro_batches_equal_full_build(spark, scripted_log):
+@pytest.mark.parametrize("tail", [False, True])
+def test_three_micro_batches_equal_full_build(spark, scripted_log, tail):
     base = f"{checkpoint_dir(spark)}/test-stream-{uuid.uuid4().hex}"
     cuts = ["2026-03-01 00:00:00", "2026-07-10 23:59:59"]
     ing = F.col("ingested_at")
@@ -35,7 +38,7 @@ def test_three_micro_batches_equal_full_build(spark, scripted_log):
         scripted_log.where(p).write.parquet(f"{base}/landing/arrival={i}")
     tables = RepairStreamTables(f"{base}/log", BucketedTable(spark, f"{base}/dim", "customer_id", 4), 4)
     q = start_repair_stream(spark, f"{base}/landing/*", tables, f"{base}/_ckpt", schema=scripted_log.schema,
-                            max_files_per_trigger=1)
+                            max_files_per_trigger=1, tail=tail)
     q.awaitTermination()
     assert q.lastProgress is not None
     dim = tables.dim.read()
@@ -43,7 +46,7 @@ def test_three_micro_batches_equal_full_build(spark, scripted_log):
     assert intervals(dim, 42) == EXPECTED_42
 
     # at-least-once: replaying an already processed batch leaves the table unchanged
-    _process_batch(spark, tables, DEFAULT_SPEC, 24, scripted_log.where(parts[1]), 1)
+    _process_batch(spark, tables, DEFAULT_SPEC, None, scripted_log.where(parts[1]), 1, tail)
     assert table_diff(tables.dim.read(), _full(scripted_log), CANON).count() == 0
 
 
