@@ -31,7 +31,7 @@ def overlap_violations(df: DataFrame, entity_key: str = "customer_id", valid_fro
     again as ``overlap`` for every window that strictly contains it. With ``end`` = valid_to or far
     future, rows a and b overlap iff ``b.from < a.end and a.from < b.end``.
 
-    No pair of rows is ever generated to find this. Rows are first collapsed to distinct windows with a
+    There is no pair self-join. Rows are first collapsed to distinct windows with a
     multiplicity ``m``. For *regular* windows (from < end) the count is exact from two rank counts:
     ``#starts < a.end - #ends <= a.from - m(a)`` among regular windows (a regular window that ends by
     a.from also starts before a.end), each a running sum over a time-ordered union of windows and query
