@@ -22,7 +22,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from histora.operators import (  # noqa: E402
     affected_entities, build_scd2, deduplicate_changes, overlap_violations, point_in_time_join,
-    repair_scd2, stage_changes, stage_events,
+    repair_scd2, repair_scd2_tail, stage_changes, stage_events,
 )
 from histora.sources import derived_change_log, derived_facts  # noqa: E402
 
@@ -73,6 +73,7 @@ def main() -> None:
         "scd2_full": lambda: dim(staged),
         "scd2_incremental_small": lambda: repair_scd2(dim(t1), t2, affected=affected_entities(t2, dim(t1))),
         "scd2_incremental_all": lambda: repair_scd2(dim(t1), staged, affected=affected_entities(staged, dim(t1))),
+        "scd2_incremental_tail_small": lambda: repair_scd2_tail(dim(t1), t2),
         "pit_range": lambda: point_in_time_join(facts, dim(staged), strategy="range"),
         "pit_asof": lambda: point_in_time_join(facts, dim(staged), strategy="asof"),
         "overlap_violations_ingest_order": lambda: overlap_violations(dim(staged, "ingest")),
