@@ -15,7 +15,8 @@ from histora.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    s = local_session("4", shuffle_partitions=4, app="histora-tests")
+    s = local_session("4", shuffle_partitions=4, app="histora-tests",
+                      extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="histora-warehouse-")})
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="histora-test-ckpt-"))
     yield s
