@@ -32,6 +32,15 @@ from histora.sources import derived_change_log, derived_facts, scenario_catalog
 from histora.sources.table import BucketedTable  # noqa: E402
 from histora.streaming import RepairStreamTables, start_repair_stream  # noqa: E402
 
+try:   # the operators for training data may be absent; this is the only place that tolerates it
+    from histora.llm.queries import llm_oracle_sql, llm_queries
+except ImportError:
+    llm_oracle_sql = llm_queries = dict
+try:
+    import corpus_pipeline
+except ImportError:
+    corpus_pipeline = None
+
 # Fixed parameters of the benchmark queries.
 T1_CUTOFF = "2024-01-15 00:00:00"       # first arrival batch (inclusive ingest cutoff)
 T2_CUTOFF = "2024-01-15 06:00:00"       # small second batch
@@ -302,7 +311,10 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    out = {**_QUERIES, **llm_queries()}
+    if corpus_pipeline is not None:
+        out["pipeline"] = corpus_pipeline.run
+    return out
 
 
 # --------------------------------------------------------------------------------------------------
@@ -470,6 +482,13 @@ def _sql_declared_checks() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    out = {**_core_oracles(), **llm_oracle_sql()}
+    if corpus_pipeline is not None and corpus_pipeline.ORACLE_SQL:
+        out["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return out
+
+
+def _core_oracles() -> dict[str, str]:
     full = _full_dim_ctes()
     dim_select = f"SELECT {_DIM_COLS} FROM dim"
     seq = _with(_sql_staged("staged"), _sql_dedup("changes", "staged"), """
