@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from histora.llm.bpe import encode_digests
 from histora.llm.common import table
+from histora.llm.langid import held_out, identify, train_model
 from histora.llm.license_scan import license_oracle, scan_licenses
+from histora.llm.pii import pseudonymise
 from histora.llm.url_filter import judge_urls
 
 
@@ -16,6 +19,14 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = train_model(docs.where(~held_out()).select("lang", "text"))
+    found = identify(docs, model)
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "cross_entropy", "n_symbols",
+                        "rejected")
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -23,6 +34,11 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                           public_tokenizers.PATTERN)
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudonymise(docs, entities="entities").withColumn("n_entities", F.size("entities").cast("bigint"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"))
 
