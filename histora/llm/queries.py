@@ -11,6 +11,7 @@ from histora.llm.bpe import encode_digests
 from histora.llm.common import table
 from histora.llm.langid import held_out, identify, train_model
 from histora.llm.license_scan import license_oracle, scan_licenses
+from histora.llm.near_dup import near_dup_oracle, near_duplicates
 from histora.llm.pii import pseudonymise
 from histora.llm.url_filter import judge_urls
 
@@ -34,6 +35,10 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                           public_tokenizers.PATTERN)
 
 
+def op5_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pseudonymise(docs, entities="entities").withColumn("n_entities", F.size("entities").cast("bigint"))
@@ -49,4 +54,4 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def llm_oracle_sql() -> dict[str, str]:
-    return {"op2_license_scan": license_oracle()}
+    return {"op2_license_scan": license_oracle(), "op5_near_dup": near_dup_oracle()}
