@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from histora.llm.bpe import encode_digests
 from histora.llm.common import table
+from histora.llm.decontaminate import contaminated
 from histora.llm.langid import held_out, identify, train_model
 from histora.llm.license_scan import license_oracle, scan_licenses
 from histora.llm.near_dup import near_dup_oracle, near_duplicates
@@ -39,6 +40,10 @@ def op5_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pseudonymise(docs, entities="entities").withColumn("n_entities", F.size("entities").cast("bigint"))
