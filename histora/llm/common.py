@@ -112,6 +112,19 @@ def ascii_lower() -> np.ndarray:
     return out
 
 
+def alnum_hasher() -> WordHasher:
+    """Words are runs of ASCII letters and digits and of all characters beyond ASCII."""
+    apart = np.ones(256, dtype=bool)
+    apart[list(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")] = False
+    apart[128:] = False
+    return WordHasher(apart, ascii_lower())
+
+
+def alnum_words(texts: list[str], hasher: WordHasher) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the lower-cased words of all texts, and each text's first word."""
+    return hasher([t.lower().encode("utf-8", "surrogatepass") for t in texts])
+
+
 def batched(texts: list, limit: int = 1 << 23):
     """Consecutive index ranges whose texts hold about ``limit`` bytes together (one text at least)."""
     lo = size = 0

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from histora.llm.ann import nearest_neighbours
 from histora.llm.bpe import encode_digests
 from histora.llm.common import table
 from histora.llm.decontaminate import contaminated
@@ -40,6 +41,10 @@ def op5_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
