@@ -15,6 +15,7 @@ from histora.llm.langid import held_out, identify, train_model
 from histora.llm.license_scan import license_oracle, scan_licenses
 from histora.llm.near_dup import near_dup_oracle, near_duplicates
 from histora.llm.pii import pseudonymise
+from histora.llm.toxicity import score_toxicity
 from histora.llm.url_filter import judge_urls
 
 
@@ -41,6 +42,10 @@ def op5_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(table(spark, sf_dir, "embeddings"))
 
