@@ -22,6 +22,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(columns: list[str], name: str) -> str:
+    """``name``, lengthened until no column has it in any case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def crc_mod(column: str, modulus: int) -> Column:
     """``crc32`` of the column's text modulo ``modulus``: the fixed split of labelled rows (null: null)."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % F.lit(modulus)

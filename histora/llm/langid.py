@@ -27,8 +27,9 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from histora.llm.common import batched, crc_mod, stored
 
@@ -263,17 +264,21 @@ def train_model(docs: DataFrame, *, order: int = ORDER, cells: int = MODEL_CELLS
     return model
 
 
-def identify(docs: DataFrame, model: LanguageModel | None, *, id_col: str = "doc_id",
-             text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, lang_pred, score, cross_entropy (nats a symbol), n_symbols, rejected."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+FOUND = (T.StructType().add("lang_pred", T.StringType()).add("score", T.DoubleType())
+         .add("cross_entropy", T.DoubleType()).add("n_symbols", T.LongType()).add("rejected", T.BooleanType()))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def language_of(text: Column, model: LanguageModel | None, spark: SparkSession) -> Column:
+    """Struct (lang_pred, score, cross_entropy in nats a symbol, n_symbols, rejected) of a text column."""
+    shared = spark.sparkContext.broadcast(model)
+
+    @F.pandas_udf(FOUND)
+    def found(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         known = shared.value
         for batch in batches:
-            texts = [t if t is not None else "" for t in batch["text"].tolist()]
-            out = pd.DataFrame({"doc_id": batch["doc_id"], "lang_pred": UNKNOWN, "score": 0.0,
-                                "cross_entropy": np.nan, "n_symbols": 0, "rejected": True})
+            texts = [t if t is not None else "" for t in batch.tolist()]
+            out = pd.DataFrame({"lang_pred": [UNKNOWN] * len(texts), "score": 0.0, "cross_entropy": np.nan,
+                                "n_symbols": 0, "rejected": True})
             if known is not None and texts:
                 total, count = known.totals(texts)
                 best = total.argmax(axis=1)
@@ -287,13 +292,19 @@ def identify(docs: DataFrame, model: LanguageModel | None, *, id_col: str = "doc
                 out["n_symbols"] = count
                 if known.level is not None:
                     limit = known.level[best] + known.slack[best] / np.sqrt(np.minimum(np.maximum(count, 1), 400))
-                    some &= entropy <= limit
+                    some = some & (entropy <= limit)
                 out["rejected"] = ~some
             yield out
 
-    return (docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-            .mapInPandas(run, "doc_id bigint, lang_pred string, score double, cross_entropy double, "
-                              "n_symbols bigint, rejected boolean"))
+    return found(text)
+
+
+def identify(docs: DataFrame, model: LanguageModel | None, *, id_col: str = "doc_id",
+             text_col: str = "text") -> DataFrame:
+    """Per row: doc_id, lang_pred, score, cross_entropy, n_symbols, rejected."""
+    return (docs.select(F.col(id_col).cast("bigint").alias("doc_id"),
+                        language_of(F.col(text_col), model, docs.sparkSession).alias("found"))
+            .select("doc_id", "found.*"))
 
 
 def held_out(id_col: str = "doc_id") -> Column:

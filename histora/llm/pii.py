@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from histora.llm.common import fresh
+
 KEY = b"histora surrogate key"
 _ROUNDS = 32
 
@@ -273,9 +275,10 @@ def pseudonymise(docs: DataFrame, *, text_col: str = "text", key: bytes = KEY, e
             yield pd.DataFrame({"text": [r[0] for r in rows],
                                 "entities": [[dict(zip(("kind", "start", "end", "surrogate"), e)) for e in r[1]] for r in rows]})
 
-    done = docs.select(*[docs[c] for c in docs.columns], surrogates(docs[text_col]).alias("_surrogates"))
-    kept = [F.col("_surrogates.text").alias(c) if c == text_col else done[c] for c in docs.columns]
-    return done.select(*kept, *([F.col("_surrogates.entities").alias(entities)] if entities else []))
+    own = fresh(docs.columns, "surrogates")
+    done = docs.withColumn(own, surrogates(F.col(text_col)))
+    kept = [done[own]["text"].alias(c) if c == text_col else done[c] for c in docs.columns]
+    return done.select(*kept, *([done[own]["entities"].alias(entities)] if entities else []))
 
 
 def surrogate_collisions(docs: DataFrame, *, text_col: str = "text", key: bytes = KEY) -> DataFrame:

@@ -11,6 +11,7 @@ from histora.llm.ann import nearest_neighbours
 from histora.llm.bpe import encode_digests
 from histora.llm.common import table
 from histora.llm.decontaminate import contaminated
+from histora.llm.html_text import extract_main_text
 from histora.llm.langid import held_out, identify, train_model
 from histora.llm.license_scan import license_oracle, scan_licenses
 from histora.llm.near_dup import near_dup_oracle, near_duplicates
@@ -19,6 +20,10 @@ from histora.llm.toxicity import score_toxicity
 from histora.llm.url_filter import judge_urls
 
 
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
