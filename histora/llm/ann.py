@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from histora.llm.common import stored
+from histora.llm.common import ship, stored
 
 TRAIN_ROWS = 16_384
 CALIBRATION_QUERIES = 96
@@ -275,6 +275,7 @@ def search(vectors: DataFrame, index: MultiIndex, is_query: Column, k: int) -> D
 def nearest_neighbours(table: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 20,
                        every: int = 20) -> DataFrame:
     """(query_id, rank, vec_id, score) for the rows whose id is divisible by ``every``, against all rows."""
+    ship(table.sparkSession)
     vectors = vectors_of(table, id_col, vector_col)
     is_query = F.col("vec_id") % every == 0
     index = train_index(vectors, is_query, k)

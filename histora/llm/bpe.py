@@ -31,6 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from histora.llm.common import ship
+
 #: Characters of a leaf of the text tree, bytes of a leaf of the piece tree, and cached pieces at most.
 LEAF_CHARS = 8192
 LEAF_BYTES = 12
@@ -206,6 +208,7 @@ class _Shared:
 
 def _over_texts(docs: DataFrame, path: str, pattern: str, id_col: str, text_col: str, schema: T.StructType,
                 row: Callable[[ByteBpe, object, str], tuple]) -> DataFrame:
+    ship(docs.sparkSession)
     with open(path) as file:   # the vocabulary is a file of the driver's machine, of some 800 KB
         shared = _Shared(docs.sparkSession.sparkContext.broadcast((file.read().splitlines(), pattern)))
     names = schema.names
@@ -230,6 +233,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, *, id_col: str =
 
 def decode_documents(encoded: DataFrame, path: str, *, id_col: str = "doc_id", ids_col: str = "token_ids") -> DataFrame:
     """(doc_id, data): the bytes that the ids stand for."""
+    ship(encoded.sparkSession)
     with open(path) as file:
         shared = _Shared(encoded.sparkSession.sparkContext.broadcast((file.read().splitlines(), "")))
 

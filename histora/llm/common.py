@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,6 +13,22 @@ from pyspark.sql import functions as F
 from histora.session import work_path
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package's code to the tasks of the application (once), as ``--py-files`` would."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        root = Path(__file__).resolve().parents[1]
+        archive = f"{tempfile.mkdtemp(prefix='histora-code-')}/{root.name}.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for file in sorted(root.rglob("*.py")):
+                out.write(file, str(file.relative_to(root.parent)))
+        sc.addPyFile(archive)
+        _SHIPPED.add(sc.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table of a scale directory, read by Spark (any path Spark can open)."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

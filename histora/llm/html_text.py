@@ -27,6 +27,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from histora.llm.common import ship
+
 # Kinds of elements, and the names by which boilerplate is known.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("""a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd mark q rb rp rt ruby s
@@ -232,6 +234,7 @@ def main_text(page: str | None) -> str:
 def extract_main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url",
                       html_col: str = "html") -> DataFrame:
     """(page_id, url, text, n_chars) of every page."""
+    ship(pages.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:

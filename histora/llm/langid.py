@@ -8,9 +8,9 @@ Spark counts the highest order over all training rows; every lower order follows
 probabilities, one per language; a text is scored by binary search, backing off where a key is missing.
 The language of lowest cross-entropy per symbol wins.
 
-Calibration uses a bounded sample of the training rows (``CALIBRATION_ROWS`` in expectation): one temperature
-for the posterior that becomes the score, and per language the level of cross-entropy up to which a text is
-accepted; the allowance widens for short texts.
+Calibration uses a bounded share of the training rows that the counts leave out (``CALIBRATION_ROWS`` in
+expectation, one row in ten at most): one temperature for the posterior that becomes the score, and the level of
+cross-entropy up to which a text is accepted, with twice the largest excess seen, wider for short texts.
 
 Model size is bounded: at most ``MODEL_CELLS`` log probabilities in the highest order (keys times
 languages); beyond that the rarest n-grams are left out by raising the least count.
@@ -31,13 +31,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from histora.llm.common import batched, crc_mod, stored
+from histora.llm.common import batched, crc_mod, ship, stored
 
 ORDER = 5
 BITS = 12
 MODEL_CELLS = 8_000_000
 CALIBRATION_ROWS = 4_000
 UNKNOWN = "und"
+_LONG = 400                    # symbols from which a text's cross-entropy counts as settled
+_LEAST_SLACK = 10.0            # a nat a symbol for long texts, once doubled
 _MARK = 1                      # the code point put between texts
 _BATCH_CHARS = 1 << 20
 _SYMBOLS: list[np.ndarray] = []
@@ -83,7 +85,7 @@ class LanguageModel:
     log_back: list[np.ndarray] = field(default_factory=list)
     temperature: float = 8.0
     level: np.ndarray | None = None                              # accepted cross-entropy per language
-    slack: np.ndarray | None = None                              # and its allowance at one symbol
+    slack: float = 0.0                                           # and the allowance above it, at one symbol
 
     def score_positions(self, key: np.ndarray) -> np.ndarray:
         """Log probability of each key's last symbol given the rest, a column per language."""
@@ -224,30 +226,33 @@ def calibrate(model: LanguageModel, truth: np.ndarray, total: np.ndarray, count:
         loss = -p[np.arange(len(truth)), truth].mean()
         if loss < best:
             best, model.temperature = loss, float(t)
-    entropy = -total / n
-    width = len(model.languages)
-    model.level, model.slack = np.full(width, float(BITS)), np.full(width, 20.0)
-    for i in range(width):
-        own = (truth == i) & (count > 0)
-        if own.sum() >= 20:
-            level = np.median(entropy[own, i])
-            over = (entropy[own, i] - level) * np.sqrt(np.minimum(count[own], 400))
-            model.level[i], model.slack[i] = level, 2.0 * max(float(over.max()), 10.0)
+    own = (-total / n)[np.arange(len(truth)), truth]
+    some = count > 0
+    if not some.any():
+        return
+    model.level = np.full(len(model.languages), np.median(own[some]))
+    for i in range(len(model.languages)):
+        mine = some & (truth == i)
+        if mine.sum() >= 20:
+            model.level[i] = np.median(own[mine])
+    over = (own - model.level[truth])[some] * np.sqrt(np.minimum(count[some], _LONG))
+    model.slack = 2.0 * max(float(over.max()), _LEAST_SLACK)
 
 
 def train_model(docs: DataFrame, *, order: int = ORDER, cells: int = MODEL_CELLS,
                 calibration_rows: int = CALIBRATION_ROWS) -> LanguageModel | None:
     """Model from all rows of (lang, text) with a language; None if there is none."""
+    ship(docs.sparkSession)
     docs = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
-    counts = stored(count_ngrams(docs, order), "langid-counts")
+    share = int(min(0.1, calibration_rows / max(1, docs.count())) * 1_000_000)
+    apart = F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share
+    counts = stored(count_ngrams(docs.where(~apart), order), "langid-counts")
     languages = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
     if not languages:
         return None
     kept = counts.where(F.col("n") >= least_count(counts, len(languages), cells)).toPandas()
     code = pd.Categorical(kept["lang"], categories=languages).codes
     model = build_model(languages, code, kept["key"].to_numpy(), kept["n"].to_numpy(), order)
-    share = min(1.0, calibration_rows / max(1, docs.count()))
-    picked = docs.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
@@ -255,7 +260,7 @@ def train_model(docs: DataFrame, *, order: int = ORDER, cells: int = MODEL_CELLS
             total, count = shared.value.totals(batch["text"].tolist())
             yield pd.DataFrame({"lang": batch["lang"], "total": list(total), "count": count})
 
-    seen = picked.mapInPandas(run, "lang string, total array<double>, count bigint").toPandas()
+    seen = docs.where(apart).mapInPandas(run, "lang string, total array<double>, count bigint").toPandas()
     seen = seen[seen["lang"].isin(languages)]
     if len(seen):
         calibrate(model, pd.Categorical(seen["lang"], categories=languages).codes.astype(int),
@@ -270,6 +275,7 @@ FOUND = (T.StructType().add("lang_pred", T.StringType()).add("score", T.DoubleTy
 
 def language_of(text: Column, model: LanguageModel | None, spark: SparkSession) -> Column:
     """Struct (lang_pred, score, cross_entropy in nats a symbol, n_symbols, rejected) of a text column."""
+    ship(spark)
     shared = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf(FOUND)
@@ -291,7 +297,7 @@ def language_of(text: Column, model: LanguageModel | None, spark: SparkSession)
                 out["cross_entropy"] = np.where(some, entropy, np.nan)
                 out["n_symbols"] = count
                 if known.level is not None:
-                    limit = known.level[best] + known.slack[best] / np.sqrt(np.minimum(np.maximum(count, 1), 400))
+                    limit = known.level[best] + known.slack / np.sqrt(np.clip(count, 1, _LONG))
                     some = some & (entropy <= limit)
                 out["rejected"] = ~some
             yield out

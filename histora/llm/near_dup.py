@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from histora.llm.common import WordHasher, ascii_lower, batched, byte_table, mix64, powers, stored
+from histora.llm.common import WordHasher, ascii_lower, batched, byte_table, mix64, powers, ship, stored
 from histora.llm.components import connected_components
 
 SHINGLE = 5
@@ -226,6 +226,7 @@ def hidden_pairs(members: DataFrame, links: DataFrame, component: DataFrame, rep
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (least id reachable over links), kept (it is that id)."""
+    ship(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     sketches = stored(sketch(docs), "neardup-sketch")
     sets = stored(sketches.where("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))

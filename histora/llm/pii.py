@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from histora.llm.common import fresh
+from histora.llm.common import fresh, ship
 
 KEY = b"histora surrogate key"
 _ROUNDS = 32
@@ -263,9 +263,7 @@ def pseudonymise(docs: DataFrame, *, text_col: str = "text", key: bytes = KEY, e
 
     One pass without a shuffle; all other columns stay as they are, whatever their names.
     """
-    schema = T.StructType(list(docs.schema.fields))
-    if entities:
-        schema = schema.add(entities, ENTITY)
+    ship(docs.sparkSession)
 
     @F.pandas_udf(T.StructType().add("text", T.StringType()).add("entities", ENTITY))
     def surrogates(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
