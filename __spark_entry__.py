@@ -20,16 +20,15 @@ from histora.operators import (  # noqa: E402
     accepted_values_violations, affected_entities, append_facts, arrival_anomalies, build_scd2,
     current_record_violations, current_state, deduplicate_changes, duplicate_deliveries, entity_watermarks,
     high_water, history, interval_order_violations, missing_scenarios, noop_changes, not_null_violations,
-    overlap_violations, point_in_time_join, repair_scd2_tail, sequence_changes, stage_changes, stage_events,
+    overlap_violations, point_in_time_join, repair_scd2, repair_scd2_tail, sequence_changes, stage_changes, stage_events,
     table_diff, unique_violations,
 )
-from histora.operators.incremental import rebuild_entities  # noqa: E402
 from histora.operators.quality import (  # noqa: E402
     declared_check_list, dimension_checks, validate, validate_declared,
 )
 from histora.session import work_path  # noqa: E402
 from histora.sources import derived_change_log, derived_facts, scenario_catalog  # noqa: E402
-from histora.sources.table import BucketedTable  # noqa: E402
+from histora.sources.versions import latest_version, read_version, write_version  # noqa: E402
 from histora.streaming import RepairStreamTables, start_repair_stream  # noqa: E402
 
 try:   # the operators for training data may be absent; this is the only place that tolerates it
@@ -115,15 +114,12 @@ def q_affected_entities(spark, sf):
 
 
 def q_scd2_incremental(spark, sf):
-    """T1 table stored, then two keyed repairs (small batch, then everything) touching only their buckets."""
-    table = BucketedTable(spark, work_path(spark, "scd2_incremental"), "customer_id", n_buckets=16)
-    table.overwrite(_dim(spark, sf, T1_CUTOFF))
-    for cutoff in (T2_CUTOFF, None):
-        staged = _staged(spark, sf, cutoff)
-        dim = table.read()
-        affected = affected_entities(staged, dim)
-        table.replace_keys(affected, rebuild_entities(staged, affected))
-    return table.read()
+    """T1 table stored, then two keyed repairs (small batch, then everything), each stored as the next version."""
+    root = work_path(spark, "scd2_incremental")
+    write_version(_dim(spark, sf, T1_CUTOFF), root, 0)
+    for version, cutoff in enumerate((T2_CUTOFF, None)):
+        write_version(repair_scd2(read_version(spark, root, version), _staged(spark, sf, cutoff)), root, version + 1)
+    return read_version(spark, root, 2)
 
 
 def q_scd2_incremental_tail(spark, sf):
@@ -140,15 +136,15 @@ def q_scd2_stream_repair(spark, sf):
     cuts = [ing <= F.lit(T1_CUTOFF).cast("timestamp_ntz"),
             (ing > F.lit(T1_CUTOFF).cast("timestamp_ntz")) & (ing <= F.lit(T2_CUTOFF).cast("timestamp_ntz")),
             ing > F.lit(T2_CUTOFF).cast("timestamp_ntz")]
-    for i, cond in enumerate(cuts):
-        log.where(cond).write.mode("errorifexists").parquet(f"{landing}/arrival={i}")
-    tables = RepairStreamTables(log_path=f"{base}/log",
-                                dim=BucketedTable(spark, f"{base}/dim", "customer_id", n_buckets=16),
-                                n_buckets=16)
+    for i, cond in enumerate(cuts):      # one file an arrival, one arrival a micro-batch
+        log.where(cond).coalesce(1).write.mode("errorifexists").parquet(f"{landing}/arrival={i}")
+    tables = RepairStreamTables(log_path=f"{base}/log", dim_path=f"{base}/dim")
     q = start_repair_stream(spark, f"{landing}/*", tables, f"{base}/_checkpoint",
-                            schema=log.schema, max_files_per_trigger=None)
+                            schema=log.schema, max_files_per_trigger=1)
     q.awaitTermination()
-    return tables.dim.read()
+    if latest_version(spark, tables.dim_path) != len(cuts) - 1:
+        raise RuntimeError("the stream did not repair the table once an arrival")
+    return tables.read_dim(spark)
 
 
 def _fact_batch1(spark, sf):

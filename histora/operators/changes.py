@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from histora.functions.exprs import any_differs
-from histora.plans.ordered import DEFAULT_CHUNK_MINUTES, chunked_lead, chunked_running
+from histora.plans.ordered import chunked_lead, chunked_running
 from histora.spec import DEFAULT_SPEC, ChangeLogSpec
 
 
@@ -29,7 +29,6 @@ def deduplicate_changes(staged: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC) -
 
 
 def sequence_changes(changes: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC,
-                     chunk_minutes: int | None = DEFAULT_CHUNK_MINUTES,
                      hot_source: DataFrame | None = None) -> DataFrame:
     """Order every entity's mutations by (source time, change_id) and flag ambiguous ties.
 
@@ -42,8 +41,8 @@ def sequence_changes(changes: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC,
     seq, part = chunked_lead(
         changes, [s.entity], [s.source_ts, s.change_id],
         {"ts": F.col(s.source_ts), "id": F.col(s.change_id), "op": F.col(s.operation)},
-        "_next", row_number="change_seq", chunk_minutes=chunk_minutes, keep_partition=True,
-        hot_source=None if hot_source is None else hot_source.select(s.entity, s.source_ts),
+        "_next", row_number="change_seq", keep_partition=True,
+        hot_source=None if hot_source is None else hot_source.select(s.entity, s.source_ts, s.change_id),
     )
     # Peers share the entity and the instant, hence the chunk: this window reuses the scan's partitioning.
     p = Window.partitionBy(*part, s.source_ts)
@@ -76,7 +75,6 @@ def duplicate_deliveries(staged: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC)
 
 
 def noop_changes(changes: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC,
-                 chunk_minutes: int | None = DEFAULT_CHUNK_MINUTES,
                  hot_source: DataFrame | None = None) -> DataFrame:
     """Non-DELETE mutations whose attributes all equal those of the entity's previous mutation.
 
@@ -89,18 +87,17 @@ def noop_changes(changes: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC,
                         [s.entity], [s.source_ts, s.change_id],
                         {"id": F.col(s.change_id), "op": F.col(s.operation),
                          **{f"a{i}": F.col(a) for i, a in enumerate(s.attributes)}},
-                        "_prev", descending=True, chunk_minutes=chunk_minutes,
-                        hot_source=None if hot_source is None else hot_source.select(s.entity, s.source_ts))
+                        "_prev", descending=True,
+                        hot_source=None if hot_source is None else hot_source.select(s.entity, s.source_ts, s.change_id))
     same = (F.col(s.operation) != F.lit(s.delete_value)) & (F.col("_prev.op") != F.lit(s.delete_value))
     for i, a in enumerate(s.attributes):
-        same = same & (F.col(a) == F.col(f"_prev.a{i}"))
+        same = same & F.col(a).eqNullSafe(F.col(f"_prev.a{i}"))
     return prev.where(F.col("_prev").isNotNull() & same).select(
         F.col(s.change_id), F.col(s.entity), F.col(s.source_ts),
         F.col("_prev.id").alias("previous_change_id"))
 
 
 def arrival_anomalies(changes: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC,
-                      chunk_minutes: int | None = DEFAULT_CHUNK_MINUTES,
                       hot_source: DataFrame | None = None) -> DataFrame:
     """Mutations that arrive after a mutation of the same entity with a *later* source time.
 
@@ -110,8 +107,8 @@ def arrival_anomalies(changes: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC,
     """
     s = spec
     run = chunked_running(changes.select(s.change_id, s.entity, s.source_ts, s.ingest_ts), [s.entity], [s.ingest_ts, s.change_id], F.col(s.source_ts),
-                          "max_prior_source_updated_at", "max", chunk_minutes=chunk_minutes,
-                          hot_source=None if hot_source is None else hot_source.select(s.entity, s.ingest_ts))
+                          "max_prior_source_updated_at", "max",
+                          hot_source=None if hot_source is None else hot_source.select(s.entity, s.ingest_ts, s.change_id))
     lag = F.expr(f"timestampdiff(SECOND, `{s.source_ts}`, `{s.ingest_ts}`)")
     return run.where(F.col("max_prior_source_updated_at") > F.col(s.source_ts)).select(
         F.col(s.change_id), F.col(s.entity), F.col(s.source_ts), F.col(s.ingest_ts),

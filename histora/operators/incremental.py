@@ -15,7 +15,6 @@ from pyspark.sql import types as T
 from histora.functions.exprs import EPOCH, ts_literal
 from histora.operators.changes import deduplicate_changes
 from histora.operators.scd2 import build_scd2
-from histora.plans.ordered import DEFAULT_CHUNK_MINUTES
 from histora.spec import DEFAULT_EVENTS, DEFAULT_SPEC, ChangeLogSpec, EventSpec
 
 
@@ -49,8 +48,7 @@ def affected_entities(staged: DataFrame, dim: DataFrame, spec: ChangeLogSpec = D
 
 
 def rebuild_entities(staged: DataFrame, affected: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC,
-                     order: str = "source", change_ids_unique_to_entity: bool = True,
-                     chunk_minutes: int = DEFAULT_CHUNK_MINUTES) -> DataFrame:
+                     order: str = "source", change_ids_unique_to_entity: bool = True) -> DataFrame:
     """The full history of ``affected`` entities from their whole visible log.
 
     Dedup runs per change_id; restricting the log to the affected entities *before* dedup is only
@@ -64,18 +62,16 @@ def rebuild_entities(staged: DataFrame, affected: DataFrame, spec: ChangeLogSpec
         changes = deduplicate_changes(scoped, s)
     else:
         changes = deduplicate_changes(staged, s).join(affected.select(s.entity), s.entity, "left_semi")
-    return build_scd2(changes, scoped, s, order=order, chunk_minutes=chunk_minutes)
+    return build_scd2(changes, scoped, s, order=order)
 
 
 def repair_scd2(dim: DataFrame, staged: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC,
                 affected: DataFrame | None = None, order: str = "source",
-                change_ids_unique_to_entity: bool = True,
-                chunk_minutes: int = DEFAULT_CHUNK_MINUTES) -> DataFrame:
+                change_ids_unique_to_entity: bool = True) -> DataFrame:
     """Replace every version of the affected entities with their rebuilt history.
 
     ``affected`` defaults to the high-water detection of :func:`affected_entities`. The untouched part
-    is an anti-join (C6) and the rebuilt part a semi-join-scoped build (C4); to persist only the touched
-    buckets use :class:`histora.sources.table.BucketedTable`.
+    is an anti-join (C6) and the rebuilt part a semi-join-scoped build (C4).
     """
     s = spec
     if affected is None:
@@ -83,13 +79,11 @@ def repair_scd2(dim: DataFrame, staged: DataFrame, spec: ChangeLogSpec = DEFAULT
     affected = affected.select(s.entity).distinct()
     kept = dim.join(affected, s.entity, "left_anti")
     rebuilt = rebuild_entities(staged, affected, s, order=order,
-                               change_ids_unique_to_entity=change_ids_unique_to_entity,
-                               chunk_minutes=chunk_minutes)
+                               change_ids_unique_to_entity=change_ids_unique_to_entity)
     return kept.unionByName(rebuilt)
 
 
-def rebuild_tail(dim_rows: DataFrame, scoped: DataFrame, new: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC,
-                 chunk_minutes: int | None = DEFAULT_CHUNK_MINUTES) -> DataFrame:
+def rebuild_tail(dim_rows: DataFrame, scoped: DataFrame, new: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC) -> DataFrame:
     """All versions of the entities in ``new`` after a bounded rebuild (the core of the tail repair).
 
     ``dim_rows``: their current versions; ``scoped``: their whole staged log, ``new`` included; ``new``: the
@@ -106,7 +100,7 @@ def rebuild_tail(dim_rows: DataFrame, scoped: DataFrame, new: DataFrame, spec: C
     tail = (scoped.join(stats, s.entity)
             .where(F.col("_b").isNull() | (F.col(s.source_ts) >= F.col("_b")))
             .drop("_b", "_seen"))
-    rebuilt = build_scd2(deduplicate_changes(tail, s), scoped, s, chunk_minutes=chunk_minutes)
+    rebuilt = build_scd2(deduplicate_changes(tail, s), scoped, s)
     kept = (dim_rows.join(stats, s.entity)
             .where(F.col("_b").isNotNull() & (F.col("valid_from") < F.col("_b")))
             .withColumn("last_seen_ingested_at", F.col("_seen"))
@@ -114,8 +108,7 @@ def rebuild_tail(dim_rows: DataFrame, scoped: DataFrame, new: DataFrame, spec: C
     return kept.unionByName(rebuilt.select(*dim_rows.columns))
 
 
-def repair_scd2_tail(dim: DataFrame, staged: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC,
-                     chunk_minutes: int | None = DEFAULT_CHUNK_MINUTES) -> DataFrame:
+def repair_scd2_tail(dim: DataFrame, staged: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC) -> DataFrame:
     """J2 with a bounded rebuild: only the part of each affected history that late rows can change.
 
     For an affected entity let ``t`` be the earliest source time among its new deliveries (ingested after
@@ -133,7 +126,7 @@ def repair_scd2_tail(dim: DataFrame, staged: DataFrame, spec: ChangeLogSpec = DE
     keys = new.select(s.entity).distinct()
     scoped = staged.join(keys, s.entity, "left_semi")
     untouched = dim.join(keys, s.entity, "left_anti")
-    rebuilt = rebuild_tail(dim.join(keys, s.entity, "left_semi"), scoped, new, s, chunk_minutes)
+    rebuilt = rebuild_tail(dim.join(keys, s.entity, "left_semi"), scoped, new, s)
     return untouched.unionByName(rebuilt)
 
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from histora.functions.exprs import FAR_FUTURE, ts_literal
-from histora.plans.ordered import DEFAULT_CHUNK_MINUTES, chunk_of, chunked_running
+from histora.plans.ordered import chunk_of, chunked_running
 from histora.spec import DEFAULT_EVENTS, DEFAULT_SPEC, ChangeLogSpec, EventSpec
 
 
@@ -48,18 +48,17 @@ def _enriched(e: EventSpec, s: ChangeLogSpec, ev, dim, matched) -> list:
 
 
 def point_in_time_join(facts: DataFrame, dim: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC,
-                       events: EventSpec = DEFAULT_EVENTS, strategy: str = "auto",
-                       chunk_minutes: int = DEFAULT_CHUNK_MINUTES) -> DataFrame:
+                       events: EventSpec = DEFAULT_EVENTS, strategy: str = "auto") -> DataFrame:
     s, e = spec, events
     dim_cols = [s.version_id, *s.attributes, "valid_from", "valid_to", "row_current", "source_change_id"]
     if strategy == "auto":
-        suspect = unsafe_entities(dim, s, chunk_minutes)
+        suspect = unsafe_entities(dim, s)
         ev_bad = facts.join(suspect, facts[e.entity] == suspect["_suspect"], "left_semi")
         ev_ok = facts.join(suspect, facts[e.entity] == suspect["_suspect"], "left_anti")
         dim_bad = dim.join(suspect, dim[s.entity] == suspect["_suspect"], "left_semi")
         dim_ok = dim.join(suspect, dim[s.entity] == suspect["_suspect"], "left_anti")
-        return (point_in_time_join(ev_ok, dim_ok, s, e, "asof", chunk_minutes)
-                .unionByName(point_in_time_join(ev_bad, dim_bad, s, e, "range_bucketed", chunk_minutes)))
+        return (point_in_time_join(ev_ok, dim_ok, s, e, "asof")
+                .unionByName(point_in_time_join(ev_bad, dim_bad, s, e, "range_bucketed")))
     if strategy == "range_bucketed":
         return _range_bucketed(facts, dim, s, e, dim_cols)
     if strategy == "range":
@@ -80,17 +79,15 @@ def point_in_time_join(facts: DataFrame, dim: DataFrame, spec: ChangeLogSpec = D
     ev_type = facts.select(ev_struct.alias("x")).schema["x"].dataType
     dim_type = dim.select(dim_struct.alias("x")).schema["x"].dataType
     ev_rows = facts.select(F.col(e.entity).alias("_entity"), F.col(e.event_ts).alias("_t"),
-                           F.lit(1).alias("_kind"), F.lit(None).cast("string").alias("_tie"),
+                           F.lit(1).alias("_kind"),
+                           F.xxhash64(*[F.col(c) for c in e.columns]).cast("string").alias("_tie"),
                            ev_struct.alias("_e"), F.lit(None).cast(dim_type).alias("_d"))
     dim_rows = dim.select(F.col(s.entity).alias("_entity"), F.col("valid_from").alias("_t"),
                           F.lit(0).alias("_kind"), F.col("source_change_id").alias("_tie"),
                           F.lit(None).cast(ev_type).alias("_e"), dim_struct.alias("_d"))
     both = ev_rows.unionByName(dim_rows)
-    # hot entities are judged by their events (a scan), not by the lazily built history
     scanned = chunked_running(both, ["_entity"], ["_t", "_kind", "_tie"], F.col("_d"), "_v", "last",
-                              include_current=True, chunk_minutes=chunk_minutes,
-                              hot_source=facts.select(F.col(e.entity).alias("_entity"),
-                                                      F.col(e.event_ts).alias("_t")))
+                              include_current=True)
     ts = F.col(f"_e.{e.event_ts}")
     matched = (F.col("_v").isNotNull() & F.col(f"_e.{e.entity}").isNotNull()
                & (ts >= F.col("_v.valid_from"))
@@ -122,8 +119,7 @@ def _range_bucketed(facts: DataFrame, dim: DataFrame, s: ChangeLogSpec, e: Event
                                     F.col(f"d.{s.version_id}").isNotNull()))
 
 
-def unsafe_entities(dim: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC,
-                    chunk_minutes: int = DEFAULT_CHUNK_MINUTES) -> DataFrame:
+def unsafe_entities(dim: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC) -> DataFrame:
     """Entities whose history the as-of scan may not answer like the range join (column ``_suspect``).
 
     Ordered by (valid_from, end), a window that starts before the running max end of the earlier ones
@@ -133,6 +129,5 @@ def unsafe_entities(dim: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC,
     s = spec
     win = dim.select(F.col(s.entity).alias("_suspect"), F.col("valid_from"),
                      F.coalesce(F.col("valid_to"), ts_literal(FAR_FUTURE)).alias("_end"))
-    run = chunked_running(win, ["_suspect"], ["valid_from", "_end"], F.col("_end"), "_prev_end", "max",
-                          chunk_minutes=chunk_minutes)
+    run = chunked_running(win, ["_suspect"], ["valid_from", "_end"], F.col("_end"), "_prev_end", "max")
     return run.where(F.col("_prev_end") > F.col("valid_from")).select("_suspect").distinct()

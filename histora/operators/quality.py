@@ -12,16 +12,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from histora.functions.exprs import FAR_FUTURE, ts_literal
-from histora.plans.ordered import DEFAULT_CHUNK_MINUTES, chunk_of, chunked_running
+from histora.plans.ordered import chunk_of, chunked_running
+
+
+_STEP = 100_000   # rows that one generated array stands for
 
 
 def _repeat(df: DataFrame, times: Column) -> DataFrame:
-    """Each row ``times`` times (``times`` >= 1): a generator, no join."""
-    return df.withColumn("_rep", F.explode(F.sequence(F.lit(1).cast("long"), times.cast("long")))).drop("_rep")
+    """Each row ``times`` times (``times`` >= 1): generators, no join, and no array longer than ``_STEP``-th parts."""
+    n = times.cast("long")
+    whole = F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / (_STEP * _STEP)).cast("long"))
+    out = df.withColumn("_n0", n).withColumn("_r0", F.explode(whole))
+    left = F.least(F.col("_n0") - F.col("_r0") * (_STEP * _STEP), F.lit(_STEP * _STEP).cast("long"))
+    out = out.withColumn("_n1", left).withColumn(
+        "_r1", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n1") - 1) / _STEP).cast("long"))))
+    last = F.least(F.col("_n1") - F.col("_r1") * _STEP, F.lit(_STEP).cast("long"))
+    return (out.withColumn("_r2", F.explode(F.sequence(F.lit(1).cast("long"), last)))
+            .drop("_n0", "_r0", "_n1", "_r1", "_r2"))
 
 
 def overlap_violations(df: DataFrame, entity_key: str = "customer_id", valid_from: str = "valid_from",
-                       valid_to: str = "valid_to", chunk_minutes: int | None = DEFAULT_CHUNK_MINUTES,
+                       valid_to: str = "valid_to",
                        anchor_minutes: int = 1440) -> DataFrame:
     """Q1: inverted/zero-width closed windows, and windows overlapping another of the same entity.
 
@@ -71,7 +82,7 @@ def overlap_violations(df: DataFrame, entity_key: str = "customer_id", valid_fro
          .unionByName(reg.select("entity_id", F.col("valid_from").alias("_k"), F.lit(3).alias("_o"),
                                  F.col("m").alias("_ws"), zero.alias("_we"), *nulls)))
     run = chunked_running(u, ["entity_id"], ["_k", "_o"], {"_starts": F.col("_ws"), "_ends": F.col("_we")},
-                          None, "sum", include_current=True, chunk_minutes=chunk_minutes)
+                          None, "sum", include_current=True)
     k = (run.where(F.col("_o").isin(1, 2))
          .groupBy(F.col("entity_id"), *[F.col(f"_q{c}").alias(c) for c in ("valid_from", "_end", "_open", "m")])
          .agg(F.max(F.when(F.col("_o") == 2, F.col("_starts"))).alias("_starts"),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from histora.functions.exprs import version_key
-from histora.plans.ordered import DEFAULT_CHUNK_MINUTES, chunked_lead
+from histora.plans.ordered import chunked_lead
 from histora.spec import DEFAULT_SPEC, ChangeLogSpec
 
 
@@ -17,7 +17,7 @@ def entity_watermarks(staged: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC) ->
 
 
 def build_scd2(changes: DataFrame, staged: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC,
-               order: str = "source", chunk_minutes: int | None = DEFAULT_CHUNK_MINUTES,
+               order: str = "source",
                with_closing_operation: bool = False) -> DataFrame:
     """Versions ``[valid_from, valid_to)`` per entity from deduplicated ``changes``.
 
@@ -40,8 +40,7 @@ def build_scd2(changes: DataFrame, staged: DataFrame, spec: ChangeLogSpec = DEFA
     nxt = {"ts": F.col(s.source_ts)}
     if with_closing_operation:
         nxt["op"] = F.col(s.operation)
-    seq = chunked_lead(changes.select(*needed), [s.entity], order_cols, nxt, "_next",
-                       chunk_minutes=chunk_minutes, hot_source=staged.select(s.entity, order_cols[0]))
+    seq = chunked_lead(changes.select(*needed), [s.entity], order_cols, nxt, "_next", hot_source=staged.select(s.entity, *order_cols))
     versions = seq.where(F.col(s.operation) != F.lit(s.delete_value)).select(
         version_key(s.entity, s.change_id).alias(s.version_id),
         F.col(s.entity),

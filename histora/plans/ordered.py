@@ -5,17 +5,15 @@ change (``lead``), the previous one (``lag``), the row's rank (``row_number``) o
 value. ``Window.partitionBy(entity)`` would put all rows of one entity into one task, and one entity may
 hold a third of all rows. These helpers run the same scans as two levels instead:
 
-0. an input whose Catalyst size estimate is below ``spark.histora.hotCheckMinBytes`` cannot hold an entity
-   too big for one task: it runs as the plain window (as the broadcast threshold, the check is on the
-   estimate; results are the same either way, only the plan differs);
-1. rows are hash-partitioned once on ``(entity, chunk)``, where ``chunk`` is a monotone coarsening of the
-   first order column, and the window runs per ``(entity, chunk)``. Only *hot* entities are chunked by
-   time: a partial count per entity finds the at most ``spark.histora.maxHotEntities`` heaviest entities
-   above ``spark.histora.hotEntityRows`` rows (a top-k with a proven size bound, so it is broadcast); each
-   gets its own chunk width -- its time span split so that a chunk holds about
-   ``spark.histora.hotChunkRows`` rows (``spark.histora.hotChunkMinutes`` when the count source has no time
-   column) -- and spreads over as many tasks as it has chunks. Every other entity is one chunk, i.e. it
-   costs what a plain window costs;
+0. an input whose Catalyst size estimate is below ``spark.histora.hotCheckMinBytes``, or that has no more
+   rows than one chunk, cannot hold an entity too big for one task and runs as the plain window;
+1. rows are hash-partitioned once on ``(entity, chunk)`` and the window runs per ``(entity, chunk)``. Only
+   *hot* entities have more than one chunk. Their chunk borders come from the rows themselves: a hash
+   sample of the full order key (``_SAMPLES`` rows per chunk of ``spark.histora.hotChunkRows`` rows) is sorted
+   per entity, and every ``_SAMPLES``-th sampled key is a border. So borders follow the real distribution --
+   an outlier, a dense hour or many rows of one instant do not collapse them -- and any order type works,
+   since keys are only compared. Rows of one full key share a chunk. Chunks grow with the input, so that all
+   borders together stay below ``_MOST_BORDERS`` and may be broadcast;
 2. one summary row per ``(entity, chunk)`` (row count, first row, chunk aggregate) is scanned per entity;
    that table has one row per chunk, not per change;
 3. the summary is joined back on ``(entity, chunk)`` and combined with the local result.
@@ -35,14 +33,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from histora.session import work_path
+
 CHUNK = "_chunk"
-DEFAULT_CHUNK_MINUTES = None   # None: read spark.histora.hotChunkMinutes
+_SAMPLES = 8              # sampled rows per chunk
+_MOST_BORDERS = 100_000   # borders of all entities together
 _NULL_CHUNK = 2**62  # NULL order values sort after every real chunk (ascending, NULLS LAST)
 
 # Session settings (defaults in brackets).
 HOT_ROWS_CONF = "spark.histora.hotEntityRows"        # [1000000] an entity above this is split; 0 = all
-MAX_HOT_CONF = "spark.histora.maxHotEntities"        # [10000] at most this many split (broadcast bound)
-CHUNK_MINUTES_CONF = "spark.histora.hotChunkMinutes"  # [60] time chunk of a hot entity
 MIN_BYTES_CONF = "spark.histora.hotCheckMinBytes"     # [268435456] smaller inputs are never split
 CHUNK_ROWS_CONF = "spark.histora.hotChunkRows"        # [1000000] target rows per chunk of a hot entity
 
@@ -59,32 +58,22 @@ def _conf(df: DataFrame, key: str, default: int) -> int:
     return int(df.sparkSession.conf.get(key, str(default)))
 
 
-def time_chunk(df: DataFrame, col: str, minutes: int = 60) -> Column:
-    """Monotone, non-null bucket of ``col``: ``minutes``-wide steps of time (or of value for numbers).
+def chunk_of(c: Column, dtype: T.DataType, minutes: int | Column = 60) -> Column:
+    """Monotone, non-null bucket of a time: ``minutes``-wide steps (or steps of value for numbers).
 
-    Computed from calendar fields of a zone-less timestamp, so it never depends on the session zone
-    (an offset that changes with daylight saving would break monotonicity).
+    A zoned time is an instant and counted as one, a zone-less time by its calendar fields; neither depends
+    on the session's zone or its daylight saving.
     """
-    return chunk_of(F.col(col), df.schema[col].dataType, minutes)
-
-
-def order_units(c: Column, dtype: T.DataType) -> Column:
-    """Whole minutes since 1970 for times (from calendar fields, zone-free), the value itself else."""
-    if isinstance(dtype, (T.TimestampNTZType, T.TimestampType, T.DateType)):
-        if isinstance(dtype, T.TimestampType):
-            c = c.cast("timestamp_ntz")
-        mins = F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date")).cast("long") * 1440
-        if not isinstance(dtype, T.DateType):
-            mins = mins + F.hour(c) * 60 + F.minute(c)
-        return mins
-    return c
-
-
-def chunk_of(c: Column, dtype: T.DataType, minutes: int | Column = 60) -> Column:
-    """:func:`time_chunk` of an expression of type ``dtype`` (``minutes`` may be a per-row column)."""
     width = minutes if isinstance(minutes, Column) else F.lit(minutes)
-    bucket = F.floor(order_units(c, dtype) / width)
-    return F.coalesce(bucket.cast("long"), F.lit(_NULL_CHUNK).cast("long"))
+    if isinstance(dtype, T.TimestampType):
+        units = F.floor(F.unix_micros(c) / 60_000_000)
+    elif isinstance(dtype, (T.TimestampNTZType, T.DateType)):
+        units = F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date")).cast("long") * 1440
+        if not isinstance(dtype, T.DateType):
+            units = units + F.hour(c) * 60 + F.minute(c)
+    else:
+        units = c
+    return F.coalesce(F.floor(units / width).cast("long"), F.lit(_NULL_CHUNK).cast("long"))
 
 
 def _default(dtype: T.DataType):
@@ -121,66 +110,58 @@ def _sort_key(cols: Sequence[str]) -> Column:
     return F.struct(*parts)
 
 
-def _small(df: DataFrame, hot_rows: int) -> bool:
-    """True when the whole input is estimated below ``spark.histora.hotCheckMinBytes``.
+def _borders(src: DataFrame, pkeys: Sequence[str], order: Sequence[str], hot_rows: int) -> DataFrame | None:
+    """(pkeys, _cuts): the sorted chunk borders of the hot entities; None if there is none.
 
-    Then no entity can outgrow one task, and the scan runs as a plain window (no count, no summary).
+    Measured on the rows by two small jobs (a count, a sample) and written once, so that every branch of the
+    scan and every retried task sees the same borders.
     """
-    if hot_rows <= 0:
-        return False
-    size = _estimated_bytes(df)
-    return size is not None and size < _conf(df, MIN_BYTES_CONF, 256 * 1024 * 1024)
-
-
-def _prepare(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_minutes: int | None,
-             hot_source: DataFrame | None = None):
-    """Repartition on (keys, chunk); returns the frame, the partition columns and the hot-row flag.
-
-    ``hot_source`` (same key columns) may stand in for ``df`` when counting rows per entity, e.g. the
-    staged log, which is a cheap column-pruned scan while ``df`` may sit behind a shuffle.
+    chunk_rows = _conf(src, CHUNK_ROWS_CONF, 1_000_000 if hot_rows else _SAMPLES)
+    total = src.count()
+    if total <= max(hot_rows, chunk_rows):
+        return None
+    chunk_rows = max(chunk_rows, total // _MOST_BORDERS)
+    share = min(1.0, _SAMPLES / chunk_rows)
+    picked = src.where(F.pmod(F.xxhash64(*pkeys, *order), F.lit(1_000_000_000)) < F.lit(int(share * 1_000_000_000)))
+    least = max(2 * _SAMPLES if hot_rows else 2, int(hot_rows * share))
+    step = _SAMPLES if hot_rows else 1
+    found = (picked.groupBy(*pkeys).agg(F.sort_array(F.collect_set(_sort_key(order))).alias("_s"))
+             .where(F.size("_s") >= least)
+             .select(*pkeys, F.expr(f"transform(sequence({step}, size(_s) - 1, {step}), i -> _s[i])").alias("_cuts")))
+    path = work_path(src.sparkSession, "borders")
+    found.write.parquet(path)
+    stored = src.sparkSession.read.schema(found.schema).parquet(path)
+    return None if stored.isEmpty() else stored
+
+
+# How many sorted borders are at or below the row's key, by bisection (2**17 exceeds _MOST_BORDERS).
+_BISECT = """aggregate(sequence(1, 18), named_struct('lo', 0, 'hi', size(_cuts)), (a, i) -> if(a.lo < a.hi,
+    if(_cuts[(a.lo + a.hi) div 2] <= _key,
+       named_struct('lo', cast((a.lo + a.hi) div 2 + 1 AS int), 'hi', a.hi),
+       named_struct('lo', a.lo, 'hi', cast((a.lo + a.hi) div 2 AS int))), a), a -> a.lo)"""
+
+
+def _prepare(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_source: DataFrame | None = None):
+    """Repartition on (keys, chunk): the frame, the partition columns and the hot-row flag; None: do not split.
+
+    ``hot_source`` (with the key and order columns) may stand in for ``df`` when borders are measured, e.g.
+    the staged log, which is a cheap column-pruned scan while ``df`` may sit behind a shuffle.
     """
-    df, pkeys = _partition_keys(df, keys)
-    minutes = chunk_minutes or _conf(df, CHUNK_MINUTES_CONF, 60)
     hot_rows = _conf(df, HOT_ROWS_CONF, 1_000_000)
-    if hot_rows <= 0:
-        df = df.withColumn(CHUNK, time_chunk(df, order[0], minutes))
-        return df.repartition(*pkeys, CHUNK), [*pkeys, CHUNK], F.lit(True)
-    # Heavy hitters: a partial count per entity, then the top ``max_hot`` above the threshold. The result
-    # has at most ``max_hot`` rows, so broadcasting it is bounded and the big side is not shuffled for the
-    # lookup. Everything else is one chunk per entity. When the count source has the first order column,
-    # each hot entity also gets its own chunk width: its span divided so that a chunk holds about
-    # ``spark.histora.hotChunkRows`` rows, however dense in time the entity is.
-    max_hot = _conf(df, MAX_HOT_CONF, 10_000)
-    o = order[0]
-    if hot_source is None:
-        src = df
-    else:
-        cols = [hot_source[k].cast(df.schema[k].dataType).alias(k) for k in keys]
-        if o in hot_source.columns:
-            cols.append(hot_source[o].cast(df.schema[o].dataType).alias(o))
-        src = _partition_keys(hot_source.select(*cols), keys)[0]
-    adaptive = chunk_minutes is None and o in src.columns
-    aggs = [F.count(F.lit(1)).alias("_n"),
-            # ``_h`` hashes every column, so the count reads the same plan as the scan below and Spark
-            # reuses the upstream exchanges instead of recomputing them for the count.
-            F.max(F.xxhash64(*[F.col(c) for c in src.columns])).alias("_h")]
-    if adaptive:
-        units = order_units(F.col(o), df.schema[o].dataType)
-        aggs += [F.min(units).alias("_lo"), F.max(units).alias("_hi")]
-    heavy = (src.groupBy(*pkeys).agg(*aggs)
-             .where((F.col("_n") > hot_rows) & F.col("_h").isNotNull())
-             .orderBy(F.col("_n").desc()).limit(max_hot))
-    if adaptive:
-        target = _conf(df, CHUNK_ROWS_CONF, 1_000_000)
-        span = F.coalesce(F.col("_hi") - F.col("_lo"), F.lit(0)) + F.lit(1)
-        width = F.greatest(F.lit(1), F.ceil(span * F.lit(target) / F.col("_n"))).cast("long")
-        heavy = heavy.select(*pkeys, F.lit(True).alias("_hot"), width.alias("_width"))
-    else:
-        heavy = heavy.select(*pkeys, F.lit(True).alias("_hot"), F.lit(minutes).cast("long").alias("_width"))
-    df = df.join(F.broadcast(heavy), list(pkeys), "left").withColumn("_hot", F.coalesce(F.col("_hot"), F.lit(False)))
-    chunk = chunk_of(F.col(o), df.schema[o].dataType, F.col("_width"))
-    df = df.withColumn(CHUNK, F.when(F.col("_hot"), chunk).otherwise(F.lit(0).cast("long"))).drop("_width")
-    return df.repartition(*pkeys, CHUNK), [*pkeys, CHUNK], F.col("_hot")
+    given = hot_source if hot_source is not None and set(order) <= set(hot_source.columns) else df
+    size = _estimated_bytes(given) if hot_rows > 0 else None
+    if size is not None and size < _conf(df, MIN_BYTES_CONF, 256 * 1024 * 1024):
+        return None
+    src = given.select(*[F.col(c).cast(df.schema[c].dataType).alias(c) for c in dict.fromkeys([*keys, *order])])
+    src, pkeys = _partition_keys(src, keys)
+    cuts = _borders(src, pkeys, order, hot_rows)
+    if cuts is None:
+        return None
+    df, pkeys = _partition_keys(df, keys)
+    df = df.join(F.broadcast(cuts), list(pkeys), "left").withColumn("_hot", F.col("_cuts").isNotNull())
+    df = df.withColumn("_key", _sort_key(order)).withColumn(
+        CHUNK, F.when(F.col("_hot"), F.expr(_BISECT).cast("long")).otherwise(F.lit(0).cast("long")))
+    return df.drop("_cuts", "_key").repartition(*pkeys, CHUNK), [*pkeys, CHUNK], F.col("_hot")
 
 
 def _split_rows(x: DataFrame, hot: Column) -> DataFrame:
@@ -206,7 +187,6 @@ def _join_back(df: DataFrame, summ: DataFrame, part: Sequence[str]) -> DataFrame
 
 def chunked_lead(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: dict[str, Column],
                  out: str, *, descending: bool = False, row_number: str | None = None,
-                 chunk_minutes: int | None = DEFAULT_CHUNK_MINUTES,
                  hot_source: DataFrame | None = None, keep_partition: bool = False):
     """Add ``out`` = struct of ``values`` taken from the next row in ``order`` within ``keys``.
 
@@ -217,14 +197,15 @@ def chunked_lead(df: DataFrame, keys: Sequence[str], order: Sequence[str], value
     the columns whose names start with ``_`` afterwards.
     """
     df = df.withColumn("_v", F.struct(*[v.alias(n) for n, v in values.items()]))
-    if _small(df, _conf(df, HOT_ROWS_CONF, 1_000_000)):
+    prepared = _prepare(df, keys, order, hot_source)
+    if prepared is None:
         w = Window.partitionBy(*keys).orderBy(*_order(order, descending))
         out_df = df.withColumn(out, F.lead("_v").over(w))
         if row_number:
             out_df = out_df.withColumn(row_number, F.row_number().over(w).cast("long"))
         out_df = out_df.drop("_v")
         return (out_df, list(keys)) if keep_partition else out_df
-    x, part, hot = _prepare(df, keys, order, chunk_minutes, hot_source)
+    x, part, hot = prepared
     w = Window.partitionBy(*part).orderBy(*_order(order, descending))
     local = x.withColumn("_lead_local", F.lead("_v").over(w))
     if row_number:
@@ -258,7 +239,6 @@ def chunked_lead(df: DataFrame, keys: Sequence[str], order: Sequence[str], value
 def chunked_running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                     value: Column | dict[str, Column], out: str | None, how: str, *,
                     descending: bool = False, include_current: bool = False,
-                    chunk_minutes: int | None = DEFAULT_CHUNK_MINUTES,
                     hot_source: DataFrame | None = None) -> DataFrame:
     """Add ``out`` = running ``how`` (``max``, ``min``, ``sum`` or ``last`` non-null) of ``value``.
 
@@ -272,7 +252,8 @@ def chunked_running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     names = list(values)
     for i, n in enumerate(names):
         df = df.withColumn(f"_val{i}", values[n])
-    if _small(df, _conf(df, HOT_ROWS_CONF, 1_000_000)):
+    prepared = _prepare(df, keys, order, hot_source)
+    if prepared is None:
         w = Window.partitionBy(*keys).orderBy(*_order(order, descending)).rowsBetween(
             Window.unboundedPreceding, 0 if include_current else -1)
         fns = {"max": F.max, "min": F.min, "sum": F.sum, "last": lambda c: F.last(c, ignorenulls=True)}
@@ -281,7 +262,7 @@ def chunked_running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
             if how == "sum":
                 df = df.withColumn(n, F.coalesce(F.col(n), F.lit(0)))
         return df.drop(*[f"_val{i}" for i in range(len(names))])
-    x, part, hot = _prepare(df, keys, order, chunk_minutes, hot_source)
+    x, part, hot = prepared
     w = Window.partitionBy(*part).orderBy(*_order(order, descending)).rowsBetween(
         Window.unboundedPreceding, 0 if include_current else -1)
     local_df, totals = x, []

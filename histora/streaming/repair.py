@@ -7,15 +7,15 @@ watermark is set: a watermark would drop exactly the late rows the repair exists
 
 Per micro-batch:
 
-1. the staged batch is stored in the change log under ``bucket=<b>/batch=<id>`` with a *dynamic*
-   partition overwrite, so a retried batch replaces exactly its own earlier attempt (``foreachBatch`` is
-   at-least-once) and nothing else;
-2. the whole stored log of the affected entities is read back from the touched bucket folders only (only
-   those are listed, however many batches the log holds) and their history is rebuilt;
-3. the dimension's touched buckets are replaced by key set (:class:`BucketedTable`), which is
-   deterministic, so a retry gives the same table.
-
-After all batches the dimension equals a full rebuild over everything that landed.
+1. the staged batch is stored once in the change log under ``batch=<id>``; a retried batch overwrites exactly
+   its own earlier attempt (``foreachBatch`` is at-least-once) and nothing else. All that follows reads the stored
+   batch, so the stream's source is evaluated once;
+2. the log of the affected entities is read back and their history is rebuilt;
+3. the repaired dimension is written as the batch's own version, from the version before it, so a retry
+   gives the same table and a reader sees whole versions only.
+
+After all batches the dimension equals a full rebuild over everything that landed. The tables belong to the
+stream's checkpoint: batch ids count on from it.
 """
 
 from __future__ import annotations
@@ -27,55 +27,50 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from histora.functions.exprs import entity_bucket
 from histora.operators.incremental import rebuild_entities, rebuild_tail
 from histora.operators.staging import stage_changes
-from histora.plans.ordered import DEFAULT_CHUNK_MINUTES
-from histora.sources.table import BucketedTable
+from histora.sources.versions import read_version, write_version
 from histora.spec import CDC_SCHEMA, DEFAULT_SPEC, ChangeLogSpec
 
 
 @dataclass
 class RepairStreamTables:
-    log_path: str          # stored, staged change log: bucket=<b>/batch=<id>
-    dim: BucketedTable     # the repaired Type 2 dimension
-    n_buckets: int = 64
+    log_path: str          # stored, staged change log: batch=<id>
+    dim_path: str          # the repaired Type 2 dimension: version=<batch id>
 
-    def read_log(self, spark: SparkSession, buckets: list[int] | None = None) -> DataFrame:
-        if buckets is None:
-            df = spark.read.parquet(self.log_path)
-        else:
-            df = spark.read.option("basePath", self.log_path).parquet(
-                *[f"{self.log_path}/bucket={b}" for b in sorted(buckets)])
-        return df.drop("batch", "bucket")
+    def read_dim(self, spark: SparkSession) -> DataFrame:
+        return read_version(spark, self.dim_path)
 
 
-def _process_batch(spark: SparkSession, tables: RepairStreamTables, spec: ChangeLogSpec,
-                   chunk_minutes: int | None, batch: DataFrame, batch_id: int, tail: bool = False) -> None:
+def _process_batch(spark: SparkSession, tables: RepairStreamTables, spec: ChangeLogSpec, batch: DataFrame,
+                   batch_id: int, tail: bool = False) -> None:
     s = spec
-    staged = (stage_changes(batch, s).withColumn("bucket", entity_bucket(s.entity, tables.n_buckets))
-              .withColumn("batch", F.lit(batch_id).cast("long")))
-    touched = [r[0] for r in staged.select("bucket").distinct().collect()]
-    if not touched:
-        return
-    (staged.hint("rebalance", "bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("bucket", "batch").parquet(tables.log_path))
-    affected = staged.select(s.entity).distinct()
-    log = tables.read_log(spark, touched)
+    stage_changes(batch, s).write.mode("overwrite").parquet(f"{tables.log_path}/batch={batch_id}")
+    new = spark.read.parquet(f"{tables.log_path}/batch={batch_id}")
+    log = (spark.read.option("basePath", tables.log_path).schema(f"{_ddl(new)}, batch bigint")
+           .parquet(tables.log_path).where(F.col("batch") <= batch_id).drop("batch"))
+    affected = new.select(s.entity).distinct()
     scoped = log.join(affected, s.entity, "left_semi")
-    if tail and tables.dim.current_version() > 0:
-        current = tables.dim.read(touched).join(affected, s.entity, "left_semi")
-        rebuilt = rebuild_tail(current, scoped, staged.drop("bucket", "batch"), s, chunk_minutes)
+    if batch_id == 0:
+        write_version(rebuild_entities(scoped, affected, s), tables.dim_path, 0)
+        return
+    dim = read_version(spark, tables.dim_path, batch_id - 1)
+    kept = dim.join(affected, s.entity, "left_anti")
+    if tail:
+        rebuilt = rebuild_tail(dim.join(affected, s.entity, "left_semi"), scoped, new, s)
     else:
-        rebuilt = rebuild_entities(scoped, affected, s, chunk_minutes=chunk_minutes)
-    tables.dim.replace_keys(affected, rebuilt)
+        rebuilt = rebuild_entities(scoped, affected, s)
+    write_version(kept.unionByName(rebuilt), tables.dim_path, batch_id)
+
+
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
 
 
 def start_repair_stream(spark: SparkSession, landing_path: str, tables: RepairStreamTables,
                         checkpoint_path: str, spec: ChangeLogSpec = DEFAULT_SPEC,
                         schema: T.StructType = CDC_SCHEMA, fmt: str = "parquet",
-                        available_now: bool = True, max_files_per_trigger: int | None = None,
-                        chunk_minutes: int = DEFAULT_CHUNK_MINUTES, tail: bool = False) -> StreamingQuery:
+                        available_now: bool = True, max_files_per_trigger: int | None = None, tail: bool = False) -> StreamingQuery:
     """Start the repair stream over ``landing_path``; ``checkpoint_path`` must be on shared storage.
 
     ``tail=True`` rebuilds only the part of each affected history the batch can change (see
@@ -89,7 +84,7 @@ def start_repair_stream(spark: SparkSession, landing_path: str, tables: RepairSt
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.load(landing_path)
     writer = (stream.writeStream
-              .foreachBatch(lambda df, bid: _process_batch(df.sparkSession, tables, spec, chunk_minutes, df, bid,
+              .foreachBatch(lambda df, bid: _process_batch(df.sparkSession, tables, spec, df, bid,
                                                            tail))
               .option("checkpointLocation", checkpoint_path))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")

@@ -12,7 +12,7 @@ from histora.operators import (
 )
 from histora.operators.incremental import rebuild_entities
 from histora.session import checkpoint_dir
-from histora.sources.table import BucketedTable
+from histora.sources.versions import latest_version, read_version, write_version
 from tests.fixtures_data import EXPECTED_42, EXPECTED_42_AFTER_T1, T1_CUTOFF
 from tests.helpers import intervals, log_df
 
@@ -65,15 +65,6 @@ def test_vanishing_entity_is_removed_by_repair(spark):
     assert repaired.where("customer_id = 1").count() == 0
     assert table_diff(repaired, _dim(both), CANON).count() == 0
 
-    root = f"{checkpoint_dir(spark)}/test-table-{uuid.uuid4().hex}"
-    table = BucketedTable(spark, root, "customer_id", n_buckets=4)
-    table.overwrite(t1)
-    staged = stage_changes(both)
-    aff = affected_entities(staged, table.read())
-    table.replace_keys(aff, rebuild_entities(staged, aff))
-    assert table.read().where("customer_id = 1").count() == 0
-    assert table.read().where("customer_id = 2").count() == 1
-
 
 def test_watermark_tie_is_missed_by_batch_repair(spark):
     a = log_df(spark, [_row("a", 1, "INSERT", "2026-01-01 00:00:00", "2026-01-05 00:00:00")])
@@ -82,19 +73,20 @@ def test_watermark_tie_is_missed_by_batch_repair(spark):
     assert affected_entities(stage_changes(a.unionByName(late)), t1).count() == 0  # documented hole (S11)
 
 
-def test_bucketed_table_touches_only_affected_buckets(spark, scripted_log):
+def test_versions_are_whole_and_a_retry_overwrites_its_own(spark, scripted_log):
     root = f"{checkpoint_dir(spark)}/test-table-{uuid.uuid4().hex}"
-    table = BucketedTable(spark, root, "customer_id", n_buckets=8)
-    v1 = table.overwrite(_dim(scripted_log, T1_CUTOFF))
-    before = table._manifest()["buckets"]
+    assert latest_version(spark, root) is None
+    write_version(_dim(scripted_log, T1_CUTOFF), root, 0)
     staged = stage_changes(scripted_log)
-    aff = affected_entities(staged, table.read())
-    v2 = table.replace_keys(aff, rebuild_entities(staged, aff))
-    after = table._manifest()["buckets"]
-    changed = {b for b in after if after[b] != before.get(b)}
-    assert v2 == v1 + 1 and len(changed) == 1 and all(after[b] == v1 for b in after if b not in changed)
-    assert table_diff(table.read(), _dim(scripted_log), CANON).count() == 0
-    assert intervals(table.read(), 42) == EXPECTED_42
+    write_version(_dim(scripted_log).limit(3), root, 1)                 # an attempt that went wrong
+    for _ in range(2):                                                   # and the retries
+        write_version(repair_scd2(read_version(spark, root, 0), staged), root, 1)
+    assert latest_version(spark, root) == 1
+    assert table_diff(read_version(spark, root), _dim(scripted_log), CANON).count() == 0
+    assert table_diff(read_version(spark, root, 0), _dim(scripted_log, T1_CUTOFF), CANON).count() == 0
+    assert intervals(read_version(spark, root), 42) == EXPECTED_42
+    write_version(_dim(scripted_log).limit(0), root, 2)
+    assert latest_version(spark, root) == 2 and read_version(spark, root).count() == 0
 
 
 def test_fact_append_modes(spark):
@@ -111,21 +103,6 @@ def test_fact_append_modes(spark):
     assert by_time == [("e1", "login"), ("e2", "purchase"), ("e4", "y"), ("e4", "y")]
 
 
-def test_crashed_write_is_invisible_and_retry_succeeds(spark, scripted_log):
-    root = f"{checkpoint_dir(spark)}/test-table-{uuid.uuid4().hex}"
-    table = BucketedTable(spark, root, "customer_id", n_buckets=4)
-    v1 = table.overwrite(_dim(scripted_log, T1_CUTOFF))
-    # a job that died after writing its data but before publishing the manifest
-    table._write(_dim(scripted_log), v1 + 1)
-    assert table.current_version() == v1
-    assert table_diff(table.read(), _dim(scripted_log, T1_CUTOFF), CANON).count() == 0
-    # the retry reuses the unpublished version number, overwrites the garbage and publishes
-    staged = stage_changes(scripted_log)
-    aff = affected_entities(staged, table.read())
-    assert table.replace_keys(aff, rebuild_entities(staged, aff)) == v1 + 1
-    assert table_diff(table.read(), _dim(scripted_log), CANON).count() == 0
-
-
 def test_watermarks_do_not_depend_on_the_session_zone(spark, scripted_log):
     """High-water marks are collected and compared as zone-less timestamps."""
     before = spark.conf.get("spark.sql.session.timeZone")
@@ -167,30 +144,6 @@ def test_shared_change_id_changes_the_owner(spark):
     assert table_diff(exact, _dim(log), CANON).count() == 0
 
 
-def test_vacuum_keeps_live_buckets(spark, scripted_log):
-    root = f"{checkpoint_dir(spark)}/test-table-{uuid.uuid4().hex}"
-    table = BucketedTable(spark, root, "customer_id", n_buckets=8)
-    table.overwrite(_dim(scripted_log, T1_CUTOFF))
-    staged = stage_changes(scripted_log)
-    aff = affected_entities(staged, table.read())
-    table.replace_keys(aff, rebuild_entities(staged, aff))
-    table.overwrite(_dim(scripted_log))          # full refresh: v3 references only its own files
-    deleted = table.vacuum(retain_versions=1)
-    assert any("/data/v=1/" in d for d in deleted) and any("/data/v=2/" in d for d in deleted)
-    assert table_diff(table.read(), _dim(scripted_log), CANON).count() == 0
-    assert table.vacuum(retain_versions=1) == []
-
-
-def test_read_keys_reads_only_their_bucket(spark, scripted_log):
-    root = f"{checkpoint_dir(spark)}/test-table-{uuid.uuid4().hex}"
-    table = BucketedTable(spark, root, "customer_id", n_buckets=8)
-    table.overwrite(_dim(scripted_log))
-    df = table.read_keys([42])
-    folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
-    assert len(folders) == 1 and "/bucket=" in folders.pop()      # only the key's bucket is read
-    assert intervals(df, 42) == EXPECTED_42
-
-
 def test_tail_repair_on_scripted_log_and_vanishing_entity(spark, scripted_log):
     from histora.operators import repair_scd2_tail
     t1 = _dim(scripted_log, T1_CUTOFF)

@@ -44,8 +44,8 @@ def test_lead_lag_rownumber(spark, seed, minutes, hot):
     w = Window.partitionBy("k").orderBy(F.col("t").asc_nulls_last(), F.col("id").asc_nulls_last())
     want = df.select("id", F.lead("id").over(w).alias("nxt"), F.lag("id").over(w).alias("prv"),
                      F.row_number().over(w).alias("rn"))
-    a = chunked_lead(df, ["k"], ["t", "id"], {"id": F.col("id")}, "n", row_number="rn", chunk_minutes=minutes)
-    b = chunked_lead(df, ["k"], ["t", "id"], {"id": F.col("id")}, "p", descending=True, chunk_minutes=minutes)
+    a = chunked_lead(df, ["k"], ["t", "id"], {"id": F.col("id")}, "n", row_number="rn")
+    b = chunked_lead(df, ["k"], ["t", "id"], {"id": F.col("id")}, "p", descending=True)
     got = a.select("id", F.col("n.id").alias("nxt"), "rn").join(b.select("id", F.col("p.id").alias("prv")), "id")
     assert sorted(map(tuple, got.select("id", "nxt", "prv", "rn").collect())) == \
         sorted(map(tuple, want.select("id", "nxt", "prv", "rn").collect()))
@@ -74,7 +74,7 @@ def test_running(spark, all_hot, how, descending, include):
     fn = {"max": F.max("v"), "min": F.min("v"), "last": F.last("v", ignorenulls=True)}[how]
     want = sorted(map(tuple, df.select("id", fn.over(w).alias("r")).collect()))
     got = chunked_running(df, ["k"], ["t", "id"], F.col("v"), "r", how, descending=descending,
-                          include_current=include, chunk_minutes=300)
+                          include_current=include)
     assert sorted(map(tuple, got.select("id", "r").collect())) == want
 
 
@@ -129,3 +129,41 @@ def test_hot_entity_is_spread_over_several_tasks(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def _windowed(df, order):
+    w = Window.partitionBy("k").orderBy(*[F.col(c).asc_nulls_last() for c in order])
+    return df.select("id", F.lead("id").over(w).alias("nxt"), F.row_number().over(w).alias("rn"),
+                     F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("total"))
+
+
+@pytest.mark.parametrize("case", ["outlier", "one_instant", "zoned", "string", "number", "date"])
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_borders_follow_the_rows_for_every_order_type(spark, case, zone):
+    """Equal to the plain window, and the largest chunk stays near the target."""
+    from histora.plans import ordered
+    confs = {MIN_BYTES_CONF: "0", HOT_ROWS_CONF: "200", ordered.CHUNK_ROWS_CONF: "50", "spark.sql.session.timeZone": zone}
+    old = {k: spark.conf.get(k, None) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        n = 1200
+        t = {"outlier": F.expr("if(i = 5, timestamp_ntz'1970-01-01', timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, i))"),
+             "one_instant": F.expr("timestamp_ntz'2024-01-01 00:00:00'"),
+             "zoned": F.expr("timestamp_micros(1730606400000000 + (i * 7919 % 1200) * 15000000)"),   # over the autumn change
+             "string": F.expr("concat('x', hex(i * 31 % 1000))"), "number": F.expr("cast(i * 37 % 500 AS double)"),
+             "date": F.expr("date_add(date'2024-01-01', cast(i % 3 AS int))")}[case]
+        df = spark.range(n).withColumnRenamed("id", "i").select(
+            F.when(F.col("i") % 10 == 0, F.lit(2)).otherwise(F.lit(1)).alias("k"), t.alias("t"),
+            F.format_string("id%06d", F.col("i")).alias("id"), (F.col("i") % 17).alias("v"))
+        lead = chunked_lead(df, ["k"], ["t", "id"], {"id": F.col("id")}, "n", row_number="rn")
+        total = chunked_running(df, ["k"], ["t", "id"], F.col("v"), "total", "sum", include_current=True)
+        got = lead.select("id", F.col("n.id").alias("nxt"), "rn").join(total.select("id", "total"), "id")
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, _windowed(df, ["t", "id"]).collect()))
+        x, part, hot = ordered._prepare(df, ["k"], ["t", "id"])
+        sizes = x.where("k = 1").groupBy(*part).count().collect()
+        assert len(sizes) >= 10 and max(r["count"] for r in sizes) <= 150
+        assert x.where("k = 2").select(*part).distinct().count() == 1
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

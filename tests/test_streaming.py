@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from histora.operators import build_scd2, deduplicate_changes, stage_changes, table_diff
 from histora.session import checkpoint_dir
-from histora.sources.table import BucketedTable
+from histora.sources.versions import latest_version
 from histora.streaming import RepairStreamTables, start_repair_stream
 from histora.streaming.repair import _process_batch
 from histora.spec import DEFAULT_SPEC
@@ -36,18 +36,18 @@ def test_three_micro_batches_equal_full_build(spark, scripted_log, tail):
              ing > F.lit(cuts[1]).cast("timestamp_ntz")]
     for i, p in enumerate(parts):
         scripted_log.where(p).write.parquet(f"{base}/landing/arrival={i}")
-    tables = RepairStreamTables(f"{base}/log", BucketedTable(spark, f"{base}/dim", "customer_id", 4), 4)
+    tables = RepairStreamTables(f"{base}/log", f"{base}/dim")
     q = start_repair_stream(spark, f"{base}/landing/*", tables, f"{base}/_ckpt", schema=scripted_log.schema,
                             max_files_per_trigger=1, tail=tail)
     q.awaitTermination()
-    assert q.lastProgress is not None
-    dim = tables.dim.read()
+    assert latest_version(spark, tables.dim_path) >= 2
+    dim = tables.read_dim(spark)
     assert table_diff(dim, _full(scripted_log), CANON).count() == 0
     assert intervals(dim, 42) == EXPECTED_42
 
     # at-least-once: replaying an already processed batch leaves the table unchanged
-    _process_batch(spark, tables, DEFAULT_SPEC, None, scripted_log.where(parts[1]), 1, tail)
-    assert table_diff(tables.dim.read(), _full(scripted_log), CANON).count() == 0
+    _process_batch(spark, tables, DEFAULT_SPEC, scripted_log.where(parts[1]), 1, tail)
+    assert table_diff(tables.read_dim(spark), _full(scripted_log), CANON).count() == 0
 
 
 def test_stream_sees_watermark_tie(spark):
@@ -57,6 +57,6 @@ def test_stream_sees_watermark_tie(spark):
     late = log_df(spark, [row("b", 2, "2026-01-02 00:00:00", "2026-01-05 00:00:00")])
     a.write.parquet(f"{base}/landing/arrival=0")
     late.write.parquet(f"{base}/landing/arrival=1")
-    tables = RepairStreamTables(f"{base}/log", BucketedTable(spark, f"{base}/dim", "customer_id", 4), 4)
+    tables = RepairStreamTables(f"{base}/log", f"{base}/dim")
     start_repair_stream(spark, f"{base}/landing/*", tables, f"{base}/_ckpt", schema=a.schema).awaitTermination()
-    assert sorted(r.customer_id for r in tables.dim.read().collect()) == [1, 2]
+    assert sorted(r.customer_id for r in tables.read_dim(spark).collect()) == [1, 2]
