@@ -118,11 +118,11 @@ def overlap_violations(df: DataFrame, entity_key: str = "customer_id", valid_fro
 def current_record_violations(df: DataFrame, entity_key: str = "customer_id",
                               current_flag: str = "row_current", valid_to: str = "valid_to") -> DataFrame:
     """Q2: a live entity (an open window exists) has exactly one current row, a deleted one none."""
-    tallied = df.groupBy(F.col(entity_key).alias("entity_id")).agg(
-        F.sum(F.when(F.col(current_flag), 1).otherwise(0)).cast("long").alias("current_rows"),
-        F.sum(F.when(F.col(valid_to).isNull(), 1).otherwise(0)).cast("long").alias("open_rows"))
-    c, o = F.col("current_rows"), F.col("open_rows")
-    return tallied.where((c > 1) | ((o > 0) & (c != 1)) | ((o == 0) & (c != 0)))
+    per_entity = df.groupBy(F.col(entity_key).alias("entity_id")).agg(
+        F.count_if(F.col(current_flag)).alias("current_rows"),
+        F.count_if(F.col(valid_to).isNull()).alias("open_rows"))
+    expected = F.when(F.col("open_rows") == 0, 0).otherwise(1)
+    return per_entity.where(F.col("current_rows") != expected)
 
 
 def interval_order_violations(df: DataFrame, entity_key: str = "customer_id") -> DataFrame:

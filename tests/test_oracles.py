@@ -23,7 +23,7 @@ def test_query_matches_oracle(results, name):
 
 def test_entry_smoke(spark):
     df = entry.entry(spark)
-    assert df.count() == 500 and "matched_historical_state" in df.columns
+    assert df.count() == 1000 and "matched_historical_state" in df.columns
 
 
 SPLIT_KEYS = ["sequence_changes", "scd2_full", "scd2_ingest_order", "pit_asof", "pit_auto", "pit_ingest_order_auto",

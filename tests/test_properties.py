@@ -255,3 +255,21 @@ def test_tail_repair_equals_full_build(spark, seed):
         cut = T0 + timedelta(hours=rnd.randrange(0, 80))
         t1 = _dim(log, cut)
         assert table_diff(repair_scd2_tail(t1, staged), full, CANON).count() == 0
+
+
+def test_noop_changes_take_null_as_equal_to_null(spark):
+    from histora.operators import noop_changes
+    from tests.helpers import log_df
+    from histora.operators import stage_changes, deduplicate_changes
+    row = lambda c, tier, day: (c, 1, "UPDATE", "US", tier, "active", False, f"2026-01-0{day} 00:00:00", f"2026-01-0{day} 01:00:00", "x")
+    log = log_df(spark, [row("a", None, 1), row("b", None, 2), row("c", "free", 3), row("d", None, 4), row("e", None, 5)])
+    got = noop_changes(deduplicate_changes(stage_changes(log))).collect()
+    assert sorted((r["change_id"], r["previous_change_id"]) for r in got) == [("b", "a"), ("e", "d")]
+
+
+def test_repeat_makes_no_giant_array(spark):
+    from histora.operators import quality
+    df = spark.createDataFrame([(1, 1), (2, 5), (3, 250_001)], "k int, n bigint")
+    got = {r["k"]: r["count"] for r in quality._repeat(df, F.col("n")).groupBy("k").count().collect()}
+    assert got == {1: 1, 2: 5, 3: 250_001}
+    assert quality._repeat(df.where("k = 1"), F.lit(3_000_000_000)).limit(5).count() == 5
