@@ -26,7 +26,8 @@ from histora.operators.quality import (  # noqa: E402
     declared_check_list, dimension_checks, validate, validate_declared,
 )
 from histora.session import work_path  # noqa: E402
-from histora.sources import derived_change_log, derived_facts, scenario_catalog  # noqa: E402
+from histora.sources import derived_change_log, derived_facts, read_change_log, read_events, scenario_catalog  # noqa: E402
+from histora.sources.derived import SCENARIO_CATALOG  # noqa: E402
 from histora.sources.versions import latest_version, read_version, write_version  # noqa: E402
 from histora.streaming import RepairStreamTables, start_repair_stream  # noqa: E402
 
@@ -247,6 +248,30 @@ def q_missing_scenarios(spark, sf):
     return missing_scenarios(scenario_catalog(spark), derived_change_log(spark, sf))
 
 
+def q_missing_scenarios_by_entity(spark, sf):
+    """Every entity is expected to have each tag of the catalogue."""
+    log = derived_change_log(spark, sf)
+    wanted = log.select("customer_id").distinct().select(
+        "customer_id", F.explode(F.array(*[F.lit(t) for t in SCENARIO_CATALOG])).alias("tag"))
+    return missing_scenarios(wanted, log, entity_column="customer_id").select("customer_id", "tag")
+
+
+def q_stage_from_csv(spark, sf):
+    """The log written as CSV text, read back by the typed scan and staged."""
+    path = work_path(spark, "log-csv")
+    log = derived_change_log(spark, sf)
+    times = {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("ingested_at", "source_updated_at")}   # whole seconds
+    log.withColumns(times).write.option("header", True).csv(path)
+    return stage_changes(read_change_log(spark, path)).drop("received_id")
+
+
+def q_facts_from_csv(spark, sf):
+    path = work_path(spark, "events-csv")
+    text = F.date_format("event_timestamp", "yyyy-MM-dd HH:mm:ss")
+    derived_facts(spark, sf).withColumn("event_timestamp", text).write.option("header", True).csv(path)
+    return stage_events(read_events(spark, path))
+
+
 def q_duplicate_deliveries(spark, sf):
     return duplicate_deliveries(_staged(spark, sf))
 
@@ -296,6 +321,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "accepted_values_violations": q_accepted_values_violations,
     "table_diff": q_table_diff,
     "missing_scenarios": q_missing_scenarios,
+    "missing_scenarios_by_entity": q_missing_scenarios_by_entity,
+    "stage_from_csv": q_stage_from_csv,
+    "facts_from_csv": q_facts_from_csv,
     "duplicate_deliveries": q_duplicate_deliveries,
     "noop_changes": q_noop_changes,
     "arrival_anomalies": q_arrival_anomalies,
@@ -512,6 +540,12 @@ FROM sequenced"""
         "stage_changes": _with(_sql_staged("staged")) + "\nSELECT * FROM staged",
         "stage_changes_cutoff": _with(_sql_staged("staged", T1_CUTOFF)) + "\nSELECT * FROM staged",
         "stage_events": _with() + "\nSELECT * FROM facts",
+        "stage_from_csv": _with(_sql_staged("staged")) + """
+SELECT * EXCLUDE (received_id) REPLACE (CAST(date_trunc('second', ingested_at) AS TIMESTAMP) AS ingested_at,
+       CAST(source_updated_at AS TIMESTAMP) AS source_updated_at) FROM staged""",
+        "facts_from_csv": _with() + """
+SELECT CAST(event_id AS VARCHAR) AS event_id, customer_id, event_name,
+       CAST(date_trunc('second', event_timestamp) AS TIMESTAMP) AS event_timestamp FROM facts""",
         "deduplicate_changes": _with(_sql_staged("staged"), _sql_dedup("changes", "staged"))
         + "\nSELECT * FROM changes",
         "sequence_changes": seq,
@@ -614,6 +648,11 @@ SELECT *, 'right_only' AS diff_side FROM (SELECT {_CANON} FROM dim EXCEPT ALL SE
         "missing_scenarios": _with() + """
 SELECT tag FROM (VALUES ('click'), ('error'), ('purchase'), ('signup'), ('view'), ('replayed_snapshot')) c(tag)
 WHERE NOT EXISTS (SELECT 1 FROM log WHERE log.scenario_tag = c.tag)""",
+        "missing_scenarios_by_entity": _with() + """
+SELECT e.customer_id, c.tag
+FROM (SELECT DISTINCT customer_id FROM log) e,
+     (VALUES ('click'), ('error'), ('purchase'), ('signup'), ('view'), ('replayed_snapshot')) c(tag)
+WHERE NOT EXISTS (SELECT 1 FROM log WHERE log.customer_id = e.customer_id AND log.scenario_tag = c.tag)""",
         "duplicate_deliveries": _with(_sql_staged("staged")) + """
 SELECT change_id, count(*) AS deliveries, min(ingested_at) AS first_ingested_at,
        max(ingested_at) AS last_ingested_at

@@ -172,10 +172,14 @@ def table_diff(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Dat
 
 
 def missing_scenarios(catalog: DataFrame, log: DataFrame, tag_column: str = "scenario_tag",
-                      catalog_column: str = "tag") -> DataFrame:
-    """Catalogue entries that never occur in the log."""
-    seen = log.select(F.col(tag_column).alias(catalog_column)).distinct()
-    return catalog.join(seen, catalog_column, "left_anti")
+                      catalog_column: str = "tag", entity_column: str | None = None) -> DataFrame:
+    """Catalogue entries that never occur in the log.
+
+    With ``entity_column`` (of both) an entry names the entity too, and occurs only if that entity has the tag.
+    """
+    on = [catalog_column, *([entity_column] if entity_column else [])]
+    seen = log.select(F.col(tag_column).alias(catalog_column), *on[1:]).distinct()
+    return catalog.join(seen, on, "left_anti")
 
 
 def validate(checks: Mapping[str, DataFrame]) -> DataFrame:
