@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from histora.llm.common import batched, crc_mod, ship, stored
 
-ORDER = 5
+ORDER = 4
 BITS = 12
 MODEL_CELLS = 8_000_000
 CALIBRATION_ROWS = 4_000
@@ -250,9 +250,11 @@ def train_model(docs: DataFrame, *, order: int = ORDER, cells: int = MODEL_CELLS
     languages = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
     if not languages:
         return None
-    kept = counts.where(F.col("n") >= least_count(counts, len(languages), cells)).toPandas()
-    code = pd.Categorical(kept["lang"], categories=languages).codes
-    model = build_model(languages, code, kept["key"].to_numpy(), kept["n"].to_numpy(), order)
+    place = F.array_position(F.array(*[F.lit(x) for x in languages]), F.col("lang")).cast("int") - 1
+    kept = (counts.where(F.col("n") >= least_count(counts, len(languages), cells))
+            .select(place.alias("lang"), "key", "n").toArrow())
+    model = build_model(languages, *(kept[c].to_numpy() for c in ("lang", "key", "n")), order)
+    del kept
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
