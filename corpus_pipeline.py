@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from histora.llm.bpe import encode_digests
-from histora.llm.common import fresh, stored, table
+from histora.llm.common import fresh, rows_without_ids, stored, table
 from histora.llm.decontaminate import contaminated
 from histora.llm.langid import held_out, language_of, train_model
 from histora.llm.near_dup import near_duplicates
@@ -31,13 +31,13 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the least id of each group of near copies."""
     dropped = stored(near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct(), "pipeline-copies")
-    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    return rows_without_ids(docs, dropped)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents that hold no benchmark item."""
     leaks = stored(contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct(), "pipeline-leaks")
-    return docs.join(leaks, "doc_id", "left_anti").select(docs.columns)
+    return rows_without_ids(docs, leaks)
 
 
 def replace_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

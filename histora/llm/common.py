@@ -42,6 +42,34 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _bitmap(rows: DataFrame, ids: DataFrame, id_col: str, bits: int) -> tuple[DataFrame, Column]:
+    """(words of a bitmap of the ids' hashes, at most ``bits`` / 64 rows; the condition that a row's id is in it)."""
+    word, mask = fresh(rows.columns, "_word"), fresh(rows.columns, "_bits")
+    slot = f"pmod(xxhash64(`{id_col}`), {bits}L)"
+    place, bit = f"shiftright({slot}, 6)", f"shiftleft(1L, cast({slot} & 63 AS int))"
+    words = (ids.select(F.expr(place).alias(word), F.expr(bit).alias(mask)).groupBy(word)
+             .agg(F.bit_or(mask).alias(mask)))
+    return words, (F.expr(place) == F.col(word)) & F.expr(f"(`{mask}` & {bit}) <> 0")
+
+
+def rows_with_ids(rows: DataFrame, ids: DataFrame, id_col: str = "doc_id", bits: int = 1 << 24) -> DataFrame:
+    """The rows whose id may be among ``ids``, found without moving a row: none missed, some too many.
+
+    The bitmap's size is fixed, so it may be broadcast. A join that follows then moves little more than the
+    rows it needs; with far more ids than bits it moves all of them.
+    """
+    words, found = _bitmap(rows, ids, id_col, bits)
+    return rows.join(F.broadcast(words), found, "left_semi")
+
+
+def rows_without_ids(rows: DataFrame, ids: DataFrame, id_col: str = "doc_id", bits: int = 1 << 24) -> DataFrame:
+    """Exactly the rows whose id is not among ``ids`` (null ids stay); only rows that may go are moved."""
+    words, found = _bitmap(rows, ids, id_col, bits)
+    sure = rows.join(F.broadcast(words), found, "left_anti")
+    rest = rows.join(F.broadcast(words), found, "left_semi").join(ids.hint("merge"), id_col, "left_anti")
+    return sure.unionByName(rest.select(rows.columns))
+
+
 def fresh(columns: list[str], name: str) -> str:
     """``name``, lengthened until no column has it in any case."""
     taken = {c.lower() for c in columns}
