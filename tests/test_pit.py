@@ -66,9 +66,9 @@ def test_range_equals_asof_on_derived_log(spark):
     sf = "/root/testdata/sf0.001"
     a = entry.queries()["pit_range"](spark, sf)
     b = entry.queries()["pit_asof"](spark, sf)
-    assert a.count() == b.count() == 500
+    assert a.count() == b.count() == 1000
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-    assert a.where(F.col("matched_historical_state")).count() == 470
+    assert a.where(F.col("matched_historical_state")).count() == 975
 
 
 def test_bucketed_tables_join_without_exchange(spark):
@@ -89,6 +89,6 @@ def test_bucketed_tables_join_without_exchange(spark):
         out = point_in_time_join(facts, dim, strategy="range")
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "Exchange" not in plan
-        assert out.count() == 500 and out.where("matched_historical_state").count() == 470
+        assert out.count() == 1000 and out.where("matched_historical_state").count() == 975
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
