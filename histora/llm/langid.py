@@ -304,7 +304,7 @@ def language_of(text: Column, model: LanguageModel | None, spark: SparkSession)
                 out["rejected"] = ~some
             yield out
 
-    return found(text)
+    return found.asNondeterministic()(text)     # so that a filter on the result does not score the texts again
 
 
 def identify(docs: DataFrame, model: LanguageModel | None, *, id_col: str = "doc_id",
