@@ -163,7 +163,7 @@ def byte_table(members: bytes) -> np.ndarray:
 
 def ascii_lower() -> np.ndarray:
     """Byte table that lower-cases A-Z and leaves every other byte."""
-    out = np.arange(256, dtype=np.uint64)
+    out = np.arange(256, dtype=np.uint8)
     out[65:91] += 32
     return out
 
@@ -181,7 +181,7 @@ def alnum_words(texts: list[str], hasher: WordHasher) -> tuple[np.ndarray, np.nd
     return hasher([t.lower().encode("utf-8", "surrogatepass") for t in texts])
 
 
-def batched(texts: list, limit: int = 1 << 23):
+def batched(texts: list, limit: int = 1 << 21):
     """Consecutive index ranges whose texts hold about ``limit`` bytes together (one text at least)."""
     lo = size = 0
     for i, t in enumerate(texts):

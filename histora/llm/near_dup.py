@@ -9,8 +9,8 @@ first non-empty one on its own fixed random walk (optimal densification). Bands
    left out (``LEAST_AGREEMENT``, seven standard deviations below the threshold); the rest are compared on their
    full sets, made anew from the whole texts.
 3. Verified links give components. A bucket in which a star edge failed can hide a link between two of its other
-   members; there, members of different components are compared pairwise by bins, in blocks of bounded size,
-   and the pairs that agree are compared on full sets. All other buckets lie within one component already.
+   members; there, members of different components are compared in blocks of bounded size, by bins and where
+   these agree on full sets. All other buckets lie within one component already.
 
 So a link is missed only if its two documents share no bucket: (1 - s**ROWS)**BANDS, 1e-6 at similarity 0.75 and
 far less above. No group is gathered in one task: minima are map-side aggregates, members join them under
@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from histora.llm.common import WordHasher, ascii_lower, batched, byte_table, mix64, powers, ship, stored
+from histora.llm.common import WordHasher, ascii_lower, batched, byte_table, mix64, powers, rows_with_ids, ship, stored
 from histora.llm.components import connected_components
 
 SHINGLE = 5
@@ -51,9 +51,8 @@ def word_hasher() -> WordHasher:
     return WordHasher(byte_table(_SPACES), ascii_lower())
 
 
-def shingle_sets(texts: list[str], hasher: WordHasher, width: int = SHINGLE) -> list[np.ndarray]:
-    """Sorted distinct shingle hashes of each text."""
-    out: list[np.ndarray] = []
+def shingle_sets(texts: list[str], hasher: WordHasher, width: int = SHINGLE) -> Iterator[np.ndarray]:
+    """Sorted distinct shingle hashes of each text, one text after another."""
     factor = mix64(powers(width + 1)[1:]) | np.uint64(1)
     for lo, hi in batched(texts):
         word, first = hasher([t.encode("utf-8", "surrogatepass") for t in texts[lo:hi]])
@@ -64,14 +63,13 @@ def shingle_sets(texts: list[str], hasher: WordHasher, width: int = SHINGLE) ->
         value = mix64(value)
         for a, b in zip(first[:-1], first[1:]):
             if b - a >= width:
-                out.append(np.unique(value[a:b - width + 1]))
+                yield np.unique(value[a:b - width + 1])
             elif b > a:
                 place = np.arange(b - a, dtype=np.uint64)
                 whole = (mix64(word[a:b] + place) * factor[:b - a]).sum(dtype=np.uint64, keepdims=True)
-                out.append(mix64(whole + place[-1:] + np.uint64(1)))
+                yield mix64(whole + place[-1:] + np.uint64(1))
             else:
-                out.append(np.empty(0, np.uint64))
-    return out
+                yield np.empty(0, np.uint64)
 
 
 class Sketcher:
@@ -166,7 +164,8 @@ def confirm(edges: DataFrame, docs: DataFrame) -> DataFrame:
         F.col("b").alias("doc_id"))
     centre = parts.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
                           F.lit(0).alias("kind"), F.col("a").alias("doc_id"))
-    texts = (member.unionByName(centre).join(docs, "doc_id").repartition("a", "part")
+    needed = member.unionByName(centre)
+    texts = (rows_with_ids(docs, needed).join(needed.hint("merge"), "doc_id").repartition("a", "part")
              .sortWithinPartitions("a", "part", "kind").select("a", "part", "kind", "doc_id", "text"))
 
     def run(batches):
@@ -188,40 +187,70 @@ def confirm(edges: DataFrame, docs: DataFrame) -> DataFrame:
     return texts.mapInPandas(run, "a bigint, b bigint")
 
 
-def hidden_pairs(members: DataFrame, links: DataFrame, component: DataFrame, reps: DataFrame) -> DataFrame:
-    """Pairs that a failed star may hide: of one bucket, of different components, with bins that agree.
+def _cells(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows of (a, doc_id, ...) dealt so that each two rows of one ``a`` meet in one cell (a, i, j) of two blocks."""
+    sizes = rows.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    return (rows.join(sizes, "a").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .select("a", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "doc_id",
+                    "component", *columns))
+
+
+def _cell_pairs(cell: pd.DataFrame, n: np.ndarray, agree: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(row, later rows) of a cell that are of different components and could link."""
+    doc, comp, own = (cell[c].to_numpy() for c in ("doc_id", "component", "own"))
+    i, j = cell["i"].iloc[0], cell["j"].iloc[0]
+    right = np.flatnonzero(own == j)
+    for x in np.flatnonzero(own == i):
+        ys = right[((doc[right] > doc[x]) | (i != j)) & (comp[right] != comp[x])]
+        ys = ys[_could_link(n[x], n[ys], agree[x], agree[ys])] if len(ys) else ys
+        if len(ys):
+            yield x, ys
 
-    ``members`` (key, a, doc_id) lists the buckets of three members or more. Members are dealt into blocks of
-    about ``BLOCK`` rows and compared block by block, so no task holds a whole bucket.
+
+def hidden_links(members: DataFrame, links: DataFrame, component: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links (a, b) that a failed star may hide: between members of one star, of different components.
+
+    ``members`` (key, a, doc_id) lists the buckets of three members or more. Buckets with a failed star edge are
+    taken together by centre; their members are dealt into cells of two blocks of about ``BLOCK`` rows. A first
+    pass over bin bytes keeps the members that could link with one of another component; a second compares
+    the full sets of those in the cell itself. So each text travels once per block, not once per pair.
     """
     linked = links.select("a", F.col("b").alias("doc_id"))
-    failed = (members.where("a <> doc_id").join(linked, ["a", "doc_id"], "left_anti")
-              .groupBy("key").agg(F.count(F.lit(1)).alias("_failed")))
-    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
-    blocks = failed.join(sizes, "key").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    rows = (members.where("a <> doc_id").join(blocks, "key")
-            .join(reps.select("doc_id", "n_shingles", "agree"), "doc_id")
-            .join(component.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
-            .withColumn("component", F.coalesce("component", "doc_id"))
-            .withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "doc_id",
-                    "component", "n_shingles", "agree"))
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        agree = _bytes(group["agree"])
-        doc, comp, n = (group[c].to_numpy() for c in ("doc_id", "component", "n_shingles"))
-        own, i, j = group["own"].to_numpy(), group["i"].iloc[0], group["j"].iloc[0]
-        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        found = []
-        for x in left:
-            ys = right[(doc[right] > doc[x]) | (i != j)]
-            ys = ys[comp[ys] != comp[x]]
-            ys = ys[_could_link(n[x], n[ys], agree[x], agree[ys])] if len(ys) else ys
+    failed = (members.where("a <> doc_id").join(linked, ["a", "doc_id"], "left_anti").select("key").distinct())
+    star = members.where("a <> doc_id").join(failed, "key", "left_semi").select("a", "doc_id").distinct()
+    rows = stored(star.join(component.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
+                  .withColumn("component", F.coalesce("component", "doc_id")), "neardup-stars")
+    mixed = rows.groupBy("a").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
+    rows = rows.join(mixed.select("a"), "a", "left_semi")
+
+    def could(cell: pd.DataFrame) -> pd.DataFrame:
+        hit: set[int] = set()
+        for x, ys in _cell_pairs(cell, cell["n_shingles"].to_numpy(), _bytes(cell["agree"])):
+            hit.add(x)
+            hit.update(ys.tolist())
+        return cell.iloc[sorted(hit)][["a", "doc_id", "component"]]
+
+    some = stored(_cells(rows.join(reps.select("doc_id", "n_shingles", "agree"), "doc_id"), ["n_shingles", "agree"])
+                  .groupBy("a", "i", "j").applyInPandas(could, "a bigint, doc_id bigint, component bigint").distinct(),
+                  "neardup-could")
+
+    def compare(cell: pd.DataFrame) -> pd.DataFrame:
+        sets = list(shingle_sets(cell["text"].tolist(), word_hasher()))
+        n = np.array([len(s) for s in sets])
+        sketcher = Sketcher()
+        agree = np.stack([sketcher.bins(s).astype(np.uint8) for s in sets])
+        doc, found = cell["doc_id"].to_numpy(), []
+        for x, ys in _cell_pairs(cell, n, agree):
+            every = np.concatenate([sets[y] for y in ys])
+            at = np.minimum(np.searchsorted(sets[x], every), n[x] - 1)
+            both = np.add.reduceat(sets[x][at] == every, np.concatenate(([0], np.cumsum(n[ys])[:-1])), dtype=np.int64)
+            ys = ys[100 * both >= LEAST_PERCENT * (n[x] + n[ys] - both)]
             found += [(min(doc[x], doc[y]), max(doc[x], doc[y])) for y in ys]
         return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
 
-    return rows.groupBy("key", "i", "j").applyInPandas(run, "a bigint, b bigint").distinct()
+    texts = rows_with_ids(docs, some.select("doc_id")).join(some.hint("merge"), "doc_id")
+    return (_cells(texts, ["text"]).groupBy("a", "i", "j").applyInPandas(compare, "a bigint, b bigint").distinct())
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -231,7 +260,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     sketches = stored(sketch(docs), "neardup-sketch")
     sets = stored(sketches.where("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
                   .where("doc_id IS NOT NULL"), "neardup-sets")
-    reps = stored(sketches.join(sets.select("doc_id").distinct(), "doc_id", "left_semi")
+    reps = stored(sketches.join(sets.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi")
                   .select("doc_id", "n_shingles", "bands", "agree"), "neardup-reps")
     buckets = reps.select("doc_id", F.explode("bands").alias("key"))
     stars = (buckets.groupBy("key").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("size"))
@@ -241,9 +270,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     texts = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
     links = stored(confirm(stored(likely(edges.select("a", "b"), reps), "neardup-likely"), texts), "neardup-links")
     component = connected_components(links)
-    hidden = stored(hidden_pairs(members.where("size > 2").drop("size"), links, component, reps), "neardup-hidden")
-    if not hidden.isEmpty():
-        more = stored(confirm(hidden, texts), "neardup-more")
+    more = stored(hidden_links(members.where("size > 2").drop("size"), links, component, reps, texts), "neardup-more")
+    if not more.isEmpty():
         component = connected_components(links.unionByName(more))
     of_set = (sets.join(component.withColumnRenamed("node", "doc_id"), "doc_id", "left")
               .select("set_id", F.coalesce("component", "doc_id").alias("_of_set")))
