@@ -120,3 +120,20 @@ def test_model_size_is_bounded(spark):
     for cells in (10_000, 500, 99):
         assert counts.where(f"n >= {langid.least_count(counts, 1, cells)}").count() <= cells
     assert langid.least_count(counts, 1, 10_000) == 1
+
+
+@pytest.mark.parametrize("cells", [8_000_000, 60])
+def test_no_ngram_is_left_out_whatever_a_task_holds(spark, cells):
+    small = ["the cat and the thin dog"] * 3 + ["der hund und die katze"]
+    rows = [("aa", t) for t in small[:3]] + [("bb", small[3])] + [("cc", f"{w}ka {w}lo {w}mi") for w in
+                                                                  ("ba", "be", "bi", "bo", "bu")] * 40
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    model = langid.train_model(docs, cells=cells, calibration_rows=0)
+    whole = built({x: [t for lang, t in rows if lang == x] for x in ("aa", "bb", "cc")}, langid.ORDER)
+    assert len(model.parts) == 1 if cells > 60 else len(model.parts) > 4
+    texts = ["der hund", "the cat", "baka belo", "xyz 日本語", "", "hund " * 50]
+    got, count = model.totals(texts, model.parts)
+    want, n = whole.totals(texts)
+    assert got == pytest.approx(want, rel=1e-5) and list(count) == list(n)
+    frame = spark.createDataFrame([(1, "der hund"), (2, "the cat"), (3, "baka")], "doc_id bigint, text string")
+    assert {r["doc_id"]: r["lang_pred"] for r in langid.identify(frame, model).collect()} == {1: "bb", 2: "aa", 3: "cc"}
