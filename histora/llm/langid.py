@@ -10,7 +10,11 @@ scored by binary search, backing off where a key is missing. The language of low
 
 Calibration uses a bounded share of the training rows that the counts leave out (``CALIBRATION_ROWS`` in
 expectation, one row in ten at most): one temperature for the posterior that becomes the score, and the level of
-cross-entropy up to which a text is accepted, with twice the largest excess seen, wider for short texts.
+cross-entropy up to which a text is accepted. A row's excess over its language's median is scaled by the root of
+its symbols (``_LONG`` at most); the allowance of a language and length class is ``MARGIN`` times the excess that
+all but ``STRAY`` of its rows keep to, so junk or mislabelled rows up to that share do not widen it. A class with
+too few rows takes that length's rows of all languages, then the language's rows, then all rows; below ``_SURE``
+rows the allowance is wider by the root of what is missing.
 
 The model grows with the input and is dealt into parts by the two symbols before the last (``part_of``): all that
 an n-gram of order three or more needs, down to its context of two symbols, lies in one part; orders one and two
@@ -43,7 +47,11 @@ MODEL_CELLS = 8_000_000        # log probabilities that a task holds at a time
 CALIBRATION_ROWS = 4_000
 UNKNOWN = "und"
 _LONG = 400                    # symbols from which a text's cross-entropy counts as settled
-_LEAST_SLACK = 10.0            # a nat a symbol for long texts, once doubled
+STRAY = 0.02                   # share of calibration rows that may be junk or mislabelled
+MARGIN = 8.0                   # allowance, in excesses that the other rows keep to
+_LENGTHS = (50, _LONG)         # symbols from which the next length class begins
+_ENOUGH = 200                  # rows from which a class speaks for itself
+_SURE = 1_000                  # and from which its tail counts as measured
 _SPREAD = 2_654_435_761        # an odd mixing constant
 _MARK = 1                      # the code point put between texts
 _BATCH_CHARS = 1 << 20
@@ -92,7 +100,7 @@ class LanguageModel:
     log_back: list[np.ndarray] = field(default_factory=list)
     temperature: float = 8.0
     level: np.ndarray | None = None                              # accepted cross-entropy per language
-    slack: float = 0.0                                           # and the allowance above it, at one symbol
+    allowance: np.ndarray | None = None                          # above it, at one symbol, a column per length class
     parts: list = field(default_factory=list)                    # broadcast orders from three on; else all orders are here
 
     def score_positions(self, key: np.ndarray) -> np.ndarray:
@@ -331,8 +339,15 @@ def calibrate(model: LanguageModel, truth: np.ndarray, total: np.ndarray, count:
         mine = some & (truth == i)
         if mine.sum() >= 20:
             model.level[i] = np.median(own[mine])
-    over = (own - model.level[truth])[some] * np.sqrt(np.minimum(count[some], _LONG))
-    model.slack = 2.0 * max(float(over.max()), _LEAST_SLACK)
+    over = (own - model.level[truth]) * np.sqrt(np.minimum(n[:, 0], _LONG))
+    length = np.searchsorted(_LENGTHS, n[:, 0], side="right")
+    model.allowance = np.empty((len(model.languages), len(_LENGTHS) + 1))
+    for i in range(len(model.languages)):
+        for j in range(len(_LENGTHS) + 1):
+            rows = next((x for x in (some & (truth == i) & (length == j), some & (length == j), some & (truth == i))
+                         if x.sum() >= _ENOUGH), some)
+            wider = np.sqrt(max(1.0, _SURE / rows.sum()))
+            model.allowance[i, j] = MARGIN * wider * max(0.0, np.quantile(over[rows], 1 - STRAY, method="lower"))
 
 
 def train_model(docs: DataFrame, *, order: int = ORDER, cells: int = MODEL_CELLS,
@@ -396,7 +411,8 @@ def language_of(text: Column, model: LanguageModel | None, spark: SparkSession)
                 out["cross_entropy"] = np.where(some, entropy, np.nan)
                 out["n_symbols"] = count
                 if known.level is not None:
-                    limit = known.level[best] + known.slack / np.sqrt(np.clip(count, 1, _LONG))
+                    room = known.allowance[best, np.searchsorted(_LENGTHS, count, side="right")]
+                    limit = known.level[best] + room / np.sqrt(np.clip(count, 1, _LONG))
                     some = some & (entropy <= limit)
                 out["rejected"] = ~some
             yield out

@@ -137,3 +137,16 @@ def test_no_ngram_is_left_out_whatever_a_task_holds(spark, cells):
     assert got == pytest.approx(want, rel=1e-5) and list(count) == list(n)
     frame = spark.createDataFrame([(1, "der hund"), (2, "the cat"), (3, "baka")], "doc_id bigint, text string")
     assert {r["doc_id"]: r["lang_pred"] for r in langid.identify(frame, model).collect()} == {1: "bb", 2: "aa", 3: "cc"}
+
+
+def test_mislabelled_calibration_rows_do_not_open_the_gate(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("lang", "text")
+    strays = spark.createDataFrame([("en", "κείμενο άλλης γλώσσας " * 20 + f"{i}") for i in range(200)], "lang string, text string")
+    strays = strays.where("pmod(xxhash64(text), 1000000) < 90000").limit(1)     # among the rows apart
+    assert strays.count() == 1
+    model = langid.train_model(docs.unionByName(strays))
+    foreign = ["Ωμέγα και άλφα " * 20, "пример русского текста " * 20, "la casa è bella e il gatto dorme sul divano " * 10,
+               "zqxjk " * 50]
+    frame = spark.createDataFrame(list(enumerate(foreign)), "doc_id bigint, text string")
+    assert all(r["rejected"] for r in langid.identify(frame, model).collect())
+    assert langid.identify(docs.selectExpr("1 AS doc_id", "text"), model).where("rejected AND n_symbols > 0").count() <= 10
