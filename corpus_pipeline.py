@@ -15,7 +15,7 @@ from histora.llm.common import fresh, rows_without_ids, stored, table
 from histora.llm.decontaminate import contaminated
 from histora.llm.langid import held_out, language_of, train_model
 from histora.llm.near_dup import near_duplicates
-from histora.llm.pii import pseudonymise
+from histora.llm.pii import checked
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +42,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def replace_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Surrogates for personal data; the character count follows the text."""
-    out = pseudonymise(docs)
+    out = checked(docs)
     return out.withColumn("n_chars", F.length("text").cast("bigint")) if "n_chars" in out.columns else out
 
 

@@ -5,11 +5,11 @@ stay digits, letters stay letters of the same script (vowels vowels, consonants
 case stay where they are, a card number that passes its check digit still does, an address stays an address,
 a listed first name becomes a listed first name of the same gender. A permutation maps distinct entities to
 distinct surrogates and the same entity to the same surrogate in every document, task and run with the key, so
-neither a table of replacements nor a shuffle is needed; ``surrogate_collisions`` checks it over a corpus. The
+neither a table of replacements nor a shuffle is needed; ``checked`` asserts it over a stored result. The
 permutation of a set with more than one member has no fixed point, so no entity is left as it was.
 
-Kinds: email, ip, phone, card (only with a right check digit), ssn, iban, secret (keys and tokens), name (announced by a title; later mentions
-of the same name in the document follow). Defined cases: null stays null, texts without entities are returned
+Kinds: email, ip, phone, card (only with a right check digit), ssn, iban, secret (keys and tokens), name (announced by a title; other mentions
+of the name or of any of its words in the document follow, each word with the same surrogate). Defined cases: null stays null, texts without entities are returned
 as they are, the leftmost and longest of overlapping candidates wins, repeated rows are treated alike, other
 columns are kept as they are.
 """
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from histora.llm.common import fresh, ship
+from histora.llm.common import fresh, ship, stored
 
 KEY = b"histora surrogate key"
 _ROUNDS = 32
@@ -149,9 +149,9 @@ class Permuter:
             out[i] = ch.upper() if text[i].isupper() and len(ch.upper()) == 1 else ch
         return "".join(out)
 
-    def _first_name(self, word: str, gender: str) -> str | None:
-        for (script, g), names in FIRST_NAMES.items():
-            if word in names and (not gender or g == gender):
+    def _first_name(self, word: str) -> str | None:
+        for (script, g), names in FIRST_NAMES.items():      # by its own list, so that a word has one surrogate
+            if word in names:
                 at = self._number(f"first|{script}|{g}", len(names), names.index(word))
                 return names[at]
         return None
@@ -166,7 +166,7 @@ class Permuter:
 
     def _surrogate(self, kind: str, text: str, gender: str = "") -> str:
         if kind == "name":
-            return " ".join(self._first_name(w, gender) or self._name_word(w) for w in text.split(" "))
+            return " ".join(self._first_name(w) or self._name_word(w) for w in text.split(" "))
         if kind == "email":
             local, _, host = text.rpartition("@")
             labels = host.split(".")
@@ -226,8 +226,9 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
         found.append((m.start(3), m.end(3), "name", _GENDER[m[1]]))
         words = m[3].split(" ")
         names.setdefault(m[3], _GENDER[m[1]])
-        names.setdefault(words[-1], _GENDER[m[1]])
-    if names:      # later mentions without the title
+        for word in words:
+            names.setdefault(word, _GENDER[m[1]])
+    if names:      # mentions without the title
         again = re.compile(r"(?<!\w)(?:" + "|".join(map(re.escape, sorted(names, key=len, reverse=True))) + r")(?!\w)")
         found.extend((m.start(), m.end(), "name", names[m[0]]) for m in again.finditer(text))
     found.sort(key=lambda x: (x[0], -x[1]))
@@ -287,3 +288,23 @@ def surrogate_collisions(docs: DataFrame, *, text_col: str = "text", key: bytes
         "e.kind", "e.surrogate", F.expr("substring(original, e.start + 1, e.end - e.start)").alias("entity"))
     return (spans.groupBy("kind", "surrogate").agg(F.min("entity").alias("least"), F.max("entity").alias("most"))
             .where("lower(least) <> lower(most)"))
+
+
+def checked(docs: DataFrame, *, text_col: str = "text", key: bytes = KEY, entities: str | None = None) -> DataFrame:
+    """``pseudonymise``, stored; fails if in the stored result a surrogate stands for more than one entity.
+
+    Of the given entities only digests are stored for the check.
+    """
+    listed = entities or fresh(docs.columns, "entities")
+    given = fresh([*docs.columns, listed], "digests")
+    out = pseudonymise(docs.withColumn(given, F.col(text_col)), text_col=text_col, key=key, entities=listed)
+    digest = F.expr(f"transform(`{listed}`, e -> xxhash64(lower(substring(`{given}`, e.start + 1, e.end - e.start))))")
+    out = stored(out.withColumn(given, digest), "pii-checked")
+    pairs = (out.select(F.explode(F.arrays_zip(F.col(f"{listed}.kind").alias("kind"), F.col(f"{listed}.surrogate")
+                                               .alias("surrogate"), F.col(given).alias("entity"))).alias("e"))
+             .select("e.*"))
+    twice = (pairs.groupBy("kind", "surrogate").agg(F.min("entity").alias("least"), F.max("entity").alias("most"))
+             .where("least <> most").select("kind", "surrogate").take(5))
+    if twice:
+        raise ValueError(f"surrogates that stand for more than one entity: {[tuple(r) for r in twice]}")
+    return out.select(*docs.columns, *([listed] if entities else []))

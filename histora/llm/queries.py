@@ -15,7 +15,7 @@ from histora.llm.html_text import extract_main_text
 from histora.llm.langid import held_out, identify, train_model
 from histora.llm.license_scan import license_oracle, scan_licenses
 from histora.llm.near_dup import near_dup_oracle, near_duplicates
-from histora.llm.pii import pseudonymise
+from histora.llm.pii import checked
 from histora.llm.toxicity import score_toxicity
 from histora.llm.url_filter import judge_urls
 
@@ -61,7 +61,7 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pseudonymise(docs, entities="entities").withColumn("n_entities", F.size("entities").cast("bigint"))
+    return checked(docs, entities="entities").withColumn("n_entities", F.size("entities").cast("bigint"))
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

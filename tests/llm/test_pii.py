@@ -77,3 +77,31 @@ def test_corpus_has_no_collisions_and_nothing_left(spark):
     before = {x for r in docs.select("text").collect() for x in left.findall(r["text"])}
     after = {x for r in pii.pseudonymise(docs).select("text").collect() for x in left.findall(r["text"])}
     assert before and not {x for x in before & after if "@" in x or len(x) == 40}
+
+
+def test_every_word_of_an_announced_name_is_followed():
+    text = "Mrs Anna Weber spoke. Anna said that Weber and Annabel left; Anna Weber agreed. Frau Paul Martin: Martin, Paul."
+    out, found = pii.replace(text, P)
+    assert not re.search(r"\b(Anna|Weber|Martin|Paul)\b", out) and "Annabel" in out
+    full = found[0][3].split()
+    assert [s for _, _, _, s in found[1:4]] == [full[0], full[1], " ".join(full)]
+    other = found[4][3].split()
+    assert [s for _, _, _, s in found[5:]] == other[::-1]
+
+
+def test_jobs_fail_on_colliding_surrogates(spark, monkeypatch):
+    rows = [(1, "Mrs Anna Weber; Anna. a.b@example.com", "x"), (2, None, "y"), (3, "Mr John Keller, x.y@example.com", "z")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, digests string")
+    out = pii.checked(docs, entities="entities")
+    assert out.columns == [*docs.columns, "entities"]
+    assert sorted(map(tuple, out.drop("entities").collect())) == sorted(map(tuple, pii.pseudonymise(docs).collect()))
+    real = pii.pseudonymise
+
+    def colliding(*args, entities=None, **more):
+        made = real(*args, entities=entities, **more)
+        same = f"transform(`{entities}`, e -> named_struct('kind', e.kind, 'start', e.start, 'end', e.end, 'surrogate', 'same'))"
+        return made.withColumn(entities, pii.F.expr(same))
+
+    monkeypatch.setattr(pii, "pseudonymise", colliding)
+    with pytest.raises(ValueError, match="more than one entity"):
+        pii.checked(docs)
