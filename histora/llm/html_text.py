@@ -3,12 +3,15 @@
 A page is read into text nodes, each with its tag path (elements from the root, with their classes and ids).
 Per path, text length and punctuation are summed and divided by the nodes that have it; the two ratios are
 smoothed over neighbouring nodes in page order and fused into one score, and nodes whose score passes a
-threshold (a share of the mean, lowered by the spread) are content. The content element is the deepest one that
-holds nearly all of their weight, widened to an ``article`` or ``main`` around it; its text is the main text.
+threshold (a share of the mean, lowered by the spread) are content. The content element holds nearly all of their
+weight: an ``article`` or ``main`` that does (or those of the page together), else the deepest element; its text
+is the main text.
 
 Boilerplate never takes part: elements that by tag, role, class or id are menus, page headers, footers,
-sidebars, notices, adverts, forms, reader comments, scripts or styles, and hidden elements. Outside an article,
-blocks that are mostly links are dropped as well.
+sidebars, notices, adverts, forms, reader comments, scripts or styles, and hidden elements. A form, or an element
+known only by its class or id, takes part after all if it holds nearly all of the scored weight, or most of it on
+a page without text in an article or main outside of it. Outside an article, blocks that are mostly links are
+dropped as well. A head that is not closed ends where text or an element of the body begins.
 
 Every page is one row and worked on whole; there is no shuffle. Defined cases: null and empty html give the
 empty text; text without any markup is its own main text; unclosed, misnested and cut-off markup is read as far
@@ -40,8 +43,9 @@ SCOPES = frozenset("""article aside blockquote body button caption dialog div fo
 SAME_CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",), "tr": ("tr", "td", "th"),
                "td": ("td", "th"), "th": ("td", "th")}
 RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes".split())
-DROPPED = frozenset("""head script style noscript template iframe svg canvas object embed audio video map form input
+DROPPED = frozenset("""head script style noscript template iframe svg canvas object embed audio video map input
     button select option textarea fieldset nav footer aside menu dialog title noembed noframes""".split())
+HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 DROPPED_ROLES = frozenset("""navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar
     toolbar tablist""".split())
 DROPPED_WORDS = frozenset("""ad ads adv advert advertisement advertising adsense adslot banner sponsor sponsored promo
@@ -62,6 +66,7 @@ _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 _HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 SMOOTHING = 1.0        # standard deviation of the smoothing, in nodes
+MOST = 0.5
 COVERED = 0.9          # share of the content's weight that the content element holds
 LINKS = 0.5            # share of linked text from which a block outside an article is a list of links
 
@@ -73,6 +78,7 @@ class Node:
     path: str
     linked: bool
     block: int
+    named: tuple[int, ...] = ()        # open elements that are boilerplate by name only
 
 
 def _boilerplate(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
@@ -80,7 +86,12 @@ def _boilerplate(tag: str, attributes: dict[str, str], in_article: bool) -> bool
         return True
     if "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true":
         return True
-    if attributes.get("role", "").lower() in DROPPED_ROLES or _HIDDEN_STYLE.search(attributes.get("style", "")):
+    return attributes.get("role", "").lower() in DROPPED_ROLES or bool(_HIDDEN_STYLE.search(attributes.get("style", "")))
+
+
+def _named(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
+    """Whether a form, or boilerplate by class or id alone."""
+    if tag == "form":
         return True
     if tag in ("body", "html", "article", "main"):
         names = {w.lower() for x in (attributes.get("class", ""), attributes.get("id", "")) for w in re.split(r"\s+", x)}
@@ -96,16 +107,25 @@ def _boilerplate(tag: str, attributes: dict[str, str], in_article: bool) -> bool
 def parse(page: str) -> tuple[list[Node], dict[int, str]]:
     """(text nodes without boilerplate, tag of each element)."""
     nodes: list[Node] = []
-    stack: list[tuple[str, int, str, bool]] = []     # tag, number, name in the path, dropped
+    # tag, number, name in the path, dropped, elements that are boilerplate by name
+    stack: list[tuple[str, int, str, bool, tuple[int, ...]]] = []
     tags: dict[int, str] = {}
     at = block = 0
 
     def text(raw: str) -> None:
+        if stack and stack[-1][0] == "head" and not raw.isspace() and raw:
+            stack.pop()
+        named = stack[-1][4] if stack else ()
         if raw and not (stack and stack[-1][3]) and not raw.isspace():
             nodes.append(Node(html.unescape(raw), tuple(e[1] for e in stack), "/".join(e[2] for e in stack),
-                              any(e[0] == "a" for e in stack), block))
-        elif raw and nodes and nodes[-1].block == block and not (stack and stack[-1][3]):
-            nodes[-1].text += " "
+                              any(e[0] == "a" for e in stack), block, named))
+        elif raw and not (stack and stack[-1][3]):
+            for i in range(len(nodes) - 1, -1, -1):
+                if nodes[i].block != block:
+                    break
+                if nodes[i].named == named:
+                    nodes[i].text += " "
+                    break
 
     while at < len(page):
         m = _MARKUP.search(page, at)
@@ -138,6 +158,8 @@ def parse(page: str) -> tuple[list[Node], dict[int, str]]:
                     if tag == "p" and stack[i][0] in SCOPES:
                         break
             continue
+        if tag not in HEAD and stack and stack[-1][0] == "head":
+            stack.pop()
         if tag in CLOSES_P or tag in SAME_CLOSES:
             over = ("p", *SAME_CLOSES.get(tag, ()))
             for i in range(len(stack) - 1, -1, -1):
@@ -155,8 +177,22 @@ def parse(page: str) -> tuple[list[Node], dict[int, str]]:
             at = close.start() if close else len(page)
         tags[len(tags)] = tag
         label = tag + "".join("." + x for x in attributes.get("class", "").split()[:3])
-        stack.append((tag, len(tags) - 1, label, dropped))
-    return nodes, tags
+        named = stack[-1][4] if stack else ()
+        if not dropped and _named(tag, attributes, in_article):
+            named += (len(tags) - 1,)
+        stack.append((tag, len(tags) - 1, label, dropped, named))
+    return without_named(nodes, tags), tags
+
+
+def without_named(nodes: list[Node], tags: dict[int, str]) -> list[Node]:
+    """The nodes outside of boilerplate by name, except for elements that hold what the page is about."""
+    if not any(n.named for n in nodes):
+        return nodes
+    held, total = weights(nodes)
+    region = any(tags[e] in ("article", "main") for n in nodes if not n.named for e in n.elements)
+    free = {e for n in nodes for e in n.named
+            if held.get(e, 0.0) >= COVERED * total or not region and held.get(e, 0.0) > MOST * total}
+    return [n for n in nodes if free.issuperset(n.named)]
 
 
 def scores(nodes: list[Node]) -> list[float]:
@@ -186,10 +222,8 @@ def scores(nodes: list[Node]) -> list[float]:
     return [a * (1.0 + math.log1p(b)) for a, b in zip(smooth(length), smooth(signs))]
 
 
-def content_nodes(nodes: list[Node], tags: dict[int, str]) -> list[Node]:
-    """The nodes of the content element."""
-    if not nodes:
-        return []
+def weights(nodes: list[Node]) -> tuple[dict[int, float], float]:
+    """(weight of the nodes that pass the threshold in each element, and in all)."""
     score = scores(nodes)
     mean = sum(score) / len(score)
     spread = math.sqrt(sum((s - mean) ** 2 for s in score) / len(score))
@@ -202,13 +236,24 @@ def content_nodes(nodes: list[Node], tags: dict[int, str]) -> list[Node]:
             total += weight
             for e in n.elements:
                 held[e] = held.get(e, 0.0) + weight
-    regions = [e for e, tag in tags.items() if tag in ("article", "main") and held.get(e, 0.0) > 0]
+    return held, total
+
+
+def content_nodes(nodes: list[Node], tags: dict[int, str]) -> list[Node]:
+    """The nodes of the content element."""
+    if not nodes:
+        return []
+    held, total = weights(nodes)
+    regions = {e for e, tag in tags.items() if tag in ("article", "main") and held.get(e, 0.0) > 0}
     if regions:       # the article or main of the greatest weight; an article inside a main of equal weight first
         best = max(regions, key=lambda e: (held[e], tags[e] == "article", e))
-        # sibling articles of a page are one text if none of them holds most of it
-        if tags[best] == "article" and held[best] < 0.5 * sum(held[e] for e in regions if tags[e] == "article"):
-            return [n for n in nodes if any(tags[e] in ("article", "main") for e in n.elements)]
-        return [n for n in nodes if best in n.elements]
+        if held[best] >= COVERED * total:
+            return [n for n in nodes if best in n.elements]
+        # the articles of a page are one text if none of them, but all of them together hold the weight
+        together = [n for n in nodes if not regions.isdisjoint(n.elements)]
+        outer = {next(e for e in n.elements if e in regions) for n in together}
+        if sum(held[e] for e in outer) >= COVERED * total:
+            return together
     inside = [e for e, w in held.items() if w >= COVERED * total]
     chosen = [n for n in nodes if not inside or max(inside) in n.elements]
     linked: dict[int, list[int]] = {}

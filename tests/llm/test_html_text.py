@@ -50,3 +50,28 @@ def test_articles_of_the_given_pages(spark):
         body = page[page.index("<article>") + 9:].split("</article>")[0]
         body = re.sub(r"<[a-zA-Z/!][^>]*(?:>|$)", lambda m: " " if re.match(r"</?(p|h1|br)\b", m[0]) else "", body)
         assert r["text"] == " ".join(html.unescape(body).split())
+
+
+STORY = " ".join(f"Paragraph {i}, with some words, and more of them." for i in range(20))
+DIVS = "".join(f"<p>Paragraph {i}, with some words, and more of them.</p>" for i in range(20))
+
+
+def test_a_teaser_article_does_not_hide_the_story():
+    teaser = "<article><h2>Teaser</h2><p>Read on.</p></article>"
+    assert main_text(f"<body><div class=story>{DIVS}</div>{teaser}</body>") == STORY
+    cards = "".join(f"<article><p>{p}</p></article>" for p in re.findall("<p>(.*?)</p>", DIVS))
+    assert main_text(f"<body>{cards}<div>x</div></body>") == STORY
+
+
+def test_an_open_head_ends_where_the_body_begins():
+    for start in ("<body>", "<div>", ""):
+        assert main_text(f"<html><head><title>t</title><meta charset=x>{start}{DIVS}</html>") == STORY
+    assert main_text("<head><title>t</title>text, at once") == "text, at once"
+
+
+def test_names_and_forms_do_not_drop_most_of_the_page():
+    assert main_text(f"<body><form id=aspnetForm>{DIVS}<input><button>Go</button></form></body>") == STORY
+    assert main_text(f"<body><div class='page has-sidebar'>{DIVS}<div class=sidebar>Side, text.</div></div></body>") == STORY
+    teaser = "<article><p>Read on.</p></article>"
+    assert main_text(f"<body><div class=promo>{DIVS}</div>{teaser}</body>") == STORY
+    assert main_text("<p>one<span class=ad>x</span> <b>two</b></p><p>More words, of the page.</p>") == "one two More words, of the page."
