@@ -136,12 +136,11 @@ def q_scd2_stream_repair(spark, sf):
     cuts = [ing <= F.lit(T1_CUTOFF).cast("timestamp_ntz"),
             (ing > F.lit(T1_CUTOFF).cast("timestamp_ntz")) & (ing <= F.lit(T2_CUTOFF).cast("timestamp_ntz")),
             ing > F.lit(T2_CUTOFF).cast("timestamp_ntz")]
-    for i, cond in enumerate(cuts):      # one file an arrival, one arrival a micro-batch
-        log.where(cond).coalesce(1).write.mode("errorifexists").parquet(f"{landing}/arrival={i}")
     tables = RepairStreamTables(log_path=f"{base}/log", dim_path=f"{base}/dim")
-    q = start_repair_stream(spark, f"{landing}/*", tables, f"{base}/_checkpoint",
-                            schema=log.schema, max_files_per_trigger=1)
-    q.awaitTermination()
+    for i, cond in enumerate(cuts):      # one start an arrival, so that an arrival is a micro-batch of all its files
+        log.where(cond).write.mode("errorifexists").parquet(f"{landing}/arrival={i}")
+        q = start_repair_stream(spark, f"{landing}/*", tables, f"{base}/_checkpoint", schema=log.schema)
+        q.awaitTermination()
     if latest_version(spark, tables.dim_path) != len(cuts) - 1:
         raise RuntimeError("the stream did not repair the table once an arrival")
     return tables.read_dim(spark)

@@ -60,3 +60,14 @@ def test_stream_sees_watermark_tie(spark):
     tables = RepairStreamTables(f"{base}/log", f"{base}/dim")
     start_repair_stream(spark, f"{base}/landing/*", tables, f"{base}/_ckpt", schema=a.schema).awaitTermination()
     assert sorted(r.customer_id for r in tables.read_dim(spark).collect()) == [1, 2]
+
+
+def test_arrivals_of_the_query_are_written_by_many_tasks(spark, monkeypatch):
+    import __spark_entry__ as entry
+    base, real = f"{checkpoint_dir(spark)}/test-stream-{uuid.uuid4().hex}", entry.derived_change_log
+    monkeypatch.setattr(entry, "work_path", lambda spark, name: base)
+    monkeypatch.setattr(entry, "derived_change_log", lambda spark, sf: real(spark, sf).repartition(4))
+    dim = entry.q_scd2_stream_repair(spark, "/root/testdata/sf0.001")
+    assert len(spark.read.parquet(f"{base}/landing/arrival=0").inputFiles()) == 4
+    assert latest_version(spark, f"{base}/dim") == 2
+    assert table_diff(dim, entry._dim(spark, "/root/testdata/sf0.001"), CANON).count() == 0
