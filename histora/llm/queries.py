@@ -9,13 +9,16 @@ from pyspark.sql import functions as F
 
 from histora.llm.ann import nearest_neighbours
 from histora.llm.bpe import encode_digests
+from histora.llm.centroids import cluster_oracle, cluster_vectors
 from histora.llm.common import table
 from histora.llm.decontaminate import contaminated
+from histora.llm.filter_audit import audit_filters, audit_oracle
 from histora.llm.html_text import extract_main_text
 from histora.llm.langid import held_out, identify, train_model
 from histora.llm.license_scan import license_oracle, scan_licenses
 from histora.llm.near_dup import near_dup_oracle, near_duplicates
 from histora.llm.pii import checked
+from histora.llm.quality import score_quality
 from histora.llm.toxicity import score_toxicity
 from histora.llm.url_filter import judge_urls
 
@@ -68,10 +71,23 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
 
 
 def llm_oracle_sql() -> dict[str, str]:
-    return {"op2_license_scan": license_oracle(), "op5_near_dup": near_dup_oracle()}
+    return {"op2_license_scan": license_oracle(), "op5_near_dup": near_dup_oracle(),
+            "op12_filter_audit": audit_oracle(), "op13_centroids": cluster_oracle()}
