@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from histora.functions.exprs import any_differs
@@ -38,21 +38,18 @@ def sequence_changes(changes: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC,
     ``hot_source`` (e.g. the staged log) may stand in for ``changes`` when counting rows per entity.
     """
     s = spec
-    seq, part = chunked_lead(
-        changes, [s.entity], [s.source_ts, s.change_id],
-        {"ts": F.col(s.source_ts), "id": F.col(s.change_id), "op": F.col(s.operation)},
-        "_next", row_number="change_seq", keep_partition=True,
-        hot_source=None if hot_source is None else hot_source.select(s.entity, s.source_ts, s.change_id),
-    )
-    # Peers share the entity and the instant, hence the chunk: this window reuses the scan's partitioning.
-    p = Window.partitionBy(*part, s.source_ts)
-    peer_cols = [F.count(F.lit(1)).over(p).cast("long").alias("same_timestamp_change_count")]
+    peers = {"same_timestamp_change_count": F.count(F.lit(1))}
     pairs = []
     for i, a in enumerate(s.attributes):
         v = F.col(a).cast("int") if dict(changes.dtypes)[a] == "boolean" else F.col(a)
-        peer_cols += [F.min(v).over(p).alias(f"_pmin{i}"), F.max(v).over(p).alias(f"_pmax{i}")]
+        peers |= {f"_pmin{i}": F.min(v), f"_pmax{i}": F.max(v)}
         pairs.append((F.col(f"_pmin{i}"), F.col(f"_pmax{i}")))
-    out = seq.select("*", *peer_cols)
+    out = chunked_lead(
+        changes, [s.entity], [s.source_ts, s.change_id],
+        {"ts": F.col(s.source_ts), "id": F.col(s.change_id), "op": F.col(s.operation)},
+        "_next", row_number="change_seq", peers=peers,
+        hot_source=None if hot_source is None else hot_source.select(s.entity, s.source_ts, s.change_id),
+    )
     return out.select(
         *[F.col(c) for c in s.staged_columns],
         F.col("change_seq"),

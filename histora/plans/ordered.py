@@ -12,7 +12,7 @@ hold a third of all rows. These helpers run the same scans as two levels instead
    sample of the full order key (``_SAMPLES`` rows per chunk of ``spark.histora.hotChunkRows`` rows) is sorted
    per entity, and every ``_SAMPLES``-th sampled key is a border. So borders follow the real distribution --
    an outlier, a dense hour or many rows of one instant do not collapse them -- and any order type works,
-   since keys are only compared. Rows of one full key share a chunk. Chunks grow with the input, so that all
+   since keys are only compared. Rows of one full key share a chunk; rows of one instant need not. Chunks grow with the input, so that all
    borders together stay below ``_MOST_BORDERS`` and may be broadcast;
 2. one summary row per ``(entity, chunk)`` (row count, first row, chunk aggregate) is scanned per entity;
    that table has one row per chunk, not per change;
@@ -36,6 +36,7 @@ from pyspark.sql import types as T
 from histora.session import work_path
 
 CHUNK = "_chunk"
+_PARTED = "_parted"
 _SAMPLES = 8              # sampled rows per chunk
 _MOST_BORDERS = 100_000   # borders of all entities together
 _NULL_CHUNK = 2**62  # NULL order values sort after every real chunk (ascending, NULLS LAST)
@@ -141,9 +142,13 @@ _BISECT = """aggregate(sequence(1, 18), named_struct('lo', 0, 'hi', size(_cuts))
        named_struct('lo', a.lo, 'hi', cast((a.lo + a.hi) div 2 AS int))), a), a -> a.lo)"""
 
 
-def _prepare(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_source: DataFrame | None = None):
+def _prepare(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_source: DataFrame | None = None,
+             mark_parted: bool = False):
     """Repartition on (keys, chunk): the frame, the partition columns and the hot-row flag; None: do not split.
 
+    ``mark_parted`` adds the flag of rows whose first order value a border holds too, so that rows sharing that
+    value may lie in several chunks.
+
     ``hot_source`` (with the key and order columns) may stand in for ``df`` when borders are measured, e.g.
     the staged log, which is a cheap column-pruned scan while ``df`` may sit behind a shuffle.
     """
@@ -161,6 +166,13 @@ def _prepare(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_sourc
     df = df.join(F.broadcast(cuts), list(pkeys), "left").withColumn("_hot", F.col("_cuts").isNotNull())
     df = df.withColumn("_key", _sort_key(order)).withColumn(
         CHUNK, F.when(F.col("_hot"), F.expr(_BISECT).cast("long")).otherwise(F.lit(0).cast("long")))
+    if mark_parted:
+        # borders of one instant are neighbours, so the nearest one on either side of the row tells
+        df = df.withColumn(_PARTED, F.coalesce(F.expr(
+            f"_hot AND ((get(_cuts, cast({CHUNK} - 1 AS int)) IS NOT NULL "
+            f"AND get(_cuts, cast({CHUNK} - 1 AS int)).k0 <=> _key.k0) "
+            f"OR (get(_cuts, cast({CHUNK} AS int)) IS NOT NULL AND get(_cuts, cast({CHUNK} AS int)).k0 <=> _key.k0))"),
+            F.lit(False)))
     return df.drop("_cuts", "_key").repartition(*pkeys, CHUNK), [*pkeys, CHUNK], F.col("_hot")
 
 
@@ -185,31 +197,50 @@ def _join_back(df: DataFrame, summ: DataFrame, part: Sequence[str]) -> DataFrame
     return df.join(summ, list(part), "left").drop(*part)
 
 
+def _peers_across(x: DataFrame, part: Sequence[str], instant: str, peers: dict[str, Column]) -> DataFrame:
+    """(keys, instant, aggregates over all its rows) of the instants that a border parts: one row a border at most.
+
+    The rows are aggregated inside the tasks first, so an instant with very many rows is no hot group. As in
+    :func:`_split_rows` the filter must stay above the shared exchange, and ``_pin`` keeps its columns.
+    """
+    rows = x.where(F.when(F.spark_partition_id() >= F.lit(0), F.col(_PARTED)).otherwise(F.lit(False)))
+    keys = [F.col(c).alias(f"_b{i}") for i, c in enumerate(part[:-1])]
+    found = rows.groupBy(*keys, F.col(instant).alias("_bt")).agg(
+        *[agg.alias(f"_all_{n}") for n, agg in peers.items()],
+        F.max(F.xxhash64(*[F.col(c) for c in x.columns])).alias("_pin"))
+    return found.select(*[f"_b{i}" for i in range(len(keys))], "_bt", *[
+        F.when(F.col("_pin").isNotNull(), F.col(f"_all_{n}")).alias(f"_all_{n}") for n in peers])
+
+
 def chunked_lead(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: dict[str, Column],
                  out: str, *, descending: bool = False, row_number: str | None = None,
-                 hot_source: DataFrame | None = None, keep_partition: bool = False):
+                 hot_source: DataFrame | None = None, peers: dict[str, Column] | None = None):
     """Add ``out`` = struct of ``values`` taken from the next row in ``order`` within ``keys``.
 
     ``descending=True`` gives the previous row (``lag``). ``row_number`` optionally adds the 1-based
-    rank in that order (bigint). With ``keep_partition=True`` it returns ``(frame, partition_columns)``:
-    the output is still hash-partitioned on those columns, so a following window partitioned by them
-    (plus finer keys that are constant within a chunk, like the order time) needs no new shuffle; drop
-    the columns whose names start with ``_`` afterwards.
+    rank in that order (bigint). ``peers`` optionally adds aggregates (name to aggregate expression) over the rows
+    that share the keys and the first order value (the *instant*, NULL being one). They reuse the scan's
+    partitioning and sort; where a chunk border parts an instant, the instant's rows are aggregated across chunks
+    and joined back (:func:`_peers_across`).
     """
+    peers = peers or {}
     df = df.withColumn("_v", F.struct(*[v.alias(n) for n, v in values.items()]))
-    prepared = _prepare(df, keys, order, hot_source)
+    prepared = _prepare(df, keys, order, hot_source, mark_parted=bool(peers))
     if prepared is None:
         w = Window.partitionBy(*keys).orderBy(*_order(order, descending))
+        same = Window.partitionBy(*keys, order[0])
         out_df = df.withColumn(out, F.lead("_v").over(w))
         if row_number:
             out_df = out_df.withColumn(row_number, F.row_number().over(w).cast("long"))
-        out_df = out_df.drop("_v")
-        return (out_df, list(keys)) if keep_partition else out_df
+        return out_df.select("*", *[agg.over(same).alias(n) for n, agg in peers.items()]).drop("_v")
     x, part, hot = prepared
     w = Window.partitionBy(*part).orderBy(*_order(order, descending))
     local = x.withColumn("_lead_local", F.lead("_v").over(w))
     if row_number:
         local = local.withColumn("_rn_local", F.row_number().over(w).cast("long"))
+    if peers:
+        same = Window.partitionBy(*part, order[0])
+        local = local.select("*", *[agg.over(same).alias(f"_own_{n}") for n, agg in peers.items()])
 
     # Only split (hot) entities have more than one chunk; only their rows feed the summary.
     pick = F.max if descending else F.min
@@ -230,10 +261,17 @@ def chunked_lead(df: DataFrame, keys: Sequence[str], order: Sequence[str], value
     if row_number:
         joined = joined.withColumn(row_number, F.when(hot, F.col("_rn_offset")).otherwise(F.lit(0))
                                    + F.col("_rn_local"))
-    joined = joined.drop("_v", "_lead_local", "_lead_next", "_rn_local", "_rn_offset", "_hot")
-    if keep_partition:
-        return joined, list(part)
-    return joined.drop(*part)
+    if peers:
+        across = F.broadcast(_peers_across(x, part, order[0], peers))      # at most _MOST_BORDERS rows
+        same = F.col(_PARTED) & F.col(order[0]).eqNullSafe(F.col("_bt"))
+        for i, c in enumerate(part[:-1]):
+            same = same & (F.col(c) == F.col(f"_b{i}"))
+        joined = joined.join(across, same, "left")
+        for n in peers:
+            joined = joined.withColumn(n, F.when(F.col(_PARTED), F.col(f"_all_{n}")).otherwise(F.col(f"_own_{n}")))
+        joined = joined.drop("_bt", _PARTED, *[f"_b{i}" for i in range(len(part) - 1)],
+                             *[f"_{k}_{n}" for k in ("all", "own") for n in peers])
+    return joined.drop("_v", "_lead_local", "_lead_next", "_rn_local", "_rn_offset", "_hot", *part)
 
 
 def chunked_running(df: DataFrame, keys: Sequence[str], order: Sequence[str],

@@ -167,3 +167,54 @@ def test_borders_follow_the_rows_for_every_order_type(spark, case, zone):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("split", ["plain", "every", "adaptive"])
+def test_peers_of_an_instant_hold_across_chunks(spark, split):
+    """One instant holds ten chunks' rows, others lie on borders, one is NULL: equal to the plain peer window."""
+    from histora.plans import ordered
+    confs = {"plain": {}, "every": {HOT_ROWS_CONF: "0"},
+             "adaptive": {MIN_BYTES_CONF: "0", HOT_ROWS_CONF: "100", ordered.CHUNK_ROWS_CONF: "20"}}[split]
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        i = F.col("i")
+        t = F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(0, cast(i % 40 AS int))")
+        df = spark.range(900).withColumnRenamed("id", "i").select(
+            F.when(i % 9 == 0, F.lit(2)).when(i % 50 == 1, F.lit(None)).otherwise(F.lit(1)).alias("k"),
+            F.when(i % 3 == 1, F.expr("timestamp_ntz'2024-01-02'")).when(i % 17 == 2, F.lit(None)).otherwise(t).alias("t"),
+            F.format_string("id%06d", (i * 7919) % 900).alias("id"), F.when(i % 5 > 0, i % 23).alias("v"))
+        assert df.where("k = 1 AND t = timestamp_ntz'2024-01-02'").count() > 200
+        w = Window.partitionBy("k", "t")
+        want = df.select("id", "k", "t", F.count(F.lit(1)).over(w).alias("n"), F.min("v").over(w).alias("lo"),
+                         F.max("v").over(w).alias("hi"))
+        got = chunked_lead(df, ["k"], ["t", "id"], {"id": F.col("id")}, "nxt", row_number="rn",
+                           peers={"n": F.count(F.lit(1)), "lo": F.min("v"), "hi": F.max("v")})
+        assert not [c for c in got.columns if c.startswith("_")]
+        if split != "plain":
+            x, part, _ = ordered._prepare(df, ["k"], ["t", "id"], mark_parted=True)
+            inside = x.where("k = 1 AND t = timestamp_ntz'2024-01-02'").select(*part).distinct().count()
+            assert inside >= 10 and x.where(ordered._PARTED).select("k", "t").distinct().count() > 3
+        assert sorted(map(tuple, got.select(*want.columns).collect()), key=repr) == \
+            sorted(map(tuple, want.collect()), key=repr)
+    finally:
+        for k in confs:
+            spark.conf.unset(k)
+
+
+def test_peer_aggregates_do_not_compute_the_input_again(spark):
+    """The aggregates across borders read the scan's own exchange."""
+    from histora.plans import ordered
+    confs = {MIN_BYTES_CONF: "0", HOT_ROWS_CONF: "100", ordered.CHUNK_ROWS_CONF: "20",
+             "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        out = chunked_lead(_data(spark, 9).repartition(3), ["k"], ["t", "id"], {"id": F.col("id")}, "nxt",
+                           row_number="rn", peers={"n": F.count(F.lit(1))})
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("RoundRobinPartitioning") == 1 and "ReusedExchange" in plan
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

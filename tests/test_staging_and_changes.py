@@ -108,3 +108,13 @@ def test_delivery_diagnostics(scripted_log):
     late = sorted(r.change_id for r in arrival_anomalies(changes).collect())
     assert late == ["chg_012_late", "chg_013_first", "chg_014_stale", "chg_020_late", "chg_042_move"]
     assert shared_change_ids(staged).count() == 0
+
+
+def test_a_tie_whose_attributes_are_all_null_is_neither_ambiguous_nor_clear(spark):
+    """Comparing NULL with NULL gives NULL, and so does the flag; one differing attribute decides it."""
+    at = "2026-01-01 00:00:00"
+    rows = [("a", 1, "INSERT", None, None, None, None, at, at, "x"), ("b", 1, "UPDATE", None, None, None, None, at, at, "x"),
+            ("c", 2, "INSERT", None, "free", None, None, at, at, "x"), ("d", 2, "UPDATE", None, "plus", None, None, at, at, "x"),
+            ("e", 3, "INSERT", None, None, None, None, at, at, "x")]
+    out = sequence_changes(deduplicate_changes(stage_changes(log_df(spark, rows)))).collect()
+    assert {r.change_id: r.is_ambiguous_tie for r in out} == {"a": None, "b": None, "c": True, "d": True, "e": False}
