@@ -14,14 +14,17 @@ default) gives the range result on any history:
   version seen (versions sort before events at equal time). No fan-out, no broadcast, one shuffle; hot
   entities are split by time chunk (see :mod:`histora.plans.ordered`). Only valid when the history has
   no overlapping windows -- check with :func:`histora.operators.quality.overlap_violations` first.
-* ``range_bucketed``: the same result as ``range`` for any history, joined on (entity, time bucket): every
-  event falls in one bucket, every version is spread over the buckets it covers (clamped to the span of
-  that entity's events), and the range is the residual. A match always shares the event's bucket, so it
-  is found exactly once; the work per entity follows overlap depth x events instead of events x versions.
+* ``range_bucketed``: the same result as ``range`` for any history, joined on dyadic intervals. Time is cut into
+  units (minutes) and a binary tree over them; a version is stored once per node of its canonical decomposition,
+  at most 2 log2(span) rows however long it is valid, and an event asks one node a level for the levels that its
+  entity's versions occupy. The nodes of a version are disjoint, so each match is found exactly once, and apart from
+  versions that begin or end in the event's own minute every row met is a match. Events that no version holds are
+  told beforehand by a running count of open versions (one ordered scan), so the join is an inner one, which AQE
+  may split on both sides.
 * ``auto``: always equal to ``range``. One ordered scan over the history (running max of the ends of
   earlier windows, by start) finds the entities where a window starts before an earlier one ended --
   overlaps, duplicates, and inverted windows that could shadow a containing one. Only those entities
-  take the bucketed range join; all others take the as-of scan. A valid history never pays for it.
+  take the dyadic range join; all others take the as-of scan. A valid history never pays for it.
 """
 
 from __future__ import annotations
@@ -60,7 +63,7 @@ def point_in_time_join(facts: DataFrame, dim: DataFrame, spec: ChangeLogSpec = D
         return (point_in_time_join(ev_ok, dim_ok, s, e, "asof")
                 .unionByName(point_in_time_join(ev_bad, dim_bad, s, e, "range_bucketed")))
     if strategy == "range_bucketed":
-        return _range_bucketed(facts, dim, s, e, dim_cols)
+        return _range_dyadic(facts, dim, s, e, dim_cols)
     if strategy == "range":
         f = facts.alias("f")
         d = dim.select(s.entity, *dim_cols).alias("d")
@@ -97,26 +100,79 @@ def point_in_time_join(facts: DataFrame, dim: DataFrame, spec: ChangeLogSpec = D
                                   lambda c: F.when(F.col("_m"), F.col(f"_v.{c}")), F.col("_m")))
 
 
-def _range_bucketed(facts: DataFrame, dim: DataFrame, s: ChangeLogSpec, e: EventSpec, dim_cols: list[str],
-                    bucket_minutes: int = 1440) -> DataFrame:
-    ts_type = facts.schema[e.event_ts].dataType
-    ev = facts.withColumn("_b", chunk_of(F.col(e.event_ts), ts_type, bucket_minutes))
-    span = (ev.where(F.col(e.event_ts).isNotNull())
-            .groupBy(F.col(e.entity).alias("_se")).agg(F.min("_b").alias("_lo"), F.max("_b").alias("_hi")))
+# The nodes of the dyadic tree that make up the units [_a, _e): at level k a node spans 2**k units, and the uncovered
+# rest [ceil(_a / 2**k), floor(_e / 2**k)) gives its first node if odd and its last one if odd; two a level at most.
+_NODES = """flatten(transform(sequence(0, cast(floor(log2(_e - _a)) AS int) + 1), k ->
+    transform(filter(array(if((-shiftright(-_a, k)) & 1 = 1, -shiftright(-_a, k), NULL),
+                           if(shiftright(_e, k) & 1 = 1, shiftright(_e, k) - 1, NULL)),
+                     x -> x IS NOT NULL AND -shiftright(-_a, k) < shiftright(_e, k)),
+              x -> named_struct('level', k, 'node', x))))"""
+
+
+def interval_nodes(dim: DataFrame, facts: DataFrame, s: ChangeLogSpec, e: EventSpec, unit_minutes: int) -> DataFrame:
+    """The versions once per tree node that they cover (``_level``, ``_node``): at most 2 log2(units) rows each.
+
+    Units are ``unit_minutes`` wide; a version is first cut to the units of its entity's events, so an open version
+    costs what the events span and not what a calendar holds. Versions that can hold no event have no row.
+    """
+    unit = chunk_of(F.col(e.event_ts), facts.schema[e.event_ts].dataType, unit_minutes)
+    span = (facts.where(F.col(e.event_ts).isNotNull() & F.col(e.entity).isNotNull())
+            .groupBy(F.col(e.entity).alias("_se")).agg(F.min(unit).alias("_lo"), F.max(unit).alias("_hi")))
     vt_type = dim.schema["valid_from"].dataType
-    d = dim.select(F.col(s.entity).alias("_de"), *dim_cols).join(span, F.col("_de") == F.col("_se"))
-    first = F.greatest(chunk_of(F.col("valid_from"), vt_type, bucket_minutes), F.col("_lo"))
-    last = F.least(F.when(F.col("valid_to").isNotNull(), chunk_of(F.col("valid_to"), vt_type, bucket_minutes))
-                   .otherwise(F.col("_hi")), F.col("_hi"))
-    d = (d.where(F.col("valid_from").isNotNull() & (first <= last))
-         .withColumn("_b", F.explode(F.sequence(first, last))).drop("_se", "_lo", "_hi"))
-    f, dd = ev.alias("f"), d.alias("d")
+    first = F.greatest(chunk_of(F.col("valid_from"), vt_type, unit_minutes), F.col("_lo"))
+    last = F.least(F.when(F.col("valid_to").isNotNull(), chunk_of(F.col("valid_to"), vt_type, unit_minutes)),
+                   F.col("_hi"))                                    # an open end is NULL and skipped
+    cut = (dim.where(F.col("valid_from").isNotNull()
+                     & (F.col("valid_to").isNull() | (F.col("valid_from") < F.col("valid_to"))))
+           .join(span, F.col(s.entity) == F.col("_se"))
+           .withColumn("_a", first).withColumn("_e", last + 1).where("_a < _e"))
+    return (cut.withColumn("_n", F.explode(F.expr(_NODES)))
+            .withColumn("_level", F.col("_n.level")).withColumn("_node", F.col("_n.node"))
+            .drop("_se", "_lo", "_hi", "_a", "_e", "_n"))
+
+
+def _covered(facts: DataFrame, dim: DataFrame, s: ChangeLogSpec, e: EventSpec) -> DataFrame:
+    """``facts`` and ``_covers``, the number of versions that hold the event, by one ordered scan.
+
+    A version counts from its start and no longer from its end on; empty and inverted versions hold nothing.
+    """
+    ev_struct = F.struct(*[F.col(c) for c in e.columns])
+    ev_type = facts.select(ev_struct.alias("x")).schema["x"].dataType
+    none = F.lit(None).cast(ev_type).alias("_e")
+    real = dim.where(F.col("valid_to").isNull() | (F.col("valid_from") < F.col("valid_to")))
+    step = lambda at, by: real.where(F.col(at).isNotNull() & F.col("valid_from").isNotNull()).select(
+        F.col(s.entity).alias("_entity"), F.col(at).alias("_t"), F.lit(0).alias("_kind"),
+        F.col("source_change_id").cast("string").alias("_tie"), F.lit(by).cast("long").alias("_by"), none)
+    rows = facts.select(F.col(e.entity).alias("_entity"), F.col(e.event_ts).alias("_t"), F.lit(1).alias("_kind"),
+                        F.xxhash64(*[F.col(c) for c in e.columns]).cast("string").alias("_tie"),
+                        F.lit(0).cast("long").alias("_by"), ev_struct.alias("_e"))
+    both = rows.unionByName(step("valid_from", 1)).unionByName(step("valid_to", -1))
+    scanned = chunked_running(both, ["_entity"], ["_t", "_kind", "_tie"], F.col("_by"), "_covers", "sum")
+    known = F.col("_entity").isNotNull() & F.col("_t").isNotNull()
+    return scanned.where(F.col("_kind") == 1).select("_e.*", F.when(known, F.col("_covers")).otherwise(F.lit(0))
+                                                     .alias("_covers"))
+
+
+def _range_dyadic(facts: DataFrame, dim: DataFrame, s: ChangeLogSpec, e: EventSpec, dim_cols: list[str],
+                  unit_minutes: int = 1) -> DataFrame:
+    dim = dim.select(s.entity, *dim_cols)
+    counted = _covered(facts.select(*e.columns), dim, s, e)
+    alone = counted.where(F.col("_covers") == 0).select(*_enriched(
+        e, s, F.col, lambda c: F.lit(None).cast(dim.schema[c].dataType), F.lit(False)))
+    nodes = interval_nodes(dim, facts, s, e, unit_minutes)
+    # an event asks only on the levels that its entity's versions occupy: valid histories use few
+    levels = nodes.groupBy(F.col(s.entity).alias("_le")).agg(F.collect_set("_level").alias("_levels"))
+    unit = chunk_of(F.col(e.event_ts), facts.schema[e.event_ts].dataType, unit_minutes)
+    asked = (counted.where(F.col("_covers") > 0).join(levels, F.col(e.entity) == F.col("_le"))
+             .withColumn("_u", unit).withColumn("_level", F.explode("_levels"))
+             .withColumn("_node", F.expr("shiftright(_u, _level)")).drop("_le", "_levels", "_u", "_covers"))
+    f, d = asked.alias("f"), nodes.alias("d")
     ts = F.col(f"f.{e.event_ts}")
-    cond = ((F.col(f"f.{e.entity}") == F.col("d._de")) & (F.col("f._b") == F.col("d._b"))
+    cond = ((F.col(f"f.{e.entity}") == F.col(f"d.{s.entity}")) & (F.col("f._level") == F.col("d._level"))
+            & (F.col("f._node") == F.col("d._node"))
             & (ts >= F.col("d.valid_from")) & ((ts < F.col("d.valid_to")) | F.col("d.valid_to").isNull()))
-    joined = f.join(dd, cond, "left")
-    return joined.select(*_enriched(e, s, lambda c: F.col(f"f.{c}"), lambda c: F.col(f"d.{c}"),
-                                    F.col(f"d.{s.version_id}").isNotNull()))
+    hits = f.join(d, cond).select(*_enriched(e, s, lambda c: F.col(f"f.{c}"), lambda c: F.col(f"d.{c}"), F.lit(True)))
+    return alone.unionByName(hits)
 
 
 def unsafe_entities(dim: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC) -> DataFrame:

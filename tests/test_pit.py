@@ -92,3 +92,60 @@ def test_bucketed_tables_join_without_exchange(spark):
         assert out.count() == 1000 and out.where("matched_historical_state").count() == 975
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_nodes_make_up_every_interval_and_are_few(spark):
+    """The dyadic nodes of [a, e) are disjoint, cover it exactly and are at most 2 log2(span)."""
+    import math
+    import random
+
+    from histora.operators.pit import _NODES
+    rng = random.Random(4)
+    spans = [(-3, -2), (-9, 14), (0, 1), (0, 8), (1, 9), (7, 8), (0, 2**33), (5, 2**33 + 3)]
+    spans += [(a := rng.randint(-400, 400), a + rng.choice([1, 2, 3, 7, 8, 9, 64, 365, 1023])) for _ in range(300)]
+    df = spark.createDataFrame(spans, "_a bigint, _e bigint").withColumn("n", F.expr(_NODES))
+    for r in df.collect():
+        parts = sorted((x["node"] << x["level"], (x["node"] + 1) << x["level"]) for x in r["n"])
+        assert parts[0][0] == r["_a"] and parts[-1][1] == r["_e"]
+        assert all(p[1] == q[0] for p, q in zip(parts, parts[1:]))
+        assert len(parts) <= max(1, 2 * math.ceil(math.log2(r["_e"] - r["_a"] + 1)))
+
+
+def _random_history(spark, seed, n=150):
+    import random
+    from datetime import datetime, timedelta
+    rng, base = random.Random(seed), datetime(2024, 1, 1)
+    at = lambda: base + timedelta(seconds=rng.choice([0, 30, 60, 3600, 86400, 86400 * 400]) * rng.randint(0, 9)
+                                  + rng.randint(0, 3))
+    dim = [(f"v{i}", rng.choice([1, 1, 1, 2, 3, None]), "US", "free", "x", True, rng.choice([None] + [at()] * 12),
+            rng.choice([None, at(), at()]), True, f"c{i}", base) for i in range(n)]
+    ev = [(f"e{i % (n - 5)}", rng.choice([1, 1, 1, 2, 4, None]), "x", rng.choice([None] + [at()] * 12)) for i in range(n)]
+    return (spark.createDataFrame(ev, EVENT_SCHEMA), spark.createDataFrame(
+        dim, "customer_version_id string, customer_id int, country_code string, subscription_tier string, account_status "
+             "string, email_verified boolean, valid_from timestamp_ntz, valid_to timestamp_ntz, row_current boolean, "
+             "source_change_id string, last_seen_ingested_at timestamp_ntz"))
+
+
+def test_dyadic_join_equals_range_on_any_history(spark):
+    """Overlapping, repeated, inverted, open, NULL bounds; NULL entities and times; repeated events."""
+    for seed in (1, 2):
+        ev, dim = _random_history(spark, seed)
+        want = point_in_time_join(ev, dim, strategy="range")
+        for strategy in ("range_bucketed", "auto"):
+            got = point_in_time_join(ev, dim, strategy=strategy)
+            assert got.columns == want.columns and got.dtypes == want.dtypes
+            assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+
+
+def test_a_long_version_is_stored_few_times(spark):
+    """Open for ten years of events: 2 log2(minutes) rows at most, not one a day."""
+    from histora.operators.pit import interval_nodes
+    from histora.spec import DEFAULT_EVENTS, DEFAULT_SPEC
+    ev, dim = _random_history(spark, 3)
+    long = dim.limit(1).withColumns({"customer_id": F.lit(7), "valid_from": F.expr("timestamp_ntz'2010-05-05 01:01:01'"),
+                                     "valid_to": F.lit(None).cast("timestamp_ntz")})
+    events = ev.limit(2).withColumns({"customer_id": F.lit(7), "event_timestamp": F.expr(
+        "if(event_id = 'e0', timestamp_ntz'2012-01-01 00:07:00', timestamp_ntz'2021-12-31 23:59:00')")})
+    rows = interval_nodes(long, events, DEFAULT_SPEC, DEFAULT_EVENTS, 1).count()
+    assert 1 <= rows <= 2 * 23
+    assert point_in_time_join(events, long, strategy="range_bucketed").where("matched_historical_state").count() == 2
