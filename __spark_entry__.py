@@ -19,7 +19,7 @@ from histora.operators import (  # noqa: E402
     accepted_values_violations, affected_entities, append_facts, arrival_anomalies, build_scd2,
     current_record_violations, current_state, deduplicate_changes, duplicate_deliveries, entity_watermarks,
     high_water, history, interval_order_violations, missing_scenarios, noop_changes, not_null_violations,
-    overlap_violations, point_in_time_join, repair_scd2, repair_scd2_tail, sequence_changes, stage_changes, stage_events,
+    overlap_counts, overlap_violations, point_in_time_join, repair_scd2, repair_scd2_tail, sequence_changes, stage_changes, stage_events,
     table_diff, unique_violations,
 )
 from histora.operators.quality import (  # noqa: E402
@@ -200,6 +200,11 @@ def q_overlap_violations(spark, sf):
     return overlap_violations(_dim(spark, sf, order="ingest"), "customer_id", "valid_from", "valid_to")
 
 
+def q_overlap_counts(spark, sf):
+    """The same overlaps as one row a window with the number of its partners."""
+    return overlap_counts(_dim(spark, sf, order="ingest"), "customer_id", "valid_from", "valid_to")
+
+
 def q_current_record_violations(spark, sf):
     dim = _dim(spark, sf)
     corrupted = dim.withColumn("row_current", F.when(F.col("source_change_id").endswith("4"),
@@ -311,6 +316,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "current_state": q_current_state,
     "entity_history": q_entity_history,
     "overlap_violations": q_overlap_violations,
+    "overlap_counts": q_overlap_counts,
     "current_record_violations": q_current_record_violations,
     "interval_order_violations": q_interval_order_violations,
     "validate_dimension": q_validate_dimension,
@@ -451,15 +457,33 @@ LEFT JOIN dim d
 
 # A window is [start, stop) with an open stop far in the future. Two different windows of an entity share
 # time unless one stops before the other starts; every window reports each such other window once.
+# An entity's forward windows as two sorted lists, its backward ones as a list of bounds. A forward window misses the
+# forward windows that start at or after its end and those that end at or before its start, two sets without a common
+# member; it holds the backward windows that lie inside.
+_PARTNERS = """
+windows AS (
+    SELECT entity_id, valid_from AS f, valid_to AS t, coalesce(valid_to, TIMESTAMP '9999-12-31') AS e, count(*) AS copies
+    FROM base WHERE entity_id IS NOT NULL AND valid_from IS NOT NULL GROUP BY ALL
+),
+lists AS (
+    SELECT entity_id, list(f ORDER BY f) FILTER (f < e) AS starts, list(e ORDER BY e) FILTER (f < e) AS ends,
+           list({'f': f, 'e': e}) FILTER (f < e) AS forward, list({'f': f, 'e': e}) FILTER (f >= e) AS backward
+    FROM base, LATERAL (SELECT valid_from AS f, coalesce(valid_to, TIMESTAMP '9999-12-31') AS e)
+    WHERE f IS NOT NULL GROUP BY entity_id
+),
+partners AS (
+    SELECT w.entity_id, f AS valid_from, t AS valid_to, copies,
+           CASE WHEN f < e
+                THEN len(starts) - len(list_filter(starts, lambda x: x >= e)) - len(list_filter(ends, lambda x: x <= f))
+                     - copies + coalesce(len(list_filter(backward, lambda x: x.e > f AND x.f < e)), 0)
+                ELSE coalesce(len(list_filter(forward, lambda x: x.f < e AND x.e > f)), 0) END AS n_overlaps
+    FROM windows w JOIN lists USING (entity_id)
+)"""
 _OVERLAP = """
-SELECT entity_id, valid_from, valid_to, 'inverted_or_zero_width' AS failure_kind
-FROM base WHERE NOT (valid_from < coalesce(valid_to, TIMESTAMP '9999-12-31'))
+SELECT entity_id, valid_from, valid_to, 'inverted_or_zero_width' AS failure_kind FROM base WHERE valid_to <= valid_from
 UNION ALL
-SELECT w.entity_id, w.valid_from, w.valid_to, 'overlap' AS failure_kind
-FROM (SELECT *, coalesce(valid_to, TIMESTAMP '9999-12-31') AS stop FROM base) w,
-     (SELECT *, coalesce(valid_to, TIMESTAMP '9999-12-31') AS stop FROM base) x
-WHERE w.entity_id = x.entity_id AND NOT (w.valid_from = x.valid_from AND w.valid_to IS NOT DISTINCT FROM x.valid_to)
-  AND NOT (x.stop <= w.valid_from OR w.stop <= x.valid_from)"""
+SELECT entity_id, valid_from, valid_to, 'overlap' AS failure_kind
+FROM partners, LATERAL (SELECT unnest(range(copies * n_overlaps)))"""
 
 _CANON = ", ".join(CANONICAL)
 
@@ -575,7 +599,11 @@ WHERE ingested_at > (SELECT coalesce(max(last_seen_ingested_at), TIMESTAMP '1970
         "current_state": _with(*full) + f"\nSELECT {_DIM_COLS} FROM dim WHERE row_current",
         "entity_history": _with(*full) + f"\nSELECT {_DIM_COLS} FROM dim WHERE customer_id = {HISTORY_ENTITY}",
         "overlap_violations": _with(*_full_dim_ctes("ingest"), """
-base AS (SELECT customer_id AS entity_id, valid_from, valid_to FROM dim)""") + _OVERLAP,
+base AS (SELECT customer_id AS entity_id, valid_from, valid_to FROM dim)""", _PARTNERS) + _OVERLAP,
+        "overlap_counts": _with(*_full_dim_ctes("ingest"), """
+base AS (SELECT customer_id AS entity_id, valid_from, valid_to FROM dim)""", _PARTNERS) + """
+SELECT entity_id, valid_from, valid_to, copies, CAST(n_overlaps AS BIGINT) AS n_overlaps FROM partners
+WHERE n_overlaps > 0""",
         "current_record_violations": _with(*full, """
 corrupted AS (
     SELECT customer_id,
@@ -589,6 +617,7 @@ FROM corrupted GROUP BY customer_id
 HAVING count(*) FILTER (WHERE row_current) <> least(count(*) - count(valid_to), 1)""",
         "validate_dimension": _with(*_full_dim_ctes("ingest"), """
 base AS (SELECT customer_id AS entity_id, valid_from, valid_to FROM dim),
+""" + _PARTNERS + """,
 overlap AS (""" + _OVERLAP + """),
 per_entity AS (
     SELECT customer_id, count(*) FILTER (WHERE row_current) AS current_rows, count(*) - count(valid_to) AS open_rows
@@ -622,6 +651,7 @@ sequenced AS (
 ),
 enriched AS (""" + _PIT + """),
 base AS (SELECT customer_id AS entity_id, valid_from, valid_to FROM dim),
+""" + _PARTNERS + """,
 overlap AS (""" + _OVERLAP + """),
 per_entity AS (
     SELECT customer_id, count(*) FILTER (WHERE row_current) AS current_rows, count(*) - count(valid_to) AS open_rows

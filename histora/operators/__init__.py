@@ -9,6 +9,6 @@ from histora.operators.incremental import (  # noqa: F401
     high_water, affected_entities, repair_scd2, repair_scd2_tail, append_facts, event_high_water,
 )
 from histora.operators.quality import (  # noqa: F401
-    overlap_violations, current_record_violations, interval_order_violations, not_null_violations,
+    overlap_counts, overlap_violations, current_record_violations, interval_order_violations, not_null_violations,
     unique_violations, accepted_values_violations, table_diff, missing_scenarios, validate,
 )

@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from histora.functions.exprs import FAR_FUTURE, ts_literal
-from histora.plans.ordered import chunk_of, chunked_running
+from histora.plans.ordered import chunked_running
+from histora.session import work_path
 
 
 _STEP = 100_000   # rows that one generated array stands for
@@ -31,88 +32,125 @@ def _repeat(df: DataFrame, times: Column) -> DataFrame:
             .drop("_n0", "_r0", "_n1", "_r1", "_r2"))
 
 
+_WINDOW = ("valid_from", "_end", "_open", "m")     # a distinct window and its copies
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once under the shared work folder and read back: its many readers do not compute it again."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _windows(df: DataFrame, entity_key: str, valid_from: str, valid_to: str) -> DataFrame:
+    """Distinct windows with their copies ``m``; ``_end`` is the end or, of an open window, the far future."""
+    base = df.select(F.col(entity_key).alias("entity_id"), F.col(valid_from).alias("valid_from"),
+                     F.col(valid_to).alias("valid_to"))
+    return (base.where(F.col("entity_id").isNotNull() & F.col("valid_from").isNotNull())
+            .groupBy("entity_id", "valid_from", "valid_to").agg(F.count(F.lit(1)).alias("m"))
+            .withColumn("_end", F.coalesce(F.col("valid_to"), ts_literal(FAR_FUTURE)))
+            .withColumn("_open", F.col("valid_to").isNull()).drop("valid_to"))
+
+
+def _regular_counts(reg: DataFrame) -> DataFrame:
+    """For each regular window the number of other regular rows that overlap it, by two rank counts.
+
+    ``#starts < end - #ends <= from - copies``: a regular window that ends by ``from`` also starts before ``end``.
+    Both are running sums of one time-ordered union of the windows' ends (0), from-queries (1), end-queries (2) and
+    starts (3) at equal times.
+    """
+    zero, own = F.lit(0).cast("long"), F.col("m")
+    rows = [("_end", 0, zero, own), ("valid_from", 1, zero, zero), ("_end", 2, zero, zero), ("valid_from", 3, own, zero)]
+    u = None
+    for at, kind, starts, ends in rows:
+        part = reg.select("entity_id", F.col(at).alias("_k"), F.lit(kind).alias("_o"), starts.alias("_ws"),
+                          ends.alias("_we"), *_WINDOW)
+        u = part if u is None else u.unionByName(part)
+    run = chunked_running(u, ["entity_id"], ["_k", "_o"], {"_starts": F.col("_ws"), "_ends": F.col("_we")},
+                          None, "sum", include_current=True)
+    return (run.where(F.col("_o").isin(1, 2)).groupBy("entity_id", *_WINDOW)
+            .agg(F.max(F.when(F.col("_o") == 2, F.col("_starts"))).alias("_starts"),
+                 F.max(F.when(F.col("_o") == 1, F.col("_ends"))).alias("_ends"))
+            .select("entity_id", *_WINDOW, (F.col("_starts") - F.col("_ends") - F.col("m")).alias("n")))
+
+
+def _containment_counts(reg: DataFrame, inv: DataFrame) -> DataFrame:
+    """For each regular window the inverted rows strictly inside it, and for each inverted one the rows around it.
+
+    An inverted window [f, t], t <= f, overlaps the regular windows that start before t and end after f: a count of
+    points that two lines dominate. It is done as divide and conquer over the rank of the start: a regular window
+    is a point in one node a level (rank >> level), an inverted window asks for the first x ranks, x = starts before
+    t, i.e. for the nodes of x's one bits; inside a node running sums over the ends tell, for a regular window, the
+    inverted ones that start before its end, and for an inverted one the regular ones that end too early (taken
+    from all that start early enough, which the ranking scan has counted). So n windows make n log n rows, whatever
+    the number of pairs, and a hot entity's nodes are split like any hot key.
+    """
+    some = inv.select("entity_id").distinct()
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    starts = (reg.join(some, "entity_id", "left_semi")
+              .select("entity_id", F.col("valid_from").alias("_t"), F.lit(1).alias("_o"), one.alias("_w"),
+                      F.col("m").alias("_wm"), *_WINDOW))
+    limits = inv.select("entity_id", F.col("_end").alias("_t"), F.lit(0).alias("_o"), zero.alias("_w"),
+                        zero.alias("_wm"), *_WINDOW)
+    ranked = _written(chunked_running(starts.unionByName(limits), ["entity_id"], ["_t", "_o", "_end", "_open"],
+                                      {"_rank": F.col("_w"), "_mass": F.col("_wm")}, None, "sum"), "overlap-ranks")
+    asked = ranked.where((F.col("_o") == 0) & (F.col("_rank") > 0))
+    caps = asked.groupBy("entity_id").agg(F.max("_rank").alias("_cap"))
+    bits = "length(bin({0})) - 1"
+    points = (ranked.where(F.col("_o") == 1).join(caps, "entity_id").where("_rank < _cap")
+              .withColumn("_level", F.explode(F.expr(f"sequence(0, {bits.format('_cap')})")))
+              .select("entity_id", "_level", F.expr("shiftright(_rank, _level)").alias("_node"),
+                      F.col("_end").alias("_t"), F.lit(0).alias("_o"), F.col("m").alias("_wp"), zero.alias("_wq"),
+                      zero.alias("_mass"), *_WINDOW))
+    queries = (asked.withColumn("_level", F.explode(F.expr(
+                   f"filter(sequence(0, {bits.format('_rank')}), k -> shiftright(_rank, k) & 1 = 1)")))
+               .select("entity_id", "_level", F.expr("shiftright(_rank, _level) - 1").alias("_node"),
+                       F.col("valid_from").alias("_t"), F.lit(1).alias("_o"), zero.alias("_wp"),
+                       F.col("m").alias("_wq"), "_mass", *_WINDOW))
+    # at equal times points come first: they end by the query's time, and it is not before their end
+    run = chunked_running(points.unionByName(queries), ["entity_id", "_level", "_node"], ["_t", "_o"],
+                          {"_inside": F.col("_wq"), "_early": F.col("_wp")}, None, "sum", include_current=True)
+    return run.groupBy("entity_id", *_WINDOW).agg(
+        (F.max("_mass") + F.sum(F.when(F.col("_o") == 0, F.col("_inside")).otherwise(-F.col("_early")))).alias("n"))
+
+
+def overlap_counts(df: DataFrame, entity_key: str = "customer_id", valid_from: str = "valid_from",
+                   valid_to: str = "valid_to") -> DataFrame:
+    """Every distinct window that overlaps another row's: ``entity_id, valid_from, valid_to, copies, n_overlaps``.
+
+    ``n_overlaps`` is the number of other rows that one row of the window overlaps. With ``end`` = valid_to or far
+    future, rows a and b overlap iff ``b.from < a.end and a.from < b.end``; rows with identical bounds do not (S14),
+    nor do two inverted windows. There is no pair anywhere: regular windows count each other by rank
+    (:func:`_regular_counts`), inverted and regular ones by dominance counting (:func:`_containment_counts`), so the
+    work is n log n on an entity of n windows, hot or not. The distinct windows are written once when this is called;
+    a history without inverted ones has only the rank counts to make. Rows without an entity or a start overlap nothing.
+    """
+    wins = _written(_windows(df, entity_key, valid_from, valid_to), "overlap-windows")
+    reg, inv = wins.where(F.col("valid_from") < F.col("_end")), wins.where(F.col("valid_from") >= F.col("_end"))
+    found = _regular_counts(reg)
+    if not inv.isEmpty():
+        found = found.unionByName(_containment_counts(reg, inv))
+    return (found.groupBy("entity_id", *_WINDOW).agg(F.sum("n").alias("n_overlaps")).where("n_overlaps > 0")
+            .select("entity_id", "valid_from", F.when(~F.col("_open"), F.col("_end")).alias("valid_to"),
+                    F.col("m").alias("copies"), "n_overlaps"))
+
+
 def overlap_violations(df: DataFrame, entity_key: str = "customer_id", valid_from: str = "valid_from",
-                       valid_to: str = "valid_to",
-                       anchor_minutes: int = 1440) -> DataFrame:
+                       valid_to: str = "valid_to") -> DataFrame:
     """Q1: inverted/zero-width closed windows, and windows overlapping another of the same entity.
 
     Output ``entity_id, valid_from, valid_to, failure_kind``, with the reference's pair semantics: an
-    overlapping row is reported once per *other* row it overlaps (so each pair twice, once per side);
-    rows with identical bounds are not an overlap (S14); an inverted row is reported as inverted, and
-    again as ``overlap`` for every window that strictly contains it. With ``end`` = valid_to or far
-    future, rows a and b overlap iff ``b.from < a.end and a.from < b.end``.
-
-    There is no pair self-join. Rows are first collapsed to distinct windows with a
-    multiplicity ``m``. For *regular* windows (from < end) the count is exact from two rank counts:
-    ``#starts < a.end - #ends <= a.from - m(a)`` among regular windows (a regular window that ends by
-    a.from also starts before a.end), each a running sum over a time-ordered union of windows and query
-    points, computed with the hot-entity-splitting scan. Inverted windows never overlap each other;
-    they overlap exactly the regular windows that strictly contain them, and those pairs are found by
-    anchoring each inverted window at its ``valid_to`` chunk and spreading regular windows only over the
-    chunks (``anchor_minutes`` wide) between the entity's first and last inverted anchor, so the pair
-    work follows the output.
+    overlapping row is reported once per *other* row it overlaps (so each pair twice, once per side); an inverted
+    row is reported as inverted, and again as ``overlap`` for every window that strictly contains it. The numbers
+    come from :func:`overlap_counts`; only at the end are rows repeated by them, for this output.
     """
-    far = ts_literal(FAR_FUTURE)
     base = df.select(F.col(entity_key).alias("entity_id"), F.col(valid_from).alias("valid_from"),
                      F.col(valid_to).alias("valid_to"))
     inverted = base.where(F.col("valid_to").isNotNull() & (F.col("valid_from") >= F.col("valid_to"))
                           ).withColumn("failure_kind", F.lit("inverted_or_zero_width"))
-
-    wins = (base.where(F.col("entity_id").isNotNull() & F.col("valid_from").isNotNull())
-            .groupBy("entity_id", "valid_from", "valid_to").agg(F.count(F.lit(1)).alias("m"))
-            .withColumn("_end", F.coalesce(F.col("valid_to"), far))
-            .withColumn("_open", F.col("valid_to").isNull()))
-    ts_type = wins.schema["valid_from"].dataType
-    reg = wins.where(F.col("valid_from") < F.col("_end"))
-    inv = wins.where(F.col("valid_from") >= F.col("_end"))
-
-    # One time-ordered union per entity: ends (0) < from-queries (1) < end-queries (2) < starts (3) at equal
-    # times. At an end-query X = a.end the running sum of start weights counts starts strictly before X; at
-    # a from-query Y = a.from the running sum of end weights counts ends at or before Y.
-    nulls = [F.lit(None).cast(t).alias(f"_q{c}") for c, t in
-             (("valid_from", ts_type), ("_end", ts_type), ("_open", "boolean"), ("m", "long"))]
-    qcols = [F.col(c).alias(f"_q{c}") for c in ("valid_from", "_end", "_open", "m")]
-    zero = F.lit(0).cast("long")
-    u = (reg.select("entity_id", F.col("_end").alias("_k"), F.lit(0).alias("_o"), zero.alias("_ws"),
-                    F.col("m").alias("_we"), *nulls)
-         .unionByName(reg.select("entity_id", F.col("valid_from").alias("_k"), F.lit(1).alias("_o"),
-                                 zero.alias("_ws"), zero.alias("_we"), *qcols))
-         .unionByName(reg.select("entity_id", F.col("_end").alias("_k"), F.lit(2).alias("_o"),
-                                 zero.alias("_ws"), zero.alias("_we"), *qcols))
-         .unionByName(reg.select("entity_id", F.col("valid_from").alias("_k"), F.lit(3).alias("_o"),
-                                 F.col("m").alias("_ws"), zero.alias("_we"), *nulls)))
-    run = chunked_running(u, ["entity_id"], ["_k", "_o"], {"_starts": F.col("_ws"), "_ends": F.col("_we")},
-                          None, "sum", include_current=True)
-    k = (run.where(F.col("_o").isin(1, 2))
-         .groupBy(F.col("entity_id"), *[F.col(f"_q{c}").alias(c) for c in ("valid_from", "_end", "_open", "m")])
-         .agg(F.max(F.when(F.col("_o") == 2, F.col("_starts"))).alias("_starts"),
-              F.max(F.when(F.col("_o") == 1, F.col("_ends"))).alias("_ends"))
-         .withColumn("_k", F.col("_starts") - F.col("_ends") - F.col("m"))
-         .withColumn("valid_to", F.when(~F.col("_open"), F.col("_end"))))
-    regular_rows = _repeat(k.where(F.col("_k") > 0), F.col("m") * F.col("_k"))
-
-    # regular x inverted: an inverted window [t, f] lies strictly inside the regular window a
-    anchors = inv.select("entity_id", F.col("valid_from").alias("b_from"), F.col("valid_to").alias("b_to"),
-                         F.col("m").alias("b_m"), chunk_of(F.col("valid_to"), ts_type, anchor_minutes).alias("_c"))
-    span = anchors.groupBy("entity_id").agg(F.min("_c").alias("_lo"), F.max("_c").alias("_hi"))
-    covers = (reg.join(span, "entity_id")
-              .withColumn("_clo", F.greatest(chunk_of(F.col("valid_from"), ts_type, anchor_minutes), F.col("_lo")))
-              .withColumn("_chi", F.least(chunk_of(F.col("_end"), ts_type, anchor_minutes), F.col("_hi")))
-              .where(F.col("_clo") <= F.col("_chi"))
-              .withColumn("_c", F.explode(F.sequence(F.col("_clo"), F.col("_chi"))))
-              .select("entity_id", "valid_from", "valid_to", "_end", "m", "_c"))
-    pairs = covers.join(anchors, ["entity_id", "_c"]).where(
-        (F.col("valid_from") < F.col("b_to")) & (F.col("b_from") < F.col("_end")))
-    pairs = pairs.withColumn("_n", F.col("m") * F.col("b_m"))
-    regular_side = _repeat(pairs.select("entity_id", "valid_from", "valid_to", "_n"), F.col("_n"))
-    inverted_side = _repeat(pairs.select("entity_id", F.col("b_from").alias("valid_from"),
-                                         F.col("b_to").alias("valid_to"), "_n"), F.col("_n"))
-
-    overlaps = (regular_rows.select("entity_id", "valid_from", "valid_to")
-                .unionByName(regular_side.select("entity_id", "valid_from", "valid_to"))
-                .unionByName(inverted_side.select("entity_id", "valid_from", "valid_to"))
-                .withColumn("failure_kind", F.lit("overlap")))
-    return inverted.unionByName(overlaps)
+    counts = overlap_counts(df, entity_key, valid_from, valid_to)
+    rows = _repeat(counts, F.col("copies") * F.col("n_overlaps"))
+    return inverted.unionByName(rows.select("entity_id", "valid_from", "valid_to", F.lit("overlap").alias("failure_kind")))
 
 
 def current_record_violations(df: DataFrame, entity_key: str = "customer_id",

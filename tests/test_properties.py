@@ -144,7 +144,7 @@ def _brute_overlaps(rows):
 
 @pytest.mark.parametrize("seed,split", [(11, False), (12, False), (13, True), (14, True)])
 def test_overlap_check_equals_pair_definition(spark, seed, split):
-    from histora.operators import overlap_violations
+    from histora.operators import overlap_counts, overlap_violations
     from histora.plans.ordered import HOT_ROWS_CONF
     rnd = random.Random(seed)
     rows = []
@@ -166,9 +166,29 @@ def test_overlap_check_equals_pair_definition(spark, seed, split):
         spark.conf.set(HOT_ROWS_CONF, "0")
     try:
         got = sorted((tuple(r) for r in overlap_violations(df).collect()), key=repr)
+        counts = overlap_counts(df).collect()
     finally:
         spark.conf.unset(HOT_ROWS_CONF)
     assert got == _brute_overlaps(rows)
+    assert all(r["copies"] == rows.count(tuple(r)[:3]) for r in counts)
+    assert sorted((tuple(r)[:3] for r in counts for _ in range(r["copies"] * r["n_overlaps"])), key=repr) == \
+        sorted((r[:3] for r in got if r[3] == "overlap"), key=repr)
+
+
+def test_overlap_counts_make_no_pairs(spark):
+    """One entity, every inverted window inside every regular one: n log n rows, while the pairs are n squared."""
+    from histora.operators import overlap_counts
+    n = 3000
+    df = spark.range(2 * n).selectExpr(
+        "cast(id - id AS int) AS customer_id",
+        "if(id < 3000, timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id), timestamp_ntz'2024-06-01') AS valid_from",
+        "if(id < 3000, timestamp_ntz'2025-01-01' + make_dt_interval(0, 0, 0, id),"
+        " timestamp_ntz'2024-05-01' + make_dt_interval(0, 0, 0, id)) AS valid_to")
+    out = overlap_counts(df)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
+    assert {(r["n_overlaps"], r["count"]) for r in out.groupBy("n_overlaps").count().collect()} == \
+        {(n - 1 + n, n), (n, n)}
 
 
 def _or3(vals):
