@@ -11,7 +11,8 @@ too. A token sequence is the BPE encoding of its bytes exactly if every two adja
 order is total and each token encodes to itself), so a join re-encodes a window of tokens on either side of
 the border, growing until the pairs at its two edges are stable. Decoding concatenates up the tree.
 
-Work is cut by documents; a task holds one batch of rows and a cache of encoded pieces of bounded size.
+A leaf of the piece tree is a run of at most ``LEAF_BYTES`` bytes. The leaves that a batch of texts needs are merged
+together, a row each (:class:`BulkMerge`); longer pieces join leaves. Work is cut by documents; a task holds one batch of rows and a cache of encoded pieces of bounded size.
 Defined cases: null and empty texts have no tokens and decode to no bytes; repeated rows give repeated
 results; other columns are ignored.
 """
@@ -19,23 +20,29 @@ results; other columns are ignored.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import re
 from collections.abc import Callable, Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
+from heapq import heapify, heappop, heappush
 from itertools import chain
 
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from histora.llm.common import ship
+from histora.llm.common import batched, ship
 
 #: Characters of a leaf of the text tree, bytes of a leaf of the piece tree, and cached pieces at most.
 LEAF_CHARS = 8192
-LEAF_BYTES = 12
+LEAF_BYTES = 16
+LEAF_IDS = 4096
+PREPARED_CHARS = 1 << 20   # texts whose leaves are encoded together
+LONG_BYTES = 200   # from here on a heap finds the next merge
 CACHE_PIECES = 600_000
 
 _LOOKAHEAD = 3   # characters after a piece that its cut can depend on, white space runs aside
@@ -47,19 +54,78 @@ def read_ranks(lines: list[str]) -> dict[bytes, int]:
 
 
 class _Cache(dict):
-    """Encodings by text; emptied when full, and without the texts too long to come again."""
+    """Encodings by text, in two generations of half of ``most`` texts each: when the young one is full it becomes
+    the old one, and what is found there is young again. Texts too long to come again are not kept."""
 
     def __init__(self, encode: Callable[[str], tuple[int, ...]], most: int):
-        self.encode, self.most = encode, most
+        self.encode, self.half, self.old = encode, max(1, most // 2), {}
 
     def __missing__(self, text: str) -> tuple[int, ...]:
-        found = self.encode(text)
+        found = self.old.get(text)
+        if found is None:
+            found = self.encode(text)
         if len(text) <= 64:
-            if len(self) >= self.most:
-                self.clear()
-            self[text] = found
+            self.keep(text, found)
         return found
 
+    def keep(self, text, found: tuple[int, ...]) -> None:
+        if len(self) >= self.half:
+            self.old = dict(self)
+            self.clear()
+        self[text] = found
+
+
+class BulkMerge:
+    """The merges of many short byte strings at once: a row a string, a round a merge in every row that has one."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        pairs = [(ranks[t[:i]] << 32 | ranks[t[i:]], rank) for t, rank in ranks.items() for i in range(1, len(t))
+                 if t[:i] in ranks and t[i:] in ranks]
+        found = np.array(sorted(pairs), dtype=np.int64).reshape(-1, 2)
+        self.none = np.int64(1 << 31)
+        self.keys = np.append(found[:, 0], np.iinfo(np.int64).max)
+        self.ranks = np.append(found[:, 1], self.none)
+        self.single = np.array([ranks.get(bytes([i]), 0) for i in range(256)], dtype=np.int64)
+
+    def rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = left << 32 | right
+        at = np.searchsorted(self.keys, key)
+        return np.where((self.keys[at] == key) & (left >= 0) & (right >= 0), self.ranks[at], self.none)
+
+    def __call__(self, strings: list[bytes], most: int = 1 << 14) -> Iterator[tuple[bytes, tuple[int, ...]]]:
+        strings.sort(key=len)
+        for lo in range(0, len(strings), most):
+            part = strings[lo:lo + most]
+            width = len(part[-1])
+            raw = np.frombuffer(b"".join(x.ljust(width, b"\0") for x in part), dtype=np.uint8).reshape(-1, width)
+            size = np.fromiter(map(len, part), dtype=np.int64, count=len(part))
+            ids = np.where(np.arange(width) < size[:, None], self.single[raw], -1)     # -1: past the end
+            pair = self.rank_of(ids[:, :-1], ids[:, 1:])
+            done = np.full_like(ids, -1)
+            rows = np.arange(len(part))
+            column = np.arange(width)
+            while len(rows):
+                at = pair.argmin(axis=1)                 # the leftmost of the lowest
+                best = pair[np.arange(len(at)), at]
+                live = best < self.none
+                done[rows[~live]] = ids[~live]
+                rows, ids, pair, at, best = rows[live], ids[live], pair[live], at[live], best[live]
+                if not len(rows):
+                    break
+                here = np.arange(len(rows))
+                ids = np.take_along_axis(ids, np.minimum(column + (column > at[:, None]), width - 1), axis=1)
+                ids[:, -1] = -1                          # a merge always frees the last place
+                ids[here, at] = best
+                pair = np.take_along_axis(pair, np.minimum(column[:-1] + (column[:-1] > at[:, None]), width - 2), axis=1)
+                pair[:, -1] = self.none
+                nxt = np.minimum(at + 1, width - 1)
+                pair[here, np.minimum(at, width - 2)] = np.where(
+                    at < width - 1, self.rank_of(ids[here, np.minimum(at, width - 2)], ids[here, nxt]), self.none)
+                some = at > 0
+                pair[here[some], at[some] - 1] = self.rank_of(ids[here[some], at[some] - 1], best[some])
+            for data, row, n in zip(part, done.tolist(), (done >= 0).sum(axis=1).tolist()):
+                yield data, tuple(row[:n])
+
 
 class ByteBpe:
     """Encoder and decoder for one set of ranks and one pattern."""
@@ -72,14 +138,17 @@ class ByteBpe:
         self._loose = re.compile(r"\s (?:\s|\Z)").search   # a space that need not be a cut
         self._pieces = _Cache(self.encode_piece, cache_pieces // 4)
         self._spans = _Cache(lambda span: self._span(" " + span), cache_pieces)
-        self._leaf = lru_cache(maxsize=1 << 18)(self._merge)
+        self._leaf = _Cache(self._merge, cache_pieces // 2)
+        self._half = lru_cache(maxsize=1 << 18)(self.encode_bytes)
         self.decimal = {rank: str(rank) for rank in ranks.values()}
-        self._stable = lru_cache(maxsize=1 << 18)(self._adjacent)
+        self._pair = lru_cache(maxsize=1 << 18)(self._merge_pair)
 
     # -- tokens of one piece ---------------------------------------------------------------------
     def _merge(self, data: bytes) -> tuple[int, ...]:
         """Lowest-rank pair first, leftmost on ties, until no pair has a rank."""
-        rank_of, none = self.ranks.get, self._none
+        if len(data) > LONG_BYTES:
+            return self._merge_long(data)
+        rank_of, none, tokens = self.ranks.get, self._none, self.tokens
         parts = [data[i:i + 1] for i in range(len(data))]
         pairs = [rank_of(data[i:i + 2], none) for i in range(len(data) - 1)]
         while pairs:
@@ -87,7 +156,7 @@ class ByteBpe:
             if best == none:
                 break
             at = pairs.index(best)
-            merged = self.tokens[best]
+            merged = tokens[best]
             parts[at:at + 2] = [merged]
             del pairs[at]
             if at:
@@ -96,34 +165,105 @@ class ByteBpe:
                 pairs[at] = rank_of(merged + parts[at + 1], none)
         return tuple([self.ranks[p] for p in parts])
 
-    def _adjacent(self, left: int, right: int) -> bool:
-        return self._merge(self.tokens[left] + self.tokens[right]) == (left, right)
+    def _merge_long(self, data: bytes) -> tuple[int, ...]:
+        """The same merges in n log n steps: a heap of (rank, place) over a linked list of parts."""
+        rank_of, n = self.ranks.get, len(data)
+        parts: list[bytes | None] = [data[i:i + 1] for i in range(n)]
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(r, i) for i in range(n - 1) if (r := rank_of(data[i:i + 2])) is not None]
+        heapify(heap)
+        while heap:
+            rank, i = heappop(heap)
+            j = after[i]
+            if parts[i] is None or j >= n or rank_of(parts[i] + parts[j]) != rank:
+                continue                                    # one of the two has been merged since
+            parts[i], parts[j] = self.tokens[rank], None
+            k = after[i] = after[j]
+            if k < n:
+                before[k] = i
+                if (r := rank_of(parts[i] + parts[k])) is not None:
+                    heappush(heap, (r, i))
+            if (h := before[i]) >= 0 and (r := rank_of(parts[h] + parts[i])) is not None:
+                heappush(heap, (r, h))
+        return tuple([self.ranks[p] for p in parts if p is not None])
+
+    def _merge_pair(self, left: int, right: int) -> tuple[int, ...]:
+        return self._merge(self.tokens[left] + self.tokens[right])
+
+    def _stable(self, left: int, right: int) -> bool:
+        return self._pair(left, right) == (left, right)
 
     def join_tokens(self, left: tuple[int, ...], right: tuple[int, ...]) -> tuple[int, ...]:
         """The encoding of two neighbouring byte strings' concatenation, from their encodings."""
-        if not left or not right or self._stable(left[-1], right[0]):
+        if not left or not right:
+            return left + right
+        window = self._pair(left[-1], right[0])
+        if window == (left[-1], right[0]):
             return left + right
         reach = 1
         while True:
             a, b = max(0, len(left) - reach), min(len(right), reach)
-            window = self.encode_bytes(b"".join(map(self.tokens.__getitem__, left[a:] + right[:b])), split=False)
+            if reach > 1:
+                window = self.encode_bytes(b"".join(map(self.tokens.__getitem__, left[a:] + right[:b])), split=False)
             if ((a == 0 or self._stable(left[a - 1], window[0]))
                     and (b == len(right) or self._stable(window[-1], right[b]))):
                 return left[:a] + window + right[b:]
             reach *= 2
 
-    def encode_bytes(self, data: bytes, split: bool = True) -> tuple[int, ...]:
-        """Tokens of one piece, by halves if it is long."""
+    def encode_bytes(self, data: bytes, split: bool = True, known: dict | None = None) -> tuple[int, ...]:
+        """Tokens of one piece, by halves if it is long.
+
+        The left half is the largest power of two below the length, so that blocks that repeat in a long piece are
+        the same blocks; ``known`` holds their encodings while the piece is worked on.
+        """
         if len(data) <= LEAF_BYTES or not split:
-            return self._leaf(data) if len(data) <= 64 else self._merge(data)
-        half = (len(data) + 1) // 2
-        return self.join_tokens(self.encode_bytes(data[:half]), self.encode_bytes(data[half:]))
+            return self._leaf[data]
+        if len(data) <= 64:
+            half = (len(data) + 1) // 2
+            return self.join_tokens(self._half(data[:half]), self._half(data[half:]))
+        known = {} if known is None else known
+        found = known.get(data)
+        if found is None:
+            half = 1 << ((len(data) - 1).bit_length() - 1)
+            found = known[data] = self.join_tokens(self.encode_bytes(data[:half], True, known),
+                                                   self.encode_bytes(data[half:], True, known))
+        return found
 
     def encode_piece(self, piece: str) -> tuple[int, ...]:
         data = piece.encode("utf-8", "surrogatepass")
         rank = self.ranks.get(data)
         return (rank,) if rank is not None else self.encode_bytes(data)
 
+    @cached_property
+    def _bulk(self) -> BulkMerge:
+        return BulkMerge(self.ranks)
+
+    def encode_all(self, texts: list[str]) -> Iterator[list[int]]:
+        """The ids of each text; the spans that the cache has not are encoded together."""
+        spans = [None if self._loose(t) else t.split(" ") for t in texts]
+        self._prepare(set(chain.from_iterable([x[1:] for x in spans if x])))
+        for text, own in zip(texts, spans):
+            yield self._of_pieces(text) if own is None else self._of_spans(own)
+
+    def _prepare(self, spans: set[str]) -> None:
+        """Encode the unseen spans of the set, the leaves of their pieces all at once."""
+        known, old = self._spans, self._spans.old
+        unseen = [x for x in spans if x not in known and x not in old and len(x) <= 64]
+        pieces = [self.pattern.findall(" " + x) for x in unseen]
+        coded = {x: x.encode("utf-8", "surrogatepass") for x in set(chain.from_iterable(pieces))}
+        found, leaves = {}, {}
+        for piece, data in coded.items():
+            rank = self.ranks.get(data)
+            if rank is not None:
+                found[piece] = (rank,)
+            elif len(data) <= LEAF_BYTES:
+                leaves[data] = piece
+            else:
+                found[piece] = self.encode_bytes(data)
+        found.update((leaves[data], ids) for data, ids in self._bulk(list(leaves)))
+        for span, own in zip(unseen, pieces):
+            known.keep(span, found[own[0]] if len(own) == 1 else tuple(chain.from_iterable([found[x] for x in own])))
+
     # -- pieces of a text ------------------------------------------------------------------------
     def _join_pieces(self, left: list[str], right: list[str]) -> list[str]:
         """Pieces of two neighbouring spans' concatenation, from their pieces."""
@@ -166,17 +306,24 @@ class ByteBpe:
                      for i in range(0, len(level), 2)]
         return level[0]
 
+    def _of_pieces(self, text: str) -> list[int]:
+        return list(chain.from_iterable(map(self._pieces.__getitem__, self.pieces(text))))
+
+    def _of_spans(self, spans: list[str]) -> list[int]:
+        return [*self._span(spans[0]), *chain.from_iterable(map(self._spans.__getitem__, spans[1:]))]
+
     def encode(self, text: str) -> list[int]:
-        if self._loose(text):
-            return list(chain.from_iterable(map(self._pieces.__getitem__, self.pieces(text))))
-        first, *rest = text.split(" ")
-        return [*self._span(first), *chain.from_iterable(map(self._spans.__getitem__, rest))]
+        return self._of_pieces(text) if self._loose(text) else self._of_spans(text.split(" "))
 
     def _span(self, text: str) -> tuple[int, ...]:
         return tuple(chain.from_iterable(map(self._pieces.__getitem__, self.pieces(text))))
 
     def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
+        """The ids' bytes, concatenated up the tree of halves; leaves hold ``LEAF_IDS`` tokens."""
+        if len(ids) <= LEAF_IDS:
+            return b"".join(map(self.tokens.__getitem__, ids))
+        half = (len(ids) + 1) // 2
+        return self.decode(ids[:half]) + self.decode(ids[half:])
 
 
 _READY: dict[int, ByteBpe] = {}
@@ -207,7 +354,7 @@ class _Shared:
 
 
 def _over_texts(docs: DataFrame, path: str, pattern: str, id_col: str, text_col: str, schema: T.StructType,
-                row: Callable[[ByteBpe, object, str], tuple]) -> DataFrame:
+                row: Callable[[ByteBpe, object, list[int]], tuple]) -> DataFrame:
     ship(docs.sparkSession)
     with open(path) as file:   # the vocabulary is a file of the driver's machine, of some 800 KB
         shared = _Shared(docs.sparkSession.sparkContext.broadcast((file.read().splitlines(), pattern)))
@@ -216,7 +363,14 @@ def _over_texts(docs: DataFrame, path: str, pattern: str, id_col: str, text_col:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = _encoder(shared)
         for batch in batches:
-            rows = [row(bpe, i, t or "") for i, t in zip(batch["doc_id"].tolist(), batch["text"].tolist())]
+            doc_ids, texts = batch["doc_id"].tolist(), [t or "" for t in batch["text"].tolist()]
+            rows = []
+            gc.disable()      # nothing below makes cycles, and the collector would walk the caches
+            try:
+                for lo, hi in batched(texts, PREPARED_CHARS):
+                    rows += [row(bpe, i, ids) for i, ids in zip(doc_ids[lo:hi], bpe.encode_all(texts[lo:hi]))]
+            finally:
+                gc.enable()
             yield pd.DataFrame(rows, columns=names)
 
     return (docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
@@ -228,7 +382,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, *, id_col: str =
     """(doc_id, token_ids): the ids of every whole text."""
     return _over_texts(docs, path, pattern, id_col, text_col,
                        T.StructType().add("doc_id", T.LongType()).add("token_ids", T.ArrayType(T.IntegerType())),
-                       lambda bpe, i, t: (i, bpe.encode(t)))
+                       lambda bpe, i, ids: (i, ids))
 
 
 def decode_documents(encoded: DataFrame, path: str, *, id_col: str = "doc_id", ids_col: str = "token_ids") -> DataFrame:
@@ -247,8 +401,7 @@ def decode_documents(encoded: DataFrame, path: str, *, id_col: str = "doc_id", i
             .mapInPandas(run, "doc_id bigint, data binary"))
 
 
-def _digest_row(bpe: ByteBpe, i, text: str) -> tuple:
-    ids = bpe.encode(text)
+def _digest_row(bpe: ByteBpe, i, ids: list[int]) -> tuple:
     return (i, len(ids), hashlib.sha256(" ".join(map(bpe.decimal.__getitem__, ids)).encode()).hexdigest(),
             hashlib.sha256(bpe.decode(ids)).hexdigest())
 

@@ -26,13 +26,17 @@ def test_ids_equal_the_public_library(monkeypatch, chars, size):
     monkeypatch.setattr(bpe, "LEAF_CHARS", chars)
     monkeypatch.setattr(bpe, "LEAF_BYTES", size)
     own = bpe.ByteBpe(RANKS, P.PATTERN)
-    rng = random.Random(chars)
+    rng, texts = random.Random(chars), []
     for k in range(800):
         text = "".join(rng.choices(PIECES if k % 3 else list("athens"), k=rng.randint(0, 120)))
         text += " " * rng.randint(0, 40) + text if k % 7 == 0 else ""
         ids = own.encode(text)
         assert ids == PUBLIC.encode_ordinary(text)
         assert own.decode(ids) == text.encode()
+        texts.append(text)
+    for most in (4, 600_000):
+        fresh = bpe.ByteBpe(RANKS, P.PATTERN, most)
+        assert list(fresh.encode_all(texts)) == [PUBLIC.encode_ordinary(t) for t in texts]
 
 
 @settings(max_examples=150, deadline=None)
@@ -70,3 +74,22 @@ def test_documents_nulls_repeats_and_clashing_columns(spark):
     assert bpe.encode_digests(docs.limit(0), PATH, P.PATTERN).count() == 0
     back = bpe.decode_documents(bpe.encode_documents(docs, PATH, P.PATTERN), PATH).collect()
     assert sorted((r["doc_id"], bytes(r["data"])) for r in back) == sorted((r[0], (r[1] or "").encode()) for r in rows)
+
+
+def test_long_repetitive_pieces_take_seconds_at_most():
+    """The heap merges in n log n steps, and equal blocks of a piece are encoded once."""
+    import time
+    own = bpe.ByteBpe(RANKS, P.PATTERN)
+    for text in ("-=" * 20_000, "a" * 160_000, "".join(random.Random(5).choices("abc", k=60_000))):
+        start = time.process_time()
+        ids = own.encode(text)
+        assert time.process_time() - start < 10
+        assert ids == PUBLIC.encode_ordinary(text)
+
+
+def test_decoding_up_the_tree(monkeypatch):
+    monkeypatch.setattr(bpe, "LEAF_IDS", 3)
+    own = bpe.ByteBpe(RANKS, P.PATTERN)
+    for n in (0, 1, 3, 4, 50):
+        text = "words é and 日本 " * n
+        assert own.decode(own.encode(text)) == text.encode()
