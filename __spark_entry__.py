@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from histora.operators import (  # noqa: E402
-    accepted_values_violations, affected_entities, append_facts, arrival_anomalies, build_scd2,
+    accepted_values_violations, affected_entities, append_facts, append_stored, arrival_anomalies, build_scd2,
     current_record_violations, current_state, deduplicate_changes, duplicate_deliveries, entity_watermarks,
     high_water, history, interval_order_violations, missing_scenarios, noop_changes, not_null_violations,
-    overlap_counts, overlap_violations, point_in_time_join, repair_scd2, repair_scd2_tail, sequence_changes, stage_changes, stage_events,
+    overlap_counts, overlap_violations, point_in_time_join, repair_scd2_tail, repair_stored, sequence_changes, stage_changes, stage_events,
     table_diff, unique_violations,
 )
 from histora.operators.quality import (  # noqa: E402
@@ -28,7 +28,7 @@ from histora.operators.quality import (  # noqa: E402
 from histora.session import work_path  # noqa: E402
 from histora.sources import derived_change_log, derived_facts, read_change_log, read_events, scenario_catalog  # noqa: E402
 from histora.sources.derived import SCENARIO_CATALOG  # noqa: E402
-from histora.sources.versions import latest_version, read_version, write_version  # noqa: E402
+from histora.sources.stored import PART, daily_table, keyed_table  # noqa: E402
 from histora.streaming import RepairStreamTables, start_repair_stream  # noqa: E402
 
 try:   # the operators for training data may be absent; this is the only place that tolerates it
@@ -114,12 +114,12 @@ def q_affected_entities(spark, sf):
 
 
 def q_scd2_incremental(spark, sf):
-    """T1 table stored, then two keyed repairs (small batch, then everything), each stored as the next version."""
-    root = work_path(spark, "scd2_incremental")
-    write_version(_dim(spark, sf, T1_CUTOFF), root, 0)
-    for version, cutoff in enumerate((T2_CUTOFF, None)):
-        write_version(repair_scd2(read_version(spark, root, version), _staged(spark, sf, cutoff)), root, version + 1)
-    return read_version(spark, root, 2)
+    """T1 table stored by entity bucket, then two keyed repairs (small batch, then everything) of the stored table."""
+    table = keyed_table(work_path(spark, "scd2_incremental"), "customer_id")
+    table.write(_dim(spark, sf, T1_CUTOFF))
+    for step, cutoff in (("t2", T2_CUTOFF), ("all", None)):
+        repair_stored(table, _staged(spark, sf, cutoff), step)
+    return table.read(spark).drop(PART)
 
 
 def q_scd2_incremental_tail(spark, sf):
@@ -141,7 +141,7 @@ def q_scd2_stream_repair(spark, sf):
         log.where(cond).write.mode("errorifexists").parquet(f"{landing}/arrival={i}")
         q = start_repair_stream(spark, f"{landing}/*", tables, f"{base}/_checkpoint", schema=log.schema)
         q.awaitTermination()
-    if latest_version(spark, tables.dim_path) != len(cuts) - 1:
+    if not all(tables.dim.done(spark, f"batch-{i}") for i in range(len(cuts))):
         raise RuntimeError("the stream did not repair the table once an arrival")
     return tables.read_dim(spark)
 
@@ -164,6 +164,16 @@ def q_facts_by_id_append(spark, sf):
     return append_facts(_fact_batch1(spark, sf), _facts(spark, sf), mode="by_id")
 
 
+def q_facts_stored_append(spark, sf):
+    """A stored fact table, by day of the event: a first batch, then two keyed appends to the days that they touch."""
+    table = daily_table(work_path(spark, "facts"), "event_timestamp")
+    table.write(_fact_batch1(spark, sf))
+    facts = _facts(spark, sf)
+    append_stored(table, facts.where(F.col("event_id") % 3 == 0), "third")
+    append_stored(table, facts, "all", ids_keep_their_day=False)
+    return table.read(spark).drop(PART)
+
+
 def q_pit_range(spark, sf):
     return point_in_time_join(_facts(spark, sf), _dim(spark, sf), strategy="range")
 
@@ -308,6 +318,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "facts_full": q_facts_full,
     "facts_event_time_append": q_facts_event_time_append,
     "facts_by_id_append": q_facts_by_id_append,
+    "facts_stored_append": q_facts_stored_append,
     "pit_range": q_pit_range,
     "pit_asof": q_pit_asof,
     "pit_auto": q_pit_auto,
@@ -591,6 +602,7 @@ WHERE ingested_at > (SELECT coalesce(max(last_seen_ingested_at), TIMESTAMP '1970
             "WHERE event_timestamp > (SELECT coalesce(max(event_timestamp), TIMESTAMP '1970-01-01 00:00:00') "
             "FROM batch1)"),
         "facts_by_id_append": _append_sql(""),
+        "facts_stored_append": _append_sql(""),
         "pit_range": _with(*full) + _PIT,
         "pit_asof": _with(*full) + _PIT,
         "pit_auto": _with(*full) + _PIT,

@@ -15,6 +15,8 @@ from pyspark.sql import types as T
 from histora.functions.exprs import EPOCH, ts_literal
 from histora.operators.changes import deduplicate_changes
 from histora.operators.scd2 import build_scd2
+from histora.session import work_path
+from histora.sources.stored import PART, StoredTable
 from histora.spec import DEFAULT_EVENTS, DEFAULT_SPEC, ChangeLogSpec, EventSpec
 
 
@@ -146,3 +148,57 @@ def append_facts(existing: DataFrame, new: DataFrame, events: EventSpec = DEFAUL
         raise ValueError(f"mode must be 'by_id' or 'event_time', not {mode!r}")
     kept = existing.join(new.select(e.event_id).distinct(), e.event_id, "left_anti")
     return kept.unionByName(new.select(*existing.columns))
+
+
+def repair_stored(table: StoredTable, staged: DataFrame, step: str, spec: ChangeLogSpec = DEFAULT_SPEC,
+                  order: str = "source") -> None:
+    """J2 into a stored, keyed history (A4): only the buckets of the affected entities are read and written.
+
+    ``step`` names the repair, so that a repeated one changes nothing (see :mod:`histora.sources.stored`).
+    """
+    s, spark = spec, staged.sparkSession
+    if table.resume(spark, step):
+        return
+    path = work_path(spark, "affected")
+    affected_entities(staged, table.read(spark), s).write.parquet(path)     # read three times below
+    affected = spark.read.schema(staged.select(s.entity).schema).parquet(path)
+    parts = table.parts_of(affected)
+    kept = table.read(spark, parts).drop(PART).join(affected, s.entity, "left_anti")
+    rebuilt = rebuild_entities(staged, affected, s, order=order)
+    table.replace(step, parts, rebuilt.unionByName(kept))
+
+
+def moved_events(existing: DataFrame, new: DataFrame, events: EventSpec = DEFAULT_EVENTS) -> DataFrame:
+    """Event ids that are stored under another day than they come with now (the contract of ``append_stored``)."""
+    e = events
+    day = lambda df, name: df.select(e.event_id, F.to_date(e.event_ts).alias(name)).distinct()
+    both = day(existing, "stored_day").join(day(new, "new_day"), e.event_id)
+    return both.where(~F.col("stored_day").eqNullSafe(F.col("new_day")))
+
+
+def append_stored(table: StoredTable, new: DataFrame, step: str, events: EventSpec = DEFAULT_EVENTS,
+                  ids_keep_their_day: bool = True) -> None:
+    """J4 into a stored fact table (A5): ``append_facts(mode="by_id")`` on the days that the new events touch.
+
+    With ``ids_keep_their_day`` an event that comes again keeps its day (checked by :func:`moved_events`), so stored
+    rows with a new event's id can only lie on the new events' days: the delete's anti-join reads those days alone,
+    by dynamic partition pruning, and only they are written. Without it the table's ids are searched for further
+    days first.
+    """
+    e, spark = events, new.sparkSession
+    if table.resume(spark, step):
+        return
+    stored = table.read(spark)
+    ids = new.select(e.event_id).distinct()
+    # the comparison, true of every day, makes Spark take the days as a filter worth pruning by
+    days = table.with_part(new).select(PART).distinct().where(F.col(PART) >= F.lit("0001-01-01").cast("date"))
+    if not ids_keep_their_day:
+        days = days.unionByName(stored.select(e.event_id, PART).join(ids, e.event_id, "left_semi").select(PART)).distinct()
+    parts = sorted(r[0] for r in days.collect())          # calendar days
+    table.replace(step, parts, kept_facts(stored, days, ids, e).unionByName(new.select(*e.columns)))
+
+
+def kept_facts(stored: DataFrame, days: DataFrame, ids: DataFrame, events: EventSpec = DEFAULT_EVENTS) -> DataFrame:
+    """The stored events of ``days`` whose id is not among ``ids``; days are few, and their set prunes the scan."""
+    e = events
+    return (stored.join(F.broadcast(days), PART, "left_semi").join(ids, e.event_id, "left_anti").select(*e.columns))

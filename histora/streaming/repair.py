@@ -7,15 +7,15 @@ watermark is set: a watermark would drop exactly the late rows the repair exists
 
 Per micro-batch:
 
-1. the staged batch is stored once in the change log under ``batch=<id>``; a retried batch overwrites exactly
-   its own earlier attempt (``foreachBatch`` is at-least-once) and nothing else. All that follows reads the stored
-   batch, so the stream's source is evaluated once;
-2. the log of the affected entities is read back and their history is rebuilt;
-3. the repaired dimension is written as the batch's own version, from the version before it, so a retry
-   gives the same table and a reader sees whole versions only.
-
-After all batches the dimension equals a full rebuild over everything that landed. The tables belong to the
-stream's checkpoint: batch ids count on from it.
+1. the staged batch is stored once in the change log under ``batch=<id>``, dealt into the entity buckets of the
+   dimension; a retried batch overwrites exactly its own earlier attempt (``foreachBatch`` is at-least-once) and
+   nothing else. All that follows reads the stored batch, so the stream's source is evaluated once;
+2. only the log's buckets that the batch touches are read, in all batches, and the affected entities rebuilt;
+3. only these buckets of the dimension are replaced, as the step ``batch-<id>`` of the stored table: a batch that was
+   lost at any point, also between its log and its table, is finished or repeated by its retry with the same result.
+
+So what a batch reads and writes follows the buckets of its entities. After all batches the dimension equals a full
+rebuild over everything that landed. The tables belong to the stream's checkpoint: batch ids count on from it.
 """
 
 from __future__ import annotations
@@ -29,38 +29,52 @@ from pyspark.sql.streaming import StreamingQuery
 
 from histora.operators.incremental import rebuild_entities, rebuild_tail
 from histora.operators.staging import stage_changes
-from histora.sources.versions import read_version, write_version
+from histora.sources.stored import PART, StoredTable, keyed_table
 from histora.spec import CDC_SCHEMA, DEFAULT_SPEC, ChangeLogSpec
 
 
 @dataclass
 class RepairStreamTables:
-    log_path: str          # stored, staged change log: batch=<id>
-    dim_path: str          # the repaired Type 2 dimension: version=<batch id>
+    log_path: str          # stored, staged change log: batch=<id>/_part=<bucket>
+    dim_path: str          # the repaired Type 2 dimension: _part=<bucket>
+    key: str = DEFAULT_SPEC.entity
+    buckets: int = 64
+
+    @property
+    def dim(self) -> StoredTable:
+        return keyed_table(self.dim_path, self.key, self.buckets)
 
     def read_dim(self, spark: SparkSession) -> DataFrame:
-        return read_version(spark, self.dim_path)
+        return self.dim.read(spark).drop(PART)
+
+    def log_of(self, spark: SparkSession, columns: str, parts: list, batch_id: int) -> DataFrame:
+        """The stored log of some buckets up to a batch: ``PartitionFilters`` on both."""
+        log = (spark.read.option("basePath", self.log_path).schema(f"{columns}, batch bigint, {PART} int")
+               .parquet(self.log_path))
+        return log.where((F.col("batch") <= batch_id) & F.col(PART).isin(parts)).drop("batch", PART)
 
 
 def _process_batch(spark: SparkSession, tables: RepairStreamTables, spec: ChangeLogSpec, batch: DataFrame,
                    batch_id: int, tail: bool = False) -> None:
-    s = spec
-    stage_changes(batch, s).write.mode("overwrite").parquet(f"{tables.log_path}/batch={batch_id}")
-    new = spark.read.parquet(f"{tables.log_path}/batch={batch_id}")
-    log = (spark.read.option("basePath", tables.log_path).schema(f"{_ddl(new)}, batch bigint")
-           .parquet(tables.log_path).where(F.col("batch") <= batch_id).drop("batch"))
+    s, step, dim = spec, f"batch-{batch_id}", tables.dim
+    if dim.resume(spark, step):
+        return
+    here = f"{tables.log_path}/batch={batch_id}"
+    dim.with_part(stage_changes(batch, s)).write.mode("overwrite").partitionBy(PART).parquet(here)
+    new = spark.read.parquet(here).drop(PART)
     affected = new.select(s.entity).distinct()
-    scoped = log.join(affected, s.entity, "left_semi")
+    parts = dim.parts_of(affected)
+    scoped = tables.log_of(spark, _ddl(new), parts, batch_id).join(affected, s.entity, "left_semi")
     if batch_id == 0:
-        write_version(rebuild_entities(scoped, affected, s), tables.dim_path, 0)
+        dim.replace(step, parts, rebuild_entities(scoped, affected, s))
         return
-    dim = read_version(spark, tables.dim_path, batch_id - 1)
-    kept = dim.join(affected, s.entity, "left_anti")
+    stored = dim.read(spark, parts).drop(PART)
+    kept = stored.join(affected, s.entity, "left_anti")
     if tail:
-        rebuilt = rebuild_tail(dim.join(affected, s.entity, "left_semi"), scoped, new, s)
+        rebuilt = rebuild_tail(stored.join(affected, s.entity, "left_semi"), scoped, new, s)
     else:
         rebuilt = rebuild_entities(scoped, affected, s)
-    write_version(kept.unionByName(rebuilt), tables.dim_path, batch_id)
+    dim.replace(step, parts, rebuilt.unionByName(kept))
 
 
 def _ddl(df: DataFrame) -> str:

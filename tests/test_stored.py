@@ -1,0 +1,107 @@
+"""Stored tables: only touched parts are written, retries give the same table, pruning shows in the plans."""
+
+from __future__ import annotations
+
+import os
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from histora.operators import append_facts, append_stored, moved_events, repair_stored, table_diff
+from histora.operators.incremental import kept_facts
+from histora.session import checkpoint_dir
+from histora.sources.stored import PART, daily_table, keyed_table
+from histora.spec import EVENT_SCHEMA
+from tests.fixtures_data import EXPECTED_42, T1_CUTOFF
+from tests.helpers import intervals, log_df, ts
+from tests.test_incremental import CANON, _dim, _row
+from histora.operators import stage_changes
+
+
+def _path(spark):
+    return f"{checkpoint_dir(spark)}/stored-{uuid.uuid4().hex}"
+
+
+def _files(path):
+    return {f"{d}/{f}": os.stat(f"{d}/{f}").st_mtime_ns for d, _, fs in os.walk(path.removeprefix("file:")) for f in fs
+            if f.endswith(".parquet")}
+
+
+def _changed_parts(before, after):
+    changed = {f for f in before.keys() | after.keys() if before.get(f) != after.get(f)}
+    return {f.split(f"{PART}=")[1].split("/")[0] for f in changed}
+
+
+def test_a_repair_writes_only_the_buckets_of_the_affected_entities(spark, scripted_log):
+    table = keyed_table(_path(spark), "customer_id", 16)
+    table.write(_dim(scripted_log, T1_CUTOFF))
+    assert len(table.parts_of(_dim(scripted_log))) > 2
+    before = _files(table.path)
+    repair_stored(table, stage_changes(scripted_log), "second")
+    wanted = {str(p) for p in table.parts_of(spark.createDataFrame([(42,)], "customer_id int"))}
+    assert _changed_parts(before, _files(table.path)) == wanted
+    assert intervals(table.read(spark), 42) == EXPECTED_42
+    assert table_diff(table.read(spark).drop(PART), _dim(scripted_log), CANON).count() == 0
+    after = _files(table.path)
+    repair_stored(table, stage_changes(scripted_log), "second")          # done: nothing is written
+    repair_stored(table, stage_changes(scripted_log), "third")           # nothing has arrived since
+    assert _files(table.path) == after
+
+
+def test_an_entity_that_vanishes_leaves_its_bucket_empty(spark):
+    first = log_df(spark, [_row("a", 1, "INSERT", "2026-01-01 00:00:00", "2026-01-01 00:01:00"),
+                           _row("k", 2, "INSERT", "2026-01-01 00:00:00", "2026-01-01 00:01:00")])
+    both = first.unionByName(log_df(spark, [_row("b", 1, "DELETE", "2026-01-01 00:00:00", "2026-01-02 00:00:00")]))
+    table = keyed_table(_path(spark), "customer_id", 1000)
+    table.write(_dim(first))
+    repair_stored(table, stage_changes(both), "delete")
+    assert [r.customer_id for r in table.read(spark).collect()] == [2]
+    assert table.read(spark).drop(PART).columns == _dim(first).columns
+
+
+def test_an_empty_table_can_be_read_and_repaired(spark, scripted_log):
+    table = keyed_table(_path(spark), "customer_id", 4)
+    table.write(_dim(scripted_log).limit(0))
+    assert table.read(spark).count() == 0
+    repair_stored(table, stage_changes(scripted_log), "first")
+    assert table_diff(table.read(spark).drop(PART), _dim(scripted_log), CANON).count() == 0
+
+
+def _events(spark, rows):
+    return spark.createDataFrame([(a, b, c, ts(d)) for a, b, c, d in rows], EVENT_SCHEMA)
+
+
+OLD = [("e1", 1, "login", "2026-01-10 00:00:00"), ("e2", 1, "login", "2026-01-12 00:00:00"), ("e0", 2, "x", None),
+       ("e5", 3, "x", "2026-01-20 00:00:00")]
+NEW = [("e2", 1, "purchase", "2026-01-12 05:00:00"), ("e4", 1, "y", "2026-01-10 00:00:00"),
+       ("e4", 1, "y", "2026-01-10 00:00:00"), ("e6", None, "z", "2026-01-30 00:00:00"), ("e0", 2, "again", None)]
+
+
+@pytest.mark.parametrize("keep", [True, False])
+def test_stored_append_equals_the_plain_one_and_writes_its_days_only(spark, keep):
+    table, old, new = daily_table(_path(spark), "event_timestamp"), _events(spark, OLD), _events(spark, NEW)
+    table.write(old)
+    before = _files(table.path)
+    if not keep:
+        new = new.unionByName(_events(spark, [("e5", 3, "moved", "2026-01-25 00:00:00")]))
+        assert [r["event_id"] for r in moved_events(old, new).collect()] == ["e5"]
+    else:
+        assert moved_events(old, new).count() == 0
+    append_stored(table, new, "one", ids_keep_their_day=keep)
+    want = sorted(map(tuple, append_facts(old, new).collect()), key=repr)
+    assert sorted(map(tuple, table.read(spark).drop(PART).collect()), key=repr) == want
+    assert _changed_parts(before, _files(table.path)) == {"2026-01-12", "2026-01-10", "2026-01-30", "0001-01-01"} | (
+        set() if keep else {"2026-01-25", "2026-01-20"})
+    append_stored(table, new, "one", ids_keep_their_day=keep)
+    assert sorted(map(tuple, table.read(spark).drop(PART).collect()), key=repr) == want
+
+
+def test_the_anti_join_of_an_append_is_pruned_to_its_days(spark):
+    table, new = daily_table(_path(spark), "event_timestamp"), _events(spark, NEW)
+    table.write(_events(spark, OLD))
+    days = table.with_part(new).select(PART).distinct().where(F.col(PART) >= F.lit("0001-01-01").cast("date"))
+    kept = kept_facts(table.read(spark), days, new.select("event_id").distinct())
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruningexpression" in plan
+    assert [r["event_id"] for r in kept.collect()] == ["e1"]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from histora.operators import build_scd2, deduplicate_changes, stage_changes, table_diff
 from histora.session import checkpoint_dir
-from histora.sources.versions import latest_version
+from histora.sources import stored
 from histora.streaming import RepairStreamTables, start_repair_stream
 from histora.streaming.repair import _process_batch
 from histora.spec import DEFAULT_SPEC
@@ -40,7 +40,7 @@ def test_three_micro_batches_equal_full_build(spark, scripted_log, tail):
     q = start_repair_stream(spark, f"{base}/landing/*", tables, f"{base}/_ckpt", schema=scripted_log.schema,
                             max_files_per_trigger=1, tail=tail)
     q.awaitTermination()
-    assert latest_version(spark, tables.dim_path) >= 2
+    assert tables.dim.done(spark, "batch-2")
     dim = tables.read_dim(spark)
     assert table_diff(dim, _full(scripted_log), CANON).count() == 0
     assert intervals(dim, 42) == EXPECTED_42
@@ -69,5 +69,47 @@ def test_arrivals_of_the_query_are_written_by_many_tasks(spark, monkeypatch):
     monkeypatch.setattr(entry, "derived_change_log", lambda spark, sf: real(spark, sf).repartition(4))
     dim = entry.q_scd2_stream_repair(spark, "/root/testdata/sf0.001")
     assert len(spark.read.parquet(f"{base}/landing/arrival=0").inputFiles()) == 4
-    assert latest_version(spark, f"{base}/dim") == 2
     assert table_diff(dim, entry._dim(spark, "/root/testdata/sf0.001"), CANON).count() == 0
+
+
+@pytest.mark.parametrize("lost", ["before rows", "before parts", "half of the parts"])
+def test_a_batch_lost_at_any_point_is_repeated_with_the_same_result(spark, scripted_log, monkeypatch, lost):
+    """Killed after the log is written: before the table's rows, before its parts, and between two parts."""
+    base = f"{checkpoint_dir(spark)}/test-stream-{uuid.uuid4().hex}"
+    tables = RepairStreamTables(f"{base}/log", f"{base}/dim", buckets=3)
+    early = F.col("ingested_at") <= F.lit("2026-03-01 00:00:00").cast("timestamp_ntz")
+    _process_batch(spark, tables, DEFAULT_SPEC, scripted_log.where(early), 0)
+    before = tables.read_dim(spark).collect()
+    real = stored.StoredTable._apply
+
+    def killed(self, spark, step, parts):
+        if lost == "half of the parts":
+            rows = spark.read.parquet(f"{self.path}.steps/{step}.rows").where(F.col("_part") == parts[0])
+            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_part").parquet(self.path)
+        raise RuntimeError("lost")
+
+    if lost == "before rows":
+        monkeypatch.setattr(stored.StoredTable, "replace", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    else:
+        monkeypatch.setattr(stored.StoredTable, "_apply", killed)
+    with pytest.raises(RuntimeError, match="lost"):
+        _process_batch(spark, tables, DEFAULT_SPEC, scripted_log.where(~early), 1)
+    monkeypatch.undo()
+    assert stored.StoredTable._apply is real
+    if lost != "half of the parts":
+        assert sorted(map(repr, tables.read_dim(spark).collect())) == sorted(map(repr, before))
+    for _ in range(2):
+        _process_batch(spark, tables, DEFAULT_SPEC, scripted_log.where(~early), 1)
+        assert table_diff(tables.read_dim(spark), _full(scripted_log), CANON).count() == 0
+
+
+def test_a_batch_reads_only_the_buckets_of_its_entities(spark, scripted_log):
+    base = f"{checkpoint_dir(spark)}/test-stream-{uuid.uuid4().hex}"
+    tables = RepairStreamTables(f"{base}/log", f"{base}/dim")
+    _process_batch(spark, tables, DEFAULT_SPEC, scripted_log, 0)
+    first = tables.log_of(spark, "change_id string", [5], 0)
+    plan = first._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
+    parts = tables.dim.parts_of(scripted_log)
+    some = tables.log_of(spark, "change_id string", parts[:1], 0).select(F.input_file_name()).distinct().collect()
+    assert len(parts) > 1 and some and all(f"_part={parts[0]}/" in r[0] for r in some)
