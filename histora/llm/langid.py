@@ -23,7 +23,8 @@ batch part by part. A task holds ``MODEL_CELLS`` log probabilities of the highes
 a time: a larger model's parts are read again for each batch and dropped after use.
 
 Defined cases: a null text, one without a letter, and any text when there is no training row are ``und`` with
-score 0 and rejected. Ties go to the language first in alphabetical order. Repeated rows are judged alike and
+score 0 and rejected. Whole texts are read; a long one takes some 30 bytes a character, its probabilities are
+summed piece by piece. Ties go to the language first in alphabetical order. Repeated rows are judged alike and
 each counts in training; columns other than id, text and language are ignored.
 """
 
@@ -54,7 +55,8 @@ _ENOUGH = 200                  # rows from which a class speaks for itself
 _SURE = 1_000                  # and from which its tail counts as measured
 _SPREAD = 2_654_435_761        # an odd mixing constant
 _MARK = 1                      # the code point put between texts
-_BATCH_CHARS = 1 << 20
+_BATCH_CHARS = 1 << 18
+_POSITIONS = 1 << 16           # positions whose probabilities, one per language, are held at a time
 _HELD = 4                      # parts that make up MODEL_CELLS
 _SYMBOLS: list[np.ndarray] = []
 Higher = tuple[list, list, list, list]      # keys, log_p, contexts and log_back of the orders from three on
@@ -146,9 +148,12 @@ class LanguageModel:
                 here = np.flatnonzero(used)
                 if parts and len(parts) > 1:
                     here = here[part_of(key[here], len(parts)) == i]
-                p = np.zeros((len(key), len(self.languages)), dtype=np.float64)
-                p[here] = model.score_positions(key[here])
-                total[lo:hi] += np.add.reduceat(p, first[:-1], axis=0)
+                for a in range(0, len(here), _POSITIONS):      # a long text is scored piece by piece
+                    some = here[a:a + _POSITIONS]
+                    of = np.searchsorted(first, some, side="right") - 1
+                    start = np.flatnonzero(np.diff(of, prepend=-1))
+                    total[lo + of[start]] += np.add.reduceat(model.score_positions(key[some]), start, axis=0,
+                                                             dtype=np.float64)
             if parts and len(parts) > _HELD and getattr(parts[i], "_path", None):
                 parts[i].__dict__.pop("_value", None)      # read again from the executor's disk for the next batch
         return total, count
@@ -201,21 +206,6 @@ def count_ngrams(docs: DataFrame, order: int = ORDER) -> DataFrame:
     return found.groupBy("lang", "key").agg(F.sum("n").alias("n"))
 
 
-def least_count(counts: DataFrame, languages: int, cells: int) -> int:
-    """The smallest count to keep so that the highest order has at most ``cells`` log probabilities.
-
-    Training does not cut by it: a model holds every n-gram.
-    """
-    sizes = (counts.groupBy(F.least("n", F.lit(100_000)).alias("n")).agg(F.count(F.lit(1)).alias("rows"))
-             .orderBy(F.desc("n")).collect())
-    room = cells // max(1, languages)
-    for row in sizes:
-        room -= row["rows"]
-        if room < 0:
-            return row["n"] + 1
-    return 1
-
-
 def discount(ones: int, twos: int) -> float:
     return min(0.95, max(0.1, ones / (ones + 2 * twos) if ones + twos else 0.5))
 
