@@ -4,20 +4,21 @@
    pass over the whole documents keeps the places of these terms (other words can match nothing) and counts in
    how many passages of the corpus each occurs.
 2. A distributed randomised SVD of the TF-IDF matrix of the benchmark passages (Gaussian range finder, power
-   iterations, orthonormalisation between them) gives the latent space. Items are searched in blocks of at most
-   ``RANK`` passages: the space then loses nothing of them, and what is broadcast stays bounded. (A single item
-   of more passages is a block of its own, in a space of ``RANK`` dimensions.)
+   iterations, orthonormalisation between them) gives the latent space of ``RANK`` dimensions. All items are searched
+   in one pass over the places; a benchmark of more than ``BLOCK`` passages is searched in blocks of so many, which
+   bounds what is broadcast.
 3. Every window of two passages' length, at every passage's step, is searched. A window that covers the least part
    (``LEAST_PART``) of a passage's weight must hold a certain weight of the passage's heaviest terms, which an
    inverted list of those terms tells; the windows that do are projected and compared to all benchmark passages
-   by cosine and by the part of the passage that they cover.
+   by cosine and by the part of the passage that they cover in the latent space.
 4. Near pairs are checked on the words: the longest common subsequence of the item and the surrounding words, in
-   shares of the item, and the same for the item's answer (its last sentence, or last quarter).
+   shares of the item, and the same for the item's answer (its last sentence, or last quarter). A task checks equal
+   surroundings once, so copies of a text cost one check.
 
 Words are runs of letters and digits, lower-cased. Only step 1 sees texts; nothing is shuffled but term counts.
 Defined cases: null and empty texts match nothing, null, empty and repeated items are no harm (equal items are
 reported each), items of fewer than ``SHORT`` words count only if all their words follow in order; rows with
-equal id are reported as one document; columns other than ids and texts are ignored; without items the result
+equal id are reported as one document; very long texts are read whole, in memory in proportion to them; columns other than ids and texts are ignored; without items the result
 is empty.
 """
 
@@ -25,22 +26,26 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from histora.llm.common import alnum_hasher, alnum_words, batched, ship, stored
 
 PASSAGE = 32
-RANK = 512
+RANK = 256
+BLOCK = 4096           # passages searched at a time: 4096 x PASSAGE terms of RANK numbers at most are broadcast
+CHECKED = 100_000      # checks that a task remembers
 OVERSAMPLE = 16
 POWER_STEPS = 2
 LEAST_COSINE = 0.2
 HEAVY = 0.8            # share of a passage's weight that its heaviest terms hold
-LEAST_PART = 0.45
+LEAST_PART = 0.3
 SHORT = 8
 LEAST_LCS, LEAST_ANSWER, SURE_LCS = 0.6, 0.5, 0.8
 
@@ -82,42 +87,44 @@ def term_places(docs: DataFrame, terms: np.ndarray) -> DataFrame:
     """(doc_id, n_words, places, terms): where the given terms stand in each whole text."""
     shared = docs.sparkSession.sparkContext.broadcast(terms)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, hasher = shared.value, alnum_hasher()
         for batch in batches:
-            texts = batch["text"].tolist()
-            n, place, term = [], [], []
+            ids, texts = batch.column(0), batch.column(1).to_pylist()
             for lo, hi in batched(texts):
                 word, first = alnum_words(texts[lo:hi], hasher)
                 at = np.minimum(np.searchsorted(known, word), len(known) - 1)
                 hit = np.flatnonzero(known[at] == word)
-                cut = np.searchsorted(hit, first)
-                for a, b, start, stop in zip(cut[:-1], cut[1:], first[:-1], first[1:]):
-                    n.append(stop - start)
-                    place.append((hit[a:b] - start).astype(np.int32))
-                    term.append(at[hit[a:b]].astype(np.int32))
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "n_words": n, "places": place, "terms": term})
+                cut = np.searchsorted(hit, first).astype(np.int32)
+                place = hit - np.repeat(first[:-1], np.diff(cut))
+                lists = [pa.ListArray.from_arrays(pa.array(cut), pa.array(x.astype(np.int32))) for x in (place, at[hit])]
+                yield pa.RecordBatch.from_arrays([ids[lo:hi], pa.array(np.diff(first).astype(np.int64)), *lists],
+                                                 names=["doc_id", "n_words", "places", "terms"])
 
-    return docs.mapInPandas(run, "doc_id bigint, n_words bigint, places array<int>, terms array<int>")
+    return docs.mapInArrow(run, "doc_id bigint, n_words bigint, places array<int>, terms array<int>")
+
+
+def flat_places(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, place, term) of all places of a batch of :func:`term_places`."""
+    places, terms = batch.column("places"), batch.column("terms")
+    row = np.repeat(np.arange(len(places)), pc.list_value_length(places).to_numpy(zero_copy_only=False))
+    return row.astype(np.int64), *(x.flatten().to_numpy(zero_copy_only=False).astype(np.int64) for x in (places, terms))
 
 
 def passage_counts(places: DataFrame, n_terms: int) -> tuple[int, np.ndarray]:
     """(passages of the corpus, how many hold each term); each task sums its own first."""
 
-    def run(batches):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, held = 0, np.zeros(n_terms, np.int64)
         for x in batches:
-            total += int((-(-x["n_words"].to_numpy() // PASSAGE)).sum())
-            if len(x):
-                size = x["places"].map(len).to_numpy()
-                row = np.repeat(np.arange(len(x)), size)
-                place, term = np.concatenate(x["places"].tolist()), np.concatenate(x["terms"].tolist())
-                key = np.unique((row.astype(np.int64) << 48 | (place // PASSAGE).astype(np.int64) << 24) | term)
-                held += np.bincount((key & 0xFFFFFF).astype(np.int64), minlength=n_terms)
+            total += int((-(-x.column("n_words").to_numpy(zero_copy_only=False) // PASSAGE)).sum())
+            row, place, term = flat_places(x)
+            key = np.unique(row << 48 | (place // PASSAGE) << 24 | term)
+            held += np.bincount(key & 0xFFFFFF, minlength=n_terms)
         at = np.flatnonzero(held)
-        yield pd.DataFrame({"term": np.append(at, -1), "n": np.append(held[at], total)})
+        yield pa.RecordBatch.from_pydict({"term": np.append(at, -1), "n": np.append(held[at], total)})
 
-    rows = places.mapInPandas(run, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n")).toPandas()
+    rows = places.mapInArrow(run, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n")).toPandas()
     out = np.zeros(n_terms, np.int64)
     real = rows[rows["term"] >= 0]
     out[real["term"].to_numpy()] = real["n"].to_numpy()
@@ -157,17 +164,26 @@ def latent_basis(passages: DataFrame, n_terms: int, rank: int, seed: int = 11) -
     return basis @ vectors[:, order]
 
 
-def lcs(left: np.ndarray, right: np.ndarray) -> int:
-    """Length of the longest common subsequence, a row of the table at a time as the bits of one integer."""
+def word_masks(words: np.ndarray) -> tuple[dict[int, int], int]:
+    """(for each word the bits of its places, number of words): one side of :func:`common_length`."""
     masks: dict[int, int] = {}
-    for i, x in enumerate(left.tolist()):
+    for i, x in enumerate(words.tolist()):
         masks[x] = masks.get(x, 0) | 1 << i
-    full = (1 << len(left)) - 1
-    row = full
-    for x in right.tolist():
-        m = row & masks.get(x, 0)
-        row = (row + m | row - m) & full
-    return len(left) - row.bit_count()
+    return masks, len(words)
+
+
+def common_length(masks: dict[int, int], n: int, right: list[int]) -> int:
+    """Length of the longest common subsequence, a row of the table at a time as the bits of one integer."""
+    full = row = (1 << n) - 1
+    for x in right:
+        m = masks.get(x)
+        if m is not None and (m := m & row):
+            row = (row + m | row - m) & full
+    return n - row.bit_count()
+
+
+def lcs(left: np.ndarray, right: np.ndarray) -> int:
+    return common_length(*word_masks(left), right.tolist())
 
 
 @dataclass
@@ -183,6 +199,22 @@ class Search:
     heavy_start: np.ndarray   # per term: where its passages begin, among those that it is a heavy term of
     heavy_passage: np.ndarray
     least_heavy: np.ndarray   # per passage: weight of heavy terms that a window must hold
+    masks: list = field(default_factory=list)         # per item: word masks of its words and of its answer
+    checked: dict = field(default_factory=dict)       # (item, surrounding words) to shares found; of the task
+
+    def shares(self, i: int, around: np.ndarray) -> tuple[float, float]:
+        """Longest common subsequence with the item and with its answer, in shares of them."""
+        key = i, around.astype(np.int32).tobytes()
+        found = self.checked.get(key)
+        if found is None:
+            if not self.masks:
+                self.masks = [(word_masks(w), word_masks(a)) for w, a in zip(self.items.words, self.items.answers)]
+            words = around.tolist()
+            found = tuple(common_length(*m, words) / m[1] for m in self.masks[i])
+            if len(self.checked) >= CHECKED:
+                self.checked.clear()
+            self.checked[key] = found
+        return found
 
     def windows(self, step: np.ndarray, term: np.ndarray) -> np.ndarray:
         """Steps at which a window (the step and the next) may cover the least part of some passage."""
@@ -218,14 +250,12 @@ class Search:
             for w, p in zip(*np.nonzero(near_by)):
                 i = int(self.item_of[p])
                 d, at = (int(x) for x in divmod(some[w], 1 << 24))
-                item, answer = self.items.words[i], self.items.answers[i]
-                reach = 1 + len(item) // PASSAGE
+                reach = 1 + len(self.items.words[i]) // PASSAGE
                 a, b = np.searchsorted(step, [(d << 24) + max(0, at - reach), (d << 24) + at + 2 + reach])
-                around = term[a:b]
-                common = lcs(item, around) / len(item)
+                common, answer = self.shares(i, term[a:b])
                 best = out.get((d, i))
-                if best is None or common > best[1]:
-                    out[d, i] = (float(cosine[w, p]), common, lcs(answer, around) / len(answer))
+                if best is None or (self.accepts(i, common, answer), common) > (self.accepts(i, *best[1:]), best[1]):
+                    out[d, i] = (float(cosine[w, p]), common, answer)
         return [(d, i, *x) for (d, i), x in out.items() if self.accepts(i, x[1], x[2])]
 
     def accepts(self, i: int, common: float, answer: float) -> bool:
@@ -271,21 +301,17 @@ def find_block(docs: DataFrame, rows: list[tuple[int, str]]) -> DataFrame | None
     search = prepare(items, *passage_counts(places, len(items.terms)), docs)
     shared = docs.sparkSession.sparkContext.broadcast(search)
 
-    def run(batches):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = shared.value
+        schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), *((c, pa.float64()) for c in
+                                                                               ("cosine", "lcs", "answer"))])
         for x in batches:
-            found = []
-            size = x["places"].map(len).to_numpy()
-            if len(x) and size.sum():
-                row = np.repeat(np.arange(len(x)), size)
-                ids = x["doc_id"].tolist()
-                for d, i, cosine, common, answer in s.matches(np.concatenate(x["places"].tolist()),
-                                                              np.concatenate(x["terms"].tolist()), row):
-                    found.append((ids[d], s.items.ids[i], cosine, common, answer))
-            yield pd.DataFrame(found, columns=["doc_id", "item_id", "cosine", "lcs", "answer"]).astype(
-                {"doc_id": "int64", "item_id": "int64"})
-
-    return places.where(F.size("places") > 0).mapInPandas(
+            ids = x.column("doc_id").to_pylist()
+            row, place, term = flat_places(x)
+            found = [(ids[d], s.items.ids[i], *rest) for d, i, *rest in s.matches(place, term, row)]
+            yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in found], schema=schema)
+
+    return places.where(F.size("places") > 0).mapInArrow(
         run, "doc_id bigint, item_id bigint, cosine double, lcs double, answer double")
 
 
@@ -306,7 +332,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
     hasher = alnum_hasher()
     for row in items.orderBy("item_id", "text").toLocalIterator():
         size = len(alnum_words([row["text"]], hasher)[0]) // PASSAGE + 1
-        if block and held + size > RANK:
+        if block and held + size > BLOCK:
             out, block, held = searched(out, block), [], 0
         block.append((row["item_id"], row["text"]))
         held += size

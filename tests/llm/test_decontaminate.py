@@ -72,6 +72,43 @@ def test_paraphrases_and_near_misses(spark):
     assert got == want
 
 
+def test_paraphrases_whose_rare_words_are_replaced(spark):
+    """What the checks would accept is found, at a rank below the number of passages: 6 of 21 words replaced, the rarest."""
+    from histora.llm import decontaminate
+    rng = random.Random(8)
+    common = [f"c{i}" for i in range(150)]
+    items, docs, want = {}, [], set()
+    for i in range(400):
+        rare = [f"r{i}x{j}" for j in range(9)]
+        words = rare[:6] + [rng.choice(common) for _ in range(9)] + rare[6:] + [rng.choice(common) for _ in range(3)]
+        rng.shuffle(words)
+        items[i] = words
+        if i % 4 == 0:
+            gone = set(rare[:6])
+            replaced = [f"n{i}y{j}" if w in gone else w for j, w in enumerate(words)]
+            kept = sum(w in gone for w in words[-6:])
+            docs.append((i, " ".join([rng.choice(common) for _ in range(rng.choice([0, 40]))] + replaced)))
+            if kept <= 3:            # half of the answer, the last quarter, is there
+                want.add((i, i))
+    assert len(items) > decontaminate.RANK and len(want) > 70
+    docs += [(1000 + i, " ".join(rng.choices(common, k=120))) for i in range(300)]
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id bigint, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in contaminated(spark.createDataFrame(docs, "doc_id bigint, text string"),
+                                                             bench).collect()}
+    assert len(got & want) >= 0.95 * len(want) and not got - {(i, i) for i in range(400)}
+
+
+def test_copies_are_checked_once(spark, monkeypatch):
+    from histora.llm import decontaminate
+    items = decontaminate.Items.of([(1, "alpha beta gamma delta epsilon zeta eta theta iota kappa")])
+    calls, real = [], decontaminate.common_length
+    monkeypatch.setattr(decontaminate, "common_length", lambda *a: calls.append(1) or real(*a))
+    search = decontaminate.Search(items, *[np.empty(0)] * 8)
+    for _ in range(50):
+        assert search.shares(0, items.words[0]) == (1.0, 1.0)
+    assert len(calls) == 2
+
+
 def test_edges(spark):
     item = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
     rows = [(1, None), (2, ""), (3, "..."), (4, f"x y {item} z"), (4, f"x y {item} z"), (5, "word " * 300_000 + item), (None, item),
