@@ -15,6 +15,8 @@ bounded and may travel to every task.
 Defined cases: vectors that are null, zero, hold null or non-finite components, or are not of the most frequent
 dimension (ties: the larger) take no part, as queries or candidates. Fewer candidates than asked for: all of
 them. Ties go to the smaller id. Equal vectors under different ids are different rows; a row never finds its own id.
+An id is one entry however many rows it has: as a candidate it counts once, with the best of its rows, and as a query
+it is asked once, with the least of its vectors in the order of their components.
 """
 
 from __future__ import annotations
@@ -142,20 +144,38 @@ def exact_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def best_rows(query_id, query, vec_id, v, allowed, k: int) -> pd.DataFrame:
-    """The k best allowed rows per query, by exact product, ties to the smaller id."""
+    """The k best allowed ids per query, by exact product of an id's best row, ties to the smaller id.
+
+    ``at`` is the row's place in ``v``. Rows of one id count once.
+    """
+    rows = np.arange(len(vec_id))
+    if len(vec_id) and len(np.unique(vec_id)) < len(vec_id):
+        whole = np.ascontiguousarray(np.column_stack((vec_id.astype(np.int64).view(np.float64), v)))
+        _, rows = np.unique(whole.view([("", np.void, whole.shape[1] * 8)]).ravel(), return_index=True)   # no equal rows
+        rows = rows[np.argsort(vec_id[rows], kind="stable")]
+        vec_id, v = vec_id[rows], v[rows]
+        allowed = allowed[:, rows] if isinstance(allowed, np.ndarray) else allowed
     score = np.where(allowed & (query_id[:, None] != vec_id[None, :]), query @ v.T, -np.inf)
-    if score.shape[1] > k:
-        kth = np.partition(score, score.shape[1] - k, axis=1)[:, -k]
+    by_id, start = np.unique(vec_id, return_index=True)
+    top = score if len(by_id) == len(vec_id) else np.maximum.reduceat(score, start, axis=1)
+    if top.shape[1] > k:
+        kth = np.partition(top, top.shape[1] - k, axis=1)[:, -k]
     else:
         kth = np.full(len(score), -np.inf)
     slack = 1e-9 * np.maximum(1.0, np.abs(np.where(np.isfinite(kth), kth, 0.0)))
     q, r = np.nonzero((score >= (kth - slack)[:, None]) & np.isfinite(score))
     exact = exact_products(query[q], v[r])
+    if len(by_id) < len(vec_id):                     # an id's best row only
+        order = np.lexsort((-exact, vec_id[r], q))
+        first = np.ones(len(order), dtype=bool)
+        first[1:] = (np.diff(q[order]) != 0) | (np.diff(vec_id[r[order]]) != 0)
+        q, r, exact = q[order][first], r[order][first], exact[order][first]
     order = np.lexsort((vec_id[r], -exact, q))
     q, r, exact = q[order], r[order], exact[order]
     place = np.arange(len(q)) - np.searchsorted(q, q)
     keep = place < k
-    return pd.DataFrame({"query_id": query_id[q[keep]], "vec_id": vec_id[r[keep]], "score": exact[keep]})
+    return pd.DataFrame({"query_id": query_id[q[keep]], "vec_id": vec_id[r[keep]], "score": exact[keep],
+                         "at": rows[r[keep]]})
 
 
 def brute_force(vectors: DataFrame, queries: pd.DataFrame, k: int) -> pd.DataFrame:
@@ -168,11 +188,12 @@ def brute_force(vectors: DataFrame, queries: pd.DataFrame, k: int) -> pd.DataFra
             if len(x):
                 v = _matrix(x["v"])
                 found = best_rows(ids, q, x["vec_id"].to_numpy(), v, True, k)
-                at = pd.Series(range(len(x)), index=x["vec_id"].to_numpy()).groupby(level=0).first()
-                found["v"] = list(v[at.loc[found["vec_id"]].to_numpy()]) if len(found) else []
+                found["v"] = list(v[found.pop("at").to_numpy()]) if len(found) else []
                 yield found
 
     found = vectors.mapInPandas(run, "query_id bigint, vec_id bigint, score double, v array<double>")
+    found = (found.groupBy("query_id", "vec_id").agg(F.max(F.struct("score", "v")).alias("best"))
+             .select("query_id", "vec_id", "best.*"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).toPandas()
 
@@ -182,7 +203,7 @@ def _sample(rows: DataFrame, n: int, total: int, salt: int) -> DataFrame:
     return rows.where(F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.lit(1_000_000)) < share)
 
 
-def train_index(vectors: DataFrame, is_query: Column, k: int) -> MultiIndex | None:
+def train_index(vectors: DataFrame, queries: DataFrame, k: int) -> MultiIndex | None:
     total = vectors.count()
     if not total:
         return None
@@ -202,7 +223,6 @@ def train_index(vectors: DataFrame, is_query: Column, k: int) -> MultiIndex | No
     index.size = np.zeros(len(index.left) * len(index.right), np.int64)
     index.size[sizes["cell"].to_numpy()] = sizes["n"].to_numpy()
     index.lay_out()
-    queries = vectors.where(is_query)
     some = _sample(queries, CALIBRATION_QUERIES, queries.count(), 2).toPandas()
     index.probe = total
     if len(some):
@@ -220,8 +240,8 @@ def train_index(vectors: DataFrame, is_query: Column, k: int) -> MultiIndex | No
     return index
 
 
-def search(vectors: DataFrame, index: MultiIndex, is_query: Column, k: int) -> DataFrame:
-    """(query_id, rank, vec_id, score) of the k best rows met by each query."""
+def search(vectors: DataFrame, index: MultiIndex, queries: DataFrame, k: int) -> DataFrame:
+    """(query_id, rank, vec_id, score) of the k best rows met by each query; ``queries`` has each id once."""
     shared = vectors.sparkSession.sparkContext.broadcast(index)
 
     def place(batches):
@@ -247,7 +267,7 @@ def search(vectors: DataFrame, index: MultiIndex, is_query: Column, k: int) -> D
             yield pd.DataFrame(out, columns=["block", "query_id", "v", "cells"])
 
     rows = vectors.mapInPandas(place, "block bigint, vec_id bigint, cell bigint, v array<double>")
-    visits = stored(vectors.where(is_query).mapInPandas(
+    visits = stored(queries.mapInPandas(
         visit, "block bigint, query_id bigint, v array<double>, cells array<bigint>"), "ann-visits")
     parts = visits.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / QUERY_ROWS).cast("int").alias("parts"))
     asked = visits.join(parts, "block").withColumn("part", F.pmod(F.xxhash64("query_id"), F.col("parts")).cast("int"))
@@ -262,11 +282,13 @@ def search(vectors: DataFrame, index: MultiIndex, is_query: Column, k: int) -> D
         for i, cells in enumerate(left["cells"]):
             seen[i, np.flatnonzero(np.isin(cell, cells))] = True
         return best_rows(left["query_id"].to_numpy(), _matrix(left["v"]), right["vec_id"].to_numpy(),
-                         _matrix(right["v"]), seen[:, own], k)
+                         _matrix(right["v"]), seen[:, own], k).drop(columns="at")
 
+    # an id with several vectors may be met in several blocks: one shuffle serves its best row and the ranks
     found = (asked.select("block", "part", "query_id", "v", "cells").groupBy("block", "part")
              .cogroup(given.select("block", "part", "vec_id", "cell", "v").groupBy("block", "part"))
-             .applyInPandas(rerank, "query_id bigint, vec_id bigint, score double"))
+             .applyInPandas(rerank, "query_id bigint, vec_id bigint, score double")
+             .repartition("query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score")))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return (found.withColumn("rank", rank).where(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int"), "vec_id", "score"))
@@ -277,8 +299,8 @@ def nearest_neighbours(table: DataFrame, *, id_col: str = "vec_id", vector_col:
     """(query_id, rank, vec_id, score) for the rows whose id is divisible by ``every``, against all rows."""
     ship(table.sparkSession)
     vectors = vectors_of(table, id_col, vector_col)
-    is_query = F.col("vec_id") % every == 0
-    index = train_index(vectors, is_query, k)
+    queries = stored(vectors.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v")), "ann-queries")
+    index = train_index(vectors, queries, k)
     if index is None:
         return table.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    return search(vectors, index, is_query, k)
+    return search(vectors, index, queries, k)

@@ -74,3 +74,23 @@ def test_invalid_vectors_ties_and_few_rows(spark):
                                        (140, 1, 1, 5.0), (140, 2, 0, 0.0), (140, 3, 2, 0.0), (140, 4, 3, 0.0)]
     assert ann.nearest_neighbours(spark.createDataFrame([], SCHEMA)).count() == 0
     assert ann.nearest_neighbours(spark.createDataFrame([(7, [1.0], "x", 1)], SCHEMA)).count() == 0
+
+
+def test_an_id_given_several_times_is_one_entry(spark):
+    rng = np.random.default_rng(6)
+    x = np.round(rng.standard_normal((60, 4)), 2) + 0.005
+    one = [(i, v.tolist(), "x", 1) for i, v in enumerate(x)]
+    want = sorted(map(tuple, ann.nearest_neighbours(spark.createDataFrame(one, SCHEMA)).collect()))
+    assert len(want) == 3 * 20
+    for rows in (one + one[:1], one * 2, one * 3 + one[40:]):
+        frame = spark.createDataFrame(rows, SCHEMA).repartition(3)
+        assert sorted(map(tuple, ann.nearest_neighbours(frame).collect())) == want
+    # ids with several vectors: the best row counts, the least vector asks
+    mixed = one + [(i, (-x[i]).tolist(), "x", 1) for i in range(60)]
+    got = ann.nearest_neighbours(spark.createDataFrame(mixed, SCHEMA).repartition(4)).toPandas()
+    for q, g in got.groupby("query_id"):
+        ask = np.float32(min(x[q].tolist(), (-x[q]).tolist())).astype(float)
+        best = sorted((-abs(float(np.float32(x[i]).astype(float) @ ask)), i) for i in range(60) if i != q)[:20]
+        g = g.sort_values("rank")
+        assert list(g["vec_id"]) == [i for _, i in best]
+        assert g["score"].to_numpy() == pytest.approx([-s for s, _ in best], abs=1e-12)
