@@ -3,9 +3,10 @@
 A page is read into text nodes, each with its tag path (elements from the root, with their classes and ids).
 Per path, text length and punctuation are summed and divided by the nodes that have it; the two ratios are
 smoothed over neighbouring nodes in page order and fused into one score, and nodes whose score passes a
-threshold (a share of the mean, lowered by the spread) are content. The content element holds nearly all of their
-weight: an ``article`` or ``main`` that does (or those of the page together), else the deepest element; its text
-is the main text.
+threshold (a share of the mean, lowered by the spread) are content. An ``article`` or ``main`` (or those of the page
+together) that holds most of their weight is taken for the main text as a whole. Elsewhere the nodes are chosen one
+by one: of the deepest element that holds nearly all of the weight, the nodes from the first to the last whose own
+path passes the threshold, with the headings that stand right before them; what lies between is filled in.
 
 Boilerplate never takes part: elements that by tag, role, class or id are menus, page headers, footers,
 sidebars, notices, adverts, forms, reader comments, scripts or styles, and hidden elements. A form, or an element
@@ -15,7 +16,7 @@ dropped as well. A head that is not closed ends where text or an element of the
 
 Every page is one row and worked on whole; there is no shuffle. Defined cases: null and empty html give the
 empty text; text without any markup is its own main text; unclosed, misnested and cut-off markup is read as far
-as it goes; repeated rows give repeated results; columns other than id, url and html are ignored.
+as it goes, in time and memory in proportion to the page's length, however long or deep it is; repeated rows give repeated results; columns other than id, url and html are ignored.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -63,6 +65,8 @@ _MARKUP = re.compile(
     r"""|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)""", re.S)
 _ATTRIBUTE = re.compile(r"""(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
+_RAW_END = {tag: re.compile(rf"</{tag}[\s/>]", re.I) for tag in RAW}
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 SMOOTHING = 1.0        # standard deviation of the smoothing, in nodes
@@ -74,11 +78,23 @@ LINKS = 0.5            # share of linked text from which a block outside an arti
 @dataclass
 class Node:
     text: str                          # decoded, white space as it came
-    elements: tuple[int, ...]          # open elements, outermost first
-    path: str
+    element: int                       # innermost open element
+    path: int                          # number of its tag path
     linked: bool
     block: int
-    named: tuple[int, ...] = ()        # open elements that are boilerplate by name only
+
+
+@dataclass
+class Element:
+    """An element of the page; 0 stands for the page itself. Parents come before their children."""
+
+    tag: str
+    parent: int
+    path: int
+    dropped: bool = False
+    linked: bool = False               # in a link
+    article: bool = False              # in an article or main, itself included
+    named: bool = False                # boilerplate by name only
 
 
 def _boilerplate(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
@@ -104,28 +120,34 @@ def _named(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
     return False
 
 
-def parse(page: str) -> tuple[list[Node], dict[int, str]]:
-    """(text nodes without boilerplate, tag of each element)."""
+def parse(page: str) -> tuple[list[Node], list[Element]]:
+    """(text nodes without boilerplate, all elements)."""
     nodes: list[Node] = []
-    # tag, number, name in the path, dropped, elements that are boilerplate by name
-    stack: list[tuple[str, int, str, bool, tuple[int, ...]]] = []
-    tags: dict[int, str] = {}
+    elements = [Element("", 0, 0)]
+    stack = [0]                                    # open elements
+    opened: Counter[str] = Counter()               # and how many of each tag
+    paths: dict[tuple[int, str], int] = {}         # a path is its parent's number and a label
+    last: dict[int, int] = {}                      # last node of the block by innermost named element
+    chain = [0]                                    # of each element the innermost boilerplate by name
     at = block = 0
 
+    def pop(to: int) -> None:
+        for e in stack[to:]:
+            opened[elements[e].tag] -= 1
+        del stack[to:]
+
     def text(raw: str) -> None:
-        if stack and stack[-1][0] == "head" and not raw.isspace() and raw:
-            stack.pop()
-        named = stack[-1][4] if stack else ()
-        if raw and not (stack and stack[-1][3]) and not raw.isspace():
-            nodes.append(Node(html.unescape(raw), tuple(e[1] for e in stack), "/".join(e[2] for e in stack),
-                              any(e[0] == "a" for e in stack), block, named))
-        elif raw and not (stack and stack[-1][3]):
-            for i in range(len(nodes) - 1, -1, -1):
-                if nodes[i].block != block:
-                    break
-                if nodes[i].named == named:
-                    nodes[i].text += " "
-                    break
+        nonlocal last
+        if raw and not raw.isspace() and elements[stack[-1]].tag == "head":
+            pop(-1)
+        here = elements[stack[-1]]
+        if not raw or here.dropped:
+            return
+        if not raw.isspace():
+            last[chain[stack[-1]]] = len(nodes)
+            nodes.append(Node(html.unescape(raw), stack[-1], here.path, here.linked, block))
+        elif chain[stack[-1]] in last:
+            nodes[last[chain[stack[-1]]]].text += " "
 
     while at < len(page):
         m = _MARKUP.search(page, at)
@@ -142,64 +164,71 @@ def parse(page: str) -> tuple[list[Node], dict[int, str]]:
         tag, closing, rest = name.lower(), (m[1] or m[4]) == "/", m[3] or m[6] or ""
         if tag not in INLINE:
             block += 1
+            last = {}
         if closing:
-            if tag in INLINE:
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == tag:
+            for i in range(len(stack) - 1, 0, -1) if opened[tag] else ():
+                open_tag = elements[stack[i]].tag
+                if open_tag == tag:
+                    if tag in INLINE:
+                        opened[tag] -= 1
                         del stack[i]
-                        break
-                    if stack[i][0] not in INLINE:
-                        break
-            else:
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == tag:
-                        del stack[i:]
-                        break
-                    if tag == "p" and stack[i][0] in SCOPES:
-                        break
+                    else:
+                        pop(i)
+                    break
+                if tag in INLINE and open_tag not in INLINE or tag == "p" and open_tag in SCOPES:
+                    break
             continue
-        if tag not in HEAD and stack and stack[-1][0] == "head":
-            stack.pop()
+        if tag not in HEAD and elements[stack[-1]].tag == "head":
+            pop(-1)
         if tag in CLOSES_P or tag in SAME_CLOSES:
             over = ("p", *SAME_CLOSES.get(tag, ()))
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in over:
-                    del stack[i:]
-                elif stack[i][0] in SCOPES or stack[i][0] in ("ul", "ol", "dl", "select"):
+            i = len(stack) - 1
+            while i > 0 and any(opened[x] for x in over):
+                open_tag = elements[stack[i]].tag
+                if open_tag in over:
+                    pop(i)
+                elif open_tag in SCOPES or open_tag in ("ul", "ol", "dl", "select"):
                     break
+                i -= 1
         if tag in VOID:
             continue
         attributes = {k.lower(): html.unescape(a or b or c) for k, a, b, c in _ATTRIBUTE.findall(rest)} if rest.strip("/ \n\t") else {}
-        in_article = any(e[0] in ("article", "main") for e in stack)
-        dropped = bool(stack and stack[-1][3]) or _boilerplate(tag, attributes, in_article)
+        up = elements[stack[-1]]
+        dropped = up.dropped or _boilerplate(tag, attributes, up.article)
         if tag in RAW:
-            close = re.compile(rf"</{tag}[\s/>]", re.I).search(page, at)
+            close = _RAW_END[tag].search(page, at)
             at = close.start() if close else len(page)
-        tags[len(tags)] = tag
         label = tag + "".join("." + x for x in attributes.get("class", "").split()[:3])
-        named = stack[-1][4] if stack else ()
-        if not dropped and _named(tag, attributes, in_article):
-            named += (len(tags) - 1,)
-        stack.append((tag, len(tags) - 1, label, dropped, named))
-    return without_named(nodes, tags), tags
+        named = not dropped and _named(tag, attributes, up.article)
+        elements.append(Element(tag, stack[-1], paths.setdefault((up.path, label), len(paths) + 1), dropped,
+                                up.linked or tag == "a", up.article or tag in ("article", "main"), named))
+        chain.append(len(elements) - 1 if named else chain[stack[-1]])
+        stack.append(len(elements) - 1)
+        opened[tag] += 1
+    return without_named(nodes, elements), elements
 
 
-def without_named(nodes: list[Node], tags: dict[int, str]) -> list[Node]:
+def without_named(nodes: list[Node], elements: list[Element]) -> list[Node]:
     """The nodes outside of boilerplate by name, except for elements that hold what the page is about."""
-    if not any(n.named for n in nodes):
+    if not any(e.named for e in elements):
         return nodes
-    held, total = weights(nodes)
-    region = any(tags[e] in ("article", "main") for n in nodes if not n.named for e in n.elements)
-    free = {e for n in nodes for e in n.named
-            if held.get(e, 0.0) >= COVERED * total or not region and held.get(e, 0.0) > MOST * total}
-    return [n for n in nodes if free.issuperset(n.named)]
-
-
-def scores(nodes: list[Node]) -> list[float]:
-    """Fused tag-path ratio of each node: smoothed text ratio times one plus the log of the punctuation ratio."""
-    chars: dict[str, int] = {}
-    marks: dict[str, int] = {}
-    count: dict[str, int] = {}
+    held, total = weights(nodes, elements)
+    out = [False] * len(elements)                      # in boilerplate by name
+    for i, e in enumerate(elements[1:], 1):
+        out[i] = out[e.parent] or e.named
+    region = any(elements[n.element].article for n in nodes if not out[n.element])
+    for i, e in enumerate(elements[1:], 1):
+        out[i] = out[e.parent] or e.named and not (
+            held[i] >= COVERED * total or not region and held[i] > MOST * total)
+    return [n for n in nodes if not out[n.element]]
+
+
+def scores(nodes: list[Node]) -> tuple[list[float], list[float]]:
+    """Fused tag-path ratio of each node, smoothed and of its own path alone: the text ratio times one plus the log
+    of the punctuation ratio."""
+    chars: dict[int, int] = {}
+    marks: dict[int, int] = {}
+    count: dict[int, int] = {}
     for n in nodes:
         size = len(n.text.strip())
         chars[n.path] = chars.get(n.path, 0) + (0 if n.linked else size)
@@ -219,43 +248,81 @@ def scores(nodes: list[Node]) -> list[float]:
             out.append(total / weight)
         return out
 
-    return [a * (1.0 + math.log1p(b)) for a, b in zip(smooth(length), smooth(signs))]
+    fuse = lambda x, y: [a * (1.0 + math.log1p(b)) for a, b in zip(x, y)]
+    return fuse(smooth(length), smooth(signs)), fuse(length, signs)
 
 
-def weights(nodes: list[Node]) -> tuple[dict[int, float], float]:
-    """(weight of the nodes that pass the threshold in each element, and in all)."""
-    score = scores(nodes)
+def threshold(score: list[float]) -> float:
     mean = sum(score) / len(score)
     spread = math.sqrt(sum((s - mean) ** 2 for s in score) / len(score))
-    limit = max(0.0, mean - 0.5 * spread) * 0.5
-    held: dict[int, float] = {}
-    total = 0.0
-    for n, s in zip(nodes, score):
-        if s >= limit:
-            weight = len(n.text.strip()) * (0.2 if n.linked else 1.0)
-            total += weight
-            for e in n.elements:
-                held[e] = held.get(e, 0.0) + weight
-    return held, total
-
-
-def content_nodes(nodes: list[Node], tags: dict[int, str]) -> list[Node]:
-    """The nodes of the content element."""
+    return max(0.0, mean - 0.5 * spread) * 0.5
+
+
+def weights(nodes: list[Node], elements: list[Element]) -> tuple[list[float], float]:
+    """(weight of the nodes that pass the threshold in each element, and in all)."""
+    held = [0.0] * len(elements)
+    if nodes:
+        score, _ = scores(nodes)
+        limit = threshold(score)
+        for n, s in zip(nodes, score):
+            if s >= limit:
+                held[n.element] += len(n.text.strip()) * (0.2 if n.linked else 1.0)
+    for i in range(len(elements) - 1, 0, -1):
+        held[elements[i].parent] += held[i]
+    return held, held[0]
+
+
+def inside(elements: list[Element], roots: set[int]) -> list[int]:
+    """Of each element the outermost of ``roots`` that holds it (or that it is); -1 if none does."""
+    out = [-1] * len(elements)
+    for i, e in enumerate(elements):
+        out[i] = out[e.parent] if i and out[e.parent] >= 0 else i if i in roots else -1
+    return out
+
+
+def chosen_nodes(nodes: list[Node], elements: list[Element]) -> list[Node]:
+    """The nodes from the first to the last whose own path passes the threshold, and the headings right before them.
+
+    Smoothing fills what lies between; at the edges, where it would lift a menu beside a paragraph, a node must pass
+    by its path alone.
+    """
+    score, own = scores(nodes)
+    limit = threshold(score)
+    passing = [i for i, s in enumerate(own) if s >= limit and not nodes[i].linked]
+    if not passing:
+        return nodes
+    first = passing[0]
+    heading = [False] * len(elements)
+    for i, e in enumerate(elements[1:], 1):
+        heading[i] = heading[e.parent] or e.tag in HEADINGS
+    while first and heading[nodes[first - 1].element]:
+        first -= 1
+    last, block = passing[-1] + 1, nodes[passing[-1]].block
+    while last < len(nodes) and nodes[last].block == block:      # the rest of the last block
+        last += 1
+    while first and nodes[first - 1].block == nodes[first].block:
+        first -= 1
+    return nodes[first:last]
+
+
+def content_nodes(nodes: list[Node], elements: list[Element]) -> list[Node]:
+    """The nodes of the main text."""
     if not nodes:
         return []
-    held, total = weights(nodes)
-    regions = {e for e, tag in tags.items() if tag in ("article", "main") and held.get(e, 0.0) > 0}
+    held, total = weights(nodes, elements)
+    regions = {i for i, e in enumerate(elements) if e.tag in ("article", "main") and held[i] > 0}
     if regions:       # the article or main of the greatest weight; an article inside a main of equal weight first
-        best = max(regions, key=lambda e: (held[e], tags[e] == "article", e))
-        if held[best] >= COVERED * total:
-            return [n for n in nodes if best in n.elements]
+        best = max(regions, key=lambda i: (held[i], elements[i].tag == "article", i))
+        if held[best] > MOST * total:
+            of = inside(elements, {best})
+            return [n for n in nodes if of[n.element] >= 0]
         # the articles of a page are one text if none of them, but all of them together hold the weight
-        together = [n for n in nodes if not regions.isdisjoint(n.elements)]
-        outer = {next(e for e in n.elements if e in regions) for n in together}
-        if sum(held[e] for e in outer) >= COVERED * total:
-            return together
-    inside = [e for e, w in held.items() if w >= COVERED * total]
-    chosen = [n for n in nodes if not inside or max(inside) in n.elements]
+        of = inside(elements, regions)
+        if sum(held[i] for i in {x for x in of if x >= 0}) > MOST * total:
+            return [n for n in nodes if of[n.element] >= 0]
+    deepest = max(i for i, w in enumerate(held) if w >= COVERED * total)
+    of = inside(elements, {deepest})
+    chosen = chosen_nodes([n for n in nodes if of[n.element] >= 0] or nodes, elements)
     linked: dict[int, list[int]] = {}
     for n in chosen:
         sizes = linked.setdefault(n.block, [0, 0])

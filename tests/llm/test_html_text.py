@@ -75,3 +75,32 @@ def test_names_and_forms_do_not_drop_most_of_the_page():
     teaser = "<article><p>Read on.</p></article>"
     assert main_text(f"<body><div class=promo>{DIVS}</div>{teaser}</body>") == STORY
     assert main_text("<p>one<span class=ad>x</span> <b>two</b></p><p>More words, of the page.</p>") == "one two More words, of the page."
+
+
+LOREM = "Lorem ipsum dolor sit amet, consectetur adipiscing elit, sed do eiusmod. " * 3
+
+
+def test_an_article_beside_an_intro_is_the_text():
+    page = f"<body><div>Welcome to our site, we sell things.</div><article><h1>T</h1><p>{LOREM}</p></article></body>"
+    assert main_text(page) == f"T {LOREM}".strip()
+
+
+def test_an_unnamed_menu_is_no_text():
+    menu = "<ul><li>Home</li><li>About</li><li>Contact us</li></ul>"
+    for before, after in ((menu, ""), ("", menu), (menu, menu)):
+        assert main_text(f"<body>{before}<h2>A heading</h2>{DIVS}{after}</body>") == f"A heading {STORY}"
+        assert main_text(f"<body>{before}<div><h2>A heading</h2>{DIVS}</div>{after}</body>") == f"A heading {STORY}"
+    middle = DIVS.replace("<p>Paragraph 9,", "<h3>Half way</h3><ul><li>one</li></ul><p>Paragraph 9,")
+    assert main_text(f"<body>{menu}{middle}</body>") == STORY.replace("Paragraph 9,", "Half way one Paragraph 9,")
+
+
+def test_long_and_deep_pages_take_linear_time():
+    import time
+    used = []
+    for n in (4_000, 16_000):
+        start = time.process_time()
+        assert main_text("<div>a" * n).count("a") >= 0.9 * n      # the deepest element with that share of the weight
+        assert main_text("<div class=ad><p>a" * n + "</section></i>" * n) is not None
+        assert len(main_text(f"<p>{LOREM}</p>" * n)) == n * len(LOREM) - 1
+        used.append(time.process_time() - start)
+    assert used[1] < 10 * max(used[0], 0.2) and used[1] < 30
