@@ -19,12 +19,13 @@ from histora.operators import (  # noqa: E402
     accepted_values_violations, affected_entities, append_facts, append_stored, arrival_anomalies, build_scd2,
     current_record_violations, current_state, deduplicate_changes, duplicate_deliveries, entity_watermarks,
     high_water, history, interval_order_violations, missing_scenarios, noop_changes, not_null_violations,
-    overlap_counts, overlap_violations, point_in_time_join, repair_scd2_tail, repair_stored, sequence_changes, stage_changes, stage_events,
-    table_diff, unique_violations,
+    overlap_counts, overlap_violations, point_in_time_join, repair_scd2_tail, repair_stored, sequence_changes, shared_change_ids,
+    stage_changes, stage_events, table_diff, unique_violations, unstable_change_ids,
 )
 from histora.operators.quality import (  # noqa: E402
     declared_check_list, dimension_checks, validate, validate_declared,
 )
+from histora.plans.views import register_views  # noqa: E402
 from histora.session import work_path  # noqa: E402
 from histora.sources import derived_change_log, derived_facts, read_change_log, read_events, scenario_catalog  # noqa: E402
 from histora.sources.derived import SCENARIO_CATALOG  # noqa: E402
@@ -61,7 +62,7 @@ def _staged(spark, sf, cutoff=None):
 
 def _dim(spark, sf, cutoff=None, order="source"):
     staged = _staged(spark, sf, cutoff)
-    return build_scd2(deduplicate_changes(staged), staged, order=order)
+    return build_scd2(deduplicate_changes(staged, last_arrival=True), staged, order=order)
 
 
 def _facts(spark, sf):
@@ -274,18 +275,41 @@ def q_stage_from_csv(spark, sf):
     """The log written as CSV text, read back by the typed scan and staged."""
     path = work_path(spark, "log-csv")
     log = derived_change_log(spark, sf)
-    times = {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("ingested_at", "source_updated_at")}   # whole seconds
+    times = {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS") for c in ("ingested_at", "source_updated_at")}
     log.withColumns(times).write.option("header", True).csv(path)
-    return stage_changes(read_change_log(spark, path)).drop("received_id")
+    return stage_changes(read_change_log(spark, path))
 
 
 def q_facts_from_csv(spark, sf):
     path = work_path(spark, "events-csv")
-    text = F.date_format("event_timestamp", "yyyy-MM-dd HH:mm:ss")
+    text = F.date_format("event_timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS")
     derived_facts(spark, sf).withColumn("event_timestamp", text).write.option("header", True).csv(path)
     return stage_events(read_events(spark, path))
 
 
+def q_serving_view(spark, sf):
+    """Every layer as a SQL view, the enriched serving view read by name."""
+    register_views(spark, derived_change_log(spark, sf), derived_facts(spark, sf))
+    return spark.sql("SELECT * FROM events_enriched")
+
+
+def q_scd2_closing_operation(spark, sf):
+    """The operation that closed each version: a DELETE, or the change that followed."""
+    staged = _staged(spark, sf)
+    dim = build_scd2(deduplicate_changes(staged, last_arrival=True), staged, with_closing_operation=True)
+    return dim.select("customer_version_id", "valid_from", "valid_to", "closed_by_operation")
+
+
+def q_shared_change_ids(spark, sf):
+    """The contract of the repair (S2), on a log whose change ids are cut to collide across entities."""
+    return shared_change_ids(_staged(spark, sf).withColumn("change_id", F.substring("change_id", 1, 12)))
+
+
+def q_unstable_change_ids(spark, sf):
+    """The contract of the tail repair, on the same log."""
+    return unstable_change_ids(_staged(spark, sf).withColumn("change_id", F.substring("change_id", 1, 12)))
+
+
 def q_duplicate_deliveries(spark, sf):
     return duplicate_deliveries(_staged(spark, sf))
 
@@ -340,6 +364,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "missing_scenarios_by_entity": q_missing_scenarios_by_entity,
     "stage_from_csv": q_stage_from_csv,
     "facts_from_csv": q_facts_from_csv,
+    "serving_view": q_serving_view,
+    "scd2_closing_operation": q_scd2_closing_operation,
+    "shared_change_ids": q_shared_change_ids,
+    "unstable_change_ids": q_unstable_change_ids,
     "duplicate_deliveries": q_duplicate_deliveries,
     "noop_changes": q_noop_changes,
     "arrival_anomalies": q_arrival_anomalies,
@@ -575,11 +603,9 @@ FROM sequenced"""
         "stage_changes_cutoff": _with(_sql_staged("staged", T1_CUTOFF)) + "\nSELECT * FROM staged",
         "stage_events": _with() + "\nSELECT * FROM facts",
         "stage_from_csv": _with(_sql_staged("staged")) + """
-SELECT * EXCLUDE (received_id) REPLACE (CAST(date_trunc('second', ingested_at) AS TIMESTAMP) AS ingested_at,
-       CAST(source_updated_at AS TIMESTAMP) AS source_updated_at) FROM staged""",
+SELECT * REPLACE (CAST(source_updated_at AS TIMESTAMP) AS source_updated_at) FROM staged""",
         "facts_from_csv": _with() + """
-SELECT CAST(event_id AS VARCHAR) AS event_id, customer_id, event_name,
-       CAST(date_trunc('second', event_timestamp) AS TIMESTAMP) AS event_timestamp FROM facts""",
+SELECT CAST(event_id AS VARCHAR) AS event_id, customer_id, event_name, event_timestamp FROM facts""",
         "deduplicate_changes": _with(_sql_staged("staged"), _sql_dedup("changes", "staged"))
         + "\nSELECT * FROM changes",
         "sequence_changes": seq,
@@ -694,6 +720,22 @@ SELECT e.customer_id, c.tag
 FROM (SELECT DISTINCT customer_id FROM log) e,
      (VALUES ('click'), ('error'), ('purchase'), ('signup'), ('view'), ('replayed_snapshot')) c(tag)
 WHERE NOT EXISTS (SELECT 1 FROM log WHERE log.customer_id = e.customer_id AND log.scenario_tag = c.tag)""",
+        "serving_view": _with(*full) + _PIT,
+        "scd2_closing_operation": _with(_sql_staged("staged"), _sql_dedup("changes", "staged"), """
+closed AS (
+    SELECT *, lead(source_updated_at) OVER w AS ends, lead(operation) OVER w AS closed_by_operation
+    FROM changes WINDOW w AS (PARTITION BY customer_id ORDER BY source_updated_at, change_id)
+)""") + """
+SELECT customer_id || '-' || change_id AS customer_version_id, source_updated_at AS valid_from, ends AS valid_to,
+       closed_by_operation
+FROM closed WHERE operation <> 'DELETE' AND coalesce(source_updated_at < ends, true)""",
+        "shared_change_ids": _with(_sql_staged("staged")) + """
+SELECT change_id[:12] AS change_id, count(DISTINCT customer_id) AS entities FROM staged
+GROUP BY ALL HAVING count(DISTINCT customer_id) > 1""",
+        "unstable_change_ids": _with(_sql_staged("staged")) + """
+SELECT change_id[:12] AS change_id, count(DISTINCT customer_id) AS entities,
+       count(DISTINCT source_updated_at) AS source_times
+FROM staged GROUP BY ALL HAVING count(DISTINCT (customer_id, source_updated_at)) > 1""",
         "duplicate_deliveries": _with(_sql_staged("staged")) + """
 SELECT change_id, count(*) AS deliveries, min(ingested_at) AS first_ingested_at,
        max(ingested_at) AS last_ingested_at

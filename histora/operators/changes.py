@@ -10,22 +10,29 @@ from histora.plans.ordered import chunked_lead, chunked_running
 from histora.spec import DEFAULT_SPEC, ChangeLogSpec
 
 
-def deduplicate_changes(staged: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC) -> DataFrame:
+LAST_ARRIVAL = "_last_arrival"
+
+
+def deduplicate_changes(staged: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC, last_arrival: bool = False) -> DataFrame:
     """Keep the first *ingested* delivery of every ``change_id`` (first write wins, S3).
 
     Written as an aggregate, ``min(struct(ingest_ts, received_id, payload...))`` per change_id, instead of
     ``row_number() = 1``: the partial aggregate collapses re-deliveries inside each map task before the
     shuffle, so a change_id replayed a billion times moves one row per task. The payload columns are
     the last tie-breakers, which makes the winner deterministic even for identical delivery keys (S4).
+    ``last_arrival`` adds the latest arrival of any delivery of the change (``LAST_ARRIVAL``), from which
+    :func:`histora.operators.scd2.build_scd2` takes the entity's watermark without a second read of the log. The two
+    agree if a change id stays on one entity (S2, checked by :func:`shared_change_ids`).
     """
     s = spec
     rest = [c for c in s.staged_columns if c not in (s.change_id, s.ingest_ts, s.received_id)]
     order = [s.ingest_ts, s.received_id, *rest]
     packed = F.struct(*[x for i, c in enumerate(order)
                         for x in (F.col(c).isNull().alias(f"_n{i}"), F.col(c).alias(c))])
-    first = staged.groupBy(s.change_id).agg(F.min(packed).alias("_first"))
+    latest = [F.max(s.ingest_ts).alias(LAST_ARRIVAL)] if last_arrival else []
+    first = staged.groupBy(s.change_id).agg(F.min(packed).alias("_first"), *latest)
     return first.select(*[F.col(s.change_id) if c == s.change_id else F.col(f"_first.{c}").alias(c)
-                          for c in s.staged_columns])
+                          for c in s.staged_columns], *([LAST_ARRIVAL] if last_arrival else []))
 
 
 def sequence_changes(changes: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC,

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from histora.functions.exprs import version_key
+from histora.operators.changes import LAST_ARRIVAL
 from histora.plans.ordered import chunked_lead
 from histora.spec import DEFAULT_SPEC, ChangeLogSpec
 
@@ -26,7 +27,8 @@ def build_scd2(changes: DataFrame, staged: DataFrame, spec: ChangeLogSpec = DEFA
     gap (S7). Equal consecutive values are *not* merged (S8). Zero-width versions (a later mutation at
     the same instant) are suppressed. ``order="ingest"`` is the defect path that sequences by arrival
     while still labelling with source time: it keeps the inverted windows so the checks can find them.
-    ``last_seen_ingested_at`` is the entity's latest delivery (``staged`` may be the affected subset).
+    ``last_seen_ingested_at`` is the entity's latest delivery (``staged`` may be the affected subset): carried by
+    ``changes`` that were deduplicated with ``last_arrival``, else joined from ``staged``.
     ``with_closing_operation`` adds ``closed_by_operation``, the operation of the mutation that closed the
     version (NULL while open) -- it distinguishes a version ended by a DELETE from one ended by an update.
     """
@@ -40,7 +42,12 @@ def build_scd2(changes: DataFrame, staged: DataFrame, spec: ChangeLogSpec = DEFA
     nxt = {"ts": F.col(s.source_ts)}
     if with_closing_operation:
         nxt["op"] = F.col(s.operation)
-    seq = chunked_lead(changes.select(*needed), [s.entity], order_cols, nxt, "_next", hot_source=staged.select(s.entity, *order_cols))
+    carried = LAST_ARRIVAL in changes.columns
+    if carried:
+        needed.append(LAST_ARRIVAL)
+    seq = chunked_lead(changes.select(*needed), [s.entity], order_cols, nxt, "_next",
+                       hot_source=staged.select(s.entity, *order_cols),
+                       maxima={"last_seen_ingested_at": F.col(LAST_ARRIVAL)} if carried else None)
     versions = seq.where(F.col(s.operation) != F.lit(s.delete_value)).select(
         version_key(s.entity, s.change_id).alias(s.version_id),
         F.col(s.entity),
@@ -48,12 +55,15 @@ def build_scd2(changes: DataFrame, staged: DataFrame, spec: ChangeLogSpec = DEFA
         F.col(s.source_ts).alias("valid_from"),
         F.col("_next.ts").alias("valid_to"),
         F.col(s.change_id).alias("source_change_id"),
+        *(["last_seen_ingested_at"] if carried else []),
         *([F.col("_next.op").alias("closed_by_operation")] if with_closing_operation else []),
     )
     if order == "source":
         versions = versions.where(F.col("valid_to").isNull() | (F.col("valid_from") < F.col("valid_to")))
-    wm = entity_watermarks(staged, s)
-    out = versions.join(wm, s.entity, "inner")
+    if carried:     # a version without an entity has no watermark to join either
+        out = versions.where(F.col(s.entity).isNotNull())
+    else:
+        out = versions.join(entity_watermarks(staged, s), s.entity, "inner")
     return out.select(
         F.col(s.version_id), F.col(s.entity), *[F.col(a) for a in s.attributes],
         F.col("valid_from"), F.col("valid_to"),

@@ -214,16 +214,18 @@ def _peers_across(x: DataFrame, part: Sequence[str], instant: str, peers: dict[s
 
 def chunked_lead(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: dict[str, Column],
                  out: str, *, descending: bool = False, row_number: str | None = None,
-                 hot_source: DataFrame | None = None, peers: dict[str, Column] | None = None):
+                 hot_source: DataFrame | None = None, peers: dict[str, Column] | None = None,
+                 maxima: dict[str, Column] | None = None):
     """Add ``out`` = struct of ``values`` taken from the next row in ``order`` within ``keys``.
 
     ``descending=True`` gives the previous row (``lag``). ``row_number`` optionally adds the 1-based
     rank in that order (bigint). ``peers`` optionally adds aggregates (name to aggregate expression) over the rows
     that share the keys and the first order value (the *instant*, NULL being one). They reuse the scan's
     partitioning and sort; where a chunk border parts an instant, the instant's rows are aggregated across chunks
-    and joined back (:func:`_peers_across`).
+    and joined back (:func:`_peers_across`). ``maxima`` optionally adds the greatest value of a column over all rows of
+    the keys; it rides on the same partitioning and, for split entities, on the chunk summary.
     """
-    peers = peers or {}
+    peers, maxima = peers or {}, maxima or {}
     df = df.withColumn("_v", F.struct(*[v.alias(n) for n, v in values.items()]))
     prepared = _prepare(df, keys, order, hot_source, mark_parted=bool(peers))
     if prepared is None:
@@ -232,7 +234,9 @@ def chunked_lead(df: DataFrame, keys: Sequence[str], order: Sequence[str], value
         out_df = df.withColumn(out, F.lead("_v").over(w))
         if row_number:
             out_df = out_df.withColumn(row_number, F.row_number().over(w).cast("long"))
-        return out_df.select("*", *[agg.over(same).alias(n) for n, agg in peers.items()]).drop("_v")
+        whole = Window.partitionBy(*keys)
+        return out_df.select("*", *[agg.over(same).alias(n) for n, agg in peers.items()],
+                             *[F.max(c).over(whole).alias(n) for n, c in maxima.items()]).drop("_v")
     x, part, hot = prepared
     w = Window.partitionBy(*part).orderBy(*_order(order, descending))
     local = x.withColumn("_lead_local", F.lead("_v").over(w))
@@ -241,21 +245,29 @@ def chunked_lead(df: DataFrame, keys: Sequence[str], order: Sequence[str], value
     if peers:
         same = Window.partitionBy(*part, order[0])
         local = local.select("*", *[agg.over(same).alias(f"_own_{n}") for n, agg in peers.items()])
+    if maxima:
+        here = Window.partitionBy(*part)
+        local = local.select("*", *[F.max(c).over(here).alias(f"_here_{n}") for n, c in maxima.items()])
 
     # Only split (hot) entities have more than one chunk; only their rows feed the summary.
     pick = F.max if descending else F.min
     summ = _split_rows(x, hot).groupBy(*part).agg(
         pick(F.struct(_sort_key(order).alias("k"), _row_struct(x).alias("r"))).alias("_first"),
         F.count(F.lit(1)).alias("_cnt"),
+        *[F.max(c).alias(f"_max_{n}") for n, c in maxima.items()],
     )
     wc = Window.partitionBy(*part[:-1]).orderBy(F.col(CHUNK).desc() if descending else F.col(CHUNK).asc())
     cols = [*part, F.lead(F.col("_first.r._v")).over(wc).alias("_lead_next")]
     if row_number:
         cols.append(F.coalesce(F.sum("_cnt").over(wc.rowsBetween(Window.unboundedPreceding, -1)),
                                F.lit(0)).cast("long").alias("_rn_offset"))
-    summ = summ.select(*cols)
+    chunks = Window.partitionBy(*part[:-1])
+    summ = summ.select(*cols, *[F.max(f"_max_{n}").over(chunks).alias(f"_max_{n}") for n in maxima])
 
     joined = local.join(summ, list(part), "left")
+    for n in maxima:
+        joined = joined.withColumn(n, F.when(hot, F.col(f"_max_{n}")).otherwise(F.col(f"_here_{n}")))
+    joined = joined.drop(*[f"_{k}_{n}" for k in ("max", "here") for n in maxima])
     # Only split entities need the neighbouring chunk (``hot`` keeps both branches' columns equal).
     joined = joined.withColumn(out, F.coalesce(F.col("_lead_local"), F.when(hot, F.col("_lead_next"))))
     if row_number:

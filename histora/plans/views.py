@@ -26,7 +26,7 @@ def register_views(spark: SparkSession, raw_log: DataFrame, raw_events: DataFram
     staged = stage_changes(raw_log, spec, ingest_cutoff)
     facts = stage_events(raw_events, events)
     changes = deduplicate_changes(staged, spec)
-    dim = build_scd2(changes, staged, spec, order=order)
+    dim = build_scd2(deduplicate_changes(staged, spec, last_arrival=True), staged, spec, order=order)
     frames = {
         "stg_changes": staged,
         "stg_events": facts,

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from histora.spec import CDC_SCHEMA, EVENT_SCHEMA
 
-TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
+TS_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"     # the fraction may be absent
 
 
 def _read(spark: SparkSession, path: str | list[str], schema: T.StructType, fmt: str) -> DataFrame:

@@ -29,6 +29,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from histora.operators.incremental import rebuild_entities, rebuild_tail
 from histora.operators.staging import stage_changes
+from histora.sources.readers import TS_FORMAT
 from histora.sources.stored import PART, StoredTable, keyed_table
 from histora.spec import CDC_SCHEMA, DEFAULT_SPEC, ChangeLogSpec
 
@@ -93,7 +94,7 @@ def start_repair_stream(spark: SparkSession, landing_path: str, tables: RepairSt
     reader = spark.readStream.schema(schema).format(fmt)
     if fmt == "csv":
         reader = reader.option("header", True).option("mode", "FAILFAST").option(
-            "timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
+            "timestampNTZFormat", TS_FORMAT)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.load(landing_path)

@@ -134,3 +134,23 @@ def test_sql_filters_on_views_reach_the_parquet_scan(spark, scripted_log, tmp_pa
     assert "LessThanOrEqual(ingested_at," in plan and "EqualTo(customer_id,11)" in plan
     assert "scenario_tag" not in plan.split("ReadSchema:")[1].split("\n")[0]   # unused columns pruned
     assert df.count() == 0
+
+
+def test_full_build_reads_the_log_once_and_shuffles_twice(spark):
+    """The watermark rides on the dedup aggregate and the ordered scan."""
+    import re
+
+    import __spark_entry__ as entry
+    out = entry.q_scd2_full(spark, "/root/testdata/sf0.001")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # the derived log is a union of two reads of events: two scans are one log
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 2 and len(re.findall(r"Scan parquet", plan)) == 2
+    assert "Join" not in plan
+
+
+def test_carried_watermarks_equal_joined_ones(spark, scripted_log, split_all):
+    staged = stage_changes(scripted_log)
+    carried = build_scd2(deduplicate_changes(staged, last_arrival=True), staged)
+    joined = build_scd2(deduplicate_changes(staged), staged)
+    assert carried.columns == joined.columns
+    assert sorted(map(repr, carried.collect())) == sorted(map(repr, joined.collect()))
