@@ -1,9 +1,10 @@
 """The corpus pipeline: five stages over ``documents``, each on all that the one before it kept.
 
-The stages hand whole documents to Python workers; they take ``ARROW_ROWS`` of them at a time, unless the session sets
-another number than Spark's default: a batch is held several times over, on both sides. Every stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read back as the
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read back as the
 next stage's docs. All but the last return the columns of ``documents``. Rows whose id is null pass the stages
-that decide by id; extra columns are carried along up to the last stage.
+that decide by id; extra columns are carried along up to the last stage. The stages hand whole documents to Python
+workers, ``ARROW_ROWS`` at a time unless the session sets another number than Spark's default, because a batch is
+held several times over on both sides.
 """
 
 from __future__ import annotations
@@ -18,7 +19,6 @@ from histora.llm.langid import held_out, language_of, train_model
 from histora.llm.near_dup import near_duplicates
 from histora.llm.pii import checked
 
-
 ARROW_ROWS = 1_000
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
