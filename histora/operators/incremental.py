@@ -49,6 +49,16 @@ def affected_entities(staged: DataFrame, dim: DataFrame, spec: ChangeLogSpec = D
     return staged.where(F.col(s.ingest_ts) > mark).select(s.entity).distinct()
 
 
+def affected_entities_stored(log: StoredTable, dim: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC) -> DataFrame:
+    """J1 over a staged log stored by arrival day (``daily_table(path, ingest time)``).
+
+    The mark is a literal, so its day is a partition filter: only the days from the mark on are read.
+    """
+    s, mark = spec, _scalar(high_water(dim))
+    new = log.read(dim.sparkSession).where((F.col(PART) >= F.to_date(mark)) & (F.col(s.ingest_ts) > mark))
+    return new.select(s.entity).distinct()
+
+
 def rebuild_entities(staged: DataFrame, affected: DataFrame, spec: ChangeLogSpec = DEFAULT_SPEC,
                      order: str = "source", change_ids_unique_to_entity: bool = True) -> DataFrame:
     """The full history of ``affected`` entities from their whole visible log.

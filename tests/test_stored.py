@@ -105,3 +105,46 @@ def test_the_anti_join_of_an_append_is_pruned_to_its_days(spark):
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruningexpression" in plan
     assert [r["event_id"] for r in kept.collect()] == ["e1"]
+
+
+def test_arrivals_after_the_mark_are_read_by_day(spark):
+    import __spark_entry__ as entry
+    from histora.operators import affected_entities, affected_entities_stored
+    sf = "/root/testdata/sf0.001"
+    log = daily_table(_path(spark), "ingested_at")
+    log.write(entry._staged(spark, sf))
+    dim = entry._dim(spark, sf, entry.T1_CUTOFF)
+    out = affected_entities_stored(log, dim)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert f"{PART}#" in filters and ">=" in filters
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, affected_entities(entry._staged(spark, sf), dim).collect()))
+
+
+def test_history_of_one_entity_reads_one_bucket(spark):
+    import __spark_entry__ as entry
+    conf = "spark.sql.sources.bucketing.autoBucketedScan.enabled"      # off: the plan tells the buckets that it reads
+    spark.conf.set(conf, "false")
+    try:
+        out = entry.q_entity_history_stored(spark, "/root/testdata/sf0.001")
+        assert "SelectedBucketsCount: 1 out of 16" in out._jdf.queryExecution().executedPlan().toString()
+        assert out.count() == 74
+    finally:
+        spark.conf.unset(conf)
+
+
+def test_fingerprints_tell_equal_tables_from_unequal_ones(spark):
+    from histora.operators import table_diff, table_diff_by_bucket, unequal_buckets
+    rows = [(i % 50, None if i % 7 == 0 else i % 11, None if i % 5 == 0 else i % 11) for i in range(2000)]
+    cols = ["k", "a", "b"]
+    t = spark.createDataFrame(rows, "k int, a int, b int")
+    assert unequal_buckets(t, t.repartition(7).orderBy("b"), cols, "k", 16) == []
+    assert table_diff_by_bucket(t, t.repartition(3), cols, "k", 16).count() == 0
+    swapped = spark.createDataFrame([(k, b, a) if k == 9 else (k, a, b) for k, a, b in rows], t.schema)
+    others = {"once more": t.union(t.where("k = 3").limit(1)), "one less": t.where("NOT (k = 3 AND a = 3)"),
+              "columns swapped": swapped, "null key": t.union(spark.createDataFrame([(None, 1, 1)], t.schema)),
+              "empty": t.limit(0)}
+    for name, other in others.items():
+        want = sorted(map(tuple, table_diff(t, other, cols).collect()), key=repr)
+        assert want and sorted(map(tuple, table_diff_by_bucket(t, other, cols, "k", 16).collect()), key=repr) == want, name
+    assert len(unequal_buckets(t, others["columns swapped"], cols, "k", 1024)) == 1
