@@ -23,9 +23,8 @@ from histora.operators import (  # noqa: E402
     overlap_counts, overlap_violations, point_in_time_join, repair_scd2_tail, repair_stored, sequence_changes, shared_change_ids,
     stage_changes, stage_events, table_diff, table_diff_by_bucket, unique_violations, unstable_change_ids,
 )
-from histora.operators.quality import (  # noqa: E402
-    declared_check_list, dimension_checks, validate, validate_declared,
-)
+from histora.operators.quality import declared_check_list, dimension_checks, validate  # noqa: E402
+from histora.plans.layers import store_layers, validate_layers  # noqa: E402
 from histora.plans.views import register_views  # noqa: E402
 from histora.session import work_path  # noqa: E402
 from histora.sources import derived_change_log, derived_facts, read_change_log, read_events, scenario_catalog  # noqa: E402
@@ -245,14 +244,8 @@ def q_validate_dimension(spark, sf):
 
 
 def q_validate_all_layers(spark, sf):
-    """Every declared not-null / unique / accepted-values / temporal test of every layer, as one job."""
-    staged = _staged(spark, sf)
-    changes = deduplicate_changes(staged)
-    dim = build_scd2(changes, staged)
-    facts = _facts(spark, sf)
-    layers = {"staging": staged, "events": facts, "changes": changes, "sequence": sequence_changes(changes),
-              "dimension": dim, "facts": facts, "serving": point_in_time_join(facts, dim)}
-    return validate_declared(layers)
+    """Every declared not-null / unique / accepted-values / temporal test of every layer, each layer computed once."""
+    return validate_layers(store_layers(spark, derived_change_log(spark, sf), derived_facts(spark, sf)))
 
 
 def q_interval_order_violations(spark, sf):

@@ -99,3 +99,19 @@ def test_validate_declared_equals_one_check_per_branch(spark, scripted_log):
     b = {r.check_name: (r.violations, r.passed) for r in validate(declared_checks(layers)).collect()}
     assert a == b and len(a) == 36
     assert a["dimension.no_overlapping_validity_windows"][1] is False
+
+
+def test_layers_are_stored_once_and_their_observed_tests_equal_the_plain_ones(spark, scripted_log):
+    from histora.operators.quality import validate_declared
+    from histora.plans.layers import store_layers, validate_layers
+    from histora.spec import EVENT_SCHEMA
+    from tests.fixtures_data import EVENTS_42
+    from tests.helpers import ts
+    events = spark.createDataFrame([(a, b, c, ts(d)) for a, b, c, d in EVENTS_42] + [(None, 42, "x", None)], EVENT_SCHEMA)
+    broken = scripted_log.withColumn("ingested_at", F.when(F.col("change_id") < "c", F.col("ingested_at")))
+    for log in (scripted_log, broken):
+        layers = store_layers(spark, log, events)
+        got = {tuple(r) for r in validate_layers(layers).collect()}
+        assert got == {tuple(r) for r in validate_declared(layers.frames).collect()} and len(got) == 36
+        assert len(layers.observed) > 20 and layers.observed["events.not_null.event_timestamp"] == 1
+        assert all(len(f.inputFiles()) for f in layers.frames.values())
