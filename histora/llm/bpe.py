@@ -41,9 +41,9 @@ from histora.llm.common import batched, ship
 LEAF_CHARS = 8192
 LEAF_BYTES = 16
 LEAF_IDS = 4096
-PREPARED_CHARS = 1 << 20   # texts whose leaves are encoded together
+PREPARED_CHARS = 1 << 19   # texts whose leaves are encoded together
 LONG_BYTES = 200   # from here on a heap finds the next merge
-CACHE_PIECES = 600_000
+CACHE_PIECES = 320_000
 
 _LOOKAHEAD = 3   # characters after a piece that its cut can depend on, white space runs aside
 
@@ -136,12 +136,12 @@ class ByteBpe:
         self.pattern = regex.compile(pattern)
         self._none = len(ranks) + max(ranks.values(), default=0)
         self._loose = re.compile(r"\s (?:\s|\Z)").search   # a space that need not be a cut
-        self._pieces = _Cache(self.encode_piece, cache_pieces // 4)
+        self._pieces = _Cache(self.encode_piece, cache_pieces // 8)
         self._spans = _Cache(lambda span: self._span(" " + span), cache_pieces)
-        self._leaf = _Cache(self._merge, cache_pieces // 2)
-        self._half = lru_cache(maxsize=1 << 18)(self.encode_bytes)
+        self._leaf = _Cache(self._merge, cache_pieces // 8)
+        self._half = lru_cache(maxsize=1 << 15)(self.encode_bytes)
         self.decimal = {rank: str(rank) for rank in ranks.values()}
-        self._pair = lru_cache(maxsize=1 << 18)(self._merge_pair)
+        self._pair = lru_cache(maxsize=1 << 17)(self._merge_pair)
 
     # -- tokens of one piece ---------------------------------------------------------------------
     def _merge(self, data: bytes) -> tuple[int, ...]:
