@@ -134,23 +134,31 @@ def passage_counts(places: DataFrame, n_terms: int) -> tuple[int, np.ndarray]:
 def latent_basis(passages: DataFrame, n_terms: int, rank: int, seed: int = 11) -> np.ndarray:
     """Leading right singular vectors (terms x rank) of the rows (at array<int>, weight array<double>).
 
-    Rows stay distributed: a task returns its share of A'(A Q), terms x width, and the shares are added.
+    Rows stay distributed: a task returns its share of A'(A Q), the rows of the terms that it has met, and the shares
+    are added. Together they hold at most one row of ``width`` numbers for each entry of the matrix, which ``BLOCK``
+    bounds.
     """
     sc = passages.sparkSession.sparkContext
 
     def gram(basis: np.ndarray) -> np.ndarray:
         shared = sc.broadcast(basis.astype(np.float32))
 
-        def run(batches):
-            out = np.zeros(shared.value.shape, np.float32)
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            terms, parts = [], []
             for x in batches:
                 for at, weight in zip(x["at"], x["weight"]):
-                    np.add.at(out, at, np.outer(weight, weight @ shared.value[at]).astype(np.float32))
-            yield pd.DataFrame({"share": [out.tobytes()]})
+                    terms.append(np.asarray(at))
+                    parts.append(np.outer(weight, weight @ shared.value[at]).astype(np.float32))
+            if terms:          # the rows of the terms that the task has met, in one piece
+                met, row = np.unique(np.concatenate(terms), return_inverse=True)
+                out = np.zeros((len(met), basis.shape[1]), np.float32)
+                np.add.at(out, row, np.concatenate(parts))
+                yield pd.DataFrame({"terms": [met.astype(np.int64).tobytes()], "share": [out.tobytes()]})
 
         total = np.zeros(basis.shape)
-        for row in passages.mapInPandas(run, "share binary").toLocalIterator():
-            total += np.frombuffer(row["share"], np.float32).reshape(basis.shape)
+        for row in passages.mapInPandas(run, "terms binary, share binary").collect():
+            met = np.frombuffer(row["terms"], np.int64)
+            total[met] += np.frombuffer(row["share"], np.float32).reshape(len(met), -1)
         shared.unpersist()
         return total
 
