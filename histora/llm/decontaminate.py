@@ -10,7 +10,8 @@
 3. Every window of two passages' length, at every passage's step, is searched. A window that covers the least part
    (``LEAST_PART``) of a passage's weight must hold a certain weight of the passage's heaviest terms, which an
    inverted list of those terms tells; the windows that do are projected and compared to all benchmark passages
-   by cosine and by the part of the passage that they cover in the latent space.
+   by cosine and by the part of the passage that they cover in the latent space. A window that may cover
+   ``SURE_PART`` is a candidate as it is, since the space keeps some passages badly.
 4. Near pairs are checked on the words: the longest common subsequence of the item and the surrounding words, in
    shares of the item, and the same for the item's answer (its last sentence, or last quarter). A task checks equal
    surroundings once, so copies of a text cost one check.
@@ -46,6 +47,7 @@ POWER_STEPS = 2
 LEAST_COSINE = 0.2
 HEAVY = 0.8            # share of a passage's weight that its heaviest terms hold
 LEAST_PART = 0.3
+SURE_PART = 0.45       # of a passage's weight, from which a window need not be near in the latent space
 SHORT = 8
 LEAST_LCS, LEAST_ANSWER, SURE_LCS = 0.6, 0.5, 0.8
 
@@ -207,6 +209,7 @@ class Search:
     heavy_start: np.ndarray   # per term: where its passages begin, among those that it is a heavy term of
     heavy_passage: np.ndarray
     least_heavy: np.ndarray   # per passage: weight of heavy terms that a window must hold
+    sure_heavy: np.ndarray    # and the weight that makes it a candidate whatever its cosine
     masks: list = field(default_factory=list)         # per item: word masks of its words and of its answer
     checked: dict = field(default_factory=dict)       # (item, surrounding words) to shares found; of the task
 
@@ -224,8 +227,9 @@ class Search:
             self.checked[key] = found
         return found
 
-    def windows(self, step: np.ndarray, term: np.ndarray) -> np.ndarray:
-        """Steps at which a window (the step and the next) may cover the least part of some passage."""
+    def windows(self, step: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Steps at which a window (the step and the next) may cover the least part of some passage, and the
+        (step, passage) pairs of windows that hold enough of its heavy terms to be candidates as they are."""
         lists = np.diff(self.heavy_start)
         heavy = np.flatnonzero(lists[term])
         once = np.unique(step[heavy] << 20 | term[heavy])       # each term once a step
@@ -237,8 +241,10 @@ class Search:
         key = np.concatenate((step[row] * width + p, (step[row] - 1) * width + p))
         key, back = np.unique(key, return_inverse=True)
         held = np.bincount(back, weights=np.tile(self.weight[term[row]] ** 2, 2))
-        found = np.unique(key[held >= self.least_heavy[key % width]] // width)
-        return found[(found & 0xFFFFFF) != 0xFFFFFF]      # no window begins before its document
+        real = (key // width & 0xFFFFFF) != 0xFFFFFF      # no window begins before its document
+        found = np.unique(key[real & (held >= self.least_heavy[key % width])] // width)
+        sure = key[real & (held >= self.sure_heavy[key % width])]
+        return found, sure // width, sure % width
 
     def matches(self, place: np.ndarray, term: np.ndarray, doc: np.ndarray) -> list[tuple]:
         """(doc, item number, cosine, lcs, answer) for the term places of a batch of documents."""
@@ -246,7 +252,7 @@ class Search:
             return []
         step = doc.astype(np.int64) << 24 | (place // PASSAGE).astype(np.int64)
         out: dict[tuple[int, int], tuple] = {}
-        near = self.windows(step, term)
+        near, sure_step, sure_passage = self.windows(step, term)
         for lo in range(0, len(near), 2048):
             some = near[lo:lo + 2048]
             spans = zip(np.searchsorted(step, some), np.searchsorted(step, some + 2))
@@ -255,6 +261,9 @@ class Search:
             along = vector @ self.passage.T
             near_by = (along >= LEAST_COSINE * norm) & (along >= LEAST_PART * self.length)
             cosine = along / np.maximum(norm, 1e-9)
+            a, b = np.searchsorted(sure_step, [some[0], some[-1] + 1])
+            at = np.searchsorted(some, sure_step[a:b])
+            near_by[at, sure_passage[a:b]] = True       # their steps are among the windows' steps
             for w, p in zip(*np.nonzero(near_by)):
                 i = int(self.item_of[p])
                 d, at = (int(x) for x in divmod(some[w], 1 << 24))
@@ -282,23 +291,24 @@ def prepare(items: Items, total: int, held: np.ndarray, docs: DataFrame) -> Sear
     latent = (weight[:, None] * basis).astype(np.float32)
     passage = np.stack([latent[np.unique(at)].sum(axis=0) for _, at in items.passages])
     length = np.maximum(np.linalg.norm(passage, axis=1), 1e-9)
-    start, heavy, least = heavy_terms(items, weight)
+    start, heavy, least, sure = heavy_terms(items, weight)
     return Search(items, weight, latent, passage / length[:, None], length.astype(np.float32),
-                  np.array([i for i, _ in items.passages]), start, heavy, least)
+                  np.array([i for i, _ in items.passages]), start, heavy, least, sure)
 
 
-def heavy_terms(items: Items, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Inverted list of the terms that hold ``HEAVY`` of a passage's weight, and the weight of them to ask for."""
-    rows, least = [], []
+def heavy_terms(items: Items, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Inverted list of the terms that hold ``HEAVY`` of a passage's weight, and the weights of them to ask for."""
+    rows, least, sure = [], [], []
     for p, (_, at) in enumerate(items.passages):
         t = np.unique(at)
         t = t[np.argsort(-weight[t], kind="stable")]
         mass = np.cumsum(weight[t] ** 2)
         top = int(np.searchsorted(mass, HEAVY * mass[-1])) + 1
         rows += [(x, p) for x in t[:top].tolist()]
-        least.append(mass[min(top, len(t)) - 1] - (1 - LEAST_PART) * mass[-1] - 1e-6)
+        for part, out in ((LEAST_PART, least), (SURE_PART, sure)):
+            out.append(mass[min(top, len(t)) - 1] - (1 - part) * mass[-1] - 1e-6)
     pairs = np.array(sorted(rows), dtype=np.int64)
-    return np.searchsorted(pairs[:, 0], np.arange(len(weight) + 1)), pairs[:, 1], np.array(least)
+    return np.searchsorted(pairs[:, 0], np.arange(len(weight) + 1)), pairs[:, 1], np.array(least), np.array(sure)
 
 
 def find_block(docs: DataFrame, rows: list[tuple[int, str]]) -> DataFrame | None:

@@ -103,7 +103,7 @@ def test_copies_are_checked_once(spark, monkeypatch):
     items = decontaminate.Items.of([(1, "alpha beta gamma delta epsilon zeta eta theta iota kappa")])
     calls, real = [], decontaminate.common_length
     monkeypatch.setattr(decontaminate, "common_length", lambda *a: calls.append(1) or real(*a))
-    search = decontaminate.Search(items, *[np.empty(0)] * 8)
+    search = decontaminate.Search(items, *[np.empty(0)] * 9)
     for _ in range(50):
         assert search.shares(0, items.words[0]) == (1.0, 1.0)
     assert len(calls) == 2
