@@ -47,6 +47,7 @@ T1_CUTOFF = "2024-01-15 00:00:00"       # first arrival batch (inclusive ingest
 T2_CUTOFF = "2024-01-15 06:00:00"       # small second batch
 FACT_BATCH1_BEFORE = "2024-01-20 00:00:00"
 HISTORY_ENTITY = 7
+BUCKETS = 16                            # of the stored dimension; for a large one, 128 MB to 1 GB a bucket
 ACCEPTED_OPERATIONS = ("INSERT", "UPDATE", "DELETE")
 CANONICAL = ["customer_id", "country_code", "subscription_tier", "account_status", "email_verified",
              "valid_from", "valid_to", "row_current", "source_change_id"]
@@ -124,7 +125,7 @@ def q_affected_entities_stored(spark, sf):
 
 def q_scd2_incremental(spark, sf):
     """T1 table stored by entity bucket, then two keyed repairs (small batch, then everything) of the stored table."""
-    table = keyed_table(work_path(spark, "scd2_incremental"), "customer_id")
+    table = keyed_table(work_path(spark, "scd2_incremental"), "customer_id", BUCKETS)
     table.write(_dim(spark, sf, T1_CUTOFF))
     for step, cutoff in (("t2", T2_CUTOFF), ("all", None)):
         repair_stored(table, _staged(spark, sf, cutoff), step)
@@ -145,7 +146,7 @@ def q_scd2_stream_repair(spark, sf):
     cuts = [ing <= F.lit(T1_CUTOFF).cast("timestamp_ntz"),
             (ing > F.lit(T1_CUTOFF).cast("timestamp_ntz")) & (ing <= F.lit(T2_CUTOFF).cast("timestamp_ntz")),
             ing > F.lit(T2_CUTOFF).cast("timestamp_ntz")]
-    tables = RepairStreamTables(log_path=f"{base}/log", dim_path=f"{base}/dim")
+    tables = RepairStreamTables(log_path=f"{base}/log", dim_path=f"{base}/dim", buckets=BUCKETS)
     for i, cond in enumerate(cuts):      # one start an arrival, so that an arrival is a micro-batch of all its files
         log.where(cond).write.mode("errorifexists").parquet(f"{landing}/arrival={i}")
         q = start_repair_stream(spark, f"{landing}/*", tables, f"{base}/_checkpoint", schema=log.schema)
@@ -218,7 +219,7 @@ def q_entity_history(spark, sf):
 def q_entity_history_stored(spark, sf):
     """One entity's history from the whole dimension stored in Spark's buckets: one bucket is read."""
     name = f"dim_{uuid.uuid4().hex}"
-    save_bucketed(_dim(spark, sf), name, "customer_id", 16, work_path(spark, "dim"), ["customer_id", "valid_from"])
+    save_bucketed(_dim(spark, sf), name, "customer_id", BUCKETS, work_path(spark, "dim"), ["customer_id", "valid_from"])
     return history(read_bucketed(spark, name), HISTORY_ENTITY)
 
 
