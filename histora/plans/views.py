@@ -1,8 +1,9 @@
 """A3: expose every layer as a Spark SQL temporary view, so the models can also be queried with SQL.
 
-``register_views`` builds the lazy DataFrames once and registers them; nothing is computed until a
-query runs, and Catalyst optimises SQL over the views exactly like the DataFrame calls (filters on the
-serving view reach the Parquet scans, unused columns are pruned).
+``register_views`` builds the DataFrames once and registers them. With the ``auto`` strategy the history behind
+the serving view is written when the views are registered, and large inputs are measured for hot entities on
+the staged log; nothing else is computed until a query runs, and Catalyst optimises SQL over the views exactly
+like the DataFrame calls (filters on the serving view reach the Parquet scans, unused columns are pruned).
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ def register_views(spark: SparkSession, raw_log: DataFrame, raw_events: DataFram
         "stg_changes": staged,
         "stg_events": facts,
         "changes_deduplicated": changes,
-        "change_sequence": sequence_changes(changes, spec),
+        "change_sequence": sequence_changes(changes, spec, hot_source=staged),
         "dimension_scd2": dim,
         "fact_events": facts,
         "events_enriched": point_in_time_join(facts, dim, spec, events, strategy=pit_strategy),
